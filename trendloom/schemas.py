@@ -12,44 +12,53 @@ NEWSAPI = "newsapi"
 GITHUB = "github"
 PIPELINE_VERSION = "1.0.0"
 
-HN_SCHEMA = T.StructType.fromDDL(
-    "id bigint, type string, `by` string, title string, url string, score int, descendants int, "
-    "time bigint, text string, ingested_at string, source string, pipeline_version string"
+_TEXT, _INT, _LONG, _TIME = T.StringType(), T.IntegerType(), T.LongType(), T.TimestampType()
+_TEXTS = T.ArrayType(_TEXT)
+
+
+def _fields(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind, True) for name, kind in types.items()])
+
+
+HN_SCHEMA = _fields(
+    id=_LONG, type=_TEXT, by=_TEXT, title=_TEXT, url=_TEXT, score=_INT, descendants=_INT,
+    time=_LONG, text=_TEXT, ingested_at=_TEXT, source=_TEXT, pipeline_version=_TEXT,
 )
-NEWS_SCHEMA = T.StructType.fromDDL(
-    "article_id string, title string, description string, url string, published_at string, "
-    "author string, source_name string, query_tag string, ingested_at string, source string, "
-    "pipeline_version string"
+NEWS_SCHEMA = _fields(
+    article_id=_TEXT, title=_TEXT, description=_TEXT, url=_TEXT, published_at=_TEXT,
+    author=_TEXT, source_name=_TEXT, query_tag=_TEXT, ingested_at=_TEXT, source=_TEXT,
+    pipeline_version=_TEXT,
 )
-GITHUB_SCHEMA = T.StructType.fromDDL(
-    "repo_id bigint, repo_name string, repo_url string, description string, stars int, forks int, "
-    "language string, topics array<string>, created_at string, updated_at string, owner string, "
-    "language_filter string, ingested_at string, source string, pipeline_version string"
+GITHUB_SCHEMA = _fields(
+    repo_id=_LONG, repo_name=_TEXT, repo_url=_TEXT, description=_TEXT, stars=_INT, forks=_INT,
+    language=_TEXT, topics=_TEXTS, created_at=_TEXT, updated_at=_TEXT, owner=_TEXT,
+    language_filter=_TEXT, ingested_at=_TEXT, source=_TEXT, pipeline_version=_TEXT,
 )
 
-BRONZE_SUFFIX = T.StructType.fromDDL(
-    "kafka_timestamp timestamp, bronze_ingested_at timestamp, kafka_topic string"
+BRONZE_SUFFIX = _fields(
+    kafka_timestamp=_TIME, bronze_ingested_at=_TIME, kafka_topic=_TEXT,
 )
 
-SILVER_SCHEMA = T.StructType.fromDDL(
-    "unified_id string, source string, title string, description string, url string, author string, "
-    "popularity_score int, tags array<string>, language string, published_at timestamp, "
-    "ingested_at timestamp, silver_processed_at timestamp, pipeline_version string"
+SILVER_SCHEMA = _fields(
+    unified_id=_TEXT, source=_TEXT, title=_TEXT, description=_TEXT, url=_TEXT, author=_TEXT,
+    popularity_score=_INT, tags=_TEXTS, language=_TEXT, published_at=_TIME, ingested_at=_TIME,
+    silver_processed_at=_TIME, pipeline_version=_TEXT,
 )
 
 # What a model response must hold, and the columns it becomes.
-AI_RESULT_SCHEMA = T.StructType.fromDDL(
-    "sentiment string, ai_topics array<string>, entities array<string>"
+AI_RESULT_SCHEMA = _fields(
+    sentiment=_TEXT, ai_topics=_TEXTS, entities=_TEXTS,
 )
-ENRICHMENT_SCHEMA = T.StructType.fromDDL(
-    "sentiment string, ai_topics array<string>, ai_entities array<string>, enrichment_error string, "
-    "enriched_at timestamp, llm_model string"
+ENRICHMENT_SCHEMA = _fields(
+    sentiment=_TEXT, ai_topics=_TEXTS, ai_entities=_TEXTS, enrichment_error=_TEXT,
+    enriched_at=_TIME, llm_model=_TEXT,
 )
 ENRICHED_SCHEMA = T.StructType(SILVER_SCHEMA.fields + ENRICHMENT_SCHEMA.fields)
 
 # The columns a message stream delivers.
-MESSAGE_SCHEMA = T.StructType.fromDDL(
-    "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
+MESSAGE_SCHEMA = _fields(
+    key=T.BinaryType(), value=T.BinaryType(), topic=_TEXT, partition=_INT, offset=_LONG,
+    timestamp=_TIME,
 )
 
 
