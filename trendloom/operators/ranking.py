@@ -1,10 +1,8 @@
-"""Exact ``rank()`` without bringing a whole group into one task.
+"""Exact ``rank()`` that does not bring a whole group into one task.
 
-A rank depends only on a row's score and on how many rows of its group score higher. So the
-rows are first reduced to a histogram (distinct score, row count) with a map-side partial
-aggregation, ties included. The histogram is cut into bands by a fixed monotone function of
-the score. Ranks come from two running sums, one over the bands of a group and one over the
-scores of a band, and both are bounded by something other than the number of rows.
+Groups are cut into bands by a fixed monotone function of the score. The rank of a row is its
+place in the band plus the number of rows in the bands above, and the bands of a group are few
+whatever the number of rows.
 """
 
 from __future__ import annotations
@@ -49,29 +47,37 @@ def _rows_above(count: str, groups: Sequence[str], order: str) -> Column:
     return F.coalesce(F.sum(count).over(window), F.lit(0))
 
 
+def rank_by_score(rows: DataFrame, groups: Sequence[str], score: str, rank: str) -> DataFrame:
+    """``rows`` plus ``rank() over (partition by groups order by score desc nulls last)``.
+
+    Rows are shuffled by group and band, so a group with a third of all rows is sorted in as
+    many pieces as its scores have bands. Only rows that tie or nearly tie stay together.
+    """
+    banded = rows.withColumn("_band", score_band(F.col(score)))
+    sizes = banded.groupBy(*groups, "_band").agg(F.count(F.lit(1)).alias("_size"))
+    offsets = sizes.select(*groups, "_band", _rows_above("_size", groups, "_band").alias("_above"))
+    place = Window.partitionBy(*groups, "_band").orderBy(F.col(score).desc_nulls_last())
+    placed = banded.withColumn("_place", F.rank().over(place))
+    ranked = _match(placed, offsets, [*groups, "_band"])
+    return ranked.withColumn(rank, (F.col("_above") + F.col("_place")).cast("int")).drop(
+        "_band", "_place", "_above"
+    )
+
+
 def score_histogram(rows: DataFrame, groups: Sequence[str], score: str) -> DataFrame:
+    """Row count of each distinct score. Ties collapse in the map-side partial aggregation."""
     return rows.groupBy(*groups, score).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def histogram_ranks(histogram: DataFrame, groups: Sequence[str], score: str, rank: str) -> DataFrame:
-    """Rank of every distinct score of a group: ``groups + [score, rank]``, nulls last."""
+def histogram_ranks(histogram: DataFrame, score: str, rank: str) -> DataFrame:
+    """Rank of every distinct score over all rows of a histogram, nulls last."""
     banded = histogram.withColumn("_band", score_band(F.col(score)))
-    bands = banded.groupBy(*groups, "_band").agg(F.sum("_rows").alias("_band_rows"))
-    offsets = bands.select(
-        *groups, "_band", _rows_above("_band_rows", groups, "_band").alias("_above_band")
+    bands = banded.groupBy("_band").agg(F.sum("_rows").alias("_band_rows"))
+    offsets = bands.select("_band", _rows_above("_band_rows", [], "_band").alias("_above"))
+    inside = banded.withColumn("_inside", _rows_above("_rows", ["_band"], score))
+    return _match(inside, offsets, ["_band"]).select(
+        score, (F.lit(1) + F.col("_above") + F.col("_inside")).cast("int").alias(rank)
     )
-    inside = banded.select(
-        *groups, score, "_band", _rows_above("_rows", [*groups, "_band"], score).alias("_in_band")
-    )
-    return _match(inside, offsets, [*groups, "_band"]).select(
-        *groups, score, (F.lit(1) + F.col("_above_band") + F.col("_in_band")).cast("int").alias(rank)
-    )
-
-
-def rank_by_score(rows: DataFrame, groups: Sequence[str], score: str, rank: str) -> DataFrame:
-    """``rows`` plus ``rank() over (partition by groups order by score desc nulls last)``."""
-    ranks = histogram_ranks(score_histogram(rows, groups, score), groups, score, rank)
-    return _match(rows, ranks, [*groups, score])
 
 
 def leaders(
@@ -95,6 +101,6 @@ def leaders(
         .select(group, score, group_rank)
     )
     totals = histogram.groupBy(score).agg(F.sum("_rows").alias("_rows"))
-    overall = histogram_ranks(totals, [], score, overall_rank)
+    overall = histogram_ranks(totals, score, overall_rank)
     table = _match(best, overall, [score])
     return _match(rows, F.broadcast(table), [group, score])

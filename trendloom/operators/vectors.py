@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from trendloom.operators.latest import top_per_group
 from trendloom.session import scratch_root
 
-MAX_QUESTIONS_PER_PASS = 1024
+MAX_QUESTIONS_PER_PASS = 4096
+BLOCK_ROWS = 1024
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
@@ -21,14 +22,23 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Top ``k`` by score, then by id, of one question."""
-    if len(scores) > k:
-        kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-        close = scores >= kth
-        scores, ids = scores[close], ids[close]
-    order = np.lexsort((ids, -scores))[:k]
-    return scores[order], ids[order]
+def _best(asked: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int):
+    """The ``k`` entries of each question with the highest score, lowest id first among equals."""
+    order = np.lexsort((ids, -scores, asked))
+    asked, scores, ids = asked[order], scores[order], ids[order]
+    starts = np.searchsorted(asked, asked, side="left")
+    kept = np.arange(len(asked)) - starts < k
+    return asked[kept], scores[kept], ids[kept]
+
+
+def _near(table: np.ndarray, ids: np.ndarray, k: int):
+    """Entries of a documents x questions table that can be among the best ``k``, ties included."""
+    if len(table) > k:
+        kth = np.partition(table, len(table) - k, axis=0)[len(table) - k]
+        rows, asked = np.nonzero(table >= kth)
+    else:
+        rows, asked = (x.ravel() for x in np.indices(table.shape))
+    return asked, table[rows, asked], ids[rows]
 
 
 def cosine_topk(
@@ -78,21 +88,21 @@ def _one_pass(rows, asked, corpus, k, names, carry):
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, targets = sent.value
-        held = [(np.empty(0), np.empty(0, dtype=object))] * len(keys)
+        held = None
         for batch in batches:
-            if not len(batch) or not keys:
-                continue
-            ids = batch[doc_id].to_numpy()
-            vectors = _unit(np.stack(batch[vector].to_numpy()).astype(np.float64))
-            # Rounded, so that equal vectors tie whatever the shape of the product was.
-            scores = np.round(vectors @ targets.T, 12)
-            for i in range(len(keys)):
-                near, who = _best(scores[:, i], ids, k)
-                held[i] = _best(
-                    np.concatenate([held[i][0], near]), np.concatenate([held[i][1], who]), k
-                )
-        for name, (scores, ids) in zip(keys, held):
-            yield pd.DataFrame({question_id: [name] * len(ids), doc_id: ids, "similarity": scores})
+            for start in range(0, len(batch), BLOCK_ROWS) if keys else ():
+                block = batch.iloc[start : start + BLOCK_ROWS]
+                vectors = _unit(np.stack(block[vector].to_numpy()).astype(np.float64))
+                # Rounded, so that equal vectors tie whatever the shape of the product was.
+                table = np.round(vectors @ targets.T, 12)
+                found = _near(table, block[doc_id].to_numpy(), k)
+                if held is not None:
+                    found = tuple(np.concatenate(pair) for pair in zip(held, found))
+                held = _best(*found, k)
+        if held is not None:
+            asked, scores, ids = held
+            names = [keys[i] for i in asked]
+            yield pd.DataFrame({question_id: names, doc_id: ids, "similarity": scores})
 
     types = {f.name: f.dataType.simpleString() for f in corpus.schema.fields}
     q_type = asked.schema[question_id].dataType.simpleString()

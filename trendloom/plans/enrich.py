@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.functions._cols import ColumnLike, as_column
+from trendloom.functions._cols import ColumnLike, as_column, columns_of
 from trendloom.functions.sentiment import NEUTRAL
 from trendloom.functions.text import not_blank
 from trendloom.operators.models import ResponderFactory, respond
@@ -74,26 +74,32 @@ def response_body(raw: ColumnLike) -> Column:
     return F.when(bare.startswith("```"), fenced).otherwise(bare)
 
 
-def parsed_response(raw: ColumnLike, failure: ColumnLike, blank: Column) -> Column:
-    """``struct<sentiment, ai_topics, ai_entities, enrichment_error>`` of an answer or a failure."""
-    body = response_body(raw)
+def parse_responses(asked: DataFrame, raw: str, failure: str, blank: Column) -> DataFrame:
+    """Replace an answer and its failure by ``sentiment``, ``ai_topics``, ``ai_entities`` and
+    ``enrichment_error``. Any error leaves neutral and empty lists.
+    """
+    kept = [c for c in asked.columns if c not in (raw, failure)]
+    body = F.struct(response_body(raw).alias("_body"), blank.alias("_blank"))
+    trimmed = asked.select(*kept, failure, columns_of(body))
     error = (
-        F.when(blank, F.lit(EMPTY_TITLE))
-        .when(as_column(failure).isNotNull(), as_column(failure))
-        .when(F.try_parse_json(F.coalesce(body, F.lit(""))).isNull(), F.lit(BAD_JSON))
+        F.when(F.col("_blank"), F.lit(EMPTY_TITLE))
+        .when(F.col(failure).isNotNull(), F.col(failure))
+        .when(F.try_parse_json(F.coalesce("_body", F.lit(""))).isNull(), F.lit(BAD_JSON))
     )
-    fields = F.from_json(body, AI_RESULT_SCHEMA)
+    read = F.struct(error.alias("_error"), F.from_json("_body", AI_RESULT_SCHEMA).alias("_fields"))
+    parsed = trimmed.select(*kept, columns_of(read))
+    good = F.col("_error").isNull()
 
     def items(name: str) -> Column:
-        found = F.when(error.isNull(), F.slice(fields[name], 1, LIST_SIZE))
+        found = F.when(good, F.slice(F.col("_fields")[name], 1, LIST_SIZE))
         return F.coalesce(found, F.array().cast("array<string>"))
 
-    label = F.coalesce(F.when(error.isNull(), fields["sentiment"]), F.lit(NEUTRAL))
-    return F.struct(
-        label.alias("sentiment"),
+    return parsed.select(
+        *kept,
+        F.coalesce(F.when(good, F.col("_fields.sentiment")), F.lit(NEUTRAL)).alias("sentiment"),
         items("ai_topics").alias("ai_topics"),
         items("entities").alias("ai_entities"),
-        error.alias("enrichment_error"),
+        F.col("_error").alias("enrichment_error"),
     )
 
 
@@ -103,18 +109,24 @@ def enrich(
     model: str = "lexicon",
     max_chars: int | None = PROMPT_CHARS,
     pause_seconds: float = 0.0,
+    parallel_calls: int | None = None,
     as_of: datetime | None = None,
 ) -> DataFrame:
-    """Ask the model about every row and add the typed result. Parsing stays in built-in functions."""
+    """Ask the model about every row and add the typed result. Parsing stays in built-in functions.
+
+    ``parallel_calls`` spreads the rows over that many tasks, each with its own client. A top-N
+    selection arrives in one partition, so without it the calls run one after the other.
+    """
+    spread = rows.repartition(parallel_calls) if parallel_calls else rows
     text = prompt_text(max_chars=max_chars)
-    asked = rows.withColumn("_answer", respond(enricher or lexicon_enricher, text, pause_seconds))
-    read = parsed_response("_answer.raw", "_answer.failure", ~not_blank("title"))
-    return asked.withColumn("_result", read).select(
-        *rows.columns,
-        "_result.*",
-        processing_time(as_of).alias("enriched_at"),
-        F.lit(model).alias("llm_model"),
+    answer = respond(enricher or lexicon_enricher, text, pause_seconds)
+    asked = spread.withColumn("_answer", answer).select(
+        *rows.columns, F.col("_answer.raw").alias("_raw"), F.col("_answer.failure").alias("_failure")
     )
+    return parse_responses(asked, "_raw", "_failure", ~not_blank("title")).withColumns({
+        "enriched_at": processing_time(as_of),
+        "llm_model": F.lit(model),
+    })
 
 
 # ---- offline default --------------------------------------------------------------------

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,18 +36,27 @@ def run_silver(
     A feed without a Bronze table is skipped with 0. ``since`` reads only what arrived after the
     last run instead of the whole history.
     """
-    sent = {}
-    for feed in feeds:
+
+    def run(feed: str) -> int:
         bronze = store.read_if_exists("bronze", feed)
         if bronze is None:
-            sent[feed] = 0
-            continue
+            return 0
         if since is not None:
             bronze = bronze.filter(F.col("bronze_ingested_at") >= moment(since))
-        sent[feed] = store.upsert(
-            to_silver(bronze, feed, as_of), "silver", feed, "unified_id", buckets
-        )
-    return sent
+        rows = to_silver(bronze, feed, as_of)
+        return store.upsert(rows, "silver", feed, "unified_id", buckets)
+
+    return side_by_side({feed: partial(run, feed) for feed in feeds})
+
+
+def side_by_side(tasks: Mapping[str, Callable[[], int]]) -> dict[str, int]:
+    """Run independent jobs from several threads, so that one fills the gaps of another.
+
+    The first error is raised once all have ended.
+    """
+    with ThreadPoolExecutor(max_workers=max(len(tasks), 1)) as pool:
+        running = {name: pool.submit(task) for name, task in tasks.items()}
+    return {name: job.result() for name, job in running.items()}
 
 
 def silver_tables(store: TableStore) -> list[DataFrame]:
@@ -64,6 +75,7 @@ def run_enrichment(
     size: int = enrich.RUN_SIZE,
     retry_errors: bool = False,
     pause_seconds: float = 0.0,
+    parallel_calls: int | None = None,
     as_of: datetime | None = None,
 ) -> int:
     """Enrich the next ``size`` rows and append them; returns rows written.
@@ -73,22 +85,28 @@ def run_enrichment(
     waiting = enrich.enrichment_candidates(
         silver_tables(store), store.read_if_exists("silver", "enriched"), size, retry_errors
     )
-    rows = enrich.enrich(waiting, enricher, model, pause_seconds=pause_seconds, as_of=as_of)
+    rows = enrich.enrich(
+        waiting, enricher, model, pause_seconds=pause_seconds, parallel_calls=parallel_calls,
+        as_of=as_of,
+    )
     return store.append(rows, "silver", "enriched")
 
 
-def run_gold(store: TableStore, as_of: datetime | None = None) -> dict[str, int]:
+def run_gold(
+    store: TableStore, as_of: datetime | None = None, target: TableStore | None = None
+) -> dict[str, int]:
     """Recompute all Gold tables; returns rows per table.
 
     The combined rows are written once and read by each builder with only the columns it needs.
     A written table outlives lost executors, which cached blocks would not.
     """
-    store.overwrite(load_combined(store), "work", "combined")
-    combined = store.read("work", "combined")
-    return {
-        name: store.overwrite(build(combined, as_of), "gold", name)
+    target = target or store
+    target.overwrite(load_combined(store), "work", "combined")
+    combined = target.read("work", "combined")
+    return side_by_side({
+        name: partial(target.overwrite, build(combined, as_of), "gold", name)
         for name, build in BUILDERS.items()
-    }
+    })
 
 
 def run_retrieval(store: TableStore, embedder: EmbedderFactory | None = None) -> int:

@@ -100,18 +100,23 @@ def _write_silver(store: TableStore, sf_dir: str) -> None:
 
 
 def warehouse(spark: SparkSession, sf_dir: str, layer: str) -> TableStore:
-    """Store with the layers up to ``layer`` (``silver`` or ``gold``) derived from ``sf_dir``."""
+    """Store with the layers up to ``layer`` (``silver``, ``gold`` or ``documents``) of ``sf_dir``."""
     app = spark.sparkContext.applicationId
     place = hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:12]
     store = TableStore(spark, f"{scratch_root(spark)}/tables-{place}", "parquet")
+    steps = {
+        "silver": lambda: _write_silver(store, sf_dir),
+        "gold": lambda: jobs.run_gold(store, AS_OF),
+        "documents": lambda: jobs.run_retrieval(store),
+    }
     with _lock:
-        if (app, place, "silver") not in _ready:
-            _write_silver(store, sf_dir)
-            _ready.add((app, place, "silver"))
-        if layer == "gold" and (app, place, "gold") not in _ready:
-            jobs.run_gold(store, AS_OF)
-            _ready.add((app, place, "gold"))
-    return store
+        for name, make in steps.items():
+            if (app, place, name) not in _ready:
+                make()
+                _ready.add((app, place, name))
+            if name == layer:
+                return store
+    raise ValueError(f"unknown layer {layer!r}")
 
 
 def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -357,8 +362,7 @@ def model_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parsed_answers(spark, sf_dir):
-    read = enrich.parsed_response("raw", "failure", F.lit(False))
-    return model_answers(spark, sf_dir).select("event_id", read.alias("r")).select("event_id", "r.*")
+    return enrich.parse_responses(model_answers(spark, sf_dir), "raw", "failure", F.lit(False))
 
 
 @query("enrich_parse")
@@ -369,7 +373,8 @@ def _enrich_parse(spark, sf_dir):
 @query("enrich_rows")
 def _enrich_rows(spark, sf_dir):
     rows = testdata.news_raw(spark, sf_dir).select("article_id", "title", "description")
-    return enrich.enrich(rows, max_chars=None, as_of=AS_OF).select(
+    tasks = spark.sparkContext.defaultParallelism
+    return enrich.enrich(rows, max_chars=None, parallel_calls=tasks, as_of=AS_OF).select(
         "article_id", "sentiment", "ai_topics", "ai_entities", "enrichment_error"
     )
 
@@ -400,12 +405,8 @@ def _top_content(spark, sf_dir):
 @query("gold_layer")
 def _gold_layer(spark, sf_dir):
     """The Gold job over stored Silver tables, then the rows of each table."""
-    source = warehouse(spark, sf_dir, "silver")
     store = _fresh_store(spark, "gold")
-    for feed in FEEDS:
-        store.overwrite(source.read("silver", feed), "silver", feed)
-    store.overwrite(source.read("silver", "enriched"), "silver", "enriched")
-    jobs.run_gold(store, AS_OF)
+    jobs.run_gold(warehouse(spark, sf_dir, "silver"), AS_OF, target=store)
     return metrics.layer_counts(spark, {name: store.read("gold", name) for name in jobs.BUILDERS})
 
 
@@ -492,7 +493,7 @@ def _ask_questions(spark, sf_dir):
     """Every user turn of the conversations, asked of the Gold documents."""
     turns = testdata.table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
     questions = turns.selectExpr("concat(conv_id, '-', turn) as question_id", "text as question")
-    corpus = retrieval.embed_documents(document_corpus(spark, sf_dir))
+    corpus = warehouse(spark, sf_dir, "documents").read("gold", "documents")
     return retrieval.ask(questions, corpus).select("question_id", "prompt")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from trendloom.functions._cols import columns_of
 from trendloom.plans.silver import processing_time
 from trendloom.schemas import FEEDS, Feed
 
@@ -21,9 +22,9 @@ def parse_messages(messages: DataFrame, feed: Feed, as_of: datetime | None = Non
     required field, or is no JSON at all, is left out.
     """
     body = F.from_json(F.col("value").cast("string"), feed.schema)
-    rows = messages.select(body.alias("_body"), F.col("timestamp").alias("kafka_timestamp")).select(
-        "_body.*",
-        "kafka_timestamp",
+    rows = messages.select("timestamp", columns_of(body)).select(
+        *feed.schema.names,
+        F.col("timestamp").alias("kafka_timestamp"),
         processing_time(as_of).alias("bronze_ingested_at"),
         F.lit(feed.topic).alias("kafka_topic"),
     )
