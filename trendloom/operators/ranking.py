@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trendloom.operators.settle import broadcast_if_small
+
 BANDS_PER_OCTAVE = 32
 
 
@@ -30,9 +32,7 @@ def _match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     The right side is usually derived from the left one, so its keys are renamed.
     """
-    renamed = right.select(
-        *[F.col(c).alias(f"_key_{c}" if c in keys else c) for c in right.columns]
-    )
+    renamed = right.withColumnsRenamed({c: f"_key_{c}" for c in keys})
     same = [left[c].eqNullSafe(renamed[f"_key_{c}"]) for c in keys]
     return left.join(renamed, same).drop(*[f"_key_{c}" for c in keys])
 
@@ -86,10 +86,10 @@ def leaders(
     """Rows whose rank within ``group`` is at most ``k`` (ties kept), with that rank and the rank
     over all rows.
 
-    The first pass reads only ``group`` and ``score`` and ends in a table of at most ``k`` scores
-    per group. The second pass matches the full rows against it as they are scanned, so wide
-    rows are neither shuffled nor sorted. The broadcast side has at most ``k`` rows for each
-    group; use it where groups are few, such as the configured feeds.
+    The first pass reads only ``group`` and ``score``, runs at once and ends in a table of at
+    most ``k`` scores per group. The second pass matches the full rows against it as they are
+    scanned: where the table is counted small enough to broadcast, wide rows are neither
+    shuffled nor sorted.
     """
     histogram = score_histogram(rows, [group], score)
     place = Window.partitionBy(group).orderBy(F.col(score).desc_nulls_last())
@@ -102,5 +102,5 @@ def leaders(
     )
     totals = histogram.groupBy(score).agg(F.sum("_rows").alias("_rows"))
     overall = histogram_ranks(totals, score, overall_rank)
-    table = _match(best, overall, [score])
-    return _match(rows, F.broadcast(table), [group, score])
+    table = broadcast_if_small(_match(best, overall, [score]))
+    return _match(rows, table, [group, score])

@@ -83,8 +83,8 @@ def _one_pass(rows, asked, corpus, k, names, carry):
     question_id, doc_id, vector = names
     spark = corpus.sparkSession
     keys = [row[0] for row in rows]
-    matrix = np.array([row[1] for row in rows], dtype=np.float64).reshape(len(rows), -1)
-    sent = spark.sparkContext.broadcast((keys, _unit(matrix) if len(rows) else matrix))
+    targets = _unit(np.array([row[1] for row in rows], dtype=np.float64)) if rows else None
+    sent = spark.sparkContext.broadcast((keys, targets))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, targets = sent.value

@@ -61,7 +61,10 @@ def side_by_side(tasks: Mapping[str, Callable[[], int]]) -> dict[str, int]:
 
 def silver_tables(store: TableStore) -> list[DataFrame]:
     found = [store.read_if_exists("silver", feed) for feed in FEEDS]
-    return [df for df in found if df is not None]
+    tables = [df for df in found if df is not None]
+    if not tables:
+        raise FileNotFoundError(f"no Silver tables under {store.root}; run the Silver job first")
+    return tables
 
 
 def load_combined(store: TableStore) -> DataFrame:
@@ -103,10 +106,11 @@ def run_gold(
     target = target or store
     target.overwrite(load_combined(store), "work", "combined")
     combined = target.read("work", "combined")
-    return side_by_side({
-        name: partial(target.overwrite, build(combined, as_of), "gold", name)
-        for name, build in BUILDERS.items()
-    })
+
+    def run(name: str) -> int:
+        return target.overwrite(BUILDERS[name](combined, as_of), "gold", name)
+
+    return side_by_side({name: partial(run, name) for name in BUILDERS})
 
 
 def run_retrieval(store: TableStore, embedder: EmbedderFactory | None = None) -> int:

@@ -143,7 +143,7 @@ def trending_repos(
     """
     since = (as_of - timedelta(days=days)).strftime("%Y-%m-%d")
     young = repos.filter(
-        (F.to_date(F.substring("created_at", 1, 10)) > F.lit(since).cast("date"))
+        (F.substring("created_at", 1, 10).try_cast("date") > F.lit(since).cast("date"))
         & (F.col("stargazers_count") > min_stars)
     )
     language = F.lower("language")

@@ -79,14 +79,24 @@ def start_feeds(
     }
 
 
-def await_feeds(spark: SparkSession, queries: Mapping[str, StreamingQuery]) -> None:
-    """Block until one query ends, then stop the others; its error, if any, is raised."""
+def await_feeds(
+    spark: SparkSession, queries: Mapping[str, StreamingQuery], check_seconds: int = 10
+) -> None:
+    """Block until one of the queries ends, then stop the others. An interrupt stops all; the
+    error of a failed query is raised.
+    """
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries.values()):
+            spark.streams.awaitAnyTermination(check_seconds)
+            spark.streams.resetTerminated()
     finally:
         for query in queries.values():
             if query.isActive:
                 query.stop()
+    for query in queries.values():
+        error = query.exception()
+        if error is not None:
+            raise error
 
 
 def finish_feeds(queries: Mapping[str, StreamingQuery]) -> None:
