@@ -1,16 +1,13 @@
 import random
-from functools import partial
 
 import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from trendloom.operators import ranking
 from trendloom.operators.latest import first_seen, newest_per_key, top_per_group
 from trendloom.operators.numbering import number_rows
 from trendloom.operators.ranking import leaders, rank_by_score, score_band
-from trendloom.operators.settle import broadcast_if_small
 from trendloom.operators.vectors import cosine_topk
 
 
@@ -100,18 +97,18 @@ def test_rank_by_score_equals_the_window(spark, rows):
     assert got == want
 
 
-@pytest.mark.parametrize("rows,k,small", [(5, 50, 100), (3000, 3, 100), (3000, 50, 100), (3000, 50, 1)])
-def test_leaders_equal_the_windows(spark, monkeypatch, rows, k, small):
-    """Also where the table of leading scores is too large to broadcast."""
-    limited = partial(broadcast_if_small, max_rows=small)
-    monkeypatch.setattr(ranking, "broadcast_if_small", limited)
+@pytest.mark.parametrize(
+    "rows,k,small", [(5, 50, 100_000), (3000, 3, 100_000), (3000, 50, 100_000), (3000, 50, 1500), (3000, 50, 1)]
+)
+def test_leaders_equal_the_windows(spark, rows, k, small):
+    """Also where the histogram is too large for one task, and the leaders too many to broadcast."""
     df = scored(spark, rows)
     ranked = df.withColumns({
         "overall": F.rank().over(Window.orderBy(F.col("score").desc())),
         "place": F.rank().over(Window.partitionBy("grp").orderBy(F.col("score").desc())),
     })
     want = {r.id: (r.place, r.overall) for r in ranked.filter(F.col("place") <= k).collect()}
-    got = {r.id: (r.place, r.overall) for r in leaders(df, "grp", "score", k, "place", "overall").collect()}
+    got = {r.id: (r.place, r.overall) for r in leaders(df, "grp", "score", k, "place", "overall", small).collect()}
     assert got == want
 
 

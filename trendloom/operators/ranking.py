@@ -12,10 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendloom.operators.settle import broadcast_if_small
+from trendloom.operators.settle import settle
 
 BANDS_PER_OCTAVE = 32
 
+# Rows that one task may add up, or that may be broadcast.
+SMALL_ROWS = 100_000
+
 
 def score_band(score: Column) -> Column:
     """A whole number that never falls as the score grows; null for a null score.
@@ -33,7 +36,7 @@ def _match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     The right side is usually derived from the left one, so its keys are renamed.
     """
     renamed = right.withColumnsRenamed({c: f"_key_{c}" for c in keys})
-    same = [left[c].eqNullSafe(renamed[f"_key_{c}"]) for c in keys]
+    same = F.expr(" and ".join(f"`{c}` <=> `_key_{c}`" for c in keys))
     return left.join(renamed, same).drop(*[f"_key_{c}" for c in keys])
 
 
@@ -47,21 +50,23 @@ def _rows_above(count: str, groups: Sequence[str], order: str) -> Column:
     return F.coalesce(F.sum(count).over(window), F.lit(0))
 
 
-def rank_by_score(rows: DataFrame, groups: Sequence[str], score: str, rank: str) -> DataFrame:
+def rank_by_score(
+    rows: DataFrame, groups: Sequence[str], score: str, rank: str, sized: DataFrame | None = None
+) -> DataFrame:
     """``rows`` plus ``rank() over (partition by groups order by score desc nulls last)``.
 
     Rows are shuffled by group and band, so a group with a third of all rows is sorted in as
     many pieces as its scores have bands. Only rows that tie or nearly tie stay together.
+    ``sized`` gives the same groups and scores from a cheaper plan, if there is one.
     """
-    banded = rows.withColumn("_band", score_band(F.col(score)))
-    sizes = banded.groupBy(*groups, "_band").agg(F.count(F.lit(1)).alias("_size"))
+    band = score_band(F.col(score)).alias("_band")
+    counted = (rows if sized is None else sized).groupBy(*groups, band)
+    sizes = counted.agg(F.count(F.lit(1)).alias("_size"))
     offsets = sizes.select(*groups, "_band", _rows_above("_size", groups, "_band").alias("_above"))
     place = Window.partitionBy(*groups, "_band").orderBy(F.col(score).desc_nulls_last())
-    placed = banded.withColumn("_place", F.rank().over(place))
+    placed = rows.select("*", band).select("*", F.rank().over(place).alias("_place"))
     ranked = _match(placed, offsets, [*groups, "_band"])
-    return ranked.withColumn(rank, (F.col("_above") + F.col("_place")).cast("int")).drop(
-        "_band", "_place", "_above"
-    )
+    return ranked.select(*rows.columns, F.expr("cast(_above + _place as int)").alias(rank))
 
 
 def score_histogram(rows: DataFrame, groups: Sequence[str], score: str) -> DataFrame:
@@ -69,38 +74,57 @@ def score_histogram(rows: DataFrame, groups: Sequence[str], score: str) -> DataF
     return rows.groupBy(*groups, score).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def histogram_ranks(histogram: DataFrame, score: str, rank: str) -> DataFrame:
-    """Rank of every distinct score over all rows of a histogram, nulls last."""
-    banded = histogram.withColumn("_band", score_band(F.col(score)))
+def histogram_ranks(histogram: DataFrame, score: str, rank: str, split: bool) -> DataFrame:
+    """Rank of every distinct score over all rows of a histogram, nulls last.
+
+    ``split`` cuts the scores into bands; without it one task adds up the whole histogram.
+    """
+    if not split:
+        return histogram.select(score, _rank_after(_rows_above("_rows", [], score), rank))
+    banded = histogram.select("*", score_band(F.col(score)).alias("_band"))
     bands = banded.groupBy("_band").agg(F.sum("_rows").alias("_band_rows"))
     offsets = bands.select("_band", _rows_above("_band_rows", [], "_band").alias("_above"))
-    inside = banded.withColumn("_inside", _rows_above("_rows", ["_band"], score))
-    return _match(inside, offsets, ["_band"]).select(
-        score, (F.lit(1) + F.col("_above") + F.col("_inside")).cast("int").alias(rank)
-    )
+    inside = banded.select("*", _rows_above("_rows", ["_band"], score).alias("_inside"))
+    ranked = _match(inside, offsets, ["_band"])
+    return ranked.select(score, _rank_after(F.expr("_above + _inside"), rank))
+
+
+def _rank_after(above: Column, name: str) -> Column:
+    return (above + 1).cast("int").alias(name)
 
 
 def leaders(
-    rows: DataFrame, group: str, score: str, k: int, group_rank: str, overall_rank: str
+    rows: DataFrame,
+    group: str,
+    score: str,
+    k: int,
+    group_rank: str,
+    overall_rank: str,
+    small: int = SMALL_ROWS,
 ) -> DataFrame:
     """Rows whose rank within ``group`` is at most ``k`` (ties kept), with that rank and the rank
     over all rows.
 
-    The first pass reads only ``group`` and ``score``, runs at once and ends in a table of at
-    most ``k`` scores per group. The second pass matches the full rows against it as they are
-    scanned: where the table is counted small enough to broadcast, wide rows are neither
-    shuffled nor sorted.
+    The first pass reads only ``group`` and ``score``, runs at once and is stored as a histogram
+    of distinct scores. From it come the ranks of at most ``k`` scores per group. The second
+    pass matches the full rows against these as they are scanned, so wide rows are neither
+    shuffled nor sorted. Counts decide: up to ``small`` rows are broadcast or summed in one
+    task; beyond that the join shuffles and the sums are split.
     """
-    histogram = score_histogram(rows, [group], score)
+    histogram, distinct = settle(score_histogram(rows, [group], score))
     place = Window.partitionBy(group).orderBy(F.col(score).desc_nulls_last())
     best = (
-        histogram.withColumn("_place", F.row_number().over(place))
+        histogram.select("*", F.row_number().over(place).alias("_place"))
         .filter(F.col("_place") <= k)
-        .withColumn(group_rank, (F.lit(1) + _rows_above("_rows", [group], score)).cast("int"))
+        .select(group, score, _rank_after(_rows_above("_rows", [group], score), group_rank))
         .filter(F.col(group_rank) <= k)
-        .select(group, score, group_rank)
     )
     totals = histogram.groupBy(score).agg(F.sum("_rows").alias("_rows"))
-    overall = histogram_ranks(totals, score, overall_rank)
-    table = broadcast_if_small(_match(best, overall, [score]))
-    return _match(rows, table, [group, score])
+    overall = histogram_ranks(totals, score, overall_rank, split=distinct > small)
+    table = _match(best, overall, [score])
+    bounded = distinct <= small or _at_most(histogram.select(group).distinct(), small // k)
+    return _match(rows, F.broadcast(table) if bounded else table, [group, score])
+
+
+def _at_most(df: DataFrame, limit: int) -> bool:
+    return df.limit(limit + 1).count() <= limit

@@ -1,4 +1,4 @@
-"""Deciding on a broadcast from a counted size."""
+"""Results written once and counted, so that later steps can go by their size."""
 
 from __future__ import annotations
 
@@ -9,17 +9,13 @@ from pyspark.sql import functions as F
 
 from trendloom.session import scratch_root
 
-BROADCAST_ROWS = 100_000
 
+def settle(df: DataFrame) -> tuple[DataFrame, int]:
+    """The same rows read back from the shared scratch folder, and how many they are.
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Write a result that should be small to the shared scratch folder, counting its rows, and
-    mark it for broadcast only if the count allows. A larger result is joined by shuffling.
-
-    The written table also cuts the lineage: a lost executor does not repeat the work behind it.
+    The written table cuts the lineage: a lost executor does not repeat the work behind it.
     """
     seen = Observation()
     target = f"{scratch_root(df.sparkSession)}/settled-{uuid.uuid4().hex}"
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(target)
-    stored = df.sparkSession.read.schema(df.schema).parquet(target)
-    return F.broadcast(stored) if seen.get["rows"] <= max_rows else stored
+    return df.sparkSession.read.schema(df.schema).parquet(target), seen.get["rows"]

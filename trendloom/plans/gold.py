@@ -150,9 +150,8 @@ def trending_topics(
     volume = F.col("mention_count") * 1.0
     reach = F.col("avg_popularity") * 0.5 + F.col("source_diversity") * 10.0
     scored = counted.withColumn("trend_score", (volume + reach) * F.col("avg_sentiment_weight"))
-    ranked = rank_by_score(scored, ["hour_window"], "trend_score", "rank_in_hour")
-    titles = sample_titles(mentions)
-    return ranked.join(titles, ["hour_window", "tag"], "left").select(
+    titled = scored.join(sample_titles(mentions), ["hour_window", "tag"], "left")
+    return rank_by_score(titled, ["hour_window"], "trend_score", "rank_in_hour", scored).select(
         "hour_window", "tag", "mention_count", "avg_popularity", "source_diversity",
         "avg_sentiment_weight", "positive_count", "negative_count", "neutral_count",
         "trend_score", "rank_in_hour",
