@@ -35,7 +35,8 @@ def test_stories_and_metadata(spark):
         "id int, type string, title string, score int",
     )
     seen = spark.createDataFrame([(5,)], "id int")
-    row = feeds.hn_messages(items, items.select("id"), seen, AT).collect()
+    members = items.selectExpr("id", "'top' as feed")
+    row = feeds.hn_messages(items, members, [F.col("id")], seen, AT).collect()
     assert [r.asDict() for r in row] == [{
         "id": 1, "type": "story", "title": "Show", "score": 7, "ingested_at": "2024-01-31T00:00:00+00:00",
         "source": "hackernews", "pipeline_version": "1.0.0",
@@ -45,7 +46,7 @@ def test_stories_and_metadata(spark):
 def test_feed_heads_are_cut_and_merged(spark):
     members = spark.range(200).selectExpr("id", "'top' as feed").unionByName(
         spark.range(30, 230).selectExpr("id", "'new' as feed")
-    )
+    ).unionByName(spark.range(900, 910).selectExpr("id", "'best' as feed"))
     ids = sorted(r.id for r in feeds.hn_feed_ids(members, [F.col("id")]).collect())
     assert ids == list(range(80))
 

@@ -27,6 +27,7 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--format", choices=["delta", "parquet"], help="default: delta if installed")
     parser.add_argument("--servers", default="localhost:9092", help="message brokers (bronze)")
     parser.add_argument("--checkpoints", help="folder of the stream checkpoints (bronze)")
+    parser.add_argument("--by-day", action="store_true", help="split Bronze by day of arrival (bronze)")
     parser.add_argument("--since", type=datetime.fromisoformat, help="earliest Bronze arrival (silver)")
     parser.add_argument("--buckets", type=int, default=DEFAULT_BUCKETS, help="id buckets of a new Silver table")
     parser.add_argument("--size", type=int, default=enrich.RUN_SIZE, help="rows to enrich")
@@ -41,7 +42,9 @@ def main() -> None:
     if options.job == "bronze":
         sources = {n: topic_stream(spark, feed.topic, options.servers) for n, feed in FEEDS.items()}
         checkpoints = options.checkpoints or f"{store.root}/_checkpoints"
-        await_feeds(spark, start_feeds(sources, store.path("bronze", ""), checkpoints, fmt=store.format))
+        await_feeds(spark, start_feeds(
+            sources, store.path("bronze", ""), checkpoints, fmt=store.format, by_day=options.by_day
+        ))
     elif options.job == "silver":
         print(jobs.run_silver(store, since=options.since, buckets=options.buckets))
     elif options.job == "enrich":

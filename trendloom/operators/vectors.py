@@ -49,6 +49,7 @@ def cosine_topk(
     doc_id: str = "id",
     vector: str = "embedding",
     carry: tuple[str, ...] = (),
+    details: DataFrame | None = None,
     max_questions: int = MAX_QUESTIONS_PER_PASS,
 ) -> DataFrame:
     """The ``k`` nearest documents of every question: question, id, similarity, distance, place.
@@ -58,27 +59,27 @@ def cosine_topk(
     the driver holds one pass at a time. Each task multiplies its document batches with the
     questions and hands on its own best ``k`` per question, so neither pairs nor documents are
     shuffled.
-    ``carry`` names document columns to look up for the hits. They come from a join against the
-    hits, whose number is bounded by ``max_questions * k``.
+    ``carry`` names columns to look up for the hits, in ``details`` or else in the corpus. That
+    table is joined with the hits, whose number is bounded by ``max_questions * k``.
     """
     asked = questions.select(question_id, vector).filter(F.col(vector).isNotNull())
     names = (question_id, doc_id, vector)
     first = asked.limit(max_questions + 1).collect()
     if len(first) <= max_questions:
-        return _one_pass(first, asked, corpus, k, names, carry)[0]
+        return _one_pass(first, asked, corpus, k, names, carry, details)[0]
     # Twice the passes needed, so that a pass stays within the bound although keys are hashed.
     passes = 2 * -(-asked.count() // max_questions)
     slot = F.pmod(F.xxhash64(question_id), F.lit(passes))
     target = f"{scratch_root(corpus.sparkSession)}/nearest-{uuid.uuid4().hex}"
     for number in range(passes):
         rows = asked.filter(slot == number).collect()
-        hits, sent = _one_pass(rows, asked, corpus, k, names, carry)
+        hits, sent = _one_pass(rows, asked, corpus, k, names, carry, details)
         hits.write.mode("append").parquet(target)
         sent.destroy()
     return corpus.sparkSession.read.parquet(target)
 
 
-def _one_pass(rows, asked, corpus, k, names, carry):
+def _one_pass(rows, asked, corpus, k, names, carry, details):
     """Hits of the given questions, and the broadcast they depend on."""
     question_id, doc_id, vector = names
     spark = corpus.sparkSession
@@ -114,5 +115,6 @@ def _one_pass(rows, asked, corpus, k, names, carry):
         "distance", F.lit(1.0) - F.col("similarity")
     )
     if carry:
-        hits = corpus.select(doc_id, *carry).join(F.broadcast(hits), doc_id)
+        source = corpus if details is None else details
+        hits = source.select(doc_id, *carry).join(F.broadcast(hits), doc_id)
     return hits, sent

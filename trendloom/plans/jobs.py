@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from trendloom.operators.models import EmbedderFactory, ResponderFactory
 from trendloom.plans import enrich, gold, retrieval
 from trendloom.plans.silver import moment, to_silver
-from trendloom.schemas import FEEDS
+from trendloom.schemas import FEEDS, INGEST_DAY
 from trendloom.sources.tables import DEFAULT_BUCKETS, TableStore
 
 BUILDERS = {
@@ -34,7 +34,7 @@ def run_silver(
     """Bronze to Silver by keyed upsert; returns rows upserted per feed.
 
     A feed without a Bronze table is skipped with 0. ``since`` reads only what arrived after the
-    last run instead of the whole history.
+    last run instead of the whole history; a Bronze table split by day is pruned to those days.
     """
 
     def run(feed: str) -> int:
@@ -43,6 +43,8 @@ def run_silver(
             return 0
         if since is not None:
             bronze = bronze.filter(F.col("bronze_ingested_at") >= moment(since))
+            if INGEST_DAY in bronze.columns:
+                bronze = bronze.filter(F.col(INGEST_DAY) >= moment(since).cast("date"))
         rows = to_silver(bronze, feed, as_of)
         return store.upsert(rows, "silver", feed, "unified_id", buckets)
 

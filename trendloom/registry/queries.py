@@ -260,9 +260,10 @@ def _hn_feed(spark, sf_dir):
     items = newest_per_key(testdata.hn_raw(spark, sf_dir), "id").withColumn(
         "type", F.when(F.col("type").isin("click", "view", "signup"), "story").otherwise("job")
     )
-    ids = feeds.hn_feed_ids(testdata.hn_feeds(spark, sf_dir), [F.col("weight").desc(), F.col("id")])
     sent = testdata.table(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
-    return feeds.hn_messages(items, ids, sent.selectExpr("event_id as id"), AS_OF)
+    order = [F.col("weight").desc(), F.col("id")]
+    members = testdata.hn_feeds(spark, sf_dir)
+    return feeds.hn_messages(items, members, order, sent.selectExpr("event_id as id"), AS_OF)
 
 
 @query("news_select")
@@ -474,8 +475,10 @@ def _cosine_topk(spark, sf_dir):
 
 def _label_contexts(spark, sf_dir):
     texts = testdata.table(spark, sf_dir, "documents").selectExpr("doc_id as id", "text", "source as type")
-    hits = cosine_topk(centroids(spark, sf_dir), _vectors(spark, sf_dir))
-    return retrieval.contexts(hits.join(texts, "id"))
+    hits = cosine_topk(
+        centroids(spark, sf_dir), _vectors(spark, sf_dir), carry=("text", "type"), details=texts
+    )
+    return retrieval.contexts(hits)
 
 
 @query("rag_context")

@@ -39,6 +39,9 @@ BRONZE_SUFFIX = _fields(
     kafka_timestamp=_TIME, bronze_ingested_at=_TIME, kafka_topic=_TEXT,
 )
 
+# Partition column of a Bronze table that is split by day of arrival.
+INGEST_DAY = "ingest_day"
+
 SILVER_SCHEMA = _fields(
     unified_id=_TEXT, source=_TEXT, title=_TEXT, description=_TEXT, url=_TEXT, author=_TEXT,
     popularity_score=_INT, tags=_TEXTS, language=_TEXT, published_at=_TIME, ingested_at=_TIME,

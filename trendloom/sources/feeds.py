@@ -29,6 +29,9 @@ REPO_SLICE_SIZE = 30
 REPO_DAYS = 7
 REPO_MIN_STARS = 10
 
+# Feed ids are broadcast up to this number, counted as places times feeds.
+BROADCAST_IDS = 100_000
+
 
 def with_ingest_metadata(df: DataFrame, source: str, at: datetime | None = None) -> DataFrame:
     """Keep all fields; add when, from where and by which version the row was taken in."""
@@ -54,19 +57,41 @@ def hn_stories(items: DataFrame) -> DataFrame:
     return items.filter((F.col("type") == "story") & (F.length("title") > 0))
 
 
-def hn_feed_ids(members: DataFrame, order: Sequence[Column], size: int = HN_FEED_SIZE) -> DataFrame:
-    """Ids in the first ``size`` places of any feed, once each. ``members`` has ``feed`` and ``id``."""
-    return top_per_group(members, ["feed"], order, size).select("id").distinct()
+def hn_feed_ids(
+    members: DataFrame,
+    order: Sequence[Column],
+    size: int = HN_FEED_SIZE,
+    feeds: Sequence[str] = HN_FEEDS,
+) -> DataFrame:
+    """Ids in the first ``size`` places of any of the feeds, once each: at most ``size`` per feed.
+
+    ``members`` has ``feed``, ``id`` and whatever ``order`` sorts by.
+    """
+    read = members.filter(F.col("feed").isin(*feeds))
+    return top_per_group(read, ["feed"], order, size).select("id").distinct()
 
 
 def hn_messages(
-    items: DataFrame, ids: DataFrame, seen: DataFrame | None = None, at: datetime | None = None
+    items: DataFrame,
+    members: DataFrame,
+    order: Sequence[Column],
+    seen: DataFrame | None = None,
+    at: datetime | None = None,
+    size: int = HN_FEED_SIZE,
+    feeds: Sequence[str] = HN_FEEDS,
 ) -> DataFrame:
-    """The feed's stories that were not sent before, with ingest metadata."""
-    chosen = hn_stories(items.join(ids, "id", "left_semi"))
+    """The feeds' stories that were not sent before, with ingest metadata.
+
+    The ids are few by construction, so they travel to the tables of items and of known ids,
+    and neither table is shuffled.
+    """
+    ids = hn_feed_ids(members, order, size, feeds)
+    few = size * len(feeds) <= BROADCAST_IDS
     if seen is not None:
-        chosen = chosen.join(seen.select("id"), "id", "left_anti")
-    return with_ingest_metadata(chosen, HACKERNEWS, at)
+        known = seen.select("id").join(F.broadcast(ids) if few else ids, "id", "left_semi")
+        ids = ids.join(known, "id", "left_anti")
+    chosen = items.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    return with_ingest_metadata(hn_stories(chosen), HACKERNEWS, at)
 
 
 # ---- articles ---------------------------------------------------------------------------

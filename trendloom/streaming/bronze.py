@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from trendloom.functions._cols import columns_of
 from trendloom.plans.silver import processing_time
-from trendloom.schemas import FEEDS, Feed
+from trendloom.schemas import FEEDS, INGEST_DAY, Feed
 
 
 def parse_messages(messages: DataFrame, feed: Feed, as_of: datetime | None = None) -> DataFrame:
@@ -47,14 +47,14 @@ def start_append(
     """
     writer = rows
     if by_day:
-        writer = rows.withColumn("ingest_day", F.to_date("bronze_ingested_at"))
+        writer = rows.withColumn(INGEST_DAY, F.to_date("bronze_ingested_at"))
     stream = writer.writeStream.format(fmt).outputMode("append").option(
         "checkpointLocation", checkpoint
     )
     if fmt == "delta":
         stream = stream.option("mergeSchema", "true")
     if by_day:
-        stream = stream.partitionBy("ingest_day")
+        stream = stream.partitionBy(INGEST_DAY)
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     return stream.trigger(**trigger).start(path)
 
