@@ -36,8 +36,8 @@ def by(df, *keys):
 def test_trend_score(spark):
     rows = by(gold.trending_topics(combined(
         spark,
-        item("1", "hackernews", "Rust is fast", 100, ["rust", "systems"]),
-        item("2", "newsapi", "Rust memory safety", 0, ["rust", "memory"], sentiment="negative"),
+        item("1", "hackernews", "Borrow checker tour", 100, ["rust", "systems"]),
+        item("2", "newsapi", "Ownership pitfalls", 0, ["rust", "memory"], sentiment="negative"),
         item("3", "github", "No label", 20, ["rust"], sentiment=None),
         item("4", "github", "Neutral", 40, ["rust"], sentiment="neutral"),
     ), AS_OF), "tag")
@@ -50,7 +50,7 @@ def test_trend_score(spark):
     assert rows["systems"].trend_score == pytest.approx((1 + 50 + 10) * 1.2)
     assert rows["memory"].trend_score == pytest.approx((1 + 0 + 10) * 0.8)
     assert {t: r.rank_in_hour for t, r in rows.items()} == {"systems": 1, "rust": 2, "memory": 3}
-    assert rust.sample_titles == ["Rust is fast", "Neutral", "No label"]
+    assert rust.sample_titles == ["Borrow checker tour", "Neutral", "No label"]
 
 
 def test_generic_null_and_short_tags_are_left_out(spark):

@@ -20,13 +20,13 @@ def final_plan(df):
 
 def test_newest_version_wins(spark):
     rows = [
-        ("id_001", "First version", "2024-01-01T10:00:00"),
-        ("id_001", "Second version", "2024-01-01T11:00:00"),
-        ("id_002", "Unique row", "2024-01-01T10:00:00"),
+        ("k7", "draft", "2024-03-05T08:00:00"),
+        ("k7", "final", "2024-03-05T09:30:00"),
+        ("k8", "single", "2024-03-04T23:59:59"),
     ]
     df = spark.createDataFrame(rows, "unified_id string, title string, ingested_at string")
     kept = {r.unified_id: r.title for r in newest_per_key(df, "unified_id").collect()}
-    assert kept == {"id_001": "Second version", "id_002": "Unique row"}
+    assert kept == {"k7": "final", "k8": "single"}
 
 
 def test_equal_stamps_leave_one_row_whatever_the_order(spark):

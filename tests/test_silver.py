@@ -18,8 +18,8 @@ def hn(**fields):
 
 
 def test_drop_empty_titles(spark):
-    df = spark.createDataFrame([("Good",), (None,), ("   ",)], "title string")
-    assert [r.title for r in drop_empty_titles(df).collect()] == ["Good"]
+    df = spark.createDataFrame([("Kept",), (None,), ("   ",)], "title string")
+    assert [r.title for r in drop_empty_titles(df).collect()] == ["Kept"]
 
 
 def test_hn_row(spark):

@@ -79,22 +79,24 @@ def run_enrichment(
     model: str = "lexicon",
     size: int = enrich.RUN_SIZE,
     retry_errors: bool = False,
+    max_chars: int | None = enrich.PROMPT_CHARS,
     pause_seconds: float = 0.0,
     parallel_calls: int | None = None,
     as_of: datetime | None = None,
+    target: TableStore | None = None,
 ) -> int:
     """Enrich the next ``size`` rows and append them; returns rows written.
 
     Selection, model calls and write are one job, so the rows asked about are the rows stored.
     """
+    target = target or store
     waiting = enrich.enrichment_candidates(
-        silver_tables(store), store.read_if_exists("silver", "enriched"), size, retry_errors
+        silver_tables(store), target.read_if_exists("silver", "enriched"), size, retry_errors
     )
     rows = enrich.enrich(
-        waiting, enricher, model, pause_seconds=pause_seconds, parallel_calls=parallel_calls,
-        as_of=as_of,
+        waiting, enricher, model, max_chars, pause_seconds, parallel_calls, as_of
     )
-    return store.append(rows, "silver", "enriched")
+    return target.append(rows, "silver", "enriched")
 
 
 def run_gold(

@@ -280,7 +280,7 @@ CTES = {
         from numbered""",
     # ---- vectors: label centroids ask, all vectors answer
     "asked": """
-        select label as question_id, list(v order by i) as q
+        select cast(label as bigint) as question_id, list(v order by i) as q
         from (select label, i, avg(cast(v as double)) as v
               from (select label, unnest(embedding) as v, generate_subscripts(embedding, 1) as i
                     from embeddings) group by all)
@@ -361,7 +361,7 @@ _CONTENT = """global_rank, source_rank, source, title, description, url, author,
     cast(null as varchar) as ai_entities, array_to_string(tags, '|') as tags, language, published_at"""
 
 _BRONZE_HN = """
-    select id, type, "by", title, url, case when type = 'signup' then null else score end as score,
+    select id, type, "by", title, url, cast(case when type = 'signup' then null else score end as double) as score,
            descendants, "time", "text",
            strftime(ingested_at, '%Y-%m-%dT%H:%M:%S+00:00') as ingested_at,
            'hackernews' as source, '1.0.0' as pipeline_version,
@@ -449,6 +449,48 @@ def oracle_sql() -> dict[str, str]:
             from items
             where id in (select id from ids) and type in ('click', 'view', 'signup')
               and id not in (select event_id from events where event_type = 'signup')""",
+        "hn_stories": """
+            select id, strftime(timestamp '2024-01-31', '%Y-%m-%dT%H:%M:%S+00:00') as ingested_at,
+                   "text" as title, 'story' as type, 'hackernews' as source, '1.0.0' as pipeline_version
+            from hn_raw where type <> 'purchase' and descendants >= 10""",
+        "article_id": "select page_id, md5(url) as article_id from pages",
+        "valid_articles": """
+            select url, title from news_raw
+            where length(title) > 0 and query_tag is distinct from 'click' and length(url) > 0
+              and not contains(title, '[Removed]')""",
+        "flatten_articles": """
+            select md5(url) as article_id, case when query_tag = 'click' then '[Removed]' else title end as title,
+                   description, url, strftime(published_at, '%Y-%m-%dT%H:%M:%SZ') as published_at,
+                   case when query_tag = 'Rust' then '' else author end as author, source_name,
+                   case when query_tag = '' then 'top' else query_tag end as query_tag,
+                   '2024-01-31T00:00:00+00:00' as ingested_at, 'newsapi' as source,
+                   '1.0.0' as pipeline_version
+            from news_raw""",
+        "newest_articles": """
+            select url, case when query_tag = '' then 'top' else query_tag end as query,
+                   strftime(published_at, '%Y-%m-%dT%H:%M:%SZ') as "publishedAt"
+            from news_raw
+            qualify row_number() over (partition by query_tag order by published_at desc, url,
+                case when query_tag = 'click' then '[Removed]' else title end)
+                <= case when query_tag = '' then 100 else 20 end""",
+        "trending_repos": """
+            with young as (
+                select * from github_raw
+                where cast(created_at as date) > date '2024-01-24' and stars > 10)
+            select repo_id as id, stars as stargazers_count, 'all' as language_filter from young
+            qualify row_number() over (order by stars desc, repo_id) <= 30
+            union all
+            select repo_id, stars, lower(language) from young
+            where lower(language) in ('python', 'javascript', 'typescript', 'rust', 'go', 'java', 'sql')
+            qualify row_number() over (partition by lower(language) order by stars desc, repo_id) <= 30""",
+        "flatten_repos": """
+            select repo_id, repo_name, repo_url, description, stars, forks,
+                   coalesce(language, '') as language,
+                   coalesce(array_to_string(topics, '|'), '') as topics,
+                   strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') as created_at, '' as updated_at, owner,
+                   'all' as language_filter, '2024-01-31T00:00:00+00:00' as ingested_at,
+                   'github' as source, '1.0.0' as pipeline_version
+            from github_raw""",
         "news_select": """
             with payload as (
                 select case when query_tag = 'click' then '[Removed]' else title end as title,
@@ -543,6 +585,15 @@ def oracle_sql() -> dict[str, str]:
                    '' as ai_entities,
                    case when coalesce(trim(title), '') = '' then 'empty_title' end as enrichment_error
             from worded""",
+        "enrichment_run": f"""
+            with chosen as (
+                select *, {_words("title || '. ' || coalesce(description, '')")} as words from (
+                    select * from silver_hn union all by name select * from silver_news
+                    union all by name select * from silver_github)
+                where trim(title) <> '' order by popularity_score desc nulls last, unified_id limit 100)
+            select unified_id, source, title, {_mood('words')} as sentiment, {_topics('words')} as ai_topics,
+                   cast(null as varchar) as enrichment_error, 'lexicon' as llm_model
+            from chosen""",
         # ---- Gold
         "trending_topics": f"select {_TRENDING} from trending",
         "language_momentum": f"select {_MOMENTUM} from momentum",
@@ -621,6 +672,10 @@ def oracle_sql() -> dict[str, str]:
                 qualify row_number() over (partition by language
                     order by total_stars desc nulls last, rank_by_day) = 1
                 order by total_stars desc nulls last, language limit 9)""",
+        "lang_table": "select "
+        + _replace(_MOMENTUM, momentum_score="cast(round_even(momentum_score, 0) as bigint)")
+        + """ from momentum
+            where day_window >= (select max(day_window) from momentum) - interval 14 day""",
         "lang_series": f"""
             select {_MOMENTUM} from languages_kept
             where language in (select distinct language from languages_kept order by language limit 6)""",

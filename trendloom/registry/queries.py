@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendloom.functions.text import clean_text, clean_url, parse_timestamp, unified_id
+from trendloom.functions.text import article_id, clean_text, clean_url, parse_timestamp, unified_id
 from trendloom.operators.latest import first_seen, newest_per_key
 from trendloom.operators.vectors import cosine_topk
 from trendloom.plans import enrich, gold, jobs, metrics, retrieval, serving, silver
@@ -205,7 +205,8 @@ def _as_messages(raw: DataFrame, body, key: str, topic: str) -> DataFrame:
 
 @query("bronze_parse")
 def _bronze_parse(spark, sf_dir):
-    return bronze.parse_messages(hn_messages(spark, sf_dir), FEEDS["hn"], AS_OF)
+    rows = bronze.parse_messages(hn_messages(spark, sf_dir), FEEDS["hn"], AS_OF)
+    return rows.withColumn("score", F.col("score").cast("double"))
 
 
 @query("bronze_news")
@@ -234,7 +235,7 @@ def _bronze_stream(spark, sf_dir):
         store.path("bronze", ""), store.path("checkpoints", ""), every=None,
     )
     bronze.finish_feeds(started)
-    return store.read("bronze", "hn")
+    return store.read("bronze", "hn").withColumn("score", F.col("score").cast("double"))
 
 
 @query("first_seen_stream")
@@ -266,6 +267,46 @@ def _hn_feed(spark, sf_dir):
     return feeds.hn_messages(items, members, order, sent.selectExpr("event_id as id"), AS_OF)
 
 
+@query("hn_stories")
+def _hn_stories(spark, sf_dir):
+    items = testdata.hn_raw(spark, sf_dir).select("id", "ingested_at", F.col("text").alias("title")).withColumn(
+        "type", F.when(F.get_json_object("title", "$.k").cast("int") >= 10, "story").otherwise("job")
+    )
+    return feeds.with_ingest_metadata(feeds.hn_stories(items), "hackernews", AS_OF)
+
+
+@query("article_id")
+def _article_id(spark, sf_dir):
+    return testdata.table(spark, sf_dir, "pages").select("page_id", article_id("url").alias("article_id"))
+
+
+@query("valid_articles")
+def _valid_articles(spark, sf_dir):
+    return feeds.valid_articles(testdata.news_payload(spark, sf_dir)).select("url", "title")
+
+
+@query("flatten_articles")
+def _flatten_articles(spark, sf_dir):
+    return feeds.flatten_articles(testdata.news_payload(spark, sf_dir), AS_OF)
+
+
+@query("newest_articles")
+def _newest_articles(spark, sf_dir):
+    return feeds.newest_articles(testdata.news_payload(spark, sf_dir)).select("url", "query", "publishedAt")
+
+
+@query("trending_repos")
+def _trending_repos(spark, sf_dir):
+    chosen = feeds.trending_repos(testdata.repo_payload(spark, sf_dir), AS_OF)
+    return chosen.select("id", "stargazers_count", "language_filter")
+
+
+@query("flatten_repos")
+def _flatten_repos(spark, sf_dir):
+    payload = testdata.repo_payload(spark, sf_dir).withColumn("language_filter", F.lit("all"))
+    return feeds.flatten_repos(payload, AS_OF)
+
+
 @query("news_select")
 def _news_select(spark, sf_dir):
     payload = testdata.news_payload(spark, sf_dir)
@@ -380,6 +421,17 @@ def _enrich_rows(spark, sf_dir):
     )
 
 
+@query("enrichment_run")
+def _enrichment_run(spark, sf_dir):
+    """Two runs of the enrichment job; the second goes on where the first ended."""
+    source, target = warehouse(spark, sf_dir, "silver"), _fresh_store(spark, "enriched")
+    for _ in range(2):
+        jobs.run_enrichment(source, max_chars=None, as_of=AS_OF, target=target)
+    return target.read("silver", "enriched").select(
+        "unified_id", "source", "title", "sentiment", "ai_topics", "enrichment_error", "llm_model"
+    )
+
+
 # ---- Gold -------------------------------------------------------------------------------
 
 
@@ -582,6 +634,12 @@ def _lang_leaderboard(spark, sf_dir):
     return serving.language_leaders(_languages(spark, sf_dir))
 
 
+@query("lang_table")
+def _lang_table(spark, sf_dir):
+    momentum = serving.momentum_view(gold_table(spark, sf_dir, "language_momentum"))
+    return serving.filter_languages(momentum, 14)
+
+
 @query("lang_series")
 def _lang_series(spark, sf_dir):
     return serving.language_series(_languages(spark, sf_dir))
