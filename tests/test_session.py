@@ -1,6 +1,10 @@
+import os
+import subprocess
+import sys
 from types import SimpleNamespace
 
 import pytest
+from pyspark import cloudpickle
 
 from trendloom.session import scratch_root
 
@@ -24,3 +28,14 @@ def test_local_mode_keeps_one_folder_per_application():
     first = scratch_root(session("local[2]", app="unit-a"))
     assert first == scratch_root(session("local[2]", app="unit-a"))
     assert first.startswith("/tmp/run-") and first != scratch_root(session("local[2]", app="unit-b"))
+
+
+def test_worker_functions_need_no_installed_package():
+    from trendloom.plans.enrich import lexicon_enricher
+
+    code = "import pickle, sys; print(pickle.load(sys.stdin.buffer)()('A great new release'))"
+    done = subprocess.run(
+        [sys.executable, "-c", code], input=cloudpickle.dumps(lexicon_enricher), cwd="/tmp",
+        capture_output=True, timeout=60, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"},
+    )
+    assert b'"sentiment": "positive"' in done.stdout, done.stderr

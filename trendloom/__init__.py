@@ -1,3 +1,11 @@
 """Trend analytics over multi-source content feeds, written as Spark DataFrame plans."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run in Python workers travel with their code, so executors do not need this
+# package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
