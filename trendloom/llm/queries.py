@@ -6,23 +6,52 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendloom.llm import decontamination, exact_dedup, licenses
+from trendloom.llm import bloom_lm, decontamination, exact_dedup, licenses, near_dedup, pieces, urls, warc
 from trendloom.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents under merge-dropout, decoded again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.transcode(docs, ids=False).drop("text")
+
+
 def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses that documents are, and that their lines name."""
     return licenses.document_licenses(table(spark, sf_dir, "documents"))
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all page urls, by rules and path templates."""
+    return urls.filter_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near copies among all documents."""
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies among all documents; the older half of the ids is the history."""
     docs = table(spark, sf_dir, "documents")
     return exact_dedup.exact_dedup(docs, exact_dedup.early_half(docs))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages archived, indexed, and read back."""
+    return warc.archive_and_read(table(spark, sf_dir, "pages")).drop("url", "html")
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of nine tenths of them."""
+    scored = bloom_lm.learn_and_score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scored.select(
+        "doc_id", "held_out", "lm.n_tokens", "lm.n_known", "train_tokens", "lm.base_score", "lm.score"
+    )
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in all documents, with the longest match of each document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -34,5 +63,8 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_license_scans, op5_exact_dedup, op10_benchmark_decontamination)
+    f.__name__: f for f in (
+        op1_sentencepiece, op2_license_scans, op3_url_filters, op4_minhash_near_dedup,
+        op5_exact_dedup, op7_warc, op8_lm_scoring, op10_benchmark_decontamination,
+    )
 }
