@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trendloom.llm import bloom_lm, decontamination, exact_dedup, licenses, near_dedup, pieces, urls, warc
+from trendloom.llm import bloom_lm, decontamination, exact_dedup, licenses, near_dedup, pieces, quality, repeats, urls, warc
 from trendloom.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +40,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(docs, exact_dedup.early_half(docs))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from the labelled ones."""
+    docs, labels, pages = (table(spark, sf_dir, name) for name in ("documents", "labels", "pages"))
+    return quality.score_quality(docs, labels, pages)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages archived, indexed, and read back."""
     return warc.archive_and_read(table(spark, sf_dir, "pages")).drop("url", "html")
@@ -52,6 +59,13 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated strings of 200 bytes in all documents, taken out."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in all documents, with the longest match of each document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -65,6 +79,6 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_sentencepiece, op2_license_scans, op3_url_filters, op4_minhash_near_dedup,
-        op5_exact_dedup, op7_warc, op8_lm_scoring, op10_benchmark_decontamination,
+        op5_exact_dedup, op6_quality_classifier, op7_warc, op8_lm_scoring, op9_suffix_array_dedup, op10_benchmark_decontamination,
     )
 }
