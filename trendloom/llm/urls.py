@@ -1,9 +1,9 @@
 """URL filter: given rules first, then a tree of path templates per host.
 
-The tree grows level by level. Numbers in a segment are wildcards at once. Under each node a branch
-stays literal only if it takes a fair share of the visits and its labels differ from those of all
-its siblings together; the others merge into the wildcard branch. The labels of a finished template,
-smoothed towards the overall rate, decide on all urls of that template.
+The tree grows level by level. Segments with numbers, unlabelled ones, and those that take too small
+a share of their node's visits are variable and become its wildcard branch. The others stand in the
+order of their rate of bad labels, and neighbours whose rates do not differ merge into one branch.
+The labels of a finished template, smoothed towards the overall rate, decide on all its urls.
 
 Work goes on over distinct (host, shape) rows, which are counted in each task before they meet, so
 a host with a third of all urls is a few dozen rows.
@@ -11,7 +11,7 @@ a host with a third of all urls is a few dozen rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendloom.llm.licenses import LOWER, UPPER
@@ -24,9 +24,9 @@ RULES = (
 )
 #: Levels of the tree; segments below them are one open end.
 DEPTH = 3
-#: A branch may stay literal if it has one in SHARE visits of its node, or the node has few branches.
+#: A branch may keep its name if it has one in SHARE visits of its node, or the node has few branches.
 SHARE, FEW = 20, 8
-#: Squared deviation, in variances, from which labels of a branch differ from its node's.
+#: Squared difference of two rates, in variances, from which they differ.
 DIFFER = 3.84
 #: Labels that the overall rate counts as, and the smoothed purity below which a template is blocked.
 WEIGHT, PURITY = 20, 0.8
@@ -66,22 +66,30 @@ def grow(shapes: DataFrame, depth: int) -> DataFrame:
     for k in range(1, depth + 1):
         step = f"s{k}"
         branches = tree.groupBy("host", "template", step).agg(*sums)
-        nodes = branches.groupBy("host", "template").agg(
-            F.count(F.lit(1)).alias("kids"), *[F.sum(c).alias(f"all_{c}") for c in ("n", "labelled", "bad")]
-        )
-        own, rate = F.try_divide("bad", "labelled"), F.try_divide("all_bad", "all_labelled")
-        off = (own - rate) * (own - rate) * F.col("labelled")
-        stays = (
-            ~F.contains(F.col(step), F.lit("#"))
+        nodes = branches.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kids"), F.sum("n").alias("all_n"))
+        # Branches that may keep a name: at most SHARE of a node, or FEW.
+        named = branches.join(nodes, ["host", "template"]).filter(
+            (F.col(step) != "") & ~F.contains(F.col(step), F.lit("#")) & (F.col("labelled") > 0)
             & ((F.col("n") * SHARE >= F.col("all_n")) | (F.col("kids") <= FEW))
-            & F.coalesce(off >= F.lit(DIFFER) * rate * (1 - rate), F.lit(False)) & (F.col("labelled") > 0)
-            & (F.col("all_bad") > 0) & (F.col("all_bad") < F.col("all_labelled"))
+        ).withColumn("rate", F.col("bad") / F.col("labelled"))
+        row = Window.partitionBy("host", "template").orderBy("rate", step)
+        before = {c: F.lag(c).over(row).alias(f"last_{c}") for c in ("rate", "labelled", "bad")}
+        both = (F.col("bad") + F.col("last_bad")) / (F.col("labelled") + F.col("last_labelled"))
+        gap = F.col("rate") - F.col("last_rate")
+        weight = 1 / F.col("labelled") + 1 / F.col("last_labelled")
+        apart = F.when((gap > 0) & (gap * gap >= F.lit(DIFFER) * both * (1 - both) * weight), 1).otherwise(0)
+        groups = named.select("host", "template", step, "rate", "labelled", "bad", *before.values()).select(
+            "host", "template", step, F.sum(apart).over(row).alias("alike")
+        )
+        names = groups.groupBy("host", "template", "alike").agg(F.array_sort(F.collect_list(step)).alias("names")).select(
+            "host", "template", F.explode("names").alias(step),
+            F.when(F.size("names") == 1, F.concat(F.lit("/"), F.col("names")[0]))
+            .otherwise(F.concat(F.lit("/{"), F.array_join("names", "|"), F.lit("}"))).alias("branch"),
         )
-        name = F.when(F.col(step) == "", "").when(stays, F.concat(F.lit("/"), F.col(step))).otherwise("/*")
-        branches = branches.join(nodes, ["host", "template"]).select("host", "template", step, name.alias("branch"))
+        other = F.when(F.col(step) == "", "").otherwise("/*")
         tree = stored(
-            tree.join(branches, ["host", "template", step])
-            .withColumn("template", F.concat("template", "branch")).drop("branch")
+            tree.join(names, ["host", "template", step], "left")
+            .withColumn("template", F.concat("template", F.coalesce("branch", other))).drop("branch")
         )
     open_end = F.when(F.col("tail") == "", "").otherwise("/**")
     return tree.withColumn("template", F.concat("template", open_end))
