@@ -1,13 +1,160 @@
-"""SQL with the results of the registered queries, for DuckDB; values are written out, not imported."""
+"""SQL with the results of the registered queries, for DuckDB; values are written out, not imported.
+
+Without SQL, and tested against brute force instead: op1 (a seeded agenda of merges), op4 (groups of
+near copies: all pairs of sets are too slow on whole tables), op6 (a trained classifier), op7 (archive
+files), op8 (a probabilistic filter), op9 (all strings of 200 bytes).
+"""
 
 from __future__ import annotations
 
-ORACLES = {
-    "op5_exact_dedup": r"""
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+_EXACT = r"""
 with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256
            from documents)
 select doc_id, min(doc_id) over w as keep_id, count(*) over w as group_size,
        doc_id = min(doc_id) over w as kept, text_sha256
 from d window w as (partition by text_sha256)
-""",
+"""
+
+
+def _contamination() -> str:
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return rf"""
+with d as (select doc_id, {words} as w from documents),
+b as (select item_id, {words} as w from benchmark),
+windows as (
+    select distinct cast(item_id as varchar) as item, least(13, len(w)) as size,
+           array_to_string(w[k : k + least(13, len(w)) - 1], ' ') as win
+    from (select *, unnest(range(1, len(w) - least(13, len(w)) + 2)) as k from b where len(w) > 0)),
+sizes as (select distinct size from windows),
+places as (
+    select doc_id, size, p, array_to_string(w[p : p + size - 1], ' ') as win
+    from (select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as p from d, sizes where len(w) >= size)),
+hits as (select distinct doc_id, item, p, size from places join windows using (size, win)),
+hit_words as (select doc_id, count(distinct word) as n_hit from (select doc_id, unnest(range(p, p + size)) as word from hits) group by doc_id),
+runs as (
+    select doc_id, item, p, k, k + size as past
+    from (select distinct doc_id, item, k, p, size from (
+        select h.doc_id, w2.item, w2.k, w2.size, h.p from (select distinct doc_id, p, size from hits) h
+        join places using (doc_id, p, size)
+        join (select item_id as item, k, least(13, len(w)) as size, array_to_string(w[k : k + least(13, len(w)) - 1], ' ') as win
+              from (select *, unnest(range(1, len(w) - least(13, len(w)) + 2)) as k from b where len(w) > 0)) w2 using (size, win)))),
+longest as (
+    select doc_id, item, min(p) - 1 as spot, max(past) - min(k) as words
+    from (select *, p - row_number() over (partition by doc_id, item, p - k order by p) as run from runs)
+    group by doc_id, item, p - k, run
+    qualify row_number() over (partition by doc_id order by max(past) - min(k) desc, min(p), item) = 1),
+items as (select doc_id, count(*) as n_items, sha256(string_agg(item, ',' order by item)) as items_sha256
+          from (select distinct doc_id, item from hits) group by doc_id)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       coalesce(items_sha256, sha256('')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated,
+       coalesce(words, 0) as longest_words, coalesce(spot, -1) as longest_at, cast(longest.item as varchar) as longest_item
+from d left join hit_words using (doc_id) left join items using (doc_id) left join longest using (doc_id)
+"""
+
+
+def _urls(depth: int = 3, share: int = 20, few: int = 8, differ: float = 3.84, weight: int = 20, purity: float = 0.8) -> str:
+    levels = range(1, depth + 1)
+    shape = ", ".join(f"coalesce(regexp_replace(parts[{k}], '[0-9]+', '#', 'g'), '') as s{k}" for k in levels)
+    key = ", ".join(["host", *[f"s{k}" for k in levels], "tail"])
+    steps = ""
+    for k in levels:
+        last = f"tree{k - 1}"
+        steps += f"""
+branches{k} as (select host, template, s{k} as step, sum(n) as n, sum(labelled) as labelled, sum(bad) as bad from {last} group by all),
+nodes{k} as (select host, template, count(*) as kids, sum(n) as all_n from branches{k} group by all),
+named{k} as (
+    select b.*, bad / labelled as rate from branches{k} b join nodes{k} using (host, template)
+    where step <> '' and not contains(step, '#') and labelled > 0 and (n * {share} >= all_n or kids <= {few})),
+lagged{k} as (
+    select *, lag(rate) over w as last_rate, lag(labelled) over w as last_labelled, lag(bad) over w as last_bad
+    from named{k} window w as (partition by host, template order by rate, step)),
+groups{k} as (
+    select *, sum(case when rate - last_rate > 0 and (rate - last_rate) * (rate - last_rate)
+                  >= {differ} * ((bad + last_bad) / (labelled + last_labelled)) * (1 - (bad + last_bad) / (labelled + last_labelled))
+                     * (1 / labelled + 1 / last_labelled) then 1 else 0 end)
+              over (partition by host, template order by rate, step) as alike
+    from lagged{k}),
+names{k} as (
+    select host, template, unnest(names) as step,
+           case when len(names) = 1 then '/' || names[1] else '/{{' || array_to_string(names, '|') || '}}' end as branch
+    from (select host, template, alike, list_sort(list(step)) as names from groups{k} group by all)),
+tree{k} as (
+    select t.* replace (t.template || coalesce(branch, case when s{k} = '' then '' else '/*' end) as template)
+    from {last} t left join names{k} m on t.host = m.host and t.template = m.template and t.s{k} = m.step),"""
+    return rf"""
+with parts as (
+    select page_id, case when contains(url, '://') then substr(url, position('://' in url) + 3) else '' end as rest from pages),
+paths as (
+    select page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*', 0), '{_UPPER}', '{_LOWER}') as host,
+           regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) as path from parts),
+lists as (select *, list_filter(string_split(path, '/'), lambda s: s <> '') as parts from paths),
+split as (select page_id, host, path, {shape}, case when len(parts) > {depth} then '**' else '' end as tail from lists),
+told as (select doc_id, min(quality) as good from labels where quality is not null and doc_id is not null group by doc_id),
+tree0 as (
+    select {key}, count(*) as n, count(good) as labelled, count(*) filter (good = 0) as bad, '' as template
+    from split left join told on page_id = doc_id group by {key}),{steps}
+tree as (select * replace (template || case when tail = '' then '' else '/**' end as template) from tree{depth}),
+total as (select coalesce((sum(labelled) - sum(bad)) / nullif(sum(labelled), 0), 1.0) as overall from tree0),
+judged as (
+    select host, template, sum(labelled) as all_labelled,
+           (sum(labelled) - sum(bad) + {weight} * any_value(overall)) / (sum(labelled) + {weight}) as purity
+    from tree, total group by host, template),
+ruled as (
+    select split.*, template, all_labelled, purity,
+           case when (host = 'www.example.com' or ends_with(host, '.www.example.com')) and starts_with(path, '/en/') then 'www.example.com/en/'
+                when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/en/') then 'example.com/en/'
+                when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/es/') then 'net/es/'
+                when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/fr/') then 'net/fr/'
+                when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/') then 'com/' end as rule
+    from split join tree using ({key}) join judged using (host, template))
+select page_id, host, path, rule,
+       case when rule in ('www.example.com/en/', 'com/') then 'allow' when rule is not null then 'block'
+            when purity < {purity} then 'block' else 'allow' end as verdict,
+       template, cast(all_labelled as bigint) as labelled, round(purity, 6) as purity
+from ruled
+"""
+
+
+def _licenses() -> str:
+    from trendloom.llm.license_texts import KNOWN
+
+    marks = "“”„‘’‚«»–—―…•·"
+
+    def canonical(text: str) -> str:
+        out = f"translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}')"
+        out = f"regexp_replace({out}, '(^|\\n)[ \\t\\r*#/;-]*(copyright|copr\\.|\\(c\\)|©|all rights reserved)[^\\n]*', chr(10), 'g')"
+        out = f"regexp_replace(translate({out}, '{marks}', '{' ' * len(marks)}'), '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]+', ' ', 'g')"
+        for old, new in (
+            ("licence", "license"), ("licencing", "licensing"), ("sub licens", "sublicens"), ("non commercial", "noncommercial"),
+            ("https", "http"), ("organis", "organiz"), ("favour", "favor"), ("acknowledgement", "acknowledgment"),
+            ("judgement", "judgment"), ("analogue", "analog"), ("per cent", "percent"), ("copy right", "copyright"),
+            ("merchantibility", "merchantability"), ("version v", "version "),
+        ):
+            out = f"replace({out}, '{old}', '{new}')"
+        return f"sha256(trim({out}, ' '))"
+
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    known = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in KNOWN)
+    return f"""
+with known as (
+    select {canonical('text')} as digest, string_agg(distinct license_id, '|' order by license_id) as license_id
+    from (values {known}) k(license_id, text) group by 1),
+lines as (select doc_id, unnest(string_split(text, chr(10))) as line from documents),
+named as (
+    select doc_id, string_agg(distinct license_id, ',' order by license_id) as statements
+    from (select doc_id, {canonical('line')} as digest from lines) join known using (digest) group by doc_id),
+whole as (select doc_id, {canonical('text')} as canonical_sha256 from documents)
+select doc_id, canonical_sha256, license_id, statements
+from whole left join known on canonical_sha256 = digest left join named using (doc_id)
+"""
+
+
+ORACLES = {
+    "op2_license_scans": _licenses(),
+    "op3_url_filters": _urls(),
+    "op5_exact_dedup": _EXACT,
+    "op10_benchmark_decontamination": _contamination(),
 }

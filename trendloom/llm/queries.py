@@ -72,7 +72,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     found = decontamination.judge(decontamination.find_benchmark(docs, table(spark, sf_dir, "benchmark")))
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
-        "found.longest_words", "found.longest_at", "found.longest_item",
+        "found.longest_words", F.coalesce("found.longest_at", F.lit(-1)).alias("longest_at"), "found.longest_item",
     )
 
 
