@@ -50,9 +50,9 @@ def test_jobs_from_bronze_to_documents(spark, sf_dir, folder):
     stamped = "cast('2024-02-01' as timestamp) as bronze_ingested_at"
     for feed, raw in testdata.RAW.items():
         store.append(raw(spark, sf_dir).selectExpr("*", stamped), "bronze", feed)
-    first = jobs.run_silver(store, as_of=datetime(2024, 2, 1), buckets=4)
+    first = jobs.run_silver(store, as_of=datetime(2024, 2, 1))
     assert all(first.values())
-    again = jobs.run_silver(store, since=datetime(2024, 2, 2), buckets=4)
+    again = jobs.run_silver(store, since=datetime(2024, 2, 2))
     assert again == {"hn": 0, "news": 0, "github": 0}
     assert {f: store.read("silver", f).count() for f in FEEDS} == first
     assert jobs.run_enrichment(store, size=20, parallel_calls=2) == 20

@@ -16,7 +16,7 @@ from trendloom.plans import enrich, jobs
 from trendloom.schemas import FEEDS
 from trendloom.session import create_session
 from trendloom.sources.messages import topic_stream
-from trendloom.sources.tables import DEFAULT_BUCKETS, TableStore
+from trendloom.sources.tables import TableStore
 from trendloom.streaming.bronze import await_feeds, start_feeds
 
 
@@ -29,7 +29,6 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--checkpoints", help="folder of the stream checkpoints (bronze)")
     parser.add_argument("--by-day", action="store_true", help="split Bronze by day of arrival (bronze)")
     parser.add_argument("--since", type=datetime.fromisoformat, help="earliest Bronze arrival (silver)")
-    parser.add_argument("--buckets", type=int, default=DEFAULT_BUCKETS, help="id buckets of a new Silver table")
     parser.add_argument("--size", type=int, default=enrich.RUN_SIZE, help="rows to enrich")
     parser.add_argument("--parallel-calls", type=int, help="tasks that call the model")
     return parser.parse_args()
@@ -46,7 +45,7 @@ def main() -> None:
             sources, store.path("bronze", ""), checkpoints, fmt=store.format, by_day=options.by_day
         ))
     elif options.job == "silver":
-        print(jobs.run_silver(store, since=options.since, buckets=options.buckets))
+        print(jobs.run_silver(store, since=options.since))
     elif options.job == "enrich":
         print(jobs.run_enrichment(store, size=options.size, parallel_calls=options.parallel_calls))
     elif options.job == "gold":

@@ -1,32 +1,23 @@
-"""Keyed upsert: update matching rows, insert the others."""
+"""Keyed upsert: of rows that share a key, the one written last counts."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-_PREFIX = "bucket_of_"
-
-
-def bucket_column(buckets: int) -> str:
-    """Name of the partition column; it carries the bucket count of the table."""
-    return f"{_PREFIX}{buckets}"
+from collections.abc import Sequence
+from functools import reduce
 
-
-def stored_bucket_column(df: DataFrame) -> str | None:
-    return next((c for c in df.columns if c.startswith(_PREFIX)), None)
-
-
-def with_bucket(df: DataFrame, key: str, column: str) -> DataFrame:
-    """Add the storage bucket of a key. It depends on the key alone, so a row never moves."""
-    buckets = int(column.removeprefix(_PREFIX))
-    return df.withColumn(column, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 
-def merged(existing: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """``existing`` without the keys in ``updates``, plus ``updates``. Keys in ``updates`` are unique.
+def last_written(parts: Sequence[DataFrame], key: str) -> DataFrame:
+    """The rows of all ``parts``, oldest first, without those whose key a later part has again.
 
-    Columns new in ``updates`` are null for the rows kept.
+    Keys are unique within a part, so a key has at most one row per part, and a group is no larger
+    than the number of parts. Columns that only some parts have are null elsewhere.
     """
-    kept = existing.join(updates.select(key), key, "left_anti")
-    return kept.unionByName(updates, allowMissingColumns=True)
+    if len(parts) == 1:
+        return parts[0]
+    numbered = [df.withColumn("_part", F.lit(k)) for k, df in enumerate(parts)]
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbered)
+    newest = Window.partitionBy(key).orderBy(F.col("_part").desc())
+    return union.withColumn("_place", F.row_number().over(newest)).filter("_place = 1").drop("_part", "_place")

@@ -14,7 +14,7 @@ from trendloom.operators.models import EmbedderFactory, ResponderFactory
 from trendloom.plans import enrich, gold, retrieval
 from trendloom.plans.silver import moment, to_silver
 from trendloom.schemas import FEEDS, INGEST_DAY
-from trendloom.sources.tables import DEFAULT_BUCKETS, TableStore
+from trendloom.sources.tables import TableStore
 
 BUILDERS = {
     "trending_topics": gold.trending_topics,
@@ -29,7 +29,6 @@ def run_silver(
     feeds: Iterable[str] = tuple(FEEDS),
     since: datetime | None = None,
     as_of: datetime | None = None,
-    buckets: int = DEFAULT_BUCKETS,
 ) -> dict[str, int]:
     """Bronze to Silver by keyed upsert; returns rows upserted per feed.
 
@@ -46,7 +45,7 @@ def run_silver(
             if INGEST_DAY in bronze.columns:
                 bronze = bronze.filter(F.col(INGEST_DAY) >= moment(since).cast("date"))
         rows = to_silver(bronze, feed, as_of)
-        return store.upsert(rows, "silver", feed, "unified_id", buckets)
+        return store.upsert(rows, "silver", feed, "unified_id")
 
     return side_by_side({feed: partial(run, feed) for feed in feeds})
 

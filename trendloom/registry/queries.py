@@ -29,7 +29,6 @@ from trendloom.streaming import bronze, dedup
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = testdata.AS_OF
-BUCKETS = 8
 CLOCKS = ("silver_processed_at", "gold_computed_at", "enriched_at", "bronze_ingested_at")
 
 _registry: dict[str, Query] = {}
@@ -95,7 +94,7 @@ def silver_of(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
 
 def _write_silver(store: TableStore, sf_dir: str) -> None:
     for feed in FEEDS:
-        store.upsert(silver_of(store.spark, sf_dir, feed), "silver", feed, "unified_id", BUCKETS)
+        store.upsert(silver_of(store.spark, sf_dir, feed), "silver", feed, "unified_id")
     store.overwrite(testdata.enriched(store.spark, sf_dir), "silver", "enriched")
 
 
@@ -357,7 +356,7 @@ def _upsert_silver(spark, sf_dir):
     raw = testdata.hn_raw(spark, sf_dir)
     early = F.col("ingested_at") < "2024-01-16"
     for part in (raw.filter(early), raw.filter(~early)):
-        store.upsert(silver.to_silver(part, "hn", AS_OF), "silver", "hn", "unified_id", BUCKETS)
+        store.upsert(silver.to_silver(part, "hn", AS_OF), "silver", "hn", "unified_id")
     return store.read("silver", "hn")
 
 
@@ -367,7 +366,7 @@ def _silver_layer(spark, sf_dir):
     store = _fresh_store(spark, "silver")
     for feed, raw in testdata.RAW.items():
         store.append(raw(spark, sf_dir), "bronze", feed)
-    jobs.run_silver(store, as_of=AS_OF, buckets=BUCKETS)
+    jobs.run_silver(store, as_of=AS_OF)
     return metrics.layer_counts(spark, {feed: store.read("silver", feed) for feed in FEEDS})
 
 
