@@ -44,14 +44,36 @@ def test_answers_and_failures(spark):
     assert parts("2") == ("neutral", [], [], "json_parse_error")
     assert parts("3") == ("neutral", [], [], "x" * 100)
     assert parts("4") == parts("5") == ("neutral", [], [], "empty_title")
-    assert parts("6") == ("negative", ["800"], [], None)
+    assert parts("6") == ("negative", ["2004"], ["none"], None)
     assert parts("7") == ("neutral", [], [], None)
     assert got["1"].llm_model == "fake" and got["1"].enriched_at is not None
 
 
-def test_whole_text_on_request(spark):
+def test_budget_and_template(spark):
     given = rows_of(spark, ("6", "s", "ok", "y" * 2000, 1))
-    assert enrich.enrich(given, fake_enricher, max_chars=None).first().ai_topics == ["2004"]
+    assert enrich.enrich(given, fake_enricher, max_chars=800).first().ai_topics == ["800"]
+    assert enrich.enrich(given, fake_enricher, template="JSON for: %s!").first().ai_topics == ["2015"]
+    long = rows_of(spark, ("7", "s", "ok", "z" * 500_000, 1))
+    assert enrich.enrich(long, fake_enricher).first().ai_topics == ["500004"]
+
+
+@pytest.mark.parametrize(("raw", "topics", "error"), [
+    ("[1,2]", [], "json_parse_error"), ('"hello"', [], "json_parse_error"), ("3", [], "json_parse_error"), ("null", [], "json_parse_error"),
+    ("", [], "json_parse_error"), ('{"a": 1} tail', [], "json_parse_error"), ('{"entities": null}', [], "null_list"), ('{"ai_topics": null}', [], "null_list"),
+    ('{"ai_topics": "rust"}', ["rust"], None), ('{"ai_topics": ["a"], "ai_topics": ["b", "c"]}', ["b", "c"], None), ("{}", [], None),
+    ('{"ai_topics": null, "ai_topics": ["x"]}', ["x"], None), ('{"ai_topics": ["1", "2", "3", "4", "5"]}', ["1", "2", "3", "4"], None),
+])
+def test_answers_that_are_not_what_was_asked(spark, raw, topics, error):
+    asked = spark.createDataFrame([(raw, None)], "raw string, failure string")
+    got = enrich.parse_responses(asked, "raw", "failure", F.lit(False)).first()
+    assert (got.ai_topics, got.enrichment_error) == (topics, error)
+    if len(topics) == 4:
+        assert len(enrich.parse_responses(asked, "raw", "failure", F.lit(False), None).first().ai_topics) == 5
+
+
+def test_default_runs_without_python(spark):
+    plan = enrich.enrich(rows_of(spark, ("1", "s", "t", "d", 1)))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
 
 
 def test_lexicon_default(spark):
@@ -61,9 +83,7 @@ def test_lexicon_default(spark):
     assert got["2"].sentiment == "negative" and got["2"].ai_topics == ["data"]
 
 
-@pytest.mark.parametrize("limit", [enrich.BROADCAST_RUN, 0])
-def test_candidates(spark, monkeypatch, limit):
-    monkeypatch.setattr(enrich, "BROADCAST_RUN", limit)
+def test_candidates(spark):
     table = rows_of(
         spark, ("a", "s", "t", None, 5), ("b", "s", "t", None, 9), ("c", "s", "t", None, 5), ("d", "s", " ", None, 99),
         ("e", "s", "t", None, None), ("f", "s", "t", None, 7),
@@ -88,7 +108,7 @@ def silver_row(uid, title, popularity):
 def test_runs_continue_where_the_last_one_ended(spark, folder):
     store = TableStore(spark, folder, "parquet")
     store.upsert(spark.createDataFrame([silver_row(f"u{i}", "fence" if i else "broken", i) for i in range(5)], SILVER_SCHEMA),
-                 "silver", "hn", "unified_id", 2)
+                 "silver", "hn", "unified_id")
     assert jobs.run_enrichment(store, fake_enricher, "fake", size=3) == 3
     assert jobs.run_enrichment(store, fake_enricher, "fake", size=3) == 2
     assert jobs.run_enrichment(store, fake_enricher, "fake", size=3) == 0

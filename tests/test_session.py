@@ -31,11 +31,11 @@ def test_local_mode_keeps_one_folder_per_application():
 
 
 def test_worker_functions_need_no_installed_package():
-    from trendloom.plans.enrich import lexicon_enricher
+    from trendloom.operators.vectors import _unit
 
-    code = "import pickle, sys; print(pickle.load(sys.stdin.buffer)()('A great new release'))"
+    code = "import numpy, pickle, sys; print(pickle.load(sys.stdin.buffer)(numpy.array([[3.0, 4.0]])))"
     done = subprocess.run(
-        [sys.executable, "-c", code], input=cloudpickle.dumps(lexicon_enricher), cwd="/tmp",
+        [sys.executable, "-c", code], input=cloudpickle.dumps(_unit), cwd="/tmp",
         capture_output=True, timeout=60, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"},
     )
-    assert b'"sentiment": "positive"' in done.stdout, done.stderr
+    assert b"[[0.6 0.8]]" in done.stdout, done.stderr

@@ -14,13 +14,16 @@ from pyspark.sql import functions as F
 ResponderFactory = Callable[[], Callable[[str], str]]
 EmbedderFactory = Callable[[], Callable[[Sequence[str]], Sequence[Sequence[float]]]]
 
+# Fixed value: how much of a failure's message is kept by default.
 MESSAGE_LENGTH = 100
 
 
-def respond(factory: ResponderFactory, text: Column, pause_seconds: float = 0.0) -> Column:
+def respond(
+    factory: ResponderFactory, text: Column, pause_seconds: float = 0.0, message_length: int | None = MESSAGE_LENGTH
+) -> Column:
     """``struct<raw, failure>`` of the model's answer to each text; null texts are not sent.
 
-    A failing call becomes its message, so one bad row does not fail the task. The column is
+    A failing call becomes its message, cut to ``message_length`` (None: whole), so one bad row does not fail the task. The column is
     non-deterministic, which keeps the optimizer from evaluating it twice.
     """
 
@@ -36,7 +39,7 @@ def respond(factory: ResponderFactory, text: Column, pause_seconds: float = 0.0)
                     time.sleep(pause_seconds)
                 return answer, None
             except Exception as error:  # the row carries the reason
-                return None, str(error)[:MESSAGE_LENGTH]
+                return None, str(error)[:message_length]
 
         for texts in batches:
             yield pd.DataFrame([one(t) for t in texts], columns=["raw", "failure"], dtype=object)
@@ -45,7 +48,10 @@ def respond(factory: ResponderFactory, text: Column, pause_seconds: float = 0.0)
 
 
 def embed(factory: EmbedderFactory, text: Column, batch_size: int = 100) -> Column:
-    """``array<float>`` vector of each text, sent to the model in lists of ``batch_size``."""
+    """``array<float>`` vector of each text, sent to the model in lists of ``batch_size``.
+
+    Non-deterministic for the optimizer, so a filter on the vector does not call the model again.
+    """
 
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         client = factory()
@@ -57,4 +63,4 @@ def embed(factory: EmbedderFactory, text: Column, batch_size: int = 100) -> Colu
                 vectors.extend([float(x) for x in vector] for vector in part)
             yield pd.Series(vectors, dtype=object)
 
-    return F.pandas_udf(encode, "array<float>")(text)
+    return F.pandas_udf(encode, "array<float>").asNondeterministic()(text)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-import re
 from collections.abc import Iterable
 from datetime import datetime
 from functools import reduce
@@ -15,19 +13,17 @@ from trendloom.functions._cols import ColumnLike, as_column, columns_of
 from trendloom.functions.sentiment import NEUTRAL
 from trendloom.functions.text import not_blank
 from trendloom.operators.models import ResponderFactory, respond
+from trendloom.operators.settle import settle
 from trendloom.plans.silver import drop_empty_titles, processing_time
 from trendloom.schemas import AI_RESULT_SCHEMA
 
-# How much text a model is sent, how many topics and entities are kept, the
-# run's default size, and the names of the failures.
-PROMPT_CHARS = 800
+# How many topics and entities are kept, the run's default size, and the names of
+# the failures.
 LIST_SIZE = 4
 RUN_SIZE = 50
 EMPTY_TITLE = "empty_title"
 BAD_JSON = "json_parse_error"
-
-# A run's ids are broadcast up to this number; a larger run is joined by shuffling.
-BROADCAST_RUN = 100_000
+NULL_LIST = "null_list"
 
 
 def enrichment_candidates(
@@ -38,9 +34,9 @@ def enrichment_candidates(
 ) -> DataFrame:
     """The most popular titled rows that have no enrichment yet.
 
-    Ids and popularity alone decide; full rows are then picked by a semi join against the at
-    most ``size`` chosen ids, so titles and descriptions are not shuffled. With
-    ``retry_errors`` rows whose enrichment failed count as not enriched.
+    Ids and popularity alone decide. The at most ``size`` chosen ids are stored, and full rows are
+    then picked by a semi join against them, so titles and descriptions take no part in the
+    selection. With ``retry_errors`` rows whose enrichment failed count as not enriched.
     """
     titled = drop_empty_titles(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables))
     waiting = titled.select("unified_id", "popularity_score")
@@ -52,17 +48,15 @@ def enrichment_candidates(
         .limit(size)
         .select("unified_id")
     )
-    return titled.join(
-        F.broadcast(chosen) if size <= BROADCAST_RUN else chosen, "unified_id", "left_semi"
-    )
+    return titled.join(settle(chosen)[0], "unified_id", "left_semi")
 
 
 def prompt_text(
     title: ColumnLike = "title",
     description: ColumnLike = "description",
-    max_chars: int | None = PROMPT_CHARS,
+    max_chars: int | None = None,
 ) -> Column:
-    """``title. description`` for the model, cut to its budget; null for a blank title."""
+    """``title. description`` for the model, whole unless given a budget; null for a blank title."""
     whole = F.concat(as_column(title), F.lit(". "), F.coalesce(as_column(description), F.lit("")))
     return F.when(not_blank(title), whole if max_chars is None else F.substring(whole, 1, max_chars))
 
@@ -74,25 +68,49 @@ def response_body(raw: ColumnLike) -> Column:
     return F.when(bare.startswith("```"), fenced).otherwise(bare)
 
 
-def parse_responses(asked: DataFrame, raw: str, failure: str, blank: Column) -> DataFrame:
+def parse_responses(
+    asked: DataFrame, raw: str, failure: str, blank: Column, list_size: int | None = LIST_SIZE
+) -> DataFrame:
     """Replace an answer and its failure by ``sentiment``, ``ai_topics``, ``ai_entities`` and
     ``enrichment_error``. Any error leaves neutral and empty lists.
+
+    An answer is in error unless it is a JSON object, and if it gives null for a list. A single
+    value in the place of a list is a list of that value. Of a repeated name the last value counts.
+    ``list_size`` entries of each list are kept, all of them for None.
     """
     kept = [c for c in asked.columns if c not in (raw, failure)]
     body = F.struct(response_body(raw).alias("_body"), blank.alias("_blank"))
     trimmed = asked.select(*kept, failure, columns_of(body))
+    # In brackets, so that text behind the object or a second object is an error.
+    listed = F.from_json(F.concat(F.lit("["), F.col("_body"), F.lit("]")), "array<map<string,string>>")
+    read = F.struct(listed.alias("_listed"), F.from_json("_body", AI_RESULT_SCHEMA).alias("_fields"))
+    whole = F.when(F.size("_listed") == 1, F.map_entries(F.col("_listed")[0]))
+    opened = trimmed.select(*kept, failure, "_blank", columns_of(read)).withColumn("_given", whole)
+
+    def given(name: str) -> Column:
+        """Entries of a name; the last one counts."""
+        return F.filter("_given", lambda pair: pair["key"] == name)
+
+    def last(name: str) -> Column:
+        return F.try_element_at(given(name), F.lit(-1))["value"]
+
+    no_object = F.col("_given").isNull()
+    null_list = reduce(
+        lambda a, b: a | b, [(F.size(given(n)) > 0) & last(n).isNull() for n in ("ai_topics", "entities")]
+    )
     error = (
         F.when(F.col("_blank"), F.lit(EMPTY_TITLE))
         .when(F.col(failure).isNotNull(), F.col(failure))
-        .when(F.try_parse_json(F.coalesce("_body", F.lit(""))).isNull(), F.lit(BAD_JSON))
+        .when(no_object, F.lit(BAD_JSON))
+        .when(null_list, F.lit(NULL_LIST))
     )
-    read = F.struct(error.alias("_error"), F.from_json("_body", AI_RESULT_SCHEMA).alias("_fields"))
-    parsed = trimmed.select(*kept, columns_of(read))
+    parsed = opened.withColumn("_error", error)
     good = F.col("_error").isNull()
 
     def items(name: str) -> Column:
-        found = F.when(good, F.slice(F.col("_fields")[name], 1, LIST_SIZE))
-        return F.coalesce(found, F.array().cast("array<string>"))
+        found = F.coalesce(F.col("_fields")[name], F.when(last(name).isNotNull(), F.array(last(name))))
+        found = F.coalesce(F.when(good, found), F.array().cast("array<string>"))
+        return found if list_size is None else F.slice(found, 1, list_size)
 
     return parsed.select(
         *kept,
@@ -107,48 +125,52 @@ def enrich(
     rows: DataFrame,
     enricher: ResponderFactory | None = None,
     model: str = "lexicon",
-    max_chars: int | None = PROMPT_CHARS,
+    max_chars: int | None = None,
     pause_seconds: float = 0.0,
     parallel_calls: int | None = None,
     as_of: datetime | None = None,
+    template: str = "%s",
+    list_size: int | None = LIST_SIZE,
 ) -> DataFrame:
     """Ask the model about every row and add the typed result. Parsing stays in built-in functions.
 
-    ``parallel_calls`` spreads the rows over that many tasks, each with its own client. A top-N
-    selection arrives in one partition, so without it the calls run one after the other.
+    The model gets the whole text in the place of ``%s`` in ``template``; ``max_chars`` cuts the
+    text to a budget. ``parallel_calls`` is the number of tasks, each with its own client, and so
+    the bound on calls at a time. Without it there are as many as the plan's last stage has tasks,
+    which suits a local model only. The default without ``enricher`` needs no model and no Python.
     """
-    spread = rows.repartition(parallel_calls) if parallel_calls else rows
     text = prompt_text(max_chars=max_chars)
-    answer = respond(enricher or lexicon_enricher, text, pause_seconds)
-    asked = spread.withColumn("_answer", answer).select(
-        *rows.columns, F.col("_answer.raw").alias("_raw"), F.col("_answer.failure").alias("_failure")
-    )
-    return parse_responses(asked, "_raw", "_failure", ~not_blank("title")).withColumns({
-        "enriched_at": processing_time(as_of),
-        "llm_model": F.lit(model),
-    })
+    if enricher is None:
+        answered = rows.withColumn("_text", text).select("*", *lexicon_columns(F.col("_text"), list_size)).drop("_text")
+    else:
+        spread = rows.repartition(parallel_calls) if parallel_calls else rows
+        before, _, after = template.partition("%s")
+        answer = respond(enricher, F.concat(F.lit(before), text, F.lit(after)), pause_seconds)
+        asked = spread.withColumn("_answer", answer).select(
+            *rows.columns, F.col("_answer.raw").alias("_raw"), F.col("_answer.failure").alias("_failure")
+        )
+        answered = parse_responses(asked, "_raw", "_failure", ~not_blank("title"), list_size)
+    return answered.withColumns({"enriched_at": processing_time(as_of), "llm_model": F.lit(model)})
 
 
 # ---- offline default --------------------------------------------------------------------
 
-POSITIVE_WORDS = frozenset("best better fast faster good great improved love new open safe success win".split())
-NEGATIVE_WORDS = frozenset("attack bad breach broken bug crash down error fail failed lost slow worse".split())
+POSITIVE_WORDS = tuple("best better fast faster good great improved love new open safe success win".split())
+NEGATIVE_WORDS = tuple("attack bad breach broken bug crash down error fail failed lost slow worse".split())
 TOPIC_WORDS = ("ai", "cloud", "data", "database", "kubernetes", "learning", "python", "rust", "security", "web")
 
-_WORD = re.compile(r"[a-z]+")
-
-
-def lexicon_enricher():
-    """A responder that needs no network: counts known words, answers in the model's format."""
-
-    def answer(text: str) -> str:
-        words = _WORD.findall(text.lower())
-        present = set(words)
-        mood = sum((w in POSITIVE_WORDS) - (w in NEGATIVE_WORDS) for w in words)
-        return json.dumps({
-            "sentiment": "positive" if mood > 0 else "negative" if mood < 0 else NEUTRAL,
-            "ai_topics": [w for w in TOPIC_WORDS if w in present],
-            "entities": [],
-        })
 
-    return answer
+def lexicon_columns(text: Column, list_size: int | None = LIST_SIZE) -> list[Column]:
+    """The result columns of :func:`enrich` from known words; a null text is an empty title."""
+    words = F.split(F.lower(text), "[^a-z]+")
+    count = lambda known: F.size(F.filter(words, lambda w: w.isin(*known)))
+    mood = count(POSITIVE_WORDS) - count(NEGATIVE_WORDS)
+    topics = F.filter(F.array(*map(F.lit, TOPIC_WORDS)), lambda t: F.array_contains(words, t))
+    topics = topics if list_size is None else F.slice(topics, 1, list_size)
+    none = F.array().cast("array<string>")
+    return [
+        F.when(text.isNull() | (mood == 0), NEUTRAL).when(mood > 0, "positive").otherwise("negative").alias("sentiment"),
+        F.when(text.isNull(), none).otherwise(topics).alias("ai_topics"),
+        none.alias("ai_entities"),
+        F.when(text.isNull(), EMPTY_TITLE).alias("enrichment_error"),
+    ]

@@ -78,11 +78,13 @@ def run_enrichment(
     model: str = "lexicon",
     size: int = enrich.RUN_SIZE,
     retry_errors: bool = False,
-    max_chars: int | None = enrich.PROMPT_CHARS,
+    max_chars: int | None = None,
     pause_seconds: float = 0.0,
     parallel_calls: int | None = None,
     as_of: datetime | None = None,
     target: TableStore | None = None,
+    template: str = "%s",
+    list_size: int | None = enrich.LIST_SIZE,
 ) -> int:
     """Enrich the next ``size`` rows and append them; returns rows written.
 
@@ -93,7 +95,7 @@ def run_enrichment(
         silver_tables(store), target.read_if_exists("silver", "enriched"), size, retry_errors
     )
     rows = enrich.enrich(
-        waiting, enricher, model, max_chars, pause_seconds, parallel_calls, as_of
+        waiting, enricher, model, max_chars, pause_seconds, parallel_calls, as_of, template, list_size
     )
     return target.append(rows, "silver", "enriched")
 

@@ -566,14 +566,19 @@ def oracle_sql() -> dict[str, str]:
             from silver_news s left join enriched e on e.unified_id = s.unified_id""",
         "enrich_parse": """
             select event_id,
-                   case event_type when 'click' then 'positive' when 'view' then 'negative'
+                   case when event_type = 'click' then 'positive'
+                        when event_type = 'view' and user_id % 6 in (4, 5) then 'negative'
                         else 'neutral' end as sentiment,
-                   case event_type when 'click' then 'a|b|c|d' when 'view' then 'x'
-                        when 'signup' then 'only' else '' end as ai_topics,
+                   case when event_type = 'click' then 'a|b|c|d' when event_type = 'signup' then 'only'
+                        when event_type = 'view' and user_id % 6 = 4 then 'rust'
+                        when event_type = 'view' and user_id % 6 = 5 then 'x' else '' end as ai_topics,
                    case event_type when 'click' then 'k' || json_extract_string(props, '$.k')
                         else '' end as ai_entities,
-                   case event_type when 'purchase' then 'json_parse_error'
-                        when 'error' then 'timeout' end as enrichment_error
+                   case when event_type = 'purchase' then 'json_parse_error'
+                        when event_type = 'error' then 'timeout'
+                        when event_type = 'view' and user_id % 6 in (0, 1, 2) then 'json_parse_error'
+                        when event_type = 'view' and user_id % 6 = 3 then 'null_list'
+                   end as enrichment_error
             from events""",
         "enrich_rows": f"""
             with worded as (
@@ -712,9 +717,9 @@ def oracle_sql() -> dict[str, str]:
         "sentiment_distribution": """
             select source, sentiment, count(*) as "count" from combined group by all""",
         "error_rate": """
-            select count(*) as total,
-                   count(*) filter (event_type in ('purchase', 'error')) as errors,
-                   round(100.0 * count(*) filter (event_type in ('purchase', 'error')) / count(*), 1) as error_pct
-            from events""",
+            select count(*) as total, count(*) filter (failed) as errors,
+                   round(100.0 * count(*) filter (failed) / count(*), 1) as error_pct
+            from (select event_type in ('purchase', 'error') or event_type = 'view' and user_id % 6 <= 3 as failed
+                  from events)""",
     }
     return {name: _sql(sql) for name, sql in queries.items()}

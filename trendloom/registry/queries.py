@@ -389,13 +389,19 @@ def _attach_enrichment(spark, sf_dir):
 
 
 def model_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answers of a model as they come: plain, fenced, partial, broken, failed."""
+    """Answers of a model as they come: plain, fenced, partial, broken, failed, no object, null or
+    single values for lists, repeated names. The user's number picks among the variants of a type.
+    """
     return testdata.table(spark, sf_dir, "events").selectExpr(
         "event_id",
         """case event_type
              when 'click' then concat('{"sentiment": "positive", "ai_topics": ["a","b","c","d","e"],',
                                       ' "entities": ["k', get_json_object(props, '$.k'), '"]}')
-             when 'view' then '```json\\n{"sentiment": "negative", "ai_topics": ["x"], "entities": []}\\n```'
+             when 'view' then case user_id % 6
+                  when 0 then '[1, 2]' when 1 then '"hello"' when 2 then 'null'
+                  when 3 then '{"sentiment": "positive", "entities": null}'
+                  when 4 then '{"sentiment": "positive", "ai_topics": "rust", "sentiment": "negative"}'
+                  else '```json\\n{"sentiment": "negative", "ai_topics": ["x"], "entities": []}\\n```' end
              when 'signup' then ' {"ai_topics": ["only"]} '
              when 'purchase' then 'sorry, {no JSON' end as raw""",
         "if(event_type = 'error', 'timeout', null) as failure",
@@ -414,8 +420,7 @@ def _enrich_parse(spark, sf_dir):
 @query("enrich_rows")
 def _enrich_rows(spark, sf_dir):
     rows = testdata.news_raw(spark, sf_dir).select("article_id", "title", "description")
-    tasks = spark.sparkContext.defaultParallelism
-    return enrich.enrich(rows, max_chars=None, parallel_calls=tasks, as_of=AS_OF).select(
+    return enrich.enrich(rows, as_of=AS_OF).select(
         "article_id", "sentiment", "ai_topics", "ai_entities", "enrichment_error"
     )
 
@@ -425,7 +430,7 @@ def _enrichment_run(spark, sf_dir):
     """Two runs of the enrichment job; the second goes on where the first ended."""
     source, target = warehouse(spark, sf_dir, "silver"), _fresh_store(spark, "enriched")
     for _ in range(2):
-        jobs.run_enrichment(source, max_chars=None, as_of=AS_OF, target=target)
+        jobs.run_enrichment(source, as_of=AS_OF, target=target)
     return target.read("silver", "enriched").select(
         "unified_id", "source", "title", "sentiment", "ai_topics", "enrichment_error", "llm_model"
     )

@@ -29,9 +29,6 @@ REPO_SLICE_SIZE = 30
 REPO_DAYS = 7
 REPO_MIN_STARS = 10
 
-# Feed ids are broadcast up to this number, counted as places times feeds.
-BROADCAST_IDS = 100_000
-
 
 def with_ingest_metadata(df: DataFrame, source: str, at: datetime | None = None) -> DataFrame:
     """Keep all fields; add when, from where and by which version the row was taken in."""
@@ -82,15 +79,14 @@ def hn_messages(
 ) -> DataFrame:
     """The feeds' stories that were not sent before, with ingest metadata.
 
-    The ids are few by construction, so they travel to the tables of items and of known ids,
-    and neither table is shuffled.
+    The ids are few by construction, so the adaptive plan sends them to the tables of items and of
+    known ids.
     """
     ids = hn_feed_ids(members, order, size, feeds)
-    few = size * len(feeds) <= BROADCAST_IDS
     if seen is not None:
-        known = seen.select("id").join(F.broadcast(ids) if few else ids, "id", "left_semi")
+        known = seen.select("id").join(ids, "id", "left_semi")
         ids = ids.join(known, "id", "left_anti")
-    chosen = items.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    chosen = items.join(ids, "id", "left_semi")
     return with_ingest_metadata(hn_stories(chosen), HACKERNEWS, at)
 
 

@@ -6,12 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trendloom.schemas import MESSAGE_SCHEMA
 
-# Options of the broker source.
-KAFKA_DEFAULTS = {
-    "startingOffsets": "latest",
-    "failOnDataLoss": "false",
-    "maxOffsetsPerTrigger": "500",
-}
+# A first start reads the topic from its beginning, lost offsets are an error, and a trigger takes
+# all that has arrived.
+KAFKA_DEFAULTS = {"startingOffsets": "earliest", "failOnDataLoss": "true"}
 
 
 def topic_stream(
@@ -19,9 +16,8 @@ def topic_stream(
 ) -> DataFrame:
     """Stream of one topic; ``options`` override the defaults.
 
-    ``maxOffsetsPerTrigger`` suits a small broker by default. Raise it for volume, and set
-    ``minPartitions`` to read one topic partition with several tasks. Needs Spark's Kafka
-    connector on the class path.
+    Set ``maxOffsetsPerTrigger`` to bound a trigger and ``minPartitions`` to read one topic
+    partition with several tasks. Needs Spark's Kafka connector on the class path.
     """
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
     for key, value in {**KAFKA_DEFAULTS, "subscribe": topic, **options}.items():
