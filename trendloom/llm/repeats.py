@@ -26,7 +26,7 @@ from trendloom.operators.settle import settle
 
 LENGTH, KMER = 200, 64
 #: Text bytes of a scanned batch, context bytes of a shard, contexts of an anchor that go to one shard.
-SCAN_BYTES, SHARD_BYTES, MOST_CONTEXTS = 4 << 20, 2 << 20, 256
+SCAN_BYTES, SHARD_BYTES, MOST_CONTEXTS = 2 << 20, 2 << 20, 256
 
 _VALUES = mix(np.arange(1000, 1256, dtype=np.uint64))
 PLACES = "key long, digest long, doc long, start int, size int, anchor int"
