@@ -11,6 +11,9 @@ from trendloom.llm.shared import LOWER, mix, mix_int
 BASE = mix_int(0x1234567) | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 
+#: Bytes of text that are hashed at a time; each takes about 40 bytes of memory meanwhile.
+STEP = 1 << 20
+
 _LOWER = np.frombuffer(LOWER, np.uint8)
 _VALUES = mix(np.arange(1, 257, dtype=np.uint64))
 _SPACE = np.zeros(256, bool)
@@ -46,12 +49,22 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(texts: pa.Array, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words (split at white space, A-Z lower-cased), and words before each text.
-
-    The hash of a word is a sum of byte values times powers of the base. The sum is a difference of
-    running sums, divided by the power at its start.
-    """
+    """64-bit hashes of all words (split at white space, A-Z lower-cased), and words before each text."""
     raw, offsets = flat(texts)
+    hashes, begins, at = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)], 0
+    cuts = np.unique(np.searchsorted(offsets, np.arange(0, len(raw) + STEP, STEP), "left")).clip(0, len(offsets) - 1)
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        own, before = _hashes(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], powers)
+        hashes.append(own)
+        begins.append(before[1:] + at)
+        at += len(own)
+    return np.concatenate(hashes), np.concatenate([*begins, np.full(len(offsets) - 1 - (cuts[-1] if len(cuts) else 0), at)])
+
+
+def _hashes(raw: np.ndarray, offsets: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """The same for one step. The hash of a word is a sum of byte values times powers of the base,
+    a difference of running sums divided by the power at its start.
+    """
     if not len(raw):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     powers.grow(len(raw) + 1)
