@@ -74,6 +74,35 @@ def test_embedding_has_unit_length_and_follows_words(spark):
     assert set(got["c"]) == {0.0}
 
 
+def test_words_of_any_script_stay_whole(spark):
+    texts = ["über schöne Grüße", "ber sch ne gr e", "ÜBER; schöne-GRÜßE", "привет мир", "мир", "你好 世界"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {r.id: r.embedding for r in retrieval.embed_documents(docs).collect()}
+    assert got[0] == got[2] != got[1]
+    assert all(any(v) for v in got.values()) and got[3] != got[4]
+
+
+@pytest.mark.parametrize("block", [4096, 2])
+def test_each_question_is_embedded_once(spark, folder, block):
+    """Also with several blocks, and with a question id that occurs twice."""
+    from trendloom.operators.vectors import cosine_topk
+
+    log = f"{folder}/calls"
+
+    def counting():
+        def encode(texts):
+            with open(log, "a") as file:
+                file.writelines(f"{t}\n" for t in texts)
+            return letters()(texts)
+        return encode
+
+    questions = spark.createDataFrame([("q1", "a"), ("q2", "b"), ("q3", "c"), ("q4", "d"), ("q1", "a")], "question_id string, question string")
+    docs = retrieval.embed_documents(spark.createDataFrame([("d1", "ab"), ("d2", "cd")], "id string, text string"), letters)
+    hits = cosine_topk(retrieval.embed_documents(questions, counting, "question"), docs, 1, block=block).collect()
+    assert sorted((h.question_id, h.id) for h in hits) == [("q1", "d1"), ("q2", "d1"), ("q3", "d2"), ("q4", "d2")]
+    assert sorted(open(log).read().split()) == ["a", "a", "b", "c", "d"]
+
+
 def letters():
     return lambda texts: [[float(t.lower().count(c)) for c in "abcde"] for t in texts]
 

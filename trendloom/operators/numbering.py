@@ -7,19 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trendloom.operators.ranking import in_ranges
+
 
 def number_rows(df: DataFrame, group: str, within: Sequence[Column], name: str) -> DataFrame:
     """Number rows from 0 in the order of ``group`` (nulls first), then ``within``.
 
-    Places are counted inside each group and shifted by the sizes of the groups before it; only
-    one row per group passes through the shared window. Groups here are hours, days or ranks.
+    Rows are stored in even ranges of that order, so many rows of one group are many ranges. Places
+    are counted inside a range and shifted by the sizes of the ranges before it; only one row per
+    range passes through the shared window. Ties of the whole order get consecutive numbers.
     """
-    inside = Window.partitionBy(group).orderBy(*within)
-    before = Window.orderBy(F.col("_group")).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = df.groupBy(F.col(group).alias("_group")).agg(F.count(F.lit(1)).alias("_size"))
-    shifts = sizes.select("_group", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
-    placed = df.withColumn("_place", F.row_number().over(inside))
-    joined = placed.join(shifts, placed[group].eqNullSafe(shifts["_group"]))
-    return joined.withColumn(name, F.col("_shift") + F.col("_place") - 1).drop(
-        "_group", "_shift", "_place"
+    order = [F.col(group).asc_nulls_first(), *within]
+    ranged = in_ranges(df, order)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    shifts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
+    placed = ranged.withColumn("_place", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
+    return placed.join(shifts, "_range").withColumn(name, F.col("_shift") + F.col("_place") - 1).drop(
+        "_range", "_shift", "_place"
     )

@@ -1,8 +1,7 @@
-"""Exact ``rank()`` that does not bring a whole group into one task.
+"""Exact ``rank()`` that does not bring the rows of a group into one task.
 
-Groups are cut into bands by a fixed monotone function of the score. The rank of a row is its
-place in the band plus the number of rows in the bands above, and the bands of a group are few
-whatever the number of rows.
+Ranks are worked out over the distinct scores of a group, with counts, and are cut into bands or
+ranges. The rank of a score is its place there plus the number of rows above.
 """
 
 from __future__ import annotations
@@ -16,9 +15,6 @@ from trendloom.operators.settle import settle
 
 BANDS_PER_OCTAVE = 32
 
-# Rows that one task may add up, or that may be broadcast.
-SMALL_ROWS = 100_000
-
 
 def score_band(score: Column) -> Column:
     """A whole number that never falls as the score grows; null for a null score.
@@ -55,18 +51,18 @@ def rank_by_score(
 ) -> DataFrame:
     """``rows`` plus ``rank() over (partition by groups order by score desc nulls last)``.
 
-    Rows are shuffled by group and band, so a group with a third of all rows is sorted in as
-    many pieces as its scores have bands. Only rows that tie or nearly tie stay together.
+    Ranks are worked out over distinct scores, so rows that tie are one row with a count before any
+    window, however many they are; ties collapse within each task. A group's scores are cut into
+    bands. Rows meet their rank by a join on group and score, which AQE splits where it is skewed.
     ``sized`` gives the same groups and scores from a cheaper plan, if there is one.
     """
-    band = score_band(F.col(score)).alias("_band")
-    counted = (rows if sized is None else sized).groupBy(*groups, band)
-    sizes = counted.agg(F.count(F.lit(1)).alias("_size"))
-    offsets = sizes.select(*groups, "_band", _rows_above("_size", groups, "_band").alias("_above"))
-    place = Window.partitionBy(*groups, "_band").orderBy(F.col(score).desc_nulls_last())
-    placed = rows.select("*", band).select("*", F.rank().over(place).alias("_place"))
-    ranked = _match(placed, offsets, [*groups, "_band"])
-    return ranked.select(*rows.columns, F.expr("cast(_above + _place as int)").alias(rank))
+    histogram = score_histogram(rows if sized is None else sized, groups, score)
+    banded = histogram.select("*", score_band(F.col(score)).alias("_band"))
+    bands = banded.groupBy(*groups, "_band").agg(F.sum("_rows").alias("_band_rows"))
+    offsets = bands.select(*groups, "_band", _rows_above("_band_rows", groups, "_band").alias("_above"))
+    inside = banded.select("*", _rows_above("_rows", [*groups, "_band"], score).alias("_inside"))
+    ranked = _match(inside, offsets, [*groups, "_band"])
+    return _match(rows, ranked.select(*groups, score, _rank_after(F.expr("_above + _inside"), rank)), [*groups, score])
 
 
 def score_histogram(rows: DataFrame, groups: Sequence[str], score: str) -> DataFrame:
@@ -74,19 +70,14 @@ def score_histogram(rows: DataFrame, groups: Sequence[str], score: str) -> DataF
     return rows.groupBy(*groups, score).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def histogram_ranks(histogram: DataFrame, score: str, rank: str, split: bool) -> DataFrame:
-    """Rank of every distinct score over all rows of a histogram, nulls last.
+def in_ranges(df: DataFrame, order: Sequence[Column], name: str = "_range") -> DataFrame:
+    """``df`` stored in ranges of ``order``, each with its number.
 
-    ``split`` cuts the scores into bands; without it one task adds up the whole histogram.
+    Ranges come from a sample of the data, so they are even whatever the values are. They are stored,
+    because a second run might cut them elsewhere.
     """
-    if not split:
-        return histogram.select(score, _rank_after(_rows_above("_rows", [], score), rank))
-    banded = histogram.select("*", score_band(F.col(score)).alias("_band"))
-    bands = banded.groupBy("_band").agg(F.sum("_rows").alias("_band_rows"))
-    offsets = bands.select("_band", _rows_above("_band_rows", [], "_band").alias("_above"))
-    inside = banded.select("*", _rows_above("_rows", ["_band"], score).alias("_inside"))
-    ranked = _match(inside, offsets, ["_band"])
-    return ranked.select(score, _rank_after(F.expr("_above + _inside"), rank))
+    ranged = df.repartitionByRange(*order)
+    return settle(ranged.withColumn(name, F.spark_partition_id()))[0]
 
 
 def _rank_after(above: Column, name: str) -> Column:
@@ -94,37 +85,28 @@ def _rank_after(above: Column, name: str) -> Column:
 
 
 def leaders(
-    rows: DataFrame,
-    group: str,
-    score: str,
-    k: int,
-    group_rank: str,
-    overall_rank: str,
-    small: int = SMALL_ROWS,
+    rows: DataFrame, group: str, score: str, k: int, group_rank: str, overall_rank: str
 ) -> DataFrame:
     """Rows whose rank within ``group`` is at most ``k`` (ties kept), with that rank and the rank
     over all rows.
 
-    The first pass reads only ``group`` and ``score``, runs at once and is stored as a histogram
-    of distinct scores. From it come the ranks of at most ``k`` scores per group. The second
-    pass matches the full rows against these as they are scanned, so wide rows are neither
-    shuffled nor sorted. Counts decide: up to ``small`` rows are broadcast or summed in one
-    task; beyond that the join shuffles and the sums are split.
+    The first pass reads only ``group`` and ``score`` and stores a histogram of distinct scores in
+    even ranges. The rank of a score is its place in its range plus the rows of the ranges above.
+    The second pass matches the full rows against the at most ``k`` scores per group.
     """
-    histogram, distinct = settle(score_histogram(rows, [group], score))
-    place = Window.partitionBy(group).orderBy(F.col(score).desc_nulls_last())
+    descending = F.col(score).desc_nulls_last()
+    histogram = in_ranges(score_histogram(rows, [group], score), [descending])
+    place = Window.partitionBy(group).orderBy(descending)
     best = (
         histogram.select("*", F.row_number().over(place).alias("_place"))
         .filter(F.col("_place") <= k)
         .select(group, score, _rank_after(_rows_above("_rows", [group], score), group_rank))
         .filter(F.col(group_rank) <= k)
     )
-    totals = histogram.groupBy(score).agg(F.sum("_rows").alias("_rows"))
-    overall = histogram_ranks(totals, score, overall_rank, split=distinct > small)
-    table = _match(best, overall, [score])
-    bounded = distinct <= small or _at_most(histogram.select(group).distinct(), small // k)
-    return _match(rows, F.broadcast(table) if bounded else table, [group, score])
-
-
-def _at_most(df: DataFrame, limit: int) -> bool:
-    return df.limit(limit + 1).count() <= limit
+    totals = histogram.groupBy("_range", score).agg(F.sum("_rows").alias("_rows"))
+    ranges = totals.groupBy("_range").agg(F.sum("_rows").alias("_range_rows"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = ranges.select("_range", F.coalesce(F.sum("_range_rows").over(before), F.lit(0)).alias("_above"))
+    inside = totals.select("*", _rows_above("_rows", ["_range"], score).alias("_inside"))
+    overall = _match(inside, offsets, ["_range"]).select(score, _rank_after(F.expr("_above + _inside"), overall_rank))
+    return _match(rows, _match(best, overall, [score]), [group, score])

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.operators.latest import top_per_group
-from trendloom.session import scratch_root
+from trendloom.operators.settle import settle
 
-MAX_QUESTIONS_PER_PASS = 4096
+QUESTIONS_PER_BLOCK = 4096
 BLOCK_ROWS = 1024
 
 
@@ -50,43 +50,58 @@ def cosine_topk(
     vector: str = "embedding",
     carry: tuple[str, ...] = (),
     details: DataFrame | None = None,
-    max_questions: int = MAX_QUESTIONS_PER_PASS,
+    block: int = QUESTIONS_PER_BLOCK,
 ) -> DataFrame:
     """The ``k`` nearest documents of every question: question, id, similarity, distance, place.
 
-    Question vectors travel to the documents, at most about ``max_questions`` in one pass. More
-    questions take more passes, each written to the shared scratch folder before the next, so
-    the driver holds one pass at a time. Each task multiplies its document batches with the
-    questions and hands on its own best ``k`` per question, so neither pairs nor documents are
-    shuffled.
-    ``carry`` names columns to look up for the hits, in ``details`` or else in the corpus. That
-    table is joined with the hits, whose number is bounded by ``max_questions * k``.
+    Question vectors are stored once, so they are computed once, and go to the documents in blocks
+    of ``block``. The blocks are read one after another while the plan is built and become parts of
+    one job. Each task multiplies its document batches with a block and hands on its own best ``k``
+    per question, so neither pairs nor documents are shuffled. ``carry`` names columns to look up
+    for the hits, in ``details`` or else in the corpus, once for all blocks.
     """
-    asked = questions.select(question_id, vector).filter(F.col(vector).isNotNull())
-    names = (question_id, doc_id, vector)
-    first = asked.limit(max_questions + 1).collect()
-    if len(first) <= max_questions:
-        return _one_pass(first, asked, corpus, k, names, carry, details)[0]
-    # Twice the passes needed, so that a pass stays within the bound although keys are hashed.
-    passes = 2 * -(-asked.count() // max_questions)
-    slot = F.pmod(F.xxhash64(question_id), F.lit(passes))
-    target = f"{scratch_root(corpus.sparkSession)}/nearest-{uuid.uuid4().hex}"
-    for number in range(passes):
-        rows = asked.filter(slot == number).collect()
-        hits, sent = _one_pass(rows, asked, corpus, k, names, carry, details)
-        hits.write.mode("append").parquet(target)
-        sent.destroy()
-    return corpus.sparkSession.read.parquet(target)
-
-
-def _one_pass(rows, asked, corpus, k, names, carry, details):
-    """Hits of the given questions, and the broadcast they depend on."""
-    question_id, doc_id, vector = names
-    spark = corpus.sparkSession
-    keys = [row[0] for row in rows]
-    targets = _unit(np.array([row[1] for row in rows], dtype=np.float64)) if rows else None
-    sent = spark.sparkContext.broadcast((keys, targets))
+    asked = settle(questions.select(question_id, vector).filter(F.col(vector).isNotNull()))[0]
+    types = {f.name: f.dataType.simpleString() for f in corpus.schema.fields}
+    kinds = (
+        f"`{question_id}` {asked.schema[question_id].dataType.simpleString()}, `{doc_id}` {types[doc_id]}, "
+        "similarity double"
+    )
+    documents = corpus.filter(F.col(vector).isNotNull()).select(doc_id, vector)
+    send = corpus.sparkSession.sparkContext.broadcast
+    near = [
+        documents.mapInPandas(_searcher(send(part), k, question_id, doc_id, vector), kinds)
+        for part in _blocks(asked, question_id, vector, block)
+    ]
+    found = reduce(DataFrame.union, near)
+    order = [F.col("similarity").desc(), F.col(doc_id)]
+    hits = top_per_group(found, [question_id], order, k, "place").withColumn(
+        "distance", F.lit(1.0) - F.col("similarity")
+    )
+    if carry:
+        source = corpus if details is None else details
+        hits = source.select(doc_id, *carry).join(hits, doc_id)
+    return hits
+
+
+def _blocks(asked: DataFrame, question_id: str, vector: str, size: int):
+    """Ids and unit vectors of at most ``size`` questions at a time; one empty block for none.
 
+    A question id that occurs twice is two questions with one list of hits, so equal ids stand in
+    one block and count as one there.
+    """
+    rows = asked.dropDuplicates([question_id]).select(question_id, vector).toLocalIterator()
+    keys, vectors, any_yet = [], [], False
+    for row in rows:
+        keys.append(row[0])
+        vectors.append(row[1])
+        if len(keys) == size:
+            yield keys, _unit(np.array(vectors, dtype=np.float64))
+            keys, vectors, any_yet = [], [], True
+    if keys or not any_yet:
+        yield keys, _unit(np.array(vectors, dtype=np.float64)) if keys else None
+
+
+def _searcher(sent, k: int, question_id: str, doc_id: str, vector: str):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, targets = sent.value
         held = None
@@ -102,19 +117,6 @@ def _one_pass(rows, asked, corpus, k, names, carry, details):
                 held = _best(*found, k)
         if held is not None:
             asked, scores, ids = held
-            names = [keys[i] for i in asked]
-            yield pd.DataFrame({question_id: names, doc_id: ids, "similarity": scores})
+            yield pd.DataFrame({question_id: [keys[i] for i in asked], doc_id: ids, "similarity": scores})
 
-    types = {f.name: f.dataType.simpleString() for f in corpus.schema.fields}
-    q_type = asked.schema[question_id].dataType.simpleString()
-    near = corpus.filter(F.col(vector).isNotNull()).select(doc_id, vector).mapInPandas(
-        search, f"`{question_id}` {q_type}, `{doc_id}` {types[doc_id]}, similarity double"
-    )
-    order = [F.col("similarity").desc(), F.col(doc_id)]
-    hits = top_per_group(near, [question_id], order, k, "place").withColumn(
-        "distance", F.lit(1.0) - F.col("similarity")
-    )
-    if carry:
-        source = corpus if details is None else details
-        hits = source.select(doc_id, *carry).join(F.broadcast(hits), doc_id)
-    return hits, sent
+    return search

@@ -53,17 +53,18 @@ def attach_enrichment(silver: DataFrame, enriched: DataFrame | None) -> DataFram
         F.col("enriched_at") if "enriched_at" in present
         else F.lit(None).cast("timestamp").alias("enriched_at"),
     )
-    newest = newest_per_key(signals, "unified_id", "enriched_at", ["sentiment"])
+    newest = newest_per_key(signals, "unified_id", "enriched_at", list(_ENRICHMENT))
     return silver.join(newest.drop("enriched_at"), "unified_id", "left")
 
 
 def combine_silver(tables: Iterable[DataFrame], enriched: DataFrame | None = None) -> DataFrame:
     """All feeds by column name, newest processing per id, enrichment attached.
 
-    A stored Silver table holds each id once, so ties here need no more than narrow columns.
+    A stored Silver table holds each id once, and an id names its feed. Ties are settled by the
+    narrow columns, so builders that need no text read none.
     """
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
-    ties = ["ingested_at", "popularity_score"]
+    ties = ["ingested_at", "popularity_score", "source", "published_at", "language", "tags"]
     current = newest_per_key(union, "unified_id", "silver_processed_at", ties)
     return attach_enrichment(current, enriched)
 

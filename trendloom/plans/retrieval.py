@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +33,8 @@ RESULTS_PER_QUESTION = 8
 EMBEDDING_SIZE = 256
 
 INSTRUCTION = (
-    "Answer the question from the trend data below and from nothing else. Cite the numbers you "
-    "use. If the data does not hold the answer, say so.\n\n"
+    "Below are records of a trend database, best match first, and a question about them. Reply in a "
+    "few sentences that state figures from the records. Say plainly when they do not cover it.\n\n"
 )
 
 
@@ -144,16 +144,19 @@ def document_corpus(top_content: DataFrame, trending: DataFrame, momentum: DataF
 def hashed_embedding(
     df: DataFrame, text: str = "text", output: str = "embedding", size: int = EMBEDDING_SIZE
 ) -> DataFrame:
-    """Offline default: hashed word counts of unit length, computed by Spark ML."""
-    words = RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"\W+", minTokenLength=1)
-    counts = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=size)
+    """Offline default: counts of hashed words, of unit length, computed by Spark ML.
+
+    Words are runs of letters and digits of any script, in lower case. A word's place is the number
+    that the first eight hex digits of its MD5 spell, modulo ``size``.
+    """
+    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    place = lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % size).cast("string")
+    stage = df.withColumn("_places", F.transform(words, place))
+    counts = CountVectorizerModel.from_vocabulary([str(k) for k in range(size)], "_places", "_counts")
     unit = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0)
-    stage = df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    for transformer in (words, counts, unit):
+    for transformer in (counts, unit):
         stage = transformer.transform(stage)
-    return stage.withColumn(output, vector_to_array("_unit", "float32")).drop(
-        "_text", "_words", "_counts", "_unit"
-    )
+    return stage.withColumn(output, vector_to_array("_unit", "float32")).drop("_places", "_counts", "_unit")
 
 
 def embed_documents(
@@ -187,11 +190,13 @@ def contexts(hits: DataFrame, question_id: str = "question_id") -> DataFrame:
     )
 
 
-def prompts(contexts_df: DataFrame, questions: DataFrame, question_id: str = "question_id") -> DataFrame:
+def prompts(
+    contexts_df: DataFrame, questions: DataFrame, question_id: str = "question_id", instruction: str = INSTRUCTION
+) -> DataFrame:
     """Instruction, context and question as one text per question."""
     asked = contexts_df.join(questions.select(question_id, "question"), question_id)
     return asked.withColumn("prompt", F.concat(
-        F.lit(INSTRUCTION), F.lit("=== DATA ===\n"), F.col("context"),
+        F.lit(instruction), F.lit("=== DATA ===\n"), F.col("context"),
         F.lit("\n=== END OF DATA ===\n\nQuestion: "), F.col("question"), F.lit("\nAnswer:"),
     ))
 
@@ -202,6 +207,7 @@ def ask(
     k: int = RESULTS_PER_QUESTION,
     embedder: EmbedderFactory | None = None,
     responder: ResponderFactory | None = None,
+    instruction: str = INSTRUCTION,
 ) -> DataFrame:
     """Questions (``question_id``, ``question``) to prompts over an embedded corpus, and to
     answers if a responder is given.
@@ -209,7 +215,7 @@ def ask(
     vectors = embed_documents(questions, embedder, "question")
     typed = corpus.withColumn("type", F.col("metadata")["type"])
     hits = cosine_topk(vectors, typed, k, carry=("text", "type"))
-    ready = prompts(contexts(hits), questions)
+    ready = prompts(contexts(hits), questions, instruction=instruction)
     if responder is None:
         return ready
     answered = ready.withColumn("_answer", respond(responder, F.col("prompt")))

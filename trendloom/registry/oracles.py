@@ -8,9 +8,19 @@ from __future__ import annotations
 
 import re
 
-from trendloom.plans import retrieval
-from trendloom.plans.enrich import NEGATIVE_WORDS, POSITIVE_WORDS, TOPIC_WORDS
-from trendloom.plans.gold import GENERIC_TAGS, LANGUAGE_TAGS
+# Written out here, so that a wrong value in the package shows.
+GENERIC_TAGS = ("hackernews", "newsapi", "github", "story", "top_headlines")
+LANGUAGE_TAGS = (
+    "python", "javascript", "typescript", "rust", "go", "java", "kotlin",
+    "swift", "sql", "c++", "c#", "ruby", "scala", "r",
+)
+POSITIVE_WORDS = ("best", "better", "fast", "faster", "good", "great", "improved", "love", "new", "open", "safe", "success", "win")
+NEGATIVE_WORDS = ("attack", "bad", "breach", "broken", "bug", "crash", "down", "error", "fail", "failed", "lost", "slow", "worse")
+TOPIC_WORDS = ("ai", "cloud", "data", "database", "kubernetes", "learning", "python", "rust", "security", "web")
+_INSTRUCTION = (
+    "Below are records of a trend database, best match first, and a question about them. Reply in a "
+    "few sentences that state figures from the records. Say plainly when they do not cover it.\n\n"
+)
 
 AS_OF = "timestamp '2024-01-31'"
 
@@ -300,6 +310,39 @@ CTES = {
                    || d.text, chr(10) || chr(10) || '---' || chr(10) || chr(10) order by place) as context
         from nearest n join documents d on d.doc_id = n.id
         group by question_id""",
+    # ---- hashed words: place and value of each word's bucket, in single precision
+    "asked_texts": """
+        select 'document' as kind, cast(doc_id as varchar) as id, text from documents
+        union all select 'question', conv_id || '-' || turn, text from conversations where role = 'user'
+        union all select 'top_content', id, text from content_docs
+        union all select 'trending_topic', id, text from topic_docs
+        union all select 'language_momentum', id, text from language_docs""",
+    "word_places": """
+        select kind, id, cast('0x' || substr(md5(w), 1, 8) as bigint) % 256 as place, count(*) as n
+        from (select kind, id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) as w from asked_texts)
+        where w <> '' group by all""",
+    "embedded_words": """
+        select kind, id, place, cast(n / sqrt(sum(n * n) over (partition by kind, id)) as float) as x from word_places""",
+    "unit_words": """
+        select kind, id, place, cast(x as double) / sqrt(sum(cast(x as double) * x) over (partition by kind, id)) as x
+        from embedded_words""",
+    "found_docs": """
+        select question_id, question, id, kind, text, similarity,
+               row_number() over (partition by question_id order by round(similarity, 12) desc, id) as place
+        from (select q.id as question_id, any_value(q.text) as question, d.id, d.kind, any_value(d.text) as text,
+                     coalesce(sum(a.x * b.x), 0) as similarity
+              from asked_texts q join asked_texts d on q.kind = 'question' and d.kind not in ('question', 'document')
+              left join unit_words a on a.kind = q.kind and a.id = q.id
+              left join unit_words b on b.kind = d.kind and b.id = d.id and b.place = a.place
+              group by q.id, d.id, d.kind)
+        qualify place <= 8""",
+    "asked_prompts": f"""
+        select question_id, '{_INSTRUCTION}' || '=== DATA ===' || chr(10) || string_agg(
+                   '[' || printf('%.1f', similarity * 100) || '% relevant | ' || kind || ']' || chr(10) || text,
+                   chr(10) || chr(10) || '---' || chr(10) || chr(10) order by place)
+               || chr(10) || '=== END OF DATA ===' || chr(10) || chr(10)
+               || 'Question: ' || any_value(question) || chr(10) || 'Answer:' as prompt
+        from found_docs group by question_id""",
     # ---- filtered Gold
     "topics_kept": """
         select * from trending
@@ -617,10 +660,18 @@ def oracle_sql() -> dict[str, str]:
             select * from content_docs union all select * from topic_docs
             union all select * from language_docs""",
         "cosine_topk": "select question_id, id, similarity, distance, place from nearest",
+        "embed_documents": """
+            select cast(id as bigint) as doc_id, string_agg(
+                       place || '=' || cast(round(cast(x as double) * 1000000) as bigint), ' ' order by place) as embedding
+            from embedded_words where kind = 'document' group by id""",
+        "ask_questions": "select question_id, prompt from asked_prompts",
+        "ask_answers": """
+            select question_id, length(prompt) || ' characters' as answer, cast(null as varchar) as answer_error
+            from asked_prompts""",
         "rag_context": "select question_id, context from contexts",
         "rag_prompts": f"""
             select question_id, 'Which items are nearest to group ' || question_id || '?' as question,
-                   context, '{retrieval.INSTRUCTION}' || '=== DATA ===' || chr(10) || context
+                   context, '{_INSTRUCTION}' || '=== DATA ===' || chr(10) || context
                    || chr(10) || '=== END OF DATA ===' || chr(10) || chr(10)
                    || 'Question: Which items are nearest to group ' || question_id || '?'
                    || chr(10) || 'Answer:' as prompt

@@ -503,8 +503,11 @@ def _embed_documents(spark, sf_dir):
     vectors = retrieval.embed_documents(
         testdata.table(spark, sf_dir, "documents").select("doc_id", "text")
     )
+    # The whole vector as text: place and value in millionths of all places but the empty ones.
     return vectors.select("doc_id", F.expr(
-        "aggregate(embedding, 0D, (s, x) -> s + x * x)").alias("squared_length"))
+        "array_join(filter(transform(embedding, (x, i) -> if(x = 0, null,"
+        " concat(i, '=', cast(rint(cast(x as double) * 1000000) as bigint)))), e -> e is not null), ' ')"
+    ).alias("embedding"))
 
 
 def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -547,13 +550,27 @@ def _rag_prompts(spark, sf_dir):
     return retrieval.prompts(_label_contexts(spark, sf_dir), centroids(spark, sf_dir))
 
 
-@query("ask_questions")
-def _ask_questions(spark, sf_dir):
+def _asked(spark, sf_dir, responder=None):
     """Every user turn of the conversations, asked of the Gold documents."""
     turns = testdata.table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
     questions = turns.selectExpr("concat(conv_id, '-', turn) as question_id", "text as question")
     corpus = warehouse(spark, sf_dir, "documents").read("gold", "documents")
-    return retrieval.ask(questions, corpus).select("question_id", "prompt")
+    return retrieval.ask(questions, corpus, responder=responder)
+
+
+@query("ask_questions")
+def _ask_questions(spark, sf_dir):
+    return _asked(spark, sf_dir).select("question_id", "prompt")
+
+
+def measuring_responder():
+    """A model that answers with the length of its prompt."""
+    return lambda prompt: f"{len(prompt)} characters"
+
+
+@query("ask_answers")
+def _ask_answers(spark, sf_dir):
+    return _asked(spark, sf_dir, measuring_responder).select("question_id", "answer", "answer_error")
 
 
 # ---- serving ----------------------------------------------------------------------------
