@@ -59,6 +59,8 @@ def test_jobs_from_bronze_to_documents(spark, sf_dir, folder):
     counts = jobs.run_gold(store, testdata.AS_OF)
     assert counts == jobs.run_gold(store, testdata.AS_OF)
     assert all(counts.values())
+    assert "description" not in store.read("work", "combined").columns
+    assert store.read("gold", "top_content").filter("source = 'newsapi' and description is not null").count() > 0
     assert jobs.run_retrieval(store) == store.read("gold", "documents").count() > 0
 
 

@@ -109,4 +109,6 @@ def leaders(
     offsets = ranges.select("_range", F.coalesce(F.sum("_range_rows").over(before), F.lit(0)).alias("_above"))
     inside = totals.select("*", _rows_above("_rows", ["_range"], score).alias("_inside"))
     overall = _match(inside, offsets, ["_range"]).select(score, _rank_after(F.expr("_above + _inside"), overall_rank))
-    return _match(rows, _match(best, overall, [score]), [group, score])
+    # Stored, so that Spark knows its size and sends it to the wide rows if it is small.
+    table = settle(_match(best, overall, [score]))[0]
+    return _match(rows, table, [group, score])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import datetime, timedelta
 from functools import reduce
 
@@ -14,6 +14,7 @@ from trendloom.functions import sentiment as S
 from trendloom.functions.text import not_blank
 from trendloom.operators.latest import newest_per_key, top_per_group
 from trendloom.operators.ranking import leaders, rank_by_score
+from trendloom.operators.settle import settle
 from trendloom.plans.silver import moment, processing_time
 from trendloom.schemas import ENRICHMENT_SCHEMA, GITHUB, HACKERNEWS
 
@@ -291,9 +292,13 @@ def top_content(
     as_of: datetime | None = None,
     days: int = LEADERBOARD_DAYS,
     per_source: int = LEADERBOARD_PER_SOURCE,
+    texts: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Leaderboard of the last ``days`` days: the best ``per_source`` ranks of each source with
     their rank over everything in the period. See :func:`trendloom.operators.ranking.leaders`.
+
+    ``texts`` looks up ``unified_id, description`` for the ids of the leaders, if ``combined`` is
+    without descriptions.
     """
     recent = (
         combined.filter(F.col("published_at") >= _period_start(as_of, days))
@@ -304,6 +309,9 @@ def top_content(
         .withColumn("final_score", F.col("normalised_score") * F.col("sentiment_boost"))
     )
     ranked = leaders(recent, "source", "final_score", per_source, "source_rank", "global_rank")
+    if texts is not None:
+        ranked = settle(ranked)[0]
+        ranked = ranked.join(texts(ranked.select("unified_id")), "unified_id", "left")
     return ranked.select(
         "global_rank", "source_rank", "source", "title", "description", "url", "author",
         "popularity_score", "normalised_score", "sentiment_boost", "final_score",

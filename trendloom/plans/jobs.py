@@ -105,15 +105,22 @@ def run_gold(
 ) -> dict[str, int]:
     """Recompute all Gold tables; returns rows per table.
 
-    The combined rows are written once and read by each builder with only the columns it needs.
-    A written table outlives lost executors, which cached blocks would not.
+    The combined rows are written once, without descriptions, and read by each builder with only the
+    columns it needs. Descriptions are looked up for the leaders of the leaderboard alone. A written
+    table outlives lost executors, which cached blocks would not.
     """
     target = target or store
-    target.overwrite(load_combined(store), "work", "combined")
+    target.overwrite(load_combined(store).drop("description"), "work", "combined")
     combined = target.read("work", "combined")
 
+    def texts(ids: DataFrame) -> DataFrame:
+        """Descriptions of a few ids; the semi join reaches the Silver tables."""
+        few = [table.join(ids, "unified_id", "left_semi") for table in silver_tables(store)]
+        return gold.combine_silver(few).select("unified_id", "description")
+
     def run(name: str) -> int:
-        return target.overwrite(BUILDERS[name](combined, as_of), "gold", name)
+        options = {"texts": texts} if name == "top_content" else {}
+        return target.overwrite(BUILDERS[name](combined, as_of, **options), "gold", name)
 
     return side_by_side({name: partial(run, name) for name in BUILDERS})
 

@@ -78,12 +78,16 @@ CTES = {
     "enriched": """
         select md5('newsapi_' || md5('doc_' || doc_id)) as unified_id,
                case when toxic = 1 then 'negative' when quality = 1 then 'positive'
-                    else 'neutral' end as sentiment
+                    else 'neutral' end as sentiment,
+               case when quality = 0 then '' when toxic = 1 then 'prose|insults' else 'prose|news' end as ai_topics,
+               case when toxic = 1 then 'somebody' else '' end as ai_entities,
+               case when quality = 0 then 'json_parse_error' end as enrichment_error, toxic = 1 as twice
         from labels
         union all
         select md5('hackernews_' || event_id),
                case event_type when 'purchase' then 'positive' when 'error' then 'negative'
-                    else 'neutral' end
+                    else 'neutral' end,
+               event_type, case when event_type = 'purchase' then 'shop|card' else '' end, null, event_type = 'error'
         from events where event_type in ('purchase', 'error', 'signup')""",
     # ---- Silver
     "silver_hn": f"""
@@ -117,7 +121,7 @@ CTES = {
                {_clean('language')} as language, created_at as published_at, ingested_at
         from github_raw where {_clean('repo_name')} is not null""",
     "combined": """
-        select s.*, e.sentiment
+        select s.*, e.sentiment, e.ai_topics, e.ai_entities, e.enrichment_error
         from (select * from silver_hn union all by name select * from silver_news
               union all by name select * from silver_github) s
         left join enriched e on e.unified_id = s.unified_id""",
@@ -237,7 +241,7 @@ CTES = {
             from recent)
         select global_rank, source_rank, source, title, description, url, author,
                popularity_score, normalised_score, sentiment_boost, final_score, sentiment,
-               tags, language, published_at
+               ai_topics, ai_entities, tags, language, published_at
         from ranked where source_rank <= 50""",
     # ---- retrieval documents
     "content_docs": """
@@ -400,8 +404,8 @@ _ACTIVITY = """hour_window, source, item_count, round(avg_popularity, 6) as avg_
 
 _CONTENT = """global_rank, source_rank, source, title, description, url, author, popularity_score,
     round(normalised_score, 6) as normalised_score, sentiment_boost,
-    round(final_score, 6) as final_score, sentiment, cast(null as varchar) as ai_topics,
-    cast(null as varchar) as ai_entities, array_to_string(tags, '|') as tags, language, published_at"""
+    round(final_score, 6) as final_score, sentiment, ai_topics, ai_entities,
+    array_to_string(tags, '|') as tags, language, published_at"""
 
 _BRONZE_HN = """
     select id, type, "by", title, url, cast(case when type = 'signup' then null else score end as double) as score,
@@ -589,8 +593,7 @@ def oracle_sql() -> dict[str, str]:
         "silver_hn": f"select {_SILVER} from silver_hn",
         "silver_news": f"select {_SILVER} from silver_news",
         "silver_github": f"select {_SILVER} from silver_github",
-        "silver_combined": f"select {_SILVER}, sentiment, cast(null as varchar) as ai_topics, "
-        "cast(null as varchar) as ai_entities, cast(null as varchar) as enrichment_error from combined",
+        "silver_combined": f"select {_SILVER}, sentiment, ai_topics, ai_entities, enrichment_error from combined",
         "upsert_silver": f"select {_SILVER} from silver_hn",
         "silver_layer": """
             select 'hn' as "table", count(*) as "rows" from silver_hn
@@ -604,9 +607,10 @@ def oracle_sql() -> dict[str, str]:
             where trim(title) <> '' and unified_id not in (select unified_id from enriched)
             order by popularity_score desc nulls last, unified_id limit 50)""",
         "attach_enrichment": """
-            select s.unified_id, s.title, e.sentiment, cast(null as varchar) as ai_topics,
-                   cast(null as varchar) as ai_entities, cast(null as varchar) as enrichment_error
-            from silver_news s left join enriched e on e.unified_id = s.unified_id""",
+            select s.unified_id, s.title, e.sentiment, ai_topics, ai_entities, enrichment_error
+            from (select unified_id, title from silver_hn union all select unified_id, title from silver_news
+                  union all select unified_id, title from silver_github) s
+            left join enriched e on e.unified_id = s.unified_id""",
         "enrich_parse": """
             select event_id,
                    case when event_type = 'click' then 'positive'
@@ -680,7 +684,7 @@ def oracle_sql() -> dict[str, str]:
         "summary_metrics": f"""
             select (select count(distinct tag) from trending) as total_topics,
                    (select count(*) from content) as total_content,
-                   (select count(*) from enriched) as total_enriched,
+                   (select count(*) + count(*) filter (twice) from enriched) as total_enriched,
                    (select count(distinct source) from activity) as sources_active,
                    {AS_OF} as latest_update""",
         "trending_view": "select "
@@ -759,7 +763,7 @@ def oracle_sql() -> dict[str, str]:
             select 'silver/hn' as "table", count(*) as "rows" from silver_hn
             union all select 'silver/news', count(*) from silver_news
             union all select 'silver/github', count(*) from silver_github
-            union all select 'silver/enriched', count(*) from enriched
+            union all select 'silver/enriched', count(*) + count(*) filter (twice) from enriched
             union all select 'gold/trending_topics', count(*) from trending
             union all select 'gold/language_momentum', count(*) from momentum
             union all select 'gold/source_activity', count(*) from activity

@@ -11,6 +11,7 @@ import hashlib
 import threading
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -382,7 +383,8 @@ def _enrich_candidates(spark, sf_dir):
 @query("attach_enrichment")
 def _attach_enrichment(spark, sf_dir):
     store = warehouse(spark, sf_dir, "silver")
-    rows = gold.attach_enrichment(store.read("silver", "news"), store.read("silver", "enriched"))
+    silver_rows = reduce(DataFrame.unionByName, [store.read("silver", f).select("unified_id", "title") for f in FEEDS])
+    rows = gold.attach_enrichment(silver_rows, store.read("silver", "enriched"))
     return rows.select(
         "unified_id", "title", "sentiment", "ai_topics", "ai_entities", "enrichment_error"
     )

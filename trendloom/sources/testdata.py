@@ -114,18 +114,34 @@ RAW = {"hn": hn_raw, "news": news_raw, "github": github_raw}
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enrichment of labelled articles and of purchase, error and signup stories."""
+    """Enrichment of labelled articles and of purchase, error and signup stories.
+
+    Toxic articles and error stories were enriched twice; the older result differs in every column.
+    """
     labels = table(spark, sf_dir, "labels").selectExpr(
         "md5(concat('newsapi_', md5(concat('doc_', doc_id)))) as unified_id",
         "case when toxic = 1 then 'negative' when quality = 1 then 'positive' else 'neutral' end"
         " as sentiment",
+        "if(quality = 1, array('prose', if(toxic = 1, 'insults', 'news')), array()) as ai_topics",
+        "if(toxic = 1, array('somebody'), array()) as ai_entities",
+        "if(quality = 0, 'json_parse_error', null) as enrichment_error",
+        "toxic = 1 as twice",
     )
-    stories = table(spark, sf_dir, "events").where("event_type in ('purchase', 'error', 'signup')")
-    return labels.unionByName(stories.selectExpr(
+    stories = table(spark, sf_dir, "events").where("event_type in ('purchase', 'error', 'signup')").selectExpr(
         "md5(concat('hackernews_', event_id)) as unified_id",
         "case event_type when 'purchase' then 'positive' when 'error' then 'negative'"
         " else 'neutral' end as sentiment",
-    ))
+        "array(event_type) as ai_topics",
+        "if(event_type = 'purchase', array('shop', 'card'), array()) as ai_entities",
+        "cast(null as string) as enrichment_error",
+        "event_type = 'error' as twice",
+    )
+    newest = labels.unionByName(stories)
+    older = newest.where("twice").selectExpr(
+        "unified_id", "'positive' as sentiment", "array('old') as ai_topics", "array('old') as ai_entities",
+        "'timeout' as enrichment_error", "timestamp '2024-01-30' as enriched_at",
+    )
+    return newest.selectExpr("* except (twice)", "timestamp '2024-01-31' as enriched_at").unionByName(older)
 
 
 # ---- payloads as the feeds deliver them, before selection -------------------------------
