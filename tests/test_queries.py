@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tools.check import rows_of
-from trendloom.plans import jobs
+from trendloom.plans import gold, jobs
 from trendloom.registry import oracles
 from trendloom.registry import queries as registered
 from trendloom.registry.queries import warehouse
@@ -60,8 +60,16 @@ def test_jobs_from_bronze_to_documents(spark, sf_dir, folder):
     assert counts == jobs.run_gold(store, testdata.AS_OF)
     assert all(counts.values())
     assert "description" not in store.read("work", "combined").columns
-    assert store.read("gold", "top_content").filter("source = 'newsapi' and description is not null").count() > 0
+    told = lambda df: sorted((r.global_rank, str(r.title), str(r.description), str(r.url)) for r in df.collect())
+    whole = gold.top_content(jobs.load_combined(store), testdata.AS_OF)
+    assert told(store.read("gold", "top_content")) == told(whole) and whole.filter("description is not null").count() > 0
+    told = jobs.report(store)
+    assert {r["table"]: r["rows"] for r in told["rows"]}["silver/hn"] == first["hn"]
+    assert told["errors"] == [{"total": 20, "errors": 0, "error_pct": 0.0}] and told["hn rows without id"] == [{"rows": 0}]
+    assert store.compact("silver", "hn") == first["hn"]
     assert jobs.run_retrieval(store) == store.read("gold", "documents").count() > 0
+    questions = spark.createDataFrame([("1", "What about rust?"), ("2", "")], "question_id string, question string")
+    assert jobs.run_questions(store, questions) == store.read("gold", "answers").count() == 2
 
 
 def test_gold_reads_only_the_columns_it_needs(spark, sf_dir):

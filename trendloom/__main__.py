@@ -1,10 +1,14 @@
 """Run a job from the command line.
 
     python -m trendloom bronze    --root s3a://lake --checkpoints s3a://lake/_cp --servers broker:9092
+                                  [--interval "30 seconds"] [--broker-option maxOffsetsPerTrigger=100000 ...]
     python -m trendloom silver    --root s3a://lake [--since 2024-01-31T00:00:00]
-    python -m trendloom enrich    --root s3a://lake [--size 50]
+    python -m trendloom compact   --root s3a://lake
+    python -m trendloom enrich    --root s3a://lake [--size 50] [--max-chars 800] [--list-size 4]
     python -m trendloom gold      --root s3a://lake
     python -m trendloom documents --root s3a://lake
+    python -m trendloom ask       --root s3a://lake --questions s3a://lake/questions
+    python -m trendloom report    --root s3a://lake
 """
 
 from __future__ import annotations
@@ -22,13 +26,18 @@ from trendloom.streaming.bronze import await_feeds, start_feeds
 
 def arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="trendloom", description="Trend analytics jobs")
-    parser.add_argument("job", choices=["bronze", "silver", "enrich", "gold", "documents"])
+    parser.add_argument("job", choices=["bronze", "silver", "compact", "enrich", "gold", "documents", "ask", "report"])
     parser.add_argument("--root", required=True, help="folder of the table layers")
     parser.add_argument("--format", choices=["delta", "parquet"], help="default: delta if installed")
     parser.add_argument("--servers", default="localhost:9092", help="message brokers (bronze)")
     parser.add_argument("--checkpoints", help="folder of the stream checkpoints (bronze)")
     parser.add_argument("--by-day", action="store_true", help="split Bronze by day of arrival (bronze)")
     parser.add_argument("--since", type=datetime.fromisoformat, help="earliest Bronze arrival (silver)")
+    parser.add_argument("--interval", default="30 seconds", help="time between triggers (bronze)")
+    parser.add_argument("--broker-option", action="append", default=[], metavar="NAME=VALUE", help="option of the broker source (bronze)")
+    parser.add_argument("--max-chars", type=int, help="budget of text per row; default: whole texts (enrich)")
+    parser.add_argument("--list-size", type=int, default=enrich.LIST_SIZE, help="topics and entities kept (enrich)")
+    parser.add_argument("--questions", help="Parquet table of question_id and question (ask)")
     parser.add_argument("--size", type=int, default=enrich.RUN_SIZE, help="rows to enrich")
     parser.add_argument("--parallel-calls", type=int, help="tasks that call the model")
     return parser.parse_args()
@@ -39,19 +48,29 @@ def main() -> None:
     spark = create_session(f"trendloom-{options.job}")
     store = TableStore(spark, options.root, options.format)
     if options.job == "bronze":
-        sources = {n: topic_stream(spark, feed.topic, options.servers) for n, feed in FEEDS.items()}
+        broker = dict(pair.split("=", 1) for pair in options.broker_option)
+        sources = {n: topic_stream(spark, feed.topic, options.servers, **broker) for n, feed in FEEDS.items()}
         checkpoints = options.checkpoints or f"{store.root}/_checkpoints"
         await_feeds(spark, start_feeds(
-            sources, store.path("bronze", ""), checkpoints, fmt=store.format, by_day=options.by_day
+            sources, store.path("bronze", ""), checkpoints, options.interval, store.format, options.by_day
         ))
     elif options.job == "silver":
         print(jobs.run_silver(store, since=options.since))
     elif options.job == "enrich":
-        print(jobs.run_enrichment(store, size=options.size, parallel_calls=options.parallel_calls))
+        print(jobs.run_enrichment(
+            store, size=options.size, parallel_calls=options.parallel_calls, max_chars=options.max_chars, list_size=options.list_size
+        ))
     elif options.job == "gold":
         print(jobs.run_gold(store))
-    else:
+    elif options.job == "documents":
         print(jobs.run_retrieval(store))
+    elif options.job == "compact":
+        print({feed: store.compact("silver", feed) for feed in FEEDS if store.exists("silver", feed)})
+    elif options.job == "ask":
+        print(jobs.run_questions(store, spark.read.parquet(options.questions)))
+    else:
+        for name, rows in jobs.report(store).items():
+            print(name, *rows, sep="\n  ")
     spark.stop()
 
 

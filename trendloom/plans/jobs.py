@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.operators.models import EmbedderFactory, ResponderFactory
-from trendloom.plans import enrich, gold, retrieval
-from trendloom.plans.silver import moment, to_silver
+from trendloom.plans import enrich, gold, metrics, retrieval
+from trendloom.plans.silver import map_feed, moment, to_silver
 from trendloom.schemas import FEEDS, INGEST_DAY
 from trendloom.sources.tables import TableStore
 
@@ -125,6 +125,38 @@ def run_gold(
     return side_by_side({name: partial(run, name) for name in BUILDERS})
 
 
+def report(store: TableStore) -> dict[str, list[dict]]:
+    """Counts that describe the stored tables: rows per table, sentiments and error rate of the
+    enrichment, and Bronze rows that Silver leaves out because they have no id.
+    """
+    names = [*(("bronze", f) for f in FEEDS), *(("silver", f) for f in (*FEEDS, "enriched")), *(("gold", b) for b in BUILDERS)]
+    tables = {f"{layer}/{name}": store.read_if_exists(layer, name) for layer, name in names}
+    found = {"rows": metrics.layer_counts(store.spark, tables)}
+    enriched = tables["silver/enriched"]
+    if enriched is not None:
+        found["errors"] = metrics.enrichment_errors(enriched)
+        if "source" in enriched.columns:
+            found["sentiments"] = metrics.sentiment_distribution(enriched)
+    for feed in FEEDS:
+        if (bronze := tables[f"bronze/{feed}"]) is not None:
+            found[f"{feed} rows without id"] = metrics.rows_without_id(map_feed(bronze, feed))
+    return {name: [row.asDict() for row in df.collect()] for name, df in found.items()}
+
+
+def run_questions(
+    store: TableStore,
+    questions: DataFrame,
+    embedder: EmbedderFactory | None = None,
+    responder: ResponderFactory | None = None,
+    k: int = retrieval.RESULTS_PER_QUESTION,
+) -> int:
+    """Ask a table of questions (``question_id``, ``question``) of the embedded documents; prompts,
+    and answers if a responder is given, are appended to ``gold/answers``. Returns questions asked.
+    """
+    asked = retrieval.ask(questions, store.read("gold", "documents"), k, embedder, responder)
+    return store.append(asked, "gold", "answers")
+
+
 def run_retrieval(store: TableStore, embedder: EmbedderFactory | None = None) -> int:
     """Rebuild the embedded documents from the Gold tables; returns documents written."""
     documents = retrieval.document_corpus(

@@ -462,7 +462,16 @@ def oracle_sql() -> dict[str, str]:
             qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",
         # ---- Bronze
         "bronze_parse": _BRONZE_HN,
-        "bronze_stream": _BRONZE_HN,
+        "bronze_stream": f"""
+            with hn as ({_BRONZE_HN})
+            select cast(id as varchar) as key, title as name, "text" as body, score as points, url, ingested_at, source,
+                   pipeline_version, kafka_timestamp, kafka_topic from hn
+            union all
+            select article_id, title, description, null, url, '2024-01-31T00:00:00+00:00', 'newsapi', '1.0.0',
+                   ingested_at, 'news-raw' from news_raw
+            union all
+            select cast(repo_id as varchar), repo_name, description, cast(stars as double), repo_url,
+                   '2024-01-31T00:00:00+00:00', 'github', '1.0.0', ingested_at, 'github-raw' from github_raw""",
         "bronze_news": """
             select article_id, title, description, url,
                    strftime(published_at, '%Y-%m-%dT%H:%M:%SZ') as published_at, author, source_name,
@@ -478,7 +487,14 @@ def oracle_sql() -> dict[str, str]:
                    '1.0.0' as pipeline_version, ingested_at as kafka_timestamp,
                    'github-raw' as kafka_topic
             from github_raw""",
-        "first_seen_stream": "select distinct id from hn_raw where type <> 'error'",
+        "first_seen_stream": """
+            select distinct 'hn' as feed, cast(id as varchar) as id from hn_raw where type <> 'error'
+            union all select distinct 'news', article_id from news_raw
+            union all select distinct 'github', cast(repo_id as varchar) from github_raw""",
+        "rows_without_id": """
+            select 'hn' as feed, count(*) filter (type = 'view') as "rows" from hn_raw
+            union all select 'news', count(*) filter (query_tag = 'Rust' or query_tag is null) from news_raw
+            union all select 'github', count(*) filter (repo_id is null) from github_raw""",
         # ---- feed selection
         "hn_feed": """
             with members as (

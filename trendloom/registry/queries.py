@@ -209,48 +209,75 @@ def _bronze_parse(spark, sf_dir):
     return rows.withColumn("score", F.col("score").cast("double"))
 
 
+def all_messages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Messages of the three feeds."""
+    body = F.to_json(F.struct("*"))
+    return {
+        "hn": hn_messages(spark, sf_dir),
+        "news": _as_messages(testdata.news_raw(spark, sf_dir), body, "article_id", "news-raw"),
+        "github": _as_messages(testdata.github_raw(spark, sf_dir), body, "repo_id", "github-raw"),
+    }
+
+
 @query("bronze_news")
 def _bronze_news(spark, sf_dir):
-    raw = testdata.news_raw(spark, sf_dir)
-    return bronze.parse_messages(
-        _as_messages(raw, F.to_json(F.struct("*")), "article_id", "news-raw"), FEEDS["news"], AS_OF
-    )
+    return bronze.parse_messages(all_messages(spark, sf_dir)["news"], FEEDS["news"], AS_OF)
 
 
 @query("bronze_github")
 def _bronze_github(spark, sf_dir):
-    raw = testdata.github_raw(spark, sf_dir)
-    return bronze.parse_messages(
-        _as_messages(raw, F.to_json(F.struct("*")), "repo_id", "github-raw"), FEEDS["github"], AS_OF
-    )
+    return bronze.parse_messages(all_messages(spark, sf_dir)["github"], FEEDS["github"], AS_OF)
+
+
+def _streams(store: TableStore, sf_dir: str) -> dict[str, DataFrame]:
+    """The messages of the three feeds as file streams."""
+    for feed, sent in all_messages(store.spark, sf_dir).items():
+        sent.write.parquet(store.path("messages", feed))
+    return {feed: messages.file_stream(store.spark, store.path("messages", feed)) for feed in FEEDS}
 
 
 @query("bronze_stream")
 def _bronze_stream(spark, sf_dir):
-    """Messages through the file source, the parse and the append sink; then the stored table."""
+    """Messages of all feeds through the file source, the parse and the append sink; then the stored tables."""
     store = _fresh_store(spark, "stream")
-    hn_messages(spark, sf_dir).write.parquet(store.path("messages", "hn"))
-    started = bronze.start_feeds(
-        {"hn": messages.file_stream(spark, store.path("messages", "hn"))},
-        store.path("bronze", ""), store.path("checkpoints", ""), every=None,
-    )
-    bronze.finish_feeds(started)
-    return store.read("bronze", "hn").withColumn("score", F.col("score").cast("double"))
+    bronze.finish_feeds(bronze.start_feeds(
+        _streams(store, sf_dir), store.path("bronze", ""), store.path("checkpoints", ""), every=None
+    ))
+    hn, news, github = (store.read("bronze", feed) for feed in FEEDS)
+    common = ["url", "ingested_at", "source", "pipeline_version", "kafka_timestamp", "kafka_topic"]
+    return reduce(DataFrame.unionByName, [
+        hn.selectExpr("cast(id as string) as key", "title as name", "`text` as body", "cast(score as double) as points", *common),
+        news.selectExpr("article_id as key", "title as name", "description as body", "cast(null as double) as points", *common),
+        github.selectExpr("cast(repo_id as string) as key", "repo_name as name", "description as body", "cast(stars as double) as points", "repo_url as url", *common[1:]),
+    ])
 
 
 @query("first_seen_stream")
 def _first_seen_stream(spark, sf_dir):
-    """Ids of a stream with re-sent messages, each once."""
-    store = _fresh_store(spark, "stream")
-    hn_messages(spark, sf_dir).write.parquet(store.path("messages", "hn"))
-    parsed = bronze.parse_messages(
-        messages.file_stream(spark, store.path("messages", "hn")), FEEDS["hn"]
-    )
-    once = dedup.first_seen_stream(parsed, "id", "kafka_timestamp", "40 days").select("id")
-    bronze.start_append(
-        once, store.path("bronze", "ids"), store.path("checkpoints", "ids"), every=None
-    ).awaitTermination()
-    return store.read("bronze", "ids")
+    """Ids of all feeds' streams, with re-sent messages, each once."""
+    store, ids = _fresh_store(spark, "stream"), {"hn": "id", "news": "article_id", "github": "repo_id"}
+    started = {}
+    for feed, stream in _streams(store, sf_dir).items():
+        once = dedup.first_seen_stream(bronze.parse_messages(stream, FEEDS[feed]), ids[feed], "kafka_timestamp", "40 days")
+        started[feed] = bronze.start_append(
+            once.select(F.col(ids[feed]).cast("string").alias("id")), store.path("first", feed), store.path("checkpoints", feed), every=None
+        )
+    bronze.finish_feeds(started)
+    return reduce(DataFrame.union, [store.read("first", feed).select(F.lit(feed).alias("feed"), "id") for feed in FEEDS])
+
+
+@query("rows_without_id")
+def _rows_without_id(spark, sf_dir):
+    """Mapped rows that Silver leaves out because nothing names them: messages that have lost their ids."""
+    unnamed = {
+        "hn": testdata.hn_raw(spark, sf_dir).withColumn("id", F.when(F.col("type") != "view", F.col("id"))),
+        "news": testdata.news_raw(spark, sf_dir).withColumn("article_id", F.when(F.col("query_tag") != "Rust", F.col("article_id"))),
+        "github": testdata.github_raw(spark, sf_dir),
+    }
+    return reduce(DataFrame.union, [
+        metrics.rows_without_id(silver.map_feed(rows, feed, AS_OF)).select(F.lit(feed).alias("feed"), "rows")
+        for feed, rows in unnamed.items()
+    ])
 
 
 # ---- feed selection ---------------------------------------------------------------------
