@@ -32,6 +32,12 @@ LEADERBOARD_DAYS = 7
 LEADERBOARD_PER_SOURCE = 50
 SAMPLE_TITLES = 3
 
+# Factors of the scores.
+TREND_MENTION, TREND_POPULARITY, TREND_SOURCE = 1.0, 0.5, 10.0
+MOMENTUM_MENTION = 5.0
+ACTIVITY_SENTIMENT = 0.1
+STARS_PER_POINT, SECONDS_PER_POINT = 10.0, 1e9
+
 _ENRICHMENT = ("sentiment", "ai_topics", "ai_entities", "enrichment_error")
 
 
@@ -149,8 +155,8 @@ def trending_topics(
             ),
         })
     )
-    volume = F.col("mention_count") * 1.0
-    reach = F.col("avg_popularity") * 0.5 + F.col("source_diversity") * 10.0
+    volume = F.col("mention_count") * TREND_MENTION
+    reach = F.col("avg_popularity") * TREND_POPULARITY + F.col("source_diversity") * TREND_SOURCE
     scored = counted.withColumn("trend_score", (volume + reach) * F.col("avg_sentiment_weight"))
     titled = scored.join(sample_titles(mentions), ["hour_window", "tag"], "left")
     return rank_by_score(titled, ["hour_window"], "trend_score", "rank_in_hour", scored).select(
@@ -214,7 +220,7 @@ def language_momentum(
         .otherwise(S.NEUTRAL),
     }).withColumn(
         "momentum_score",
-        (F.col("total_stars") + F.col("mention_count") * 5.0) * F.col("avg_sentiment_weight"),
+        (F.col("total_stars") + F.col("mention_count") * MOMENTUM_MENTION) * F.col("avg_sentiment_weight"),
     )
     day = Window.partitionBy("day_window").orderBy(F.col("momentum_score").desc_nulls_last())
     return scored.select(
@@ -254,7 +260,7 @@ def source_activity(combined: DataFrame, as_of: datetime | None = None) -> DataF
         "avg_popularity": F.try_divide("_popularity", "_scored"),
         "avg_sentiment_score": mood,
     })
-    lift = F.lit(1.0) + F.col("avg_sentiment_score") * 0.1
+    lift = F.lit(1.0) + F.col("avg_sentiment_score") * ACTIVITY_SENTIMENT
     return measured.select(
         "hour_window", "source", "item_count", "avg_popularity", "peak_popularity",
         F.col("_popularity").alias("total_popularity"),
@@ -281,9 +287,9 @@ def normalised_score() -> Column:
     """One scale over the feeds: stars are worth a tenth of a vote, news ranks by recency."""
     popularity = F.col("popularity_score").cast("double")
     return (
-        F.when(F.col("source") == GITHUB, popularity / 10.0)
+        F.when(F.col("source") == GITHUB, popularity / STARS_PER_POINT)
         .when(F.col("source") == HACKERNEWS, popularity)
-        .otherwise(F.unix_timestamp("published_at").cast(T.DoubleType()) / 1e9)
+        .otherwise(F.unix_timestamp("published_at").cast(T.DoubleType()) / SECONDS_PER_POINT)
     )
 
 
