@@ -100,13 +100,23 @@ def test_merge_dropout_varies_and_repeats(spark):
         pieces.transcode(docs.selectExpr("*", "1 as n_pieces"))
 
 
-def test_memory_of_words_changes_nothing(monkeypatch):
+def test_agendas_in_step_equal_single_ones(monkeypatch):
     model = pieces.Model(pieces.read_model(pieces.MODEL))
-    text = prose(random.Random(1), 300)
-    want = pieces.Encoder(model, 0.3, 1, 4).encode(text, "7")
-    monkeypatch.setattr(pieces, "REMEMBERED", 3)
-    small = pieces.Encoder(model, 0.3, 1, 4)
-    assert small.encode(text, "7") == want and model.decode(want) == text
+    rng = random.Random(1)
+    text = prose(rng, 300) + " The international unbelievable ÜBERSETZUNG 12345,67 " + "".join(rng.choice("abei ▁\n😀") for _ in range(400)) + " " + "the" * 40
+    for dropout in (0, 0.3, 1.0):
+        encoder = pieces.Encoder(model, dropout, 1, 4)
+        chunks = pieces._CHUNK.findall(f" {text}")
+        drawn = encoder.draw("7", len(chunks))
+        keys = encoder.keys(chunks, drawn)
+        single = [model.segment(c, encoder.below, int(k)) for c, k in zip(chunks, keys)]
+        assert model.segment_all(chunks, encoder.below, keys) == single
+        want = [k for ids in single for k in ids]
+        assert encoder.encode([text, None, ""], ["7", "8", None]) == [want, None, []] and model.decode(want) == text
+        monkeypatch.setattr(pieces, "REMEMBERED", 3)
+        monkeypatch.setattr(pieces, "STEP", 5)
+        small = pieces.Encoder(model, dropout, 1, 4)
+        assert small.encode(["a b c"], ["1"]) and small.encode([text], ["7"]) == [want]
 
 
 # ---- licenses -------------------------------------------------------------------------------

@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendloom.llm.shared import mix, mix_int, small_batches
+from trendloom.llm.shared import by_bytes, mix, small_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: A model is sent to the tasks with the plan; larger files are refused.
@@ -26,13 +27,31 @@ MODEL_BYTES = 32 << 20
 DROPOUT, SEED = 0.1, 42
 #: Ways in which the occurrences of one word may be drawn; a worker remembers them per word.
 DRAWS = 16
-#: Remembered words; the memory is emptied when it is full, which changes no result.
-REMEMBERED = 300_000
+#: Remembered words; the memory is emptied when it is full, which changes no result. Words that are
+#: worked off together, and text bytes that are encoded together.
+REMEMBERED, STEP, ENCODE_BYTES = 300_000, 20_000, 2 << 20
 
 #: Spaces with the word behind them. No piece has a space behind another character, so no merge
 #: crosses from one such chunk to the next.
 _CHUNK = re.compile(" *[^ ]+| +")
 SPACE = "▁"
+#: The rank of a pair that is no piece, and the lengths up to which chunks are worked off together.
+NEVER, WIDTHS = float("inf"), (4, 8, 12, 20, 32)
+
+_MASK = (1 << 64) - 1
+
+
+def skip_hash(key: int, start: int, split: int, end: int) -> int:
+    """64-bit hash of a candidate merge, the pieces ``[start, split)`` and ``[split, end)`` of a chunk."""
+    x = (key ^ (start << 42 | split << 21 | end)) * 0x9E3779B97F4A7C15 & _MASK
+    return (x ^ x >> 32) * 0xD6E8FEB86659FD93 & _MASK
+
+
+def skip_hashes(keys: np.ndarray, start: np.ndarray, split: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """:func:`skip_hash` of many candidates."""
+    x = (keys ^ (start << 42 | split << 21 | end).astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    return (x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+
 
 RESULT = (
     T.StructField("n_pieces", T.LongType()), T.StructField("ids_sha256", T.StringType()),
@@ -49,7 +68,8 @@ class Model:
         lib = sentencepiece.SentencePieceProcessor(model_proto=proto)
         if lib.normalize("a  b ") != f"{SPACE}a{SPACE}{SPACE}b{SPACE}":
             raise ValueError("the model changes texts before it encodes them; it can't be lossless")
-        self.known: dict[str, tuple[float, int]] = {}
+        self.ranks: dict[str, float] = {}
+        self.ids: dict[str, int] = {}
         self.bytes: list[bytes] = []
         fallback = {}
         for k in range(lib.vocab_size()):
@@ -63,30 +83,55 @@ class Model:
                 plain = piece.replace(SPACE, " ")
                 if " " in plain.lstrip(" "):
                     raise ValueError(f"piece {piece!r} has a space inside")
-                self.known[plain] = (-lib.get_score(k), k)
+                self.ranks[plain], self.ids[plain] = -lib.get_score(k), k
                 self.bytes.append(plain.encode())
         if len(fallback) != 256:
             raise ValueError("the model has no piece for some bytes; it can't be lossless")
         self.fallback = [fallback[b] for b in range(256)]
+        # Every pair of pieces that makes a piece, by the number of the pair, and what it makes.
+        ids, self.size = self.ids, lib.vocab_size()
+        pairs = sorted(
+            (ids[piece[:k]] * self.size + ids[piece[k:]], number)
+            for piece, number in ids.items() for k in range(1, len(piece)) if piece[:k] in ids and piece[k:] in ids
+        )
+        self.pairs = np.array([k for k, _ in pairs] or [-1], np.int64)
+        self.makes = np.array([n for _, n in pairs] or [-1], np.int32)
+        self.rank_of = np.zeros(self.size, np.float32)
+        self.rank_of[list(ids.values())] = [self.ranks[piece] for piece in ids]
+        self.letters = np.full(0x110000, -1, np.int32)
+        for piece, number in ids.items():
+            if len(piece) == 1:
+                self.letters[ord(piece)] = number
 
     def segment(self, chunk: str, dropout: int, key: int) -> tuple[int, ...]:
         """Piece ids of one chunk. ``dropout``: of 2**64 hash values, those below skip a merge."""
-        known, text, n = self.known, list(chunk), len(chunk)
+        out: list[int] = []
+        for piece in self._merged(chunk, dropout, key):
+            found = self.ids.get(piece)
+            if found is not None:
+                out.append(found)
+            else:
+                out.extend(map(self.fallback.__getitem__, piece.encode()))
+        return tuple(out)
+
+    def _merged(self, chunk: str, dropout: int, key: int) -> list[str]:
+        """The pieces left when the agenda of merges is empty."""
+        rank, text, n = self.ranks.get, list(chunk), len(chunk)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        agenda: list[tuple[float, int, int, int, int]] = []
+        agenda: list[tuple[float, int, int, int]] = []
 
         def propose(left: int, right: int) -> None:
-            merged = known.get(text[left] + text[right])
-            if merged:
-                heapq.heappush(agenda, (merged[0], left, right, len(text[left]) + len(text[right]), merged[1]))
+            best = rank(text[left] + text[right])
+            if best is not None:
+                heapq.heappush(agenda, (best, left, right, right + len(text[right])))
 
         for k in range(n - 1):
             propose(k, k + 1)
         while agenda:
-            _, left, right, size, piece = heapq.heappop(agenda)
-            if not text[left] or not text[right] or len(text[left]) + len(text[right]) != size:
+            _, left, right, end = heapq.heappop(agenda)
+            if not text[left] or not text[right] or left + len(text[left]) != right or right + len(text[right]) != end:
                 continue
-            if dropout and mix_int(key ^ (left << 40 | size << 20 | piece)) < dropout:
+            if dropout and skip_hash(key, left, right, end) < dropout:
                 continue
             text[left] += text[right]
             text[right] = ""
@@ -96,15 +141,80 @@ class Model:
                 propose(left, follow)
             if before[left] >= 0:
                 propose(before[left], left)
-        out: list[int] = []
-        for piece in text:
-            if piece:
-                found = known.get(piece)
-                if found:
-                    out.append(found[1])
-                else:
-                    out.extend(map(self.fallback.__getitem__, piece.encode()))
-        return tuple(out)
+        return [piece for piece in text if piece]
+
+    def _pair(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece that each pair of pieces makes, and its rank; no piece has rank NEVER."""
+        key = left.astype(np.int64) * self.size + right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        found = (self.pairs[at] == key) & (left >= 0) & (right >= 0)
+        return self.makes[at], np.where(found, self.rank_of[self.makes[at]], np.float32(NEVER))
+
+    def segment_all(self, chunks: list[str], dropout: int, keys: np.ndarray) -> list[tuple[int, ...]]:
+        """:meth:`segment` of many chunks, whose agendas are worked off in step.
+
+        Long chunks are worked off one by one.
+        """
+        out: list = [None] * len(chunks)
+        sizes = np.array([len(c) for c in chunks], np.int64)
+        for low, high in zip((0, *WIDTHS), WIDTHS):
+            rows = np.flatnonzero((sizes > low) & (sizes <= high))
+            if not len(rows):
+                continue
+            lengths = sizes[rows]
+            codes = np.frombuffer("".join([chunks[r] for r in rows.tolist()]).encode("utf-32-le", "surrogatepass"), np.uint32)
+            # A character that is no piece stands as the negative of its number and joins no pair.
+            ids = np.full((len(rows), high + 1), -1, np.int32)
+            letters = self.letters[codes]
+            ids[np.arange(high + 1) < lengths[:, None]] = np.where(letters < 0, -2 - codes.astype(np.int32), letters)
+            for row, pieces in zip(rows.tolist(), self._in_step(ids, lengths, dropout, keys[rows])):
+                out[row] = pieces
+        return [self.segment(c, dropout, int(k)) if p is None else p for c, p, k in zip(chunks, out, keys)]
+
+    def _in_step(self, ids: np.ndarray, lengths: np.ndarray, dropout: int, keys: np.ndarray) -> list[tuple[int, ...]]:
+        n, width = ids.shape
+        place = np.arange(width, dtype=np.int64)
+        nxt = np.minimum(place + 1, lengths[:, None]).ravel()
+        prv = np.tile(place - 1, n)
+        alive = (place < lengths[:, None]).ravel()
+        makes, ranks = np.zeros((n, width), np.int32), np.full((n, width), NEVER, np.float32)
+        first, rank = self._pair(ids[:, :-1].ravel(), ids[:, 1:].ravel())
+        makes[:, :-1], ranks[:, :-1] = first.reshape(n, width - 1), rank.reshape(n, width - 1)
+        flat_ids, flat_makes, flat_ranks = ids.ravel(), makes.ravel(), ranks.ravel()
+        open_ = np.arange(n)
+        while len(open_):
+            k = ranks[open_].argmin(axis=1)
+            at = open_ * width + k
+            going = flat_ranks[at] < NEVER
+            open_, k, at = open_[going], k[going], at[going]
+            row = open_ * width
+            split = nxt[at]
+            end = nxt[row + split]
+            if dropout:
+                skip = skip_hashes(keys[open_], k, split, end) < np.uint64(dropout)
+                flat_ranks[at[skip]] = NEVER
+                row, k, at, split, end = row[~skip], k[~skip], at[~skip], split[~skip], end[~skip]
+            flat_ids[at] = flat_makes[at]
+            nxt[at], prv[row + end] = end, k
+            alive[row + split] = False
+            flat_ranks[row + split] = NEVER
+            flat_makes[at], flat_ranks[at] = self._pair(flat_ids[at], flat_ids[row + end])
+            has = prv[at] >= 0
+            left = row[has] + prv[at[has]]
+            flat_makes[left], flat_ranks[left] = self._pair(flat_ids[left], flat_ids[at[has]])
+        numbers = flat_ids[alive].tolist()
+        cuts = np.concatenate([[0], np.cumsum(alive.reshape(n, width).sum(axis=1))]).tolist()
+        odd = (alive & (flat_ids < 0)).reshape(n, width).any(axis=1).tolist()
+        return [
+            self._with_bytes(numbers[a:b]) if bytes_ else tuple(numbers[a:b])
+            for a, b, bytes_ in zip(cuts[:-1], cuts[1:], odd)
+        ]
+
+    def _with_bytes(self, numbers: list[int]) -> tuple[int, ...]:
+        """Ids in which characters that are no piece are the pieces of their bytes."""
+        return tuple(
+            k for n in numbers for k in ((n,) if n >= 0 else map(self.fallback.__getitem__, chr(-2 - n).encode()))
+        )
 
     def decode(self, ids) -> str:
         """The text of piece ids; the space that encoding puts in front is taken off."""
@@ -120,36 +230,43 @@ class Encoder:
         self.below = min(int(dropout * 2**64), 2**64 - 1)
         self.key = int.from_bytes(hashlib.blake2b(str(seed).encode(), digest_size=8).digest())
         self.seen: list[dict[str, tuple[int, ...]]] = [{} for _ in range(draws)]
-        self.room = REMEMBERED
-
-    def _new(self, chunk: str, draw: int) -> tuple[int, ...]:
-        key = self.key
-        if self.below:
-            own = hashlib.blake2b(chunk.encode(), digest_size=8, key=draw.to_bytes(4)).digest()
-            key ^= int.from_bytes(own)
-        ids = self.model.segment(chunk, self.below, key)
-        if len(chunk) <= 64:
-            if not self.room:
-                self.seen, self.room = [{} for _ in range(self.draws)], REMEMBERED
-            self.seen[draw][chunk] = ids
-            self.room -= 1
-        return ids
-
-    def encode(self, text: str, doc: str) -> list[int]:
-        """Piece ids of a text. ``doc`` keys the draw of each of its words."""
-        if not text:
-            return []
-        chunks = _CHUNK.findall(f" {text}")
-        if self.below and self.draws > 1:
-            own = int.from_bytes(hashlib.blake2b(doc.encode(), digest_size=8).digest()) ^ self.key
-            with np.errstate(over="ignore"):
-                places = np.arange(len(chunks), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(own)
-            drawn = (mix(places) % np.uint64(self.draws)).tolist()
-        else:
-            drawn = [0] * len(chunks)
-        out: list[int] = []
-        for chunk, draw in zip(chunks, drawn):
-            out += self.seen[draw].get(chunk) or self._new(chunk, draw)
+
+    def keys(self, chunks: list[str], draws: list[int]) -> np.ndarray:
+        """Key of each chunk and draw, from which its merges are hashed."""
+        own = np.array([zlib.crc32(c.encode()) for c in chunks], np.uint64)
+        return mix(own << np.uint64(32) | np.array(draws, np.uint64)) ^ np.uint64(self.key)
+
+    def draw(self, doc: str, count: int) -> list[int]:
+        """Draw of each chunk of a document, by its place."""
+        if not self.below or self.draws == 1:
+            return [0] * count
+        own = int.from_bytes(hashlib.blake2b(doc.encode(), digest_size=8).digest()) ^ self.key
+        places = np.arange(count, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(own)
+        return (mix(places) % np.uint64(self.draws)).tolist()
+
+    def encode(self, texts: list[str | None], docs: list[str | None]) -> list[list[int] | None]:
+        """Piece ids of each text. ``docs`` keys the draws of its words."""
+        if sum(map(len, self.seen)) > REMEMBERED:
+            self.seen = [{} for _ in range(self.draws)]
+        seen, new, work = self.seen, {}, []
+        for text, doc in zip(texts, docs):
+            chunks = _CHUNK.findall(f" {text}") if text else []
+            drawn = self.draw(doc or "", len(chunks))
+            work.append((chunks, drawn))
+            for pair in zip(chunks, drawn):
+                if pair[0] not in seen[pair[1]]:
+                    new[pair] = None
+        chunks, drawn = [c for c, _ in new], [d for _, d in new]
+        for a in range(0, len(chunks), STEP):
+            part, draws = chunks[a : a + STEP], drawn[a : a + STEP]
+            for chunk, draw, pieces in zip(part, draws, self.model.segment_all(part, self.below, self.keys(part, draws))):
+                seen[draw][chunk] = pieces
+        out: list[list[int] | None] = []
+        for text, (chunks, drawn) in zip(texts, work):
+            ids: list[int] = []
+            for chunk, draw in zip(chunks, drawn):
+                ids += seen[draw][chunk]
+            out.append(None if text is None else ids)
         return out
 
 
@@ -165,28 +282,28 @@ def _transcoder(proto: bytes, dropout: float, seed: int, draws: int, ids: bool,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(proto)
         encoder = Encoder(model, dropout, seed, draws)
-        for batch in batches:
-            counts, digests, same, all_ids, texts = [], [], [], [], []
-            for text, doc in zip(batch.column("__text").to_pylist(), batch.column("__doc").to_pylist()):
-                if text is None:
-                    for column, value in ((counts, 0), (digests, None), (same, True), (all_ids, None), (texts, None)):
-                        column.append(value)
-                    continue
-                numbers = np.array(encoder.encode(text, doc or ""), np.int32)
-                back = model.decode(numbers.tolist())
-                counts.append(len(numbers))
-                digests.append(hashlib.sha256(numbers.astype("<i4").tobytes()).hexdigest())
-                same.append(back == text)
+        for table in by_bytes(batches, ENCODE_BYTES):
+            batch = table.combine_chunks().to_batches()[0] if table.num_rows else None
+            if batch is None:
+                continue
+            counts, digests, same, all_ids, back = [], [], [], [], []
+            texts = batch.column("__text").to_pylist()
+            for text, found in zip(texts, encoder.encode(texts, batch.column("__doc").to_pylist())):
+                numbers = None if found is None else np.array(found, np.int32)
+                plain = None if found is None else model.decode(found)
+                counts.append(0 if found is None else len(found))
+                digests.append(None if found is None else hashlib.sha256(numbers.astype("<i4").tobytes()).hexdigest())
+                same.append(plain == text)
                 if ids:
                     all_ids.append(numbers)
                 if decoded:
-                    texts.append(back)
+                    back.append(plain)
             columns = {n: batch.column(n) for n in batch.schema.names if n not in ("__text", "__doc")}
             columns |= {"n_pieces": pa.array(counts, pa.int64()), "ids_sha256": pa.array(digests, pa.string()), "lossless": pa.array(same, pa.bool_())}
             if ids:
                 columns["piece_ids"] = pa.array(all_ids, pa.list_(pa.int32()))
             if decoded:
-                columns["decoded"] = pa.array(texts, pa.string())
+                columns["decoded"] = pa.array(back, pa.string())
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
