@@ -9,7 +9,7 @@ DOCS = T.StructType([
     T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
 ])
 #: Names that operators use inside; documents that have them must not clash.
-EXTRA = ("id", "key", "digest", "n", "label", "spans", "shard", "__id", "bucket")
+EXTRA = ("id", "key", "digest", "n", "label", "spans", "shard", "__id", "bucket", "found", "lm", "n_pieces", "__text", "__doc", "lost", "license_id", "accepted")
 
 
 def prose(rng, n):

@@ -120,7 +120,9 @@ def test_second_pass_links_what_stars_miss(spark):
     out = near_dedup.near_groups(frame(spark, data)).collect()
     assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == near_brute(data)
     assert near_dedup.near_groups(frame(spark, [])).count() == 0
-    assert near_dedup.drop_near_copies(frame(spark)).schema == DOCS
+    wide = with_extra(frame(spark))
+    assert near_dedup.drop_near_copies(wide).schema == wide.schema
+    assert exact_dedup.drop_repeats(wide, exact_dedup.early_half(wide)).schema == wide.schema
 
 
 def test_min_max_signature_is_unbiased():
@@ -285,6 +287,8 @@ def test_quality_odd_tables(spark):
     assert len(out) == len(rows()) and all(r.accepted and r.score == 1 for r in out)  # one kind of label only
     assert quality.score_quality(docs.limit(0), labels, pages).count() == 0
     assert quality.drop_rejected(docs, labels.limit(0), pages).schema == DOCS
+    wide = with_extra(docs)
+    assert quality.drop_rejected(wide, labels, pages).schema == wide.schema
 
 
 def test_views_exchange_labels():

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendloom.llm.shared import by_bytes, small_batches
+from trendloom.llm.shared import by_bytes, free_name, small_batches
 
 WINDOW = 13
 #: Text bytes of one shard, and of one block of the benchmark.
@@ -171,12 +171,12 @@ def merge(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _searcher(block, window: int, shard_bytes: int) -> Callable:
+def _searcher(block, window: int, shard_bytes: int, text_name: str, output: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         suffixes = Suffixes(block.value, window)
         for shard in by_bytes(batches, shard_bytes):
-            texts = [item_words(t) for t in shard.column("__text").to_pylist()]
-            old = shard.column("found").to_pylist()
+            texts = [item_words(t) for t in shard.column(text_name).to_pylist()]
+            old = shard.column(output).to_pylist()
             rows = []
             for text, before, (spans, items, longest) in zip(texts, old, search(texts, suffixes, window)):
                 if before:
@@ -189,8 +189,8 @@ def _searcher(block, window: int, shard_bytes: int) -> Callable:
                     "n_words": len(text), "spans": spans, "item_ids": sorted(items), "longest_words": longest[0],
                     "longest_at": longest[1], "longest_item": longest[2],
                 })
-            at = shard.schema.get_field_index("found")
-            done = shard.set_column(at, "found", pa.array(rows, _ARROW)).combine_chunks()
+            at = shard.schema.get_field_index(output)
+            done = shard.set_column(at, output, pa.array(rows, _ARROW)).combine_chunks()
             yield from done.to_batches()
 
     return run
@@ -214,26 +214,26 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most: int):
 def find_benchmark(
     docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", window: int = WINDOW, shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES,
+    output: str = "found",
 ) -> DataFrame:
-    """All columns of ``docs`` and a struct ``found``: words, hit word runs ``[first, end)``, items,
+    """All columns of ``docs`` and a struct ``output``: words, hit word runs ``[first, end)``, items,
     and the longest verbatim match with its place and item.
 
     A window is ``window`` consecutive words of an item (the whole item if it has fewer). Null and
     empty texts have no words; items without words never match; an item without an id counts for
     the runs but is not listed. Repeated rows are judged each for itself. The benchmark travels to
     the tasks in blocks of ``block_bytes``, one after another over the same stream of documents, so
-    neither the driver nor a broadcast ever holds more than one block at once. A column named
-    ``found`` in ``docs`` gives an error.
+    neither the driver nor a broadcast ever holds more than one block at once. A column of
+    ``docs`` named as ``output`` is replaced.
     """
-    if "found" in docs.columns:
-        raise ValueError("documents already have a column 'found'")
-    spark = docs.sparkSession
+    docs = docs.drop(output)
+    spark, text_name = docs.sparkSession, free_name(docs, "__text")
     small_batches(spark)
-    kinds = T.StructType([*docs.schema.fields, T.StructField("__text", T.StringType()), T.StructField("found", FOUND)])
-    out = docs.select("*", F.col(text_col).cast("string").alias("__text"), F.lit(None).cast(FOUND).alias("found"))
+    kinds = T.StructType([*docs.schema.fields, T.StructField(text_name, T.StringType()), T.StructField(output, FOUND)])
+    out = docs.select("*", F.col(text_col).cast("string").alias(text_name), F.lit(None).cast(FOUND).alias(output))
     for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        out = out.mapInArrow(_searcher(spark.sparkContext.broadcast(block), window, shard_bytes), kinds)
-    return out.drop("__text")
+        out = out.mapInArrow(_searcher(spark.sparkContext.broadcast(block), window, shard_bytes, text_name, output), kinds)
+    return out.drop(text_name)
 
 
 def judge(found: DataFrame, *, rate: int = 20) -> DataFrame:
@@ -248,7 +248,8 @@ def judge(found: DataFrame, *, rate: int = 20) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that no benchmark passage contaminates, with their columns."""
-    found = find_benchmark(docs, benchmark, **options)
-    n_hit = F.aggregate("found.spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
-    bad = (n_hit > 0) & (20 * n_hit >= F.col("found.n_words"))
+    name = free_name(docs, "found")
+    found = find_benchmark(docs, benchmark, output=name, **options)
+    n_hit = F.aggregate(f"{name}.spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    bad = (n_hit > 0) & (20 * n_hit >= F.col(f"{name}.n_words"))
     return found.filter(~bad).select(*[f"`{c}`" for c in docs.columns])

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.shared import mix, mix_int, stored
+from trendloom.llm.shared import free_name, mix, mix_int, stored
 from trendloom.operators.settle import settle
 
 #: Digests of one shard, about; a shard is what one task holds in memory.
@@ -183,5 +183,6 @@ def drop_repeats(docs: DataFrame, history: Column, **options) -> DataFrame:
     Only ids travel: losers are taken out by an anti join on the id.
     """
     id_col = options.get("id_col", "doc_id")
-    lost = exact_dedup(docs, history, **options).filter("not kept").select(id_col).distinct()
-    return docs.join(lost, docs[id_col].eqNullSafe(lost[id_col]), "left_anti")
+    lost = exact_dedup(docs, history, **options).filter("not kept")
+    lost = lost.select(F.col(id_col).alias(free_name(docs, "lost"))).distinct()
+    return docs.join(lost, docs[id_col].eqNullSafe(lost[lost.columns[0]]), "left_anti")

@@ -43,15 +43,14 @@ def license_scan(texts: DataFrame, *, text_col: str = "text", known=KNOWN) -> Da
 
     Null and empty texts, and texts of nothing but copyright lines, have the digest of the empty
     text and no license. The known digests are one row per text given in ``known``, a list held by
-    the program, so their broadcast does not grow with the data. Columns of the same names give an
-    error.
+    the program, so their broadcast does not grow with the data. Columns of the same names are
+    replaced.
     """
-    for name in ("canonical_sha256", "license_id", "license_sha256"):
-        if name in texts.columns:
-            raise ValueError(f"texts already have a column {name!r}")
-    digests = texts.withColumn("canonical_sha256", F.sha2(canonical(F.col(text_col)), 256))
+    digest = F.sha2(canonical(F.col(text_col)), 256)
+    digests = texts.withColumn("canonical_sha256", digest).drop("license_id")
     table = F.broadcast(known_licenses(texts.sparkSession, known))
-    return digests.join(table, F.col("canonical_sha256") == F.col("license_sha256"), "left").drop("license_sha256")
+    same = digests["canonical_sha256"] == table["license_sha256"]
+    return digests.join(table, same, "left").drop(table["license_sha256"])
 
 
 def document_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", known=KNOWN) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendloom.llm.shared import by_bytes, mix, small_batches
+from trendloom.llm.shared import by_bytes, free_name, mix, small_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: A model is sent to the tasks with the plan; larger files are refused.
@@ -278,7 +278,7 @@ def read_model(path: str) -> bytes:
     return proto
 
 
-def _transcoder(proto: bytes, dropout: float, seed: int, draws: int, ids: bool, decoded: bool) -> Callable:
+def _transcoder(proto: bytes, dropout: float, seed: int, draws: int, ids: bool, decoded: bool, names: tuple[str, str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(proto)
         encoder = Encoder(model, dropout, seed, draws)
@@ -287,8 +287,8 @@ def _transcoder(proto: bytes, dropout: float, seed: int, draws: int, ids: bool,
             if batch is None:
                 continue
             counts, digests, same, all_ids, back = [], [], [], [], []
-            texts = batch.column("__text").to_pylist()
-            for text, found in zip(texts, encoder.encode(texts, batch.column("__doc").to_pylist())):
+            texts = batch.column(names[0]).to_pylist()
+            for text, found in zip(texts, encoder.encode(texts, batch.column(names[1]).to_pylist())):
                 numbers = None if found is None else np.array(found, np.int32)
                 plain = None if found is None else model.decode(found)
                 counts.append(0 if found is None else len(found))
@@ -298,7 +298,7 @@ def _transcoder(proto: bytes, dropout: float, seed: int, draws: int, ids: bool,
                     all_ids.append(numbers)
                 if decoded:
                     back.append(plain)
-            columns = {n: batch.column(n) for n in batch.schema.names if n not in ("__text", "__doc")}
+            columns = {n: batch.column(n) for n in batch.schema.names if n not in names}
             columns |= {"n_pieces": pa.array(counts, pa.int64()), "ids_sha256": pa.array(digests, pa.string()), "lossless": pa.array(same, pa.bool_())}
             if ids:
                 columns["piece_ids"] = pa.array(all_ids, pa.list_(pa.int32()))
@@ -320,20 +320,20 @@ def transcode(
     draws, so copies under other ids are cut differently; rows that repeat an id and text are cut
     alike. Null text: 0 pieces, null digest, ids and decoded, lossless. Empty text: no pieces. Any
     character that no piece has, the model's own space sign included, goes as its bytes. Columns of
-    the names to add give an error. A map over the scan's partitions; nothing is shuffled.
+    the names to add are replaced. A map over the scan's partitions; nothing is shuffled.
     """
     added = [*RESULT]
     if ids:
         added.append(T.StructField("piece_ids", T.ArrayType(T.IntegerType())))
     if decoded:
         added.append(T.StructField("decoded", T.StringType()))
-    if clash := {f.name for f in added} & set(docs.columns):
-        raise ValueError(f"documents already have columns {sorted(clash)}")
+    docs = docs.drop(*[f.name for f in added])
     if not 0 <= dropout <= 1 or draws < 1:
         raise ValueError("dropout lies between 0 and 1, draws is 1 or more")
     small_batches(docs.sparkSession)
-    keyed = docs.select("*", F.col(text_col).cast("string").alias("__text"), F.col(id_col).cast("string").alias("__doc"))
+    names = free_name(docs, "__text"), free_name(docs, "__doc")
+    keyed = docs.select("*", F.col(text_col).cast("string").alias(names[0]), F.col(id_col).cast("string").alias(names[1]))
     return keyed.mapInArrow(
-        _transcoder(read_model(model_path), dropout, seed, draws, ids, decoded),
+        _transcoder(read_model(model_path), dropout, seed, draws, ids, decoded, names),
         T.StructType([*docs.schema.fields, *added]),
     )

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.shared import small_batches, stored
+from trendloom.llm.shared import free_name, small_batches, stored
 
 #: Labelled documents that are learned from, and unlabelled ones that may get pseudo-labels, at most.
 LABELLED, POOL = 12_000, 12_000
@@ -231,5 +231,6 @@ def drop_rejected(docs: DataFrame, labels: DataFrame, pages: DataFrame, *, id_co
 
     Rows that repeat an id go if one of them is rejected; rows with a null id go if the null id's are.
     """
-    lost = score_quality(docs, labels, pages, id_col=id_col, **options).filter("not accepted").select(F.col(id_col).alias("__lost")).distinct()
-    return docs.join(lost, docs[id_col].eqNullSafe(F.col("__lost")), "left_anti")
+    lost = score_quality(docs, labels, pages, id_col=id_col, **options).filter("not accepted")
+    lost = lost.select(F.col(id_col).alias(free_name(docs, "lost"))).distinct()
+    return docs.join(lost, docs[id_col].eqNullSafe(lost[lost.columns[0]]), "left_anti")
