@@ -5,8 +5,9 @@ Each permutation gives two signature values, its minimum and its maximum, so 64
 are collapsed first. Candidates are then met in two passes that need no list of all pairs:
 
 1. each bucket links its members to its least member; confirmed links give components;
-2. where a bucket still holds several components, members of different ones are compared by their
-   signatures in blocks, and only pairs with a fair estimate go on to be confirmed.
+2. where a bucket still holds several components, its members are compared in blocks: pairs of
+   different components by their signatures, and those with a fair estimate by their sets. A block
+   gives back only the links that join its components, never more than it has members.
 """
 
 from __future__ import annotations
@@ -114,25 +115,52 @@ def _setter(size: int) -> Callable:
     return run
 
 
-def _agreeing(values: int, estimate: float, similarity: int) -> Callable:
-    """Pairs of members of different components whose signatures agree often enough."""
+def _linking(values: int, estimate: float, similarity: int) -> Callable:
+    """Links between components that meet in a bucket, as few as join them.
+
+    Pairs with a fair estimate come surest first. A pair is confirmed on the full sets, unless the
+    links so far join it, and only in the first of the buckets that it shares.
+    """
     least = int(values * estimate)
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        left_no, right_no = key[1].as_py(), key[2].as_py()
-        ids, comps = rows.column("id").to_numpy(), rows.column("comp").to_numpy()
-        sizes, block = rows.column("n").to_numpy(), rows.column("block").to_numpy()
+        bucket, left_no, right_no = (k.as_py() for k in key)
+        rows = rows.combine_chunks()
+        ids, block = rows.column("id").to_numpy(), rows.column("block").to_numpy()
+        root = {c: c for c in rows.column("comp").to_pylist()}
+        comps, sizes = rows.column("comp").to_numpy(), rows.column("n").to_numpy()
         sigs = np.frombuffer(b"".join(rows.column("sig").to_pylist()), "<u2").reshape(len(rows), values)
+        keys = rows.column("keys").combine_chunks().flatten().to_numpy().reshape(len(rows), -1)
+        lists = rows.column("shingles").combine_chunks()
+        cuts = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+        flat = lists.flatten().to_numpy()
+
+        def top(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
         left, right = np.flatnonzero(block == left_no), np.flatnonzero(block == right_no)
-        found: list[np.ndarray] = []
+        found = []
         for k in left.tolist():
-            others = right[(comps[right] != comps[k]) & (ids[right] > ids[k] if left_no == right_no else True)]
-            near = (100 * np.minimum(sizes[others], sizes[k]) >= similarity * np.maximum(sizes[others], sizes[k]))
-            others = others[near]
-            others = others[(sigs[others] == sigs[k]).sum(axis=1) >= least]
-            found.append(np.stack([np.minimum(ids[others], ids[k]), np.maximum(ids[others], ids[k])]))
-        pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-        return pa.table({"u": pa.array(pairs[0], pa.int64()), "v": pa.array(pairs[1], pa.int64())})
+            others = right[(comps[right] != comps[k]) & ((right > k) | (left_no != right_no))]
+            others = others[100 * np.minimum(sizes[others], sizes[k]) >= similarity * np.maximum(sizes[others], sizes[k])]
+            agree = (sigs[others] == sigs[k]).sum(axis=1)
+            others, agree = others[agree >= least], agree[agree >= least]
+            shared = keys[others] == keys[k]
+            first = keys[k][np.argmax(shared, axis=1)] == bucket
+            found.append(np.stack([np.full(int(first.sum()), k), others[first], agree[first]]))
+        pairs = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
+        links = []
+        for a, b in pairs[:2, np.argsort(-pairs[2], kind="stable")].T.tolist():
+            one, two = top(int(comps[a])), top(int(comps[b]))
+            if one == two:
+                continue
+            both = len(np.intersect1d(flat[cuts[a] : cuts[a + 1]], flat[cuts[b] : cuts[b + 1]], assume_unique=True))
+            if 100 * both >= similarity * (sizes[a] + sizes[b] - both):
+                root[max(one, two)] = min(one, two)
+                links.append((ids[a], ids[b]))
+        return pa.table({"u": pa.array([x for x, _ in links], pa.int64()), "v": pa.array([y for _, y in links], pa.int64())})
 
     return run
 
@@ -205,9 +233,10 @@ def _second_pass(buckets: DataFrame, members: DataFrame, sets: DataFrame, merged
     spread = mixed.select("bucket", "id", "comp", own.alias("block"), pair.alias("p")).select(
         "bucket", "id", "comp", "block", F.col("p.i").alias("i"), F.col("p.j").alias("j")
     )
-    signed = spread.join(members.select("id", "n", "sig").dropDuplicates(["id"]), "id")
-    pairs = signed.groupBy("bucket", "i", "j").applyInArrow(_agreeing(values, ESTIMATE, similarity), "u long, v long").distinct()
-    return stored(confirmed(pairs, sets, similarity))
+    held = members.select("id", "n", "sig", "keys").join(sets, "id").dropDuplicates(["id"])
+    return stored(spread.join(held, "id").groupBy("bucket", "i", "j").applyInArrow(
+        _linking(values, ESTIMATE, similarity), "u long, v long"
+    ))
 
 
 def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
