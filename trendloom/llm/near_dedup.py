@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from trendloom.llm.components import components
 from trendloom.llm.hashing import Powers, chained, word_hashes
-from trendloom.llm.shared import by_bytes, mix, mix_int, small_batches, stored
+from trendloom.llm.shared import by_bytes, free_name, mix, mix_int, small_batches, stored
 
 SHINGLE, SIMILARITY = 5, 75
 BANDS, PERMUTATIONS_PER_BAND = 32, 2
@@ -241,5 +241,5 @@ def _second_pass(buckets: DataFrame, members: DataFrame, sets: DataFrame, merged
 
 def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """One document of each group, with all columns of ``docs``; only ids of the others travel."""
-    lost = near_groups(docs, id_col=id_col, **options).filter("not kept").select(F.col(id_col).alias("__lost"))
-    return docs.join(lost, docs[id_col] == F.col("__lost"), "left_anti")
+    lost = near_groups(docs, id_col=id_col, **options).filter("not kept").select(F.col(id_col).alias(free_name(docs, "lost")))
+    return docs.join(lost, docs[id_col] == lost[lost.columns[0]], "left_anti")
