@@ -316,12 +316,13 @@ def remove_repeats(
     texts = docs.select(F.col(id_col).alias(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     texts = texts.withColumn("doc", F.xxhash64(id_col, "text"))
     places = texts.filter(F.octet_length("text") >= length).select("doc", "text").mapInArrow(_placer(length, kmer), PLACES)
-    kinds = places.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("stands"))
-    keys = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("all")).filter("all > 1")
-    known = stored(kinds.join(keys.select("key", "kinds"), "key"))
-    met = stored(places.join(known, ["key", "digest"]).select("key", "digest", "doc", "start", "size", "anchor", "n", "kinds", (F.col("doc") == F.col("stands")).alias("stands")))
+    keys = places.groupBy("key").agg(F.count(F.lit(1)).alias("all"), F.min("digest").alias("low"), F.max("digest").alias("high"))
+    twice = stored(keys.filter("all > 1").select("key", F.expr("low != high").alias("mixed")))
+    again = stored(places.join(twice, "key"))
+    kinds = again.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("stands"))
+    met = stored(again.join(kinds, ["key", "digest"]).withColumn("stands", F.col("doc") == F.col("stands")))
     pid = F.xxhash64("key", "digest")
-    wanted = met.filter("kinds > 1 and stands").dropDuplicates(["key", "digest"]).groupBy("doc").agg(
+    wanted = met.filter("mixed and stands").dropDuplicates(["key", "digest"]).groupBy("doc").agg(
         F.collect_list(F.struct("key", "digest", pid.alias("pid"), "start", "size", "anchor", "n")).alias("wanted")
     )
     sources = texts.select("doc", "text").join(wanted, "doc").dropDuplicates(["doc"]).select("text", "wanted")
