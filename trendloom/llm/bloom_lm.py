@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendloom.llm.hashing import Powers, chained, word_hashes
-from trendloom.llm.shared import by_bytes, mix, mix_int, small_batches, stored
+from trendloom.llm.shared import by_bytes, free_name, mix, mix_int, small_batches, stored
 
 ORDER = 2
 #: Weight of the lower order, in counts.
@@ -32,7 +32,7 @@ PSEUDO = 2.0
 #: Bits and hash functions of the filter for each entry.
 BITS, HASHES = 10, 5
 #: Bytes of text behind one segment, and texts that a task counts before it sends.
-SEGMENT_BYTES, COUNT_BYTES = 2 << 20, 16 << 20
+SEGMENT_BYTES, COUNT_BYTES = 2 << 20, 8 << 20
 #: Bytes of one broadcast slice of the filter, and of the words, at most as estimated from the text.
 SLICE_BYTES = 256 << 20
 SCORE_BYTES = 4 << 20
@@ -199,22 +199,30 @@ def train(docs: DataFrame, *, text_col: str = "text", order: int = ORDER, slice_
 
 def pull_words(model: DataFrame, number: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and counts of one slice of words; segments are ranges, so hashes come in order."""
-    rows = model.filter((F.col("kind") == WORDS) & (F.col("slice") == number)).select("segment", "keys", "counts").collect()
-    rows.sort(key=lambda r: r.segment)
-    counts = np.frombuffer(b"".join(r["counts"] for r in rows), np.int64)
-    if not len(counts) or counts.max() < 1 << 32:
-        counts = counts.astype(np.uint32)
-    return np.frombuffer(b"".join(r["keys"] for r in rows), np.uint64), counts
+    part = model.filter((F.col("kind") == WORDS) & (F.col("slice") == number))
+    sizes = sorted((r["segment"], r["size"]) for r in part.select("segment", "size").collect())
+    begins = dict(zip([s for s, _ in sizes], np.cumsum([0, *[n for _, n in sizes]]).tolist()))
+    total = sum(n for _, n in sizes)
+    keys, counts = np.empty(total, np.uint64), np.empty(total, np.int64)
+    for r in part.select("segment", "keys", "counts").toLocalIterator():
+        own = np.frombuffer(r["keys"], np.uint64)
+        at = begins[r["segment"]]
+        keys[at : at + len(own)], counts[at : at + len(own)] = own, np.frombuffer(r["counts"], np.int64)
+    return keys, counts.astype(np.uint32) if not total or counts.max() < 1 << 32 else counts
 
 
 def pull_filter(model: DataFrame, number: int, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bits of one slice of the filter, and where each segment begins and its size, in bits."""
-    rows = model.filter((F.col("kind") == GRAMS) & (F.col("slice") == number)).select("segment", "size", "keys").collect()
+    part = model.filter((F.col("kind") == GRAMS) & (F.col("slice") == number))
     sizes, begins, at = np.full(segments, 64, np.uint64), np.zeros(segments, np.int64), 64
-    for r in rows:
+    for r in part.select("segment", "size").collect():
         sizes[r["segment"]], begins[r["segment"]] = r["size"], at
         at += r["size"]
-    return np.frombuffer(bytes(8) + b"".join(r["keys"] for r in rows), np.uint8), begins, sizes
+    bits = np.zeros(at // 8, np.uint8)
+    for r in part.select("segment", "keys").toLocalIterator():
+        begin = begins[r["segment"]] // 8
+        bits[begin : begin + len(r["keys"])] = np.frombuffer(r["keys"], np.uint8)
+    return bits, begins, sizes
 
 
 def count_words(held: tuple[np.ndarray, np.ndarray], tokens: np.ndarray) -> np.ndarray:
@@ -243,13 +251,13 @@ def count_grams(held: tuple[np.ndarray, np.ndarray, np.ndarray], keys: np.ndarra
     return np.where(levels > 0, (3 * np.exp2(levels - 1.0) - 1) / 2, 0.0)
 
 
-def _scorer(words, grams, layout: Layout, pair: tuple[int, int], totals: tuple[int, int], pseudo: float) -> Callable:
+def _scorer(words, grams, layout: Layout, pair: tuple[int, int], totals: tuple[int, int], pseudo: float, text_name: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         room = totals[0] + 0.1 * (totals[1] + 1)
         for shard in by_bytes(batches, SCORE_BYTES):
             n = shard.num_rows
-            tokens, previous, begins = tokens_of(shard.column("__text").combine_chunks(), powers)
+            tokens, previous, begins = tokens_of(shard.column(text_name).combine_chunks(), powers)
             own = (_word_part(tokens, layout) // layout.word_segments == pair[0]) & (previous % np.uint64(layout.gram_slices) == np.uint64(pair[1]))
             doc = np.repeat(np.arange(n), np.diff(begins))[own]
             counts = count_words(words.value, tokens[own])
@@ -274,24 +282,23 @@ def score(docs: DataFrame, model: DataFrame, layout: Layout, *, text_col: str =
     """All columns of ``docs`` and a struct ``lm``: n_tokens, n_known, base_score, score (log10).
 
     Null text counts as empty: one token, the end. Repeated rows are scored alike. A column ``lm``
-    in ``docs`` gives an error. Without training texts every known count is 0.
+    of ``docs`` is replaced. Without training texts every known count is 0.
     """
-    if "lm" in docs.columns:
-        raise ValueError("documents already have a column 'lm'")
-    spark = docs.sparkSession
+    docs = docs.drop("lm", "train_tokens")
+    spark, text_name = docs.sparkSession, free_name(docs, "__text")
     small_batches(spark)
     sums = model.filter(F.col("kind") == WORDS).agg(F.sum("total"), F.sum("size")).first()
     totals = (sums[0] or 0, sums[1] or 0)
     zero = F.struct(*[F.lit(0).cast(f.dataType).alias(f.name) for f in SCORES.fields])
-    out = docs.select("*", F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"), zero.alias("lm"))
-    kinds = T.StructType([*docs.schema.fields, T.StructField("__text", T.StringType()), T.StructField("lm", SCORES)])
+    out = docs.select("*", F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(text_name), zero.alias("lm"))
+    kinds = T.StructType([*docs.schema.fields, T.StructField(text_name, T.StringType()), T.StructField("lm", SCORES)])
     send = spark.sparkContext.broadcast
     words = [send(pull_words(model, k)) for k in range(layout.word_slices)]
     grams = [send(pull_filter(model, k, layout.gram_segments)) for k in range(layout.gram_slices)]
     for a, held in enumerate(words):
         for b, bits in enumerate(grams):
-            out = out.mapInArrow(_scorer(held, bits, layout, (a, b), totals, pseudo), kinds)
-    return out.drop("__text").withColumn("train_tokens", F.lit(totals[0]).cast("long"))
+            out = out.mapInArrow(_scorer(held, bits, layout, (a, b), totals, pseudo, text_name), kinds)
+    return out.drop(text_name).withColumn("train_tokens", F.lit(totals[0]).cast("long"))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
