@@ -35,7 +35,7 @@ BITS, HASHES = 10, 5
 SEGMENT_BYTES, COUNT_BYTES = 2 << 20, 8 << 20
 #: Bytes of one broadcast slice of the filter, and of the words, at most as estimated from the text.
 SLICE_BYTES = 256 << 20
-SCORE_BYTES = 4 << 20
+SCORE_BYTES = 2 << 20
 
 END, START = np.uint64(mix_int(101)), np.uint64(mix_int(102))
 CONTEXT = np.uint64(mix_int(103))
