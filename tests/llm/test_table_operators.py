@@ -244,6 +244,26 @@ def test_lm_against_exact_counts(spark, slice_bytes):
     assert {r.lm.base_score for r in bloom_lm.score(frame(spark), model, layout).collect()} == {0.0}
 
 
+def test_lm_reads_texts_equally_often_at_any_size(spark, monkeypatch):
+    """The plan does not grow with the model: no pass per pair of slices, and nothing is broadcast."""
+    def steps(**options):
+        df = bloom_lm.learn_and_score(frame(spark), **options)
+        return df._jdf.queryExecution().analyzed().toString().count("InArrow")
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", None)
+    assert steps() == steps(slice_bytes=400) == 3
+    # More text than was learned from is answered by several copies of the model.
+    monkeypatch.setattr(bloom_lm, "MEET_BYTES", 2000)
+    model, layout = bloom_lm.train(frame(spark, rows()[:15]), slice_bytes=500, segment_bytes=300)
+    scores = lambda **o: sorted(((r.doc_id, r.text, r.lm) for r in bloom_lm.score(frame(spark), model, layout, **o).collect()), key=str)
+    many = scores(shard_bytes=1000)
+    monkeypatch.setattr(bloom_lm, "MEET_BYTES", 1 << 30)
+    one = scores()
+    assert [x[:2] for x in many] == [x[:2] for x in one]
+    for (*_, a), (*_, b) in zip(many, one):
+        assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:])
+
+
 def test_lm_orders(spark):
     docs = frame(spark)
     for order in (1, 3):

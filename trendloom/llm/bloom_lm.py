@@ -7,9 +7,9 @@ smoothed into each other, down to exact unigram counts.
 
 Counting is one pass. Each task sums up the n-grams of its texts and sends each segment of the model
 one packed row; a segment adds up what it got and becomes sorted words with counts, or a piece of
-the filter. Scoring tasks get the model by broadcast, in slices of bounded size: filter slices by
-the context's last word, word slices by the word. A token belongs to one pair of slices, so the sums
-over all pairs are the scores.
+the filter. Scoring goes the same way back: texts are packed into shards, a shard sends each segment
+the distinct keys it has there, the segment looks them up, and the answers meet their shard again.
+Each text is read three times and each key travels once per shard, at any size of the model.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,9 +34,10 @@ PSEUDO = 2.0
 BITS, HASHES = 10, 5
 #: Bytes of text behind one segment, and texts that a task counts before it sends.
 SEGMENT_BYTES, COUNT_BYTES = 2 << 20, 8 << 20
-#: Bytes of one broadcast slice of the filter, and of the words, at most as estimated from the text.
+#: Bytes of model in one slice, a run of segments, at most as estimated from the text.
 SLICE_BYTES = 256 << 20
-SCORE_BYTES = 2 << 20
+#: Bytes of text in one shard, and bytes of texts whose keys may meet in one segment, if the model's are fewer.
+SHARD_BYTES, MEET_BYTES = 4 << 20, 64 << 20
 
 END, START = np.uint64(mix_int(101)), np.uint64(mix_int(102))
 CONTEXT = np.uint64(mix_int(103))
@@ -45,6 +47,12 @@ _PACKED = pa.schema([("kind", pa.int32()), ("slice", pa.int32()), ("segment", pa
 PACKED = "kind int, slice int, segment int, once binary, more binary, counts binary"
 _PART = pa.schema([("kind", pa.int32()), ("slice", pa.int32()), ("segment", pa.int32()), ("size", pa.int64()), ("total", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 PART = "kind int, slice int, segment int, size long, total long, keys binary, counts binary"
+_SHARD = pa.schema([("shard", pa.int64()), ("bytes", pa.int64()), ("docs", pa.binary())])
+SHARD = "shard long, bytes long, docs binary"
+_ASKED = pa.schema([("kind", pa.int32()), ("slice", pa.int32()), ("segment", pa.int32()), ("shard", pa.int64()), ("keys", pa.binary())])
+ASKED = "kind int, slice int, segment int, shard long, keys binary"
+_ANSWER = pa.schema([("shard", pa.int64()), ("kind", pa.int32()), ("slice", pa.int32()), ("segment", pa.int32()), ("found", pa.binary())])
+ANSWER = "shard long, kind int, slice int, segment int, found binary"
 SCORES = T.StructType([
     T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
     T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType()),
@@ -56,7 +64,7 @@ class Layout:
     """How many slices and segments the model has; all from the bytes of text behind it."""
 
     def __init__(self, text_bytes: int, order: int, slice_bytes: int, segment_bytes: int):
-        self.order = order
+        self.order, self.text_bytes = order, text_bytes
         # A word and its space take 2 bytes at least, about 6 on average; 6 bytes of model each.
         self.word_slices = max(1, math.ceil(text_bytes / 3 / slice_bytes))
         self.gram_slices = max(1, math.ceil((order - 1) * text_bytes / 3 / slice_bytes))
@@ -64,10 +72,8 @@ class Layout:
         self.gram_segments = max(1, math.ceil((order - 1) * text_bytes / self.gram_slices / segment_bytes))
 
 
-def tokens_of(texts: pa.Array, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of all texts with an end after each, the word before each (a start sign for the
-    first), and tokens before each text.
-    """
+def tokens_of(texts: pa.Array, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of all texts with an end after each, and tokens before each text."""
     hashes, offsets = word_hashes(texts, powers)
     n = len(texts)
     begins = offsets + np.arange(n + 1)
@@ -76,10 +82,7 @@ def tokens_of(texts: pa.Array, powers: Powers) -> tuple[np.ndarray, np.ndarray,
     inner = np.ones(len(tokens), bool)
     inner[ends] = False
     tokens[inner], tokens[ends] = hashes, END
-    previous = np.empty_like(tokens)
-    previous[1:] = tokens[:-1]
-    previous[begins[:-1]] = START
-    return tokens, previous, begins
+    return tokens, begins
 
 
 def grams_of(tokens: np.ndarray, begins: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -125,14 +128,12 @@ def _counter(layout: Layout, count_bytes: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for shard in by_bytes(batches, count_bytes):
-            tokens, previous, begins = tokens_of(shard.column("__text").combine_chunks(), powers)
+            tokens, begins = tokens_of(shard.column("__text").combine_chunks(), powers)
             keys, counts = _distinct(tokens)
             rows = list(_pack(WORDS, _word_part(keys, layout), keys, counts, layout.word_segments, 8))
-            slices = (previous % np.uint64(layout.gram_slices)).astype(np.int64)
             grams = [keys for gram, context in grams_of(tokens, begins, layout.order) for keys in (gram, context)]
             if grams:
-                short, segment = _short(np.concatenate(grams), layout.gram_segments)
-                part = np.tile(slices, len(grams)) * layout.gram_segments + segment
+                short, part = _short(np.concatenate(grams), layout.gram_slices * layout.gram_segments)
                 if layout.gram_slices * layout.gram_segments < 1 << 16:
                     keys, counts = _distinct(part.astype(np.uint64) << np.uint64(48) | short)
                     part, keys = (keys >> np.uint64(48)).astype(np.int64), keys & np.uint64((1 << 48) - 1)
@@ -197,34 +198,6 @@ def train(docs: DataFrame, *, text_col: str = "text", order: int = ORDER, slice_
     return stored(packed.groupBy("kind", "slice", "segment").applyInArrow(_build, PART)), layout
 
 
-def pull_words(model: DataFrame, number: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and counts of one slice of words; segments are ranges, so hashes come in order."""
-    part = model.filter((F.col("kind") == WORDS) & (F.col("slice") == number))
-    sizes = sorted((r["segment"], r["size"]) for r in part.select("segment", "size").collect())
-    begins = dict(zip([s for s, _ in sizes], np.cumsum([0, *[n for _, n in sizes]]).tolist()))
-    total = sum(n for _, n in sizes)
-    keys, counts = np.empty(total, np.uint64), np.empty(total, np.int64)
-    for r in part.select("segment", "keys", "counts").toLocalIterator():
-        own = np.frombuffer(r["keys"], np.uint64)
-        at = begins[r["segment"]]
-        keys[at : at + len(own)], counts[at : at + len(own)] = own, np.frombuffer(r["counts"], np.int64)
-    return keys, counts.astype(np.uint32) if not total or counts.max() < 1 << 32 else counts
-
-
-def pull_filter(model: DataFrame, number: int, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bits of one slice of the filter, and where each segment begins and its size, in bits."""
-    part = model.filter((F.col("kind") == GRAMS) & (F.col("slice") == number))
-    sizes, begins, at = np.full(segments, 64, np.uint64), np.zeros(segments, np.int64), 64
-    for r in part.select("segment", "size").collect():
-        sizes[r["segment"]], begins[r["segment"]] = r["size"], at
-        at += r["size"]
-    bits = np.zeros(at // 8, np.uint8)
-    for r in part.select("segment", "keys").toLocalIterator():
-        begin = begins[r["segment"]] // 8
-        bits[begin : begin + len(r["keys"])] = np.frombuffer(r["keys"], np.uint8)
-    return bits, begins, sizes
-
-
 def count_words(held: tuple[np.ndarray, np.ndarray], tokens: np.ndarray) -> np.ndarray:
     keys, counts = held
     if not len(keys):
@@ -234,11 +207,10 @@ def count_words(held: tuple[np.ndarray, np.ndarray], tokens: np.ndarray) -> np.n
     return np.where(keys[at] == asked, counts[at], 0).astype(np.int64)[where]
 
 
-def count_grams(held: tuple[np.ndarray, np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
-    """Expected counts of the levels that the filter has for the keys, 0 for none: level after level is probed."""
+def _levels(held: tuple[np.ndarray, np.ndarray, np.ndarray], short: np.ndarray, segment: np.ndarray) -> np.ndarray:
+    """Levels that the filter has for the keys, 0 for none: level after level is probed."""
     bits, begins, sizes = held
-    short, segment = _short(keys, len(sizes))
-    levels, left, level = np.zeros(len(keys), np.int64), np.arange(len(keys)), 1
+    levels, left, level = np.zeros(len(short), np.int64), np.arange(len(short)), 1
     while len(left):
         start, step = _hashed(short[left], level)
         for k in range(HASHES):
@@ -248,29 +220,113 @@ def count_grams(held: tuple[np.ndarray, np.ndarray, np.ndarray], keys: np.ndarra
             left, start, step = left[hit], start[hit], step[hit]
         levels[left] = level
         level += 1
+    return levels
+
+
+def _expected(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, (3 * np.exp2(levels - 1.0) - 1) / 2, 0.0)
 
 
-def _scorer(words, grams, layout: Layout, pair: tuple[int, int], totals: tuple[int, int], pseudo: float, text_name: str) -> Callable:
+def count_grams(held: tuple[np.ndarray, np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """Expected counts of the levels that the filter has for the keys, 0 for none."""
+    return _expected(_levels(held, *_short(keys, len(held[2]))))
+
+
+def _placed(part: np.ndarray, keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of a part and a key of 48 bits, in order, and where each pair stands among them."""
+    if parts < 1 << 16:
+        pairs, where = np.unique(part.astype(np.uint64) << np.uint64(48) | keys, return_inverse=True)
+        return (pairs >> np.uint64(48)).astype(np.int64), pairs & np.uint64((1 << 48) - 1), where
+    order = np.lexsort((keys, part))
+    part, keys = part[order], keys[order]
+    first = np.ones(len(order), bool)
+    first[1:] = (part[1:] != part[:-1]) | (keys[1:] != keys[:-1])
+    where = np.empty(len(order), np.int64)
+    where[order] = np.cumsum(first) - 1
+    return part[first], keys[first], where
+
+
+def _packer(text_name: str, shard_bytes: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 32
+        for k, docs in enumerate(by_bytes((b for b in batches if b.num_rows), shard_bytes)):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, docs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_table(docs.combine_chunks())
+            values = [first + k, docs.column(text_name).nbytes, sink.getvalue().to_pybytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _SHARD.types)], schema=_SHARD)
+
+    return run
+
+
+def _asker(layout: Layout, text_name: str) -> Callable:
+    """For each shard: the distinct keys that it has in each segment, in order."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
-        room = totals[0] + 0.1 * (totals[1] + 1)
-        for shard in by_bytes(batches, SCORE_BYTES):
-            n = shard.num_rows
-            tokens, previous, begins = tokens_of(shard.column(text_name).combine_chunks(), powers)
-            own = (_word_part(tokens, layout) // layout.word_segments == pair[0]) & (previous % np.uint64(layout.gram_slices) == np.uint64(pair[1]))
-            doc = np.repeat(np.arange(n), np.diff(begins))[own]
-            counts = count_words(words.value, tokens[own])
-            base = p = (counts + 0.1) / room
-            for gram, context in grams_of(tokens, begins, layout.order):
-                seen = count_grams(grams.value, context[own])
-                p = (np.minimum(count_grams(grams.value, gram[own]), seen) + pseudo * p) / (seen + pseudo)
-            old = shard.column("lm").combine_chunks().flatten()
-            new = [np.diff(begins), np.bincount(doc, counts > 0, n), np.bincount(doc, np.log10(base), n), np.bincount(doc, np.log10(p), n)]
-            new[1:] = [before.to_numpy(zero_copy_only=False) + x for before, x in zip(old[1:], new[1:])]
-            struct = pa.StructArray.from_arrays([pa.array(x.astype(t.to_pandas_dtype())) for x, t in zip(new, _FIELDS)], fields=list(_SCORES))
-            done = shard.set_column(shard.schema.get_field_index("lm"), "lm", struct).combine_chunks()
-            yield from done.to_batches()
+        for batch in batches:
+            for number, raw in zip(batch.column("shard").to_pylist(), batch.column("docs")):
+                docs = pa.ipc.open_stream(raw.as_buffer()).read_all()
+                words, _, grams, _, _ = _keys(docs, layout, text_name, powers)
+                rows = []
+                for kind, (part, keys), segments, width in ((WORDS, words, layout.word_segments, 8), (GRAMS, grams, layout.gram_segments, GRAM_WIDTH)):
+                    packed = _pack(kind, part, keys, np.ones(len(keys), np.int64), segments, width)
+                    rows.extend((kind, slice_, segment, number, once) for kind, slice_, segment, once, _, _ in packed)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ASKED.types)], schema=_ASKED)
+
+    return run
+
+
+def _keys(docs: pa.Table, layout: Layout, text_name: str, powers: Powers):
+    """Distinct words and n-gram keys of a shard with their parts, where each token's stand among them
+    (n-gram and context, order after order), and tokens before each text. The same for the same shard.
+    """
+    tokens, begins = tokens_of(docs.column(text_name).combine_chunks(), powers)
+    words, word_at = np.unique(tokens, return_inverse=True)
+    grams = [keys for gram, context in grams_of(tokens, begins, layout.order) for keys in (gram, context)]
+    parts = layout.gram_slices * layout.gram_segments
+    short, part = _short(np.concatenate([np.zeros(0, np.uint64), *grams]), parts)
+    part, short, gram_at = _placed(part, short, parts)
+    return (_word_part(words, layout), words), word_at, (part, short), gram_at.reshape(len(grams), len(tokens)), begins
+
+
+def _answer(key: tuple, asked: pa.Table, model: pa.Table) -> pa.Table:
+    """What a segment has for the keys of all shards: counts of words, or levels of n-grams as bytes."""
+    kind = key[1].as_py()
+    width = 8 if kind == WORDS else GRAM_WIDTH
+    raw = asked.column("keys").to_pylist()
+    keys = _wide(raw, width)
+    if not model.num_rows:
+        found = np.zeros(len(keys), np.int64)
+    elif kind == WORDS:
+        found = count_words(tuple(np.frombuffer(model.column(c)[0].as_py(), t) for c, t in (("keys", np.uint64), ("counts", np.int64))), keys)
+    else:
+        bits = np.frombuffer(model.column("keys")[0].as_py(), np.uint8)
+        held = (bits, np.zeros(1, np.int64), np.array([model.column("size")[0].as_py()], np.uint64))
+        found = _levels(held, keys, np.zeros(len(keys), np.int64))
+    found = found.astype("<i8" if kind == WORDS else np.uint8)
+    ends = np.cumsum([len(r) // width for r in raw]).tolist()
+    cut = [found[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends)]
+    return pa.Table.from_arrays([*[asked.column(c) for c in ("shard", "kind", "slice", "segment")], pa.array(cut, pa.binary())], schema=_ANSWER)
+
+
+def _scorer(layout: Layout, totals: tuple[int, int], pseudo: float, text_name: str, names: list[str]) -> Callable:
+    def run(key: tuple, packed: pa.Table, answers: pa.Table) -> pa.Table:
+        docs = pa.ipc.open_stream(packed.column("docs")[0].as_buffer()).read_all()
+        n = docs.num_rows
+        _, word_at, _, gram_at, begins = _keys(docs, layout, text_name, Powers())
+        answers = answers.sort_by([(c, "ascending") for c in ("kind", "slice", "segment")])
+        found = {kind: b"".join(f for k, f in zip(answers.column("kind").to_pylist(), answers.column("found").to_pylist()) if k == kind) for kind in (WORDS, GRAMS)}
+        counts = np.frombuffer(found[WORDS], "<i8")[word_at]
+        levels = _expected(np.frombuffer(found[GRAMS], np.uint8).astype(np.int64))
+        base = p = (counts + 0.1) / (totals[0] + 0.1 * (totals[1] + 1))
+        for gram, context in zip(gram_at[::2], gram_at[1::2]):
+            seen = levels[context]
+            p = (np.minimum(levels[gram], seen) + pseudo * p) / (seen + pseudo)
+        doc = np.repeat(np.arange(n), np.diff(begins))
+        new = [np.diff(begins), np.bincount(doc, counts > 0, n), np.bincount(doc, np.log10(base), n), np.bincount(doc, np.log10(p), n)]
+        struct = pa.StructArray.from_arrays([pa.array(x.astype(t.to_pandas_dtype())) for x, t in zip(new, _FIELDS)], fields=list(_SCORES))
+        return docs.select(names).append_column("lm", struct)
 
     return run
 
@@ -278,27 +334,32 @@ def _scorer(words, grams, layout: Layout, pair: tuple[int, int], totals: tuple[i
 _FIELDS = [f.type for f in _SCORES]
 
 
-def score(docs: DataFrame, model: DataFrame, layout: Layout, *, text_col: str = "text", pseudo: float = PSEUDO) -> DataFrame:
+def score(docs: DataFrame, model: DataFrame, layout: Layout, *, text_col: str = "text", pseudo: float = PSEUDO, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """All columns of ``docs`` and a struct ``lm``: n_tokens, n_known, base_score, score (log10).
 
     Null text counts as empty: one token, the end. Repeated rows are scored alike. A column ``lm``
     of ``docs`` is replaced. Without training texts every known count is 0.
     """
     docs = docs.drop("lm", "train_tokens")
-    spark, text_name = docs.sparkSession, free_name(docs, "__text")
+    spark, text_name = docs.sparkSession, text_col
     small_batches(spark)
     sums = model.filter(F.col("kind") == WORDS).agg(F.sum("total"), F.sum("size")).first()
     totals = (sums[0] or 0, sums[1] or 0)
-    zero = F.struct(*[F.lit(0).cast(f.dataType).alias(f.name) for f in SCORES.fields])
-    out = docs.select("*", F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(text_name), zero.alias("lm"))
-    kinds = T.StructType([*docs.schema.fields, T.StructField(text_name, T.StringType()), T.StructField("lm", SCORES)])
-    send = spark.sparkContext.broadcast
-    words = [send(pull_words(model, k)) for k in range(layout.word_slices)]
-    grams = [send(pull_filter(model, k, layout.gram_segments)) for k in range(layout.gram_slices)]
-    for a, held in enumerate(words):
-        for b, bits in enumerate(grams):
-            out = out.mapInArrow(_scorer(held, bits, layout, (a, b), totals, pseudo, text_name), kinds)
-    return out.drop(text_name).withColumn("train_tokens", F.lit(totals[0]).cast("long"))
+    wide = docs
+    if docs.schema[text_col].dataType != T.StringType():
+        text_name = free_name(docs, "__text")
+        wide = docs.withColumn(text_name, F.col(text_col).cast("string"))
+    packed = stored(wide.mapInArrow(_packer(text_name, shard_bytes), SHARD))
+    # If more text is scored than was learned from, several copies of a segment answer.
+    size = packed.agg(F.sum("bytes")).first()[0] or 0
+    copies = max(1, round(size / max(layout.text_bytes, MEET_BYTES)))
+    key = ["copy", "kind", "slice", "segment"]
+    asked = packed.mapInArrow(_asker(layout, text_name), ASKED).withColumn("copy", F.pmod(F.xxhash64("shard"), F.lit(copies)))
+    held = model.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))))
+    answers = asked.groupBy(key).cogroup(held.groupBy(key)).applyInArrow(_answer, ANSWER)
+    kinds = T.StructType([*docs.schema.fields, T.StructField("lm", SCORES)])
+    out = packed.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_scorer(layout, totals, pseudo, text_name, docs.columns), kinds)
+    return out.withColumn("train_tokens", F.lit(totals[0]).cast("long"))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
