@@ -324,6 +324,34 @@ def test_views_exchange_labels():
     assert ((scores > 0.5) == test_y).mean() > 0.95 and ((second > 0.5) == test_y).mean() > 0.9
 
 
+def test_views_learn_from_all_unlabelled_rows():
+    """A kind of 1 row in 600, of which only the first view knows, is taught however long the pool."""
+    rng = np.random.default_rng(3)
+
+    def make(n, rare):
+        y = (rng.random(n) < 0.7).astype(float)
+        kind = np.full(n, float(rare)) if np.isscalar(rare) else rare
+        y = np.where(kind > 0, 0.0, y)
+        second = np.where(kind > 0, 3.0, y * 3)  # by its other features the rare kind looks good
+        return y, np.column_stack([y * 6 + rng.normal(size=n), rng.normal(size=n)]), np.column_stack([second + rng.normal(size=n), kind])
+
+    y, one, two = make(600, 0)
+    _, pool_one, pool_two = make(60_000, (np.arange(60_000) % 600 == 0).astype(float))
+    order = np.argsort(pool_two[:, 1], kind="stable")  # the rare kind stands behind the 12,000 first
+    judge = quality.co_train(one, two, y, np.arange(600) % 4 == 0, pool_one[order], pool_two[order])
+    _, _, second = judge.score(*make(300, 1)[1:])
+    assert (second < 0.5).mean() > 0.9
+
+
+def test_sums_over_tables_equal_those_in_memory(spark):
+    rng = np.random.default_rng(4)
+    text, meta = rng.normal(size=(700, quality.TEXT_FEATURES)).astype("f4"), rng.normal(size=(700, quality.META_FEATURES)).astype("f4")
+    table = spark.createDataFrame([(t.tolist(), m.tolist()) for t, m in zip(text, meta)], "text_view array<float>, meta_view array<float>").repartition(40)
+    want = quality._moments(text.astype(float), meta.astype(float))
+    assert quality._summed(table, quality._moments) == pytest.approx(want)
+    assert (quality._summed(table.limit(0), quality._moments) == 0).all()
+
+
 def test_text_features_are_finite():
     rng = random.Random(4)
     for text in (None, "", " ", "a", "!!", prose(rng, 5000), "\x00" * 10, "é" * 1000):

@@ -1,9 +1,9 @@
 """Quality classifier by co-training: one view reads the text, the other the page's metadata.
 
-Both views learn from a bounded sample of labelled documents. Over some rounds each names the
-unlabelled documents of a bounded pool that it is most sure of, and the other view learns from
-them. Each view's output is calibrated on labelled rows kept aside, and both together give the
-score. Features and scores are computed for all documents; only the samples reach the driver.
+Both views learn from a bounded sample of labelled documents. Over some rounds each names all
+unlabelled documents that it is sure of, wherever they lie, and the other view learns from them: a
+pass sums up their gradients and Hessians in each task, and only the sums reach the driver. Each
+view's output is calibrated on labelled rows kept aside, and both together give the score.
 """
 
 from __future__ import annotations
@@ -12,18 +12,23 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.llm.shared import free_name, small_batches, stored
 
-#: Labelled documents that are learned from, and unlabelled ones that may get pseudo-labels, at most.
-LABELLED, POOL = 12_000, 12_000
-ROUNDS, PER_ROUND, SURE = 5, 400, 0.97
+#: Labelled documents that are learned from, at most.
+LABELLED = 12_000
+#: Rounds, and passes over the unlabelled documents in a round, at most; weights that move less stand.
+ROUNDS, PASSES, SURE, MOVED = 5, 4, 0.97, 1e-2
+#: Rows of sums that reach the driver, at most.
+GATHERED = 16
 #: One labelled row in so many is kept for calibration.
 ASIDE = 4
 #: Documents below this probability of being good are rejected.
@@ -82,6 +87,18 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, pa.list_(pa.float32()))], names=["id", "lang", "source", "n_chars", "text_view"])
 
 
+def _with_meta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [meta_features(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "n_chars", "url")))]
+        columns = [batch.column(c) for c in ("id", "label", "text_view")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, pa.list_(pa.float32()))], names=["id", "label", "text_view", "meta_view"])
+
+
+def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    flat = lambda c, n: batch.column(c).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, n)
+    return flat("text_view", TEXT_FEATURES), flat("meta_view", META_FEATURES)
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30) -> np.ndarray:
     """Weights of a logistic regression with an intercept in front, by Newton steps."""
     x = np.column_stack([np.ones(len(x)), x])
@@ -107,18 +124,22 @@ class View:
     weights: np.ndarray
     line: np.ndarray
 
-    @staticmethod
-    def fit(x: np.ndarray, y: np.ndarray) -> View:
-        middle, spread = x.mean(axis=0), x.std(axis=0) + 1e-6
-        weights = fit_logistic(np.clip((x - middle) / spread, -8, 8), y)
-        return View(middle, spread, weights, np.array([0.0, 1.0]))
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.middle) / self.spread, -8, 8)
 
     def odds(self, x: np.ndarray) -> np.ndarray:
-        raw = np.clip((x - self.middle) / self.spread, -8, 8) @ self.weights[1:] + self.weights[0]
+        raw = self.standard(x) @ self.weights[1:] + self.weights[0]
         return self.line[0] + self.line[1] * np.clip(raw, -30, 30)
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
-        self.line = fit_logistic(self.odds(x)[:, None], y, ridge=1e-3)
+    def calibrated(self, x: np.ndarray, y: np.ndarray) -> View:
+        plain = replace(self, line=np.array([0.0, 1.0]))
+        return replace(self, line=fit_logistic(plain.odds(x)[:, None], y, ridge=1e-3))
+
+    def pull(self, x: np.ndarray, good: np.ndarray | float) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient and Hessian of the likelihood of rows at the weights."""
+        x = np.column_stack([np.ones(len(x)), self.standard(x)])
+        p = 1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30)))
+        return x.T @ (good - p), (x * (p * (1 - p))[:, None]).T @ x
 
 
 @dataclass
@@ -135,51 +156,97 @@ class Judge:
         return tuple(1 / (1 + np.exp(-np.clip(o, -30, 30))) for o in (both, one, two))
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, aside: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = ROUNDS, per_round: int = PER_ROUND, sure: float = SURE) -> Judge:
-    """Fits both views. ``aside`` marks the labelled rows that only calibrate.
+def _moments(text: np.ndarray, meta: np.ndarray) -> np.ndarray:
+    return np.concatenate([[len(text)], *[f(x).sum(axis=0) for x in (text, meta) for f in (np.asarray, np.square)]])
 
-    In each round a view names pool rows of which it is at least ``sure``, its surest first, good
-    and bad in the share of the labels; the other view learns them from then on.
-    """
-    fit_rows = ~aside
-    views = [text, meta]
-    pools = [pool_text, pool_meta]
-    given: list[dict[int, float]] = [{}, {}]  # pseudo-labels that each view has got from the other
-    good_share = y[fit_rows].mean()
-
-    def learn(k: int) -> View:
-        rows = np.fromiter(given[k], np.int64, len(given[k]))
-        x = np.concatenate([views[k][fit_rows], pools[k][rows]])
-        view = View.fit(x, np.concatenate([y[fit_rows], np.fromiter(given[k].values(), float, len(given[k]))]))
-        view.calibrate(views[k][aside], y[aside])
-        return view
 
+def _taught(teachers: list[View], students: list[View], sure: float, text: np.ndarray, meta: np.ndarray) -> np.ndarray:
+    """For each view, and for good and bad: how many rows the other is sure of, their gradient and Hessian."""
+    out, views, least = [], (text, meta), math.log(sure / (1 - sure))
+    for k in (0, 1):
+        odds = teachers[1 - k].odds(views[1 - k])
+        for good, rows in ((1.0, odds >= least), (0.0, odds <= -least)):
+            slope, bend = students[k].pull(views[k][rows], good)
+            out += [[rows.sum()], slope, bend.ravel()]
+    return np.concatenate(out)
+
+
+def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, aside: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, **options) -> Judge:
+    """:func:`co_train_over` unlabelled rows in memory."""
+    return co_train_over(text, meta, y, aside, lambda f: f(pool_text, pool_meta), **options)
+
+
+def co_train_over(text: np.ndarray, meta: np.ndarray, y: np.ndarray, aside: np.ndarray, total: Callable, rounds: int = ROUNDS, passes: int = PASSES, sure: float = SURE) -> Judge:
+    """Fits both views. ``aside`` marks the labelled rows that only calibrate; ``total`` gives the sum
+    of a function of both views over all unlabelled rows.
+
+    In each round a view names every unlabelled row of which it is at least ``sure``, and the other
+    view learns them by Newton steps. Named rows of a kind weigh as much as its labelled rows together
+    at most, so labels are never outvoted; the ridge shrinks with that weight, so rare rows still count.
+    """
+    fit, views = ~aside, [text, meta]
+    sums = total(_moments) + _moments(text[fit], meta[fit])
+    a, b = text.shape[1], meta.shape[1]
+    parts = np.split(sums[1:] / sums[0], np.cumsum([a, a, b]))
+    learned = []
+    for x, middle, square in zip(views, parts[::2], parts[1::2]):
+        view = View(middle, np.sqrt(np.maximum(square - middle**2, 0)) + 1e-6, np.zeros(x.shape[1] + 1), np.array([0.0, 1.0]))
+        view = replace(view, weights=fit_logistic(view.standard(x[fit]), y[fit]))
+        learned.append(view.calibrated(x[aside], y[aside]))
+    known = np.array([y[fit].sum(), (1 - y[fit]).sum()])
     for _ in range(rounds):
-        named = 0
-        for k in (0, 1):
-            p = 1 / (1 + np.exp(-np.clip(learn(k).odds(pools[k]), -30, 30)))
-            other = given[1 - k]
-            for good, chance, room in ((1.0, p, round(per_round * good_share)), (0.0, 1 - p, round(per_round * (1 - good_share)))):
-                order = np.argsort(-chance, kind="stable")
-                chosen = [i for i in order[chance[order] >= sure].tolist() if i not in other][:room]
-                other.update(dict.fromkeys(chosen, good))
-                named += len(chosen)
-        if not named:
+        teachers, before = list(learned), [v.weights for v in learned]
+        for _ in range(passes):
+            sums = total(partial(_taught, teachers, learned, sure))
+            at, moved = 0, 0.0
+            for k, view in enumerate(learned):
+                size = len(view.weights)
+                named = sums[at : at + 2 * (1 + size + size**2)].reshape(2, -1)
+                at += named.size
+                weigh = np.minimum(1, known / np.maximum(1, named[:, 0]))
+                keep = np.full(size, max(1e-2, weigh.min()))
+                keep[0] = 1e-6
+                slope, bend = view.pull(views[k][fit], y[fit])
+                slope = slope + weigh @ named[:, 1 : 1 + size] - keep * view.weights
+                bend = bend + (weigh @ named[:, 1 + size :]).reshape(size, size) + np.diag(keep)
+                step = np.linalg.solve(bend, slope)
+                step *= min(1, 4 / max(1e-9, np.abs(step).max()))
+                learned[k] = replace(view, weights=view.weights + step)
+                moved = max(moved, np.abs(step).max())
+            if moved < MOVED:
+                break
+        learned = [v.calibrated(x[aside], y[aside]) for v, x in zip(learned, views)]
+        if max(np.abs(v.weights - w).max() for v, w in zip(learned, before)) < MOVED:
             break
-    one, two = learn(0), learn(1)
+    one, two = learned
     odds = np.column_stack([one.odds(text[aside]), two.odds(meta[aside])])
     return Judge(one, two, fit_logistic(odds, y[aside], ridge=1.0))
 
 
+def _summed(rows: DataFrame, f: Callable) -> np.ndarray:
+    """Sum of ``f(text, meta)`` over all rows: in each task, then in few groups of tasks, then here."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sum((f(*_views(batch)) for batch in batches if batch.num_rows), 0.0)
+        if np.ndim(own):
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % GATHERED], pa.int32()), pa.array([own.tobytes()], pa.binary())], names=["part", "sums"])
+
+    def add(table: pa.Table) -> pa.Table:
+        sums = sum(np.frombuffer(s) for s in table.column("sums").to_pylist())
+        return pa.table({"sums": pa.array([sums.tobytes()], pa.binary())})
+
+    found = rows.mapInArrow(run, "part int, sums binary").groupBy("part").applyInArrow(add, "sums binary").collect()
+    nothing = np.zeros_like(f(np.zeros((0, TEXT_FEATURES)), np.zeros((0, META_FEATURES))))
+    return sum((np.frombuffer(r["sums"]) for r in found), nothing)
+
+
 def _scored(judge: Judge | None) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
             scores = [np.ones(n)] * 3
             if judge is not None and n:
-                text = np.array(batch.column("text_view").to_pylist())
-                meta = np.array([meta_features(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "n_chars", "url")))])
-                scores = judge.score(text, meta)
+                scores = judge.score(*_views(batch))
             yield pa.RecordBatch.from_arrays([batch.column("id"), *[pa.array(s) for s in scores]], names=["id", "score", "text_score", "meta_score"])
 
     return run
@@ -189,13 +256,13 @@ def _sample(rows: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, list]:
     """At most ``most`` rows, those of the least hash of the id: their two views and labels."""
     picked = rows.orderBy(F.xxhash64("id"), "id").limit(most).collect()
     text = np.array([r["text_view"] for r in picked], float).reshape(-1, TEXT_FEATURES)
-    meta = np.array([meta_features(r["lang"], r["source"], r["n_chars"], r["url"]) for r in picked]).reshape(-1, META_FEATURES)
+    meta = np.array([r["meta_view"] for r in picked], float).reshape(-1, META_FEATURES)
     return text, meta, picked
 
 
 def score_quality(
     docs: DataFrame, labels: DataFrame, pages: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-    labelled: int = LABELLED, pool: int = POOL, threshold: float = THRESHOLD,
+    labelled: int = LABELLED, threshold: float = THRESHOLD,
 ) -> DataFrame:
     """``id_col, score, text_score, meta_score, accepted`` for each row of ``docs``.
 
@@ -212,16 +279,16 @@ def score_quality(
     )
     schema = "id long, lang string, source string, n_chars long, text_view array<float>"
     urls = pages.filter("page_id is not null").groupBy(F.col("page_id").cast("long").alias("id")).agg(F.min("url").alias("url"))
-    rows = stored(narrow.mapInArrow(_featured, schema).join(urls, "id", "left"))
     told = labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull()).groupBy(
         F.col("doc_id").cast("long").alias("id")).agg(F.min(label_col).cast("int").alias("label"))
-    text, meta, picked = _sample(rows.join(told, "id"), labelled)
+    featured = narrow.mapInArrow(_featured, schema).join(urls, "id", "left").join(told, "id", "left")
+    rows = stored(featured.mapInArrow(_with_meta, "id long, label int, text_view array<float>, meta_view array<float>"))
+    text, meta, picked = _sample(rows.filter("label is not null"), labelled)
     y = np.array([r["label"] for r in picked], float)
     aside = np.array([zlib.crc32(f"aside {r['id']}".encode()) % ASIDE == 0 for r in picked], bool)
     judge = None
     if len(y) and all(0 < y[part].sum() < part.sum() for part in (aside, ~aside)):
-        pool_text, pool_meta, _ = _sample(rows.join(told, "id", "left_anti"), pool)
-        judge = co_train(text, meta, y, aside, pool_text, pool_meta)
+        judge = co_train_over(text, meta, y, aside, partial(_summed, rows.filter("label is null")))
     scored = rows.mapInArrow(_scored(judge), "id long, score double, text_score double, meta_score double")
     return scored.withColumn("accepted", F.col("score") >= threshold).withColumnRenamed("id", id_col)
 
