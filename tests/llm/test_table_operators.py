@@ -174,6 +174,21 @@ def test_url_templates_split_by_labels(spark):
     assert out == {("/spam/*/*", "block"): 200, ("/{blog|news}/*/*", "allow"): 400}
 
 
+def test_url_templates_go_by_labels_not_by_share_or_depth(spark):
+    """A bad section among 25, with 4 % of the visits, and a bad folder in the fifth level are told apart."""
+    data, told = [], []
+    for k in range(1000):
+        data.append((k, f"http://x.org/part{'abcdefghijklmnopqrstuvwxy'[k % 25]}/{k}"))
+        told.append((k, int(k % 25 != 7), 0))
+    for k in range(1000, 1400):
+        data.append((k, f"http://y.org/a/b/c/d/{('good', 'spam')[k % 2]}/{k}"))
+        told.append((k, 1 - k % 2, 0))
+    pages, labels = spark.createDataFrame(data, "page_id long, url string"), spark.createDataFrame(told, "doc_id long, quality int, toxic int")
+    out = urls.filter_urls(pages, labels).collect()
+    assert len(out) == 1400 and {r.page_id for r in out if r.verdict == "block"} == {k for k, good, _ in told if not good}
+    assert {r.template for r in out if r.host == "y.org"} == {"/a/b/c/d/good/**", "/a/b/c/d/spam/**"}
+
+
 # ---- archives -------------------------------------------------------------------------------
 
 

@@ -1,9 +1,11 @@
 """URL filter: given rules first, then a tree of path templates per host.
 
-The tree grows level by level. Segments with numbers, unlabelled ones, and those that take too small
-a share of their node's visits are variable and become its wildcard branch. The others stand in the
-order of their rate of bad labels, and neighbours whose rates do not differ merge into one branch.
-The labels of a finished template, smoothed towards the overall rate, decide on all its urls.
+The tree grows level by level. Segments with numbers, unlabelled ones, and those with both a small
+share of their node's visits and too few labels to be compared are variable and become its wildcard
+branch. The others stand in the order of their rate of bad labels, and neighbours whose rates do not
+differ merge into one branch. Below the first levels the tree goes on where labels are of both kinds
+and shapes differ, however deep. The labels of a finished template, smoothed towards the overall
+rate, decide on all its urls.
 
 Work goes on over distinct (host, shape) rows, which are counted in each task before they meet, so
 a host with a third of all urls is a few dozen rows.
@@ -22,10 +24,13 @@ RULES = (
     ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
     ("block", "net/fr/"),
 )
-#: Levels of the tree; segments below them are one open end.
+#: Levels that every tree has; what goes on below them is one open end unless its labels differ.
 DEPTH = 3
-#: A branch may keep its name if it has one in SHARE visits of its node, or the node has few branches.
-SHARE, FEW = 20, 8
+#: A branch may keep its name if it has ENOUGH labels, whatever its share; with fewer if it has one in
+#: SHARE visits of its node, or the node has few branches.
+ENOUGH, SHARE, FEW = 5, 20, 8
+#: Names that a merged branch shows; of more it shows the first and the last, and how many they are.
+SHOWN = 100
 #: Squared difference of two rates, in variances, from which they differ.
 DIFFER = 3.84
 #: Labels that the overall rate counts as, and the smoothed purity below which a template is blocked.
@@ -52,47 +57,68 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return F.lit(None).cast("string") if out is None else out
 
 
-def _shape(depth: int) -> list[Column]:
-    """Segments with numbers as ``#``, '' beyond the end; then ``**`` if the path goes on below."""
-    parts = F.filter(F.split(F.col("path"), "/"), lambda s: s != "")
-    level = lambda k: F.coalesce(F.regexp_replace(F.try_element_at(parts, F.lit(k)), "[0-9]+", "#"), F.lit("")).alias(f"s{k}")
-    return [*[level(k) for k in range(1, depth + 1)], F.when(F.size(parts) > depth, "**").otherwise("").alias("tail")]
+def _shape() -> Column:
+    """The path's segments with numbers as ``#``, joined."""
+    return F.array_join(F.filter(F.split(F.regexp_replace("path", "[0-9]+", "#"), "/"), lambda s: s != ""), "/")
+
+
+def _branches(tree: DataFrame, step: str) -> DataFrame:
+    """``host, template, step, branch`` of the branches that keep a name."""
+    sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
+    branches = tree.groupBy("host", "template", step).agg(*sums)
+    nodes = branches.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kids"), F.sum("n").alias("all_n"))
+    named = branches.join(nodes, ["host", "template"]).filter(
+        (F.col(step) != "") & ~F.contains(F.col(step), F.lit("#")) & (F.col("labelled") > 0)
+        & ((F.col("labelled") >= ENOUGH) | (F.col("n") * SHARE >= F.col("all_n")) | (F.col("kids") <= FEW))
+    ).withColumn("rate", F.col("bad") / F.col("labelled"))
+    row = Window.partitionBy("host", "template").orderBy("rate", step)
+    before = {c: F.lag(c).over(row).alias(f"last_{c}") for c in ("rate", "labelled", "bad")}
+    both = (F.col("bad") + F.col("last_bad")) / (F.col("labelled") + F.col("last_labelled"))
+    gap = F.col("rate") - F.col("last_rate")
+    weight = 1 / F.col("labelled") + 1 / F.col("last_labelled")
+    apart = F.when((gap > 0) & (gap * gap >= F.lit(DIFFER) * both * (1 - both) * weight), 1).otherwise(0)
+    groups = named.select("host", "template", step, "rate", "labelled", "bad", *before.values()).select(
+        "host", "template", step, F.sum(apart).over(row).alias("alike")
+    )
+    names, count = F.col("names"), F.size("names")
+    shown = F.when(count <= SHOWN, F.array_join(names, "|")).otherwise(
+        F.concat(names[0], F.lit("|"), count.cast("string"), F.lit(" names|"), F.element_at(names, -1)))
+    return groups.groupBy("host", "template", "alike").agg(F.array_sort(F.collect_list(step)).alias("names")).select(
+        "host", "template", F.explode("names").alias(step),
+        F.when(count == 1, F.concat(F.lit("/"), names[0])).otherwise(F.concat(F.lit("/{"), shown, F.lit("}"))).alias("branch"),
+    )
 
 
 def grow(shapes: DataFrame, depth: int) -> DataFrame:
     """``shapes`` with the ``template`` of each (host, shape); counts ``n, labelled, bad`` decide."""
-    sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
+    parts = F.split("shape", "/")
+    step = lambda k: F.coalesce(F.try_element_at(parts, F.lit(k)), F.lit(""))
+    extend = lambda tree: tree.join(_branches(tree, "step"), ["host", "template", "step"], "left").withColumn(
+        "template", F.concat("template", F.coalesce("branch", F.when(F.col("step") == "", "").otherwise("/*")))).drop("branch", "step")
     tree = shapes.withColumn("template", F.lit(""))
     for k in range(1, depth + 1):
-        step = f"s{k}"
-        branches = tree.groupBy("host", "template", step).agg(*sums)
-        nodes = branches.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kids"), F.sum("n").alias("all_n"))
-        # Branches that may keep a name: at most SHARE of a node, or FEW.
-        named = branches.join(nodes, ["host", "template"]).filter(
-            (F.col(step) != "") & ~F.contains(F.col(step), F.lit("#")) & (F.col("labelled") > 0)
-            & ((F.col("n") * SHARE >= F.col("all_n")) | (F.col("kids") <= FEW))
-        ).withColumn("rate", F.col("bad") / F.col("labelled"))
-        row = Window.partitionBy("host", "template").orderBy("rate", step)
-        before = {c: F.lag(c).over(row).alias(f"last_{c}") for c in ("rate", "labelled", "bad")}
-        both = (F.col("bad") + F.col("last_bad")) / (F.col("labelled") + F.col("last_labelled"))
-        gap = F.col("rate") - F.col("last_rate")
-        weight = 1 / F.col("labelled") + 1 / F.col("last_labelled")
-        apart = F.when((gap > 0) & (gap * gap >= F.lit(DIFFER) * both * (1 - both) * weight), 1).otherwise(0)
-        groups = named.select("host", "template", step, "rate", "labelled", "bad", *before.values()).select(
-            "host", "template", step, F.sum(apart).over(row).alias("alike")
-        )
-        names = groups.groupBy("host", "template", "alike").agg(F.array_sort(F.collect_list(step)).alias("names")).select(
-            "host", "template", F.explode("names").alias(step),
-            F.when(F.size("names") == 1, F.concat(F.lit("/"), F.col("names")[0]))
-            .otherwise(F.concat(F.lit("/{"), F.array_join("names", "|"), F.lit("}"))).alias("branch"),
-        )
-        other = F.when(F.col(step) == "", "").otherwise("/*")
-        tree = stored(
-            tree.join(names, ["host", "template", step], "left")
-            .withColumn("template", F.concat("template", F.coalesce("branch", other))).drop("branch")
-        )
-    open_end = F.when(F.col("tail") == "", "").otherwise("/**")
-    return tree.withColumn("template", F.concat("template", open_end))
+        tree = stored(extend(tree.withColumn("step", step(k))))
+    done, level = [tree.filter(F.size(parts) <= depth)], depth
+    left = tree.filter(F.size(parts) > depth)
+    while True:
+        # Labels of both kinds on different shapes may yet be told apart; all else is an open end.
+        told = F.col("labelled") > 0
+        nodes = left.groupBy("host", "template").agg(
+            F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"),
+            F.min(F.when(told, F.col("shape"))).alias("least"), F.max(F.when(told, F.col("shape"))).alias("most"),
+        ).filter("all_bad > 0 and all_bad < all_labelled and least < most").select("host", "template")
+        mixed = stored(left.join(nodes, ["host", "template"], "left_semi"))
+        done.append(left.join(nodes, ["host", "template"], "left_anti").withColumn("template", F.concat("template", F.lit("/**"))))
+        if mixed.isEmpty():
+            break
+        level += 1
+        tree = stored(extend(mixed.withColumn("step", step(level))))
+        done.append(tree.filter(F.size(parts) <= level))
+        left = tree.filter(F.size(parts) > level)
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return stored(out)
 
 
 def filter_urls(
@@ -111,8 +137,8 @@ def filter_urls(
         F.col(label_id_col).alias("label_id")
     ).agg(F.min(good_col).alias("good"))
     split = pages.select(F.col(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
-    split = split.select("id", "host", "path", *_shape(depth))
-    key = ["host", *[f"s{k}" for k in range(1, depth + 1)], "tail"]
+    split = split.withColumn("shape", _shape())
+    key = ["host", "shape"]
     shapes = stored(split.join(told, F.col("id") == F.col("label_id"), "left").groupBy(*key).agg(
         F.count(F.lit(1)).alias("n"), F.count("good").alias("labelled"),
         F.coalesce(F.sum(F.when(F.col("good") == 0, 1).otherwise(0)), F.lit(0)).alias("bad"),
