@@ -120,6 +120,23 @@ def test_agendas_in_step_equal_single_ones(monkeypatch):
         assert small.encode(["a b c"], ["1"]) and small.encode([text], ["7"]) == [want]
 
 
+def test_each_occurrence_draws_for_itself():
+    """Every word of one merge is skipped in about a tenth of its occurrences, not in k of 16 ways."""
+    model = pieces.Model(pieces.read_model(pieces.MODEL))
+    encoder = pieces.Encoder(model, 0.1, 42, pieces.DRAWS)
+    single = [w for w in model.ids if len(w) == 2 and w[0] == " " and w[1].isalpha() and len(model.path(w, frozenset())[1]) == 1][:40]
+    assert len(single) == 40
+    for word in single:
+        ids = encoder.encode([(word * 3000)[1:]], ["1"])[0]
+        assert 0.07 < len(ids) / 3000 - 1 < 0.13
+    # All draws of a longer word equal those of its agenda with the key of the occurrence.
+    text = " unbelievable" * 500
+    drawn = encoder.draw("2", 500)
+    keys = encoder.keys([" unbelievable"] * 500, drawn)
+    assert len(set(drawn)) == 500
+    assert encoder.encode([text[1:]], ["2"]) == [[i for k in keys for i in model.segment(" unbelievable", encoder.below, int(k))]]
+
+
 # ---- licenses -------------------------------------------------------------------------------
 
 

@@ -11,6 +11,7 @@ import hashlib
 import heapq
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,9 +26,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: A model is sent to the tasks with the plan; larger files are refused.
 MODEL_BYTES = 32 << 20
 DROPOUT, SEED = 0.1, 42
-#: Ways in which the occurrences of one word may be drawn; a worker remembers them per word.
-DRAWS = 16
-#: Remembered words; the memory is emptied when it is full, which changes no result. Words that are
+#: Ways in which the occurrences of one word may be drawn; None: each occurrence draws for itself.
+DRAWS = None
+#: Remembered ways of words; the memory is emptied when it is full, which changes no result. Words that are
 #: worked off together, and text bytes that are encoded together.
 REMEMBERED, STEP, ENCODE_BYTES = 300_000, 20_000, 2 << 20
 
@@ -114,7 +115,16 @@ class Model:
                 out.extend(map(self.fallback.__getitem__, piece.encode()))
         return tuple(out)
 
-    def _merged(self, chunk: str, dropout: int, key: int) -> list[str]:
+    def path(self, chunk: str, skipped: frozenset[int]) -> tuple[tuple[int, ...], list[int]]:
+        """Piece ids of a chunk if just these candidates are skipped, and the merges on the way."""
+        taken: list[int] = []
+        out: list[int] = []
+        for piece in self._merged(chunk, 0, 0, skipped, taken):
+            found = self.ids.get(piece)
+            out.extend(map(self.fallback.__getitem__, piece.encode()) if found is None else (found,))
+        return tuple(out), taken
+
+    def _merged(self, chunk: str, dropout: int, key: int, skipped: frozenset[int] = frozenset(), taken: list[int] | None = None) -> list[str]:
         """The pieces left when the agenda of merges is empty."""
         rank, text, n = self.ranks.get, list(chunk), len(chunk)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -133,6 +143,10 @@ class Model:
                 continue
             if dropout and skip_hash(key, left, right, end) < dropout:
                 continue
+            if taken is not None:
+                if (code := left << 42 | right << 21 | end) in skipped:
+                    continue
+                taken.append(code)
             text[left] += text[right]
             text[right] = ""
             follow = after[left] = after[right]
@@ -223,52 +237,107 @@ class Model:
 
 
 class Encoder:
-    """Encodes texts of a worker and remembers the pieces of its words."""
+    """Encodes texts of a worker and remembers the ways in which its words were merged.
+
+    A way is a word with the candidates that are skipped: its pieces, and the merges that are made.
+    An occurrence takes the way without skips if its hash touches none of the merges there, else the
+    way that skips the first one touched as well, and so on. So a word is merged once for each way.
+    """
 
-    def __init__(self, model: Model, dropout: float, seed: int, draws: int):
+    def __init__(self, model: Model, dropout: float, seed: int, draws: int | None):
         self.model, self.draws = model, draws
         self.below = min(int(dropout * 2**64), 2**64 - 1)
         self.key = int.from_bytes(hashlib.blake2b(str(seed).encode(), digest_size=8).digest())
-        self.seen: list[dict[str, tuple[int, ...]]] = [{} for _ in range(draws)]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.roots: dict[str, int] = {}
+        self.children: dict[int, int] = {}
+        self.ways: list[tuple[str, frozenset[int]]] = []
+        self.pieces: list[tuple[int, ...]] = []
+        self.crcs, self.merges, self.begins = array("Q"), array("Q"), array("q", [0])
+
+    def _way(self, chunk: str, skipped: frozenset[int]) -> int:
+        # Long chunks have too many ways; they are merged one by one.
+        pieces, taken = self.model.path(chunk, skipped) if len(chunk) <= WIDTHS[-1] else (None, [])
+        self.ways.append((chunk, skipped))
+        self.pieces.append(pieces)
+        self.crcs.append(zlib.crc32(chunk.encode()))
+        self.merges.extend(taken)
+        self.begins.append(len(self.merges))
+        return len(self.ways) - 1
+
+    def _child(self, code: int) -> int:
+        """The way that skips one more merge, given as way * 64 + number of the merge."""
+        found = self.children.get(code)
+        if found is None:
+            chunk, skipped = self.ways[code >> 6]
+            found = self.children[code] = self._way(chunk, skipped | {self.merges[self.begins[code >> 6] + (code & 63)]})
+        return found
 
     def keys(self, chunks: list[str], draws: list[int]) -> np.ndarray:
         """Key of each chunk and draw, from which its merges are hashed."""
-        own = np.array([zlib.crc32(c.encode()) for c in chunks], np.uint64)
-        return mix(own << np.uint64(32) | np.array(draws, np.uint64)) ^ np.uint64(self.key)
+        return self._keys(np.array([zlib.crc32(c.encode()) for c in chunks], np.uint64), np.array(draws, np.uint64))
+
+    def _keys(self, own: np.ndarray, draws: np.ndarray) -> np.ndarray:
+        return mix(own << np.uint64(32) ^ draws) ^ np.uint64(self.key)
 
     def draw(self, doc: str, count: int) -> list[int]:
         """Draw of each chunk of a document, by its place."""
+        return self._draw(doc, count).tolist()
+
+    def _draw(self, doc: str, count: int) -> np.ndarray:
         if not self.below or self.draws == 1:
-            return [0] * count
+            return np.zeros(count, np.uint64)
         own = int.from_bytes(hashlib.blake2b(doc.encode(), digest_size=8).digest()) ^ self.key
-        places = np.arange(count, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(own)
-        return (mix(places) % np.uint64(self.draws)).tolist()
+        places = mix(np.arange(count, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(own))
+        return places if self.draws is None else places % np.uint64(self.draws)
 
     def encode(self, texts: list[str | None], docs: list[str | None]) -> list[list[int] | None]:
         """Piece ids of each text. ``docs`` keys the draws of its words."""
-        if sum(map(len, self.seen)) > REMEMBERED:
-            self.seen = [{} for _ in range(self.draws)]
-        seen, new, work = self.seen, {}, []
+        if len(self.ways) > REMEMBERED:
+            self._forget()
+        found, roots, drawn, sizes = self.roots, [], [], []
         for text, doc in zip(texts, docs):
             chunks = _CHUNK.findall(f" {text}") if text else []
-            drawn = self.draw(doc or "", len(chunks))
-            work.append((chunks, drawn))
-            for pair in zip(chunks, drawn):
-                if pair[0] not in seen[pair[1]]:
-                    new[pair] = None
-        chunks, drawn = [c for c, _ in new], [d for _, d in new]
-        for a in range(0, len(chunks), STEP):
-            part, draws = chunks[a : a + STEP], drawn[a : a + STEP]
-            for chunk, draw, pieces in zip(part, draws, self.model.segment_all(part, self.below, self.keys(part, draws))):
-                seen[draw][chunk] = pieces
+            for chunk in chunks:
+                way = found.get(chunk)
+                if way is None:
+                    way = found[chunk] = self._way(chunk, frozenset())
+                roots.append(way)
+            drawn.append(self._draw(doc or "", len(chunks)))
+            sizes.append(len(chunks))
+        way = np.array(roots, np.int64)
+        keys = self._keys(np.array(self.crcs, np.uint64)[way], np.concatenate([np.zeros(0, np.uint64), *drawn]))
+        for a in range(0, len(way), 4 * STEP):
+            self._choose(way[a : a + 4 * STEP], keys[a : a + 4 * STEP])
         out: list[list[int] | None] = []
-        for text, (chunks, drawn) in zip(texts, work):
+        at, ways = 0, way.tolist()
+        for text, size in zip(texts, sizes):
             ids: list[int] = []
-            for chunk, draw in zip(chunks, drawn):
-                ids += seen[draw][chunk]
+            for k in range(at, at + size):
+                pieces = self.pieces[ways[k]]
+                ids += self.model.segment(self.ways[ways[k]][0], self.below, int(keys[k])) if pieces is None else pieces
+            at += size
             out.append(None if text is None else ids)
         return out
 
+    def _choose(self, way: np.ndarray, keys: np.ndarray) -> None:
+        """Replaces the way without skips of each occurrence by the one that its key selects."""
+        open_ = np.arange(len(way) if self.below else 0)
+        while len(open_):
+            begins, merges = np.array(self.begins, np.int64), np.array(self.merges, np.uint64)
+            begin = begins[way[open_]]
+            count = begins[way[open_] + 1] - begin
+            row = np.repeat(np.arange(len(open_)), count)
+            number = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            x = (keys[open_][row] ^ merges[begin[row] + number]) * np.uint64(0x9E3779B97F4A7C15)
+            hit = np.flatnonzero((x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93) < np.uint64(self.below))
+            hit = hit[np.flatnonzero(np.diff(row[hit], prepend=-1))]
+            open_ = open_[row[hit]]
+            codes, where = np.unique(way[open_] << 6 | number[hit], return_inverse=True)
+            way[open_] = np.array([self._child(c) for c in codes.tolist()], np.int64)[where]
+
 
 def read_model(path: str) -> bytes:
     with open(path, "rb") as file:
@@ -278,7 +347,7 @@ def read_model(path: str) -> bytes:
     return proto
 
 
-def _transcoder(proto: bytes, dropout: float, seed: int, draws: int, ids: bool, decoded: bool, names: tuple[str, str]) -> Callable:
+def _transcoder(proto: bytes, dropout: float, seed: int, draws: int | None, ids: bool, decoded: bool, names: tuple[str, str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(proto)
         encoder = Encoder(model, dropout, seed, draws)
@@ -311,7 +380,7 @@ def _transcoder(proto: bytes, dropout: float, seed: int, draws: int, ids: bool,
 
 def transcode(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", model_path: str = MODEL,
-    dropout: float = DROPOUT, seed: int = SEED, draws: int = DRAWS, ids: bool = True, decoded: bool = False,
+    dropout: float = DROPOUT, seed: int = SEED, draws: int | None = DRAWS, ids: bool = True, decoded: bool = False,
 ) -> DataFrame:
     """Encodes every whole text, decodes the pieces again, and adds to all columns of ``docs``
 
@@ -328,8 +397,8 @@ def transcode(
     if decoded:
         added.append(T.StructField("decoded", T.StringType()))
     docs = docs.drop(*[f.name for f in added])
-    if not 0 <= dropout <= 1 or draws < 1:
-        raise ValueError("dropout lies between 0 and 1, draws is 1 or more")
+    if not 0 <= dropout <= 1 or (draws is not None and draws < 1):
+        raise ValueError("dropout lies between 0 and 1, draws is None or 1 or more")
     small_batches(docs.sparkSession)
     names = free_name(docs, "__text"), free_name(docs, "__doc")
     keyed = docs.select("*", F.col(text_col).cast("string").alias(names[0]), F.col(id_col).cast("string").alias(names[1]))
