@@ -152,9 +152,117 @@ from whole left join known on canonical_sha256 = digest left join named using (d
 """
 
 
+_MIX = r"""
+with d as (
+    select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
+           substr(sha256('mix:' || coalesce(cast(doc_id as varchar), sha256(text), '')), 1, 15) as hash
+    from documents),
+s as (
+    select source, sum(size) as source_size, case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5 when 1 then 2 else 1 end as weight
+    from d group by source),
+-- Sources that stop soonest come first; each is compared with what those before it leave.
+tried as (
+    select *, (select sum(source_size) from s) - coalesce(sum(3 * source_size) over before, 0) as words,
+           (select sum(weight) from s) - coalesce(sum(weight) over before, 0) as rest
+    from s window before as (order by 3.0 * source_size / weight, source nulls last rows between unbounded preceding and 1 preceding)),
+stop as (
+    select (select sum(source_size) from s) - coalesce(sum(3 * source_size), 0) as words,
+           (select sum(weight) from s) - coalesce(sum(weight), 0) as rest
+    from tried where weight * words > 3 * source_size * rest),
+t as (
+    select source, cast(source_size as bigint) as source_size,
+           case when rest = 0 then 3.0 * source_size
+                else least(cast(weight * words as double) / cast(rest as double), cast(3 * source_size as double)) end as target
+    from s, stop),
+w as (select *, case when source_size > 0 then floor(target / source_size) else 0 end as whole from t),
+n as (select *, target - whole * source_size as need from w),
+h as (select source, hash, sum(size) as words from d group by source, hash),
+r as (select *, coalesce(sum(words) over (partition by source order by hash rows between unbounded preceding and 1 preceding), 0) as above from h),
+edge as (
+    select n.source, hash, (need - above) * 2 >= words as last_too from r join n on r.source is not distinct from n.source
+    where above < need and need <= above + words)
+select doc_id, size, source_size, target, cast(whole + more as bigint) as copies, cast(size * (whole + more) as bigint) as taken
+from (
+    select d.doc_id, size, source_size, target, whole,
+           case when edge.hash is null then 0 when d.hash < edge.hash or (d.hash = edge.hash and last_too) then 1 else 0 end as more
+    from d join n on d.source is not distinct from n.source left join edge on d.source is not distinct from edge.source)
+"""
+
+_RESAMPLE = rf"""
+with bytes as (select range as b from range(256)),
+table_ as (
+    select list(crc order by b) as crcs
+    from (select b, list_reduce(list_prepend(b, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as crc from bytes)),
+d as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+    from documents),
+corpus as (select doc_id, unnest(words) as word from d),
+wanted as (select unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word from benchmark),
+known as (select distinct word from corpus union select distinct word from wanted),
+spelt as (select word, hex(encode(word)) as digits from known),
+hashed as (
+    select word, xor(list_reduce(
+        list_prepend(4294967295, list_transform(range(len(digits) // 2), lambda k:
+            (position(digits[2 * k + 1] in '0123456789ABCDEF') - 1) * 16 + position(digits[2 * k + 2] in '0123456789ABCDEF') - 1)),
+        lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295) % 10000 as bucket
+    from spelt, table_),
+s as (select bucket, count(*) as s from corpus join hashed using (word) group by bucket),
+t as (select bucket, count(*) as t from wanted join hashed using (word) group by bucket),
+gains as (
+    select bucket, floor(1000 * ln((coalesce(t, 0) + 1.0::double) * ((select count(*) from corpus) + 10000)
+                                   / ((s + 1.0::double) * ((select count(*) from wanted) + 10000)))) as gain
+    from s left join t using (bucket)),
+sums as (select doc_id, sum(gain) as weight from corpus join hashed using (word) join gains using (bucket) group by doc_id),
+noisy as (
+    select doc_id, len(words) as n_features, cast(coalesce(weight, 0) as bigint) as weight,
+           cast('0x' || substr(sha256('2024:' || doc_id), 1, 8) as bigint) as h
+    from d left join sums using (doc_id)),
+scored as (
+    select doc_id, n_features, weight, weight + cast(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296))) as bigint) as score from noisy),
+ranked as (
+    select doc_id, row_number() over (order by score desc, doc_id) as place, count(*) over () as n from scored where n_features >= 20)
+select doc_id, cast(n_features as bigint) as n_features, weight, score, case when place <= 10 * n // 100 then place end as rank
+from scored left join ranked using (doc_id)
+"""
+
+
+def _codes(rounds: int = 2) -> str:
+    gap = "list_sum(list_transform(list_zip(v.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = ""
+    for k in range(rounds + 1):
+        steps += f"""
+away{k} as (select v.id, v.p, b.e, {gap} as away from v join book{k} b using (p)),
+found{k} as (select id, p, min(away) as away, arg_min(e, (away, e)) as e from away{k} group by id, p),"""
+        if k < rounds:
+            steps += f"""
+mean{k} as (
+    select p, e, list(total // n - case when total % n < 0 then 1 else 0 end order by i) as x
+    from (select p, e, i, sum(x[i]) as total, count(*) as n from (select v.*, e, unnest([1, 2, 3, 4]) as i from v join found{k} using (id, p)) group by p, e, i)
+    group by p, e),
+book{k + 1} as (select p, e, coalesce(m.x, b.x) as x from book{k} b left join mean{k} m using (p, e)),"""
+    return f"""
+with kept as (
+    select vec_id, label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as whole
+    from embeddings
+    where embedding is not null and not list_bool_or(list_transform(embedding, lambda x: x is null or not isfinite(x)))),
+whole as (select row_number() over (order by vec_id, whole) as id, * from kept),
+v as (select id, p, whole[4 * p + 1 : 4 * p + 4] as x from (select id, whole, unnest(range(16)) as p from whole)),
+book0 as (select p, id - 1 as e, x from v where id <= 64),{steps}
+digest as (
+    select sha256(string_agg(line, ',' order by p, e)) as codebooks_sha256
+    from (select p, e, array_to_string(list_transform(x, lambda c: cast(c as varchar)), ',') as line from book{rounds})),
+coded as (select id, string_agg(lower(printf('%02x', cast(e as int))), '' order by p) as code, cast(sum(away) as bigint) as error from found{rounds} group by id)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from coded join whole using (id), digest
+"""
+
+
 ORACLES = {
     "op2_license_scans": _licenses(),
     "op3_url_filters": _urls(),
     "op5_exact_dedup": _EXACT,
     "op10_benchmark_decontamination": _contamination(),
+    "op11_source_mixing": _MIX,
+    "op12_importance_resampling": _RESAMPLE,
+    "op13_vector_codes": _codes(),
 }

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import bloom_lm, decontamination, exact_dedup, licenses, near_dedup, pieces, quality, repeats, urls, warc
+from trendloom.llm import (
+    ball_codes, bloom_lm, decontamination, exact_dedup, importance, licenses, mixing, near_dedup, pieces, quality, repeats, urls, warc,
+)
 from trendloom.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,9 +78,25 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all documents takes from each, by the weights of their sources."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents of 20 words or more, drawn towards the benchmark."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors as codes of 16 parts."""
+    return ball_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_sentencepiece, op2_license_scans, op3_url_filters, op4_minhash_near_dedup,
         op5_exact_dedup, op6_quality_classifier, op7_warc, op8_lm_scoring, op9_suffix_array_dedup, op10_benchmark_decontamination,
+        op11_source_mixing, op12_importance_resampling, op13_vector_codes,
     )
 }

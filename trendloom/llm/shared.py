@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trendloom.operators.settle import settle
 
@@ -14,6 +15,8 @@ from trendloom.operators.settle import settle
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Rows of one Arrow batch at most; a batch then holds a few MB of ordinary documents.
 BATCH_ROWS = 512
+#: Tasks over which the rows of one key of a join are dealt.
+SALTS = 16
 
 _MASK = (1 << 64) - 1
 
@@ -42,6 +45,17 @@ def stored(df: DataFrame) -> DataFrame:
     return settle(df)[0]
 
 
+def salted(
+    rows: DataFrame, table: DataFrame, same: Callable[[DataFrame, DataFrame], Column], spread: Column, ways: int = SALTS
+) -> DataFrame:
+    """Inner join of ``rows`` with a narrow ``table`` of one row per key: each key is copied ``ways`` times,
+    and the rows of a hot key go to ``ways`` tasks by ``spread``. Spark broadcasts the table if it is small.
+    """
+    dealt = rows.withColumn("_salt", F.pmod(spread, F.lit(ways)).cast("int"))
+    copied = table.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
+    return dealt.join(copied, same(dealt, copied) & (dealt["_salt"] == copied["_copy"])).drop("_salt", "_copy")
+
+
 def words(text: str | None) -> list[bytes]:
     """Words between white space (space and the bytes 9 to 13), A-Z lower-cased, as UTF-8."""
     return text.encode("utf-8", "surrogatepass").translate(LOWER).split() if text else []
