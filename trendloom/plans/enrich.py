@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime
 from functools import reduce
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -141,7 +142,7 @@ def enrich(
     """
     text = prompt_text(max_chars=max_chars)
     if enricher is None:
-        answered = rows.withColumn("_text", text).select("*", *lexicon_columns(F.col("_text"), list_size)).drop("_text")
+        answered = with_lexicon(rows, text, list_size)
     else:
         spread = rows.repartition(parallel_calls) if parallel_calls else rows
         before, _, after = template.partition("%s")
@@ -160,17 +161,35 @@ NEGATIVE_WORDS = tuple("attack bad breach broken bug crash down error fail faile
 TOPIC_WORDS = ("ai", "cloud", "data", "database", "kubernetes", "learning", "python", "rust", "security", "web")
 
 
-def lexicon_columns(text: Column, list_size: int | None = LIST_SIZE) -> list[Column]:
-    """The result columns of :func:`enrich` from known words; a null text is an empty title."""
-    words = F.split(F.lower(text), "[^a-z]+")
+
+
+def _any_of(words: Iterable[str]) -> str:
+    """Pattern of words that stand alone. It branches on the first letter, so that few are tried at each place."""
+    branches = [f"{first}(?:{'|'.join(w[1:] for w in group)})" for first, group in groupby(sorted(words), lambda w: w[0])]
+    return f"(?<![a-z])(?:{'|'.join(branches)})(?![a-z])"
+
+
+_KNOWN = _any_of({*POSITIVE_WORDS, *NEGATIVE_WORDS, *TOPIC_WORDS})
+
+
+def with_lexicon(rows: DataFrame, text: Column, list_size: int | None = LIST_SIZE) -> DataFrame:
+    """``rows`` and the result columns of :func:`enrich` from known words; a null text is an empty title.
+
+    The known words of a text are found once and behind a generator, so none of the counts below
+    searches the text again. They are few, however long the text is.
+    """
+    found = F.regexp_extract_all(F.lower(text), F.lit(_KNOWN), 0)
+    opened = rows.select("*", columns_of(F.struct(found.alias("_words"))))
+    words = F.col("_words")
     count = lambda known: F.size(F.filter(words, lambda w: w.isin(*known)))
     mood = count(POSITIVE_WORDS) - count(NEGATIVE_WORDS)
     topics = F.filter(F.array(*map(F.lit, TOPIC_WORDS)), lambda t: F.array_contains(words, t))
     topics = topics if list_size is None else F.slice(topics, 1, list_size)
     none = F.array().cast("array<string>")
-    return [
-        F.when(text.isNull() | (mood == 0), NEUTRAL).when(mood > 0, "positive").otherwise("negative").alias("sentiment"),
-        F.when(text.isNull(), none).otherwise(topics).alias("ai_topics"),
+    return opened.select(
+        *[f"`{c}`" for c in rows.columns],
+        F.when(words.isNull() | (mood == 0), NEUTRAL).when(mood > 0, "positive").otherwise("negative").alias("sentiment"),
+        F.when(words.isNull(), none).otherwise(topics).alias("ai_topics"),
         none.alias("ai_entities"),
-        F.when(text.isNull(), EMPTY_TITLE).alias("enrichment_error"),
-    ]
+        F.when(words.isNull(), EMPTY_TITLE).alias("enrichment_error"),
+    )

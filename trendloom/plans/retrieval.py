@@ -150,9 +150,15 @@ def hashed_embedding(
     that the first eight hex digits of its MD5 spell, modulo ``size``.
     """
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    place = lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % size).cast("string")
+    digits = len(f"{size - 1:x}")
+    if size == 16**digits <= 16**8:  # the number modulo a power of 16 is its last digits, as they stand
+        place = lambda w: F.substring(F.md5(w), 9 - digits, digits)
+        names = [f"{k:0{digits}x}" for k in range(size)]
+    else:
+        place = lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % size).cast("string")
+        names = [str(k) for k in range(size)]
     stage = df.withColumn("_places", F.transform(words, place))
-    counts = CountVectorizerModel.from_vocabulary([str(k) for k in range(size)], "_places", "_counts")
+    counts = CountVectorizerModel.from_vocabulary(names, "_places", "_counts")
     unit = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0)
     for transformer in (counts, unit):
         stage = transformer.transform(stage)

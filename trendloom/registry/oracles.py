@@ -422,6 +422,46 @@ def _replace(columns: str, **new: str) -> str:
     return columns
 
 
+# Kinds of the columns of a table: text, whole number, real number, time, list.
+_SILVER_KINDS = dict(
+    unified_id="t", source="t", title="t", description="t", url="t", author="t", popularity_score="n", tags="l", language="t",
+    published_at="m", ingested_at="m", pipeline_version="t",
+)
+_TRENDING_KINDS = dict(
+    hour_window="m", tag="t", mention_count="n", avg_popularity="r", source_diversity="n", avg_sentiment_weight="r",
+    positive_count="n", negative_count="n", neutral_count="n", trend_score="r", rank_in_hour="n", sample_titles="l",
+)
+_MOMENTUM_KINDS = dict(
+    day_window="m", language="t", mention_count="n", total_stars="n", avg_popularity="r", source_diversity="n",
+    momentum_score="r", avg_sentiment_weight="r", dominant_sentiment="t", positive_mentions="n", negative_mentions="n",
+    rank_by_day="n",
+)
+_ACTIVITY_KINDS = dict(
+    hour_window="m", source="t", item_count="n", avg_popularity="r", peak_popularity="n", total_popularity="n",
+    activity_score="r", avg_sentiment_score="r", positive_items="n", negative_items="n", neutral_items="n",
+    unenriched_items="n", positive_rate_pct="r", negative_rate_pct="r",
+)
+_CONTENT_KINDS = dict(
+    global_rank="n", source_rank="n", source="t", title="t", description="t", url="t", author="t", popularity_score="n",
+    normalised_score="r", sentiment_boost="r", final_score="r", sentiment="t", ai_topics="l", ai_entities="l", tags="l",
+    language="t", published_at="m",
+)
+
+
+def _digest(name: str, table: str, kinds: dict[str, str], **given: str) -> str:
+    """Rows of a table and the sum of 48 bits of the MD5 of each row's columns, in the order of their names."""
+    plain = {
+        "t": "{}", "n": "cast({} as varchar)", "m": "cast(epoch_us({}) as varchar)", "l": "'[' || array_to_string({}, '|') || ']'",
+        "r": "cast(cast(round_even({} * 1000000.0::double, 0) as bigint) as varchar)",
+    }
+    columns = [f"coalesce({given.get(c) or plain[kinds[c]].format(c)}, '~')" for c in sorted(kinds)]
+    row = " || chr(31) || ".join(columns)
+    return f"""
+        select '{name}' as "table", count(*) as "rows",
+               cast(coalesce(sum(cast('0x' || substr(md5({row}), 1, 12) as bigint)), 0) as varchar) as digest
+        from {table}"""
+
+
 def _words(text: str) -> str:
     return f"regexp_extract_all(lower({text}), '[a-z]+')"
 
@@ -491,6 +531,33 @@ def oracle_sql() -> dict[str, str]:
             select distinct 'hn' as feed, cast(id as varchar) as id from hn_raw where type <> 'error'
             union all select distinct 'news', article_id from news_raw
             union all select distinct 'github', cast(repo_id as varchar) from github_raw""",
+        "stream_metrics": """
+            select 'hn' as feed, count(*) as read, count(*) filter (type = 'error') as malformed, cast(0 as bigint) as incomplete, cast(0 as bigint) as late,
+                   count(*) filter (type <> 'error') as kept from hn_raw
+            union all select 'news', count(*), 0, 0, 0, count(*) from news_raw
+            union all select 'github', count(*), 0, 0, 0, count(*) from github_raw""",
+        "silver_stream": f"""
+            select {_SILVER} from (
+                select * replace (case when tags[2] = 'signup' then null else popularity_score end as popularity_score)
+                from silver_hn where tags[2] <> 'error')
+            union all by name select {_SILVER} from silver_news
+            union all by name select {_SILVER} from silver_github""",
+        "first_seen_slices": """
+            with recursive periods as (
+                select user_id, min(ts) as begun from events group by user_id
+                union all
+                select user_id, following from (
+                    select p.user_id, (select min(ts) from events e where e.user_id = p.user_id and e.ts > p.begun + interval 7 day) as following
+                    from periods p)
+                where following is not null),
+            held as (
+                select e.user_id, e.event_id, e.event_type, e.ts
+                from periods p join events e on e.user_id = p.user_id and e.ts between p.begun and p.begun + interval 2 day
+                where p.begun + interval 2 day <= (select max(ts) - interval 1 hour from events)
+                qualify row_number() over (partition by e.user_id, p.begun order by
+                    case e.event_type when 'purchase' then 1 when 'signup' then 2 else 3 end, e.ts, e.event_id) = 1)
+            select * from held""",
+        "bronze_folded": _BRONZE_HN,
         "rows_without_id": """
             select 'hn' as feed, count(*) filter (type = 'view') as "rows" from hn_raw
             union all select 'news', count(*) filter (query_tag = 'Rust' or query_tag is null) from news_raw
@@ -611,10 +678,8 @@ def oracle_sql() -> dict[str, str]:
         "silver_github": f"select {_SILVER} from silver_github",
         "silver_combined": f"select {_SILVER}, sentiment, ai_topics, ai_entities, enrichment_error from combined",
         "upsert_silver": f"select {_SILVER} from silver_hn",
-        "silver_layer": """
-            select 'hn' as "table", count(*) as "rows" from silver_hn
-            union all select 'news', count(*) from silver_news
-            union all select 'github', count(*) from silver_github""",
+        "silver_layer": " union all ".join(
+            _digest(feed, f"silver_{feed}", _SILVER_KINDS, pipeline_version="'1.0.0'") for feed in ("hn", "news", "github")),
         # ---- enrichment
         "enrich_candidates": f"""
             select {_SILVER} from (select s.* from (
@@ -667,11 +732,15 @@ def oracle_sql() -> dict[str, str]:
         "language_momentum": f"select {_MOMENTUM} from momentum",
         "source_activity": f"select {_ACTIVITY} from activity",
         "top_content": f"select {_CONTENT} from content",
-        "gold_layer": """
-            select 'trending_topics' as "table", count(*) as "rows" from trending
-            union all select 'language_momentum', count(*) from momentum
-            union all select 'source_activity', count(*) from activity
-            union all select 'top_content', count(*) from content""",
+        "refreshed_topics": f"select {_TRENDING} from trending",
+        "refreshed_momentum": f"select {_MOMENTUM} from momentum",
+        "refreshed_activity": f"select {_ACTIVITY} from activity",
+        "refreshed_content": f"select {_CONTENT} from content",
+        "gold_layer": " union all ".join([
+            _digest("trending_topics", "trending", _TRENDING_KINDS), _digest("language_momentum", "momentum", _MOMENTUM_KINDS),
+            _digest("source_activity", "activity", _ACTIVITY_KINDS),
+            _digest("top_content", "content", _CONTENT_KINDS, ai_topics="'[' || ai_topics || ']'", ai_entities="'[' || ai_entities || ']'"),
+        ]),
         # ---- retrieval
         "docs_content": "select * from content_docs",
         "docs_topics": "select * from topic_docs",

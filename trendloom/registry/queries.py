@@ -20,12 +20,12 @@ from pyspark.sql import types as T
 from trendloom.functions.text import article_id, clean_text, clean_url, parse_timestamp, unified_id
 from trendloom.operators.latest import first_seen, newest_per_key
 from trendloom.operators.vectors import cosine_topk
-from trendloom.plans import enrich, gold, jobs, metrics, retrieval, serving, silver
+from trendloom.plans import enrich, gold, jobs, metrics, refresh, retrieval, serving, silver
 from trendloom.schemas import FEEDS
 from trendloom.session import scratch_root, use_utc
 from trendloom.sources import feeds, messages, testdata
 from trendloom.sources.tables import TableStore
-from trendloom.streaming import bronze, dedup
+from trendloom.streaming import bronze, dedup, keyed, slices, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -266,6 +266,63 @@ def _first_seen_stream(spark, sf_dir):
     return reduce(DataFrame.union, [store.read("first", feed).select(F.lit(feed).alias("feed"), "id") for feed in FEEDS])
 
 
+@query("stream_metrics")
+def _stream_metrics(spark, sf_dir):
+    """Messages of all feeds' streams by what became of them, told by a listener while the streams run."""
+    store, heard = _fresh_store(spark, "stream"), watch.listen(spark)
+    started = bronze.start_feeds(
+        _streams(store, sf_dir), store.path("bronze", ""), store.path("checkpoints", ""), every=None, watch=True
+    )
+    bronze.finish_feeds(started)
+    for stream in started.values():
+        heard.wait_for(stream)
+    spark.streams.removeListener(heard)
+    return heard.table(spark)
+
+
+@query("silver_stream")
+def _silver_stream(spark, sf_dir):
+    """Messages of all feeds straight into keyed Silver tables, in triggers of one file."""
+    store = _fresh_store(spark, "silver-stream")
+    for feed, sent in all_messages(spark, sf_dir).items():
+        sent.repartition(5).write.parquet(store.path("messages", feed))
+    streams = {feed: messages.file_stream(spark, store.path("messages", feed), max_files_per_trigger=1) for feed in FEEDS}
+    bronze.finish_feeds(keyed.start_silver(streams, store, store.path("checkpoints", ""), AS_OF, every=None, fan=3))
+    return reduce(DataFrame.unionByName, [store.read("silver", feed) for feed in FEEDS])
+
+
+@query("first_seen_slices")
+def _first_seen_slices(spark, sf_dir):
+    """Events of a user, held for two days for the best of their types, then remembered for five."""
+    store, at = _fresh_store(spark, "slices"), F.col("ts").cast("timestamp")
+    testdata.table(spark, sf_dir, "events").withColumn("ts", at).write.parquet(store.path("in", "events"))
+    kind = spark.read.parquet(store.path("in", "events")).schema
+    stream = spark.readStream.schema(kind).parquet(store.path("in", "events"))
+    priority = F.expr("case event_type when 'purchase' then 1 when 'signup' then 2 else 3 end")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    slices.use_rocksdb(spark)
+    best = slices.first_seen_by_priority(stream, "user_id", priority, "ts", "2 days", "5 days", "1 hour", "event_id")
+    sent = bronze.start_append(best, store.path("first", "events"), store.path("checkpoints", "events"), every=None)
+    sent.awaitTermination()
+    spark.conf.set(provider, before)
+    return store.read("first", "events").select("user_id", "event_id", "event_type", "ts")
+
+
+@query("bronze_folded")
+def _bronze_folded(spark, sf_dir):
+    """Stories through the append sink in many small files, folded into parts between two runs of the stream."""
+    store = _fresh_store(spark, "folded")
+    for k, part in enumerate(hn_messages(spark, sf_dir).randomSplit([1.0] * 3, seed=1)):
+        part.repartition(4).write.mode("append").parquet(store.path("messages", "hn"))
+        stream = messages.file_stream(spark, store.path("messages", "hn"), max_files_per_trigger=2)
+        bronze.finish_feeds(bronze.start_feeds({"hn": stream}, store.path("bronze", ""), store.path("checkpoints", ""), every=None))
+        if k < 2:  # the last files stay as the stream left them
+            store.fold_stream("bronze", "hn", fan=2)
+    rows = store.read("bronze", "hn")
+    return rows.withColumn("score", F.col("score").cast("double"))
+
+
 @query("rows_without_id")
 def _rows_without_id(spark, sf_dir):
     """Mapped rows that Silver leaves out because nothing names them: messages that have lost their ids."""
@@ -390,12 +447,12 @@ def _upsert_silver(spark, sf_dir):
 
 @query("silver_layer")
 def _silver_layer(spark, sf_dir):
-    """The Silver job over stored Bronze tables, then the rows of each table."""
+    """The Silver job over stored Bronze tables, then rows and content of each table."""
     store = _fresh_store(spark, "silver")
     for feed, raw in testdata.RAW.items():
         store.append(raw(spark, sf_dir), "bronze", feed)
     jobs.run_silver(store, as_of=AS_OF)
-    return metrics.layer_counts(spark, {feed: store.read("silver", feed) for feed in FEEDS})
+    return metrics.layer_digests({feed: store.read("silver", feed).drop(*CLOCKS) for feed in FEEDS})
 
 
 # ---- enrichment -------------------------------------------------------------------------
@@ -490,10 +547,54 @@ def _top_content(spark, sf_dir):
 
 @query("gold_layer")
 def _gold_layer(spark, sf_dir):
-    """The Gold job over stored Silver tables, then the rows of each table."""
+    """The Gold job over stored Silver tables, then rows and content of each table."""
     store = _fresh_store(spark, "gold")
     jobs.run_gold(warehouse(spark, sf_dir, "silver"), AS_OF, target=store)
-    return metrics.layer_counts(spark, {name: store.read("gold", name) for name in jobs.BUILDERS})
+    return metrics.layer_digests({name: store.read("gold", name).drop(*CLOCKS) for name in jobs.BUILDERS})
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> TableStore:
+    """Gold made from the first half of the month and then refreshed with the rest, once per application.
+
+    Stories of the second half replace those of the first, and a third of the enrichment comes last.
+    """
+    app = spark.sparkContext.applicationId
+    place = hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    store = TableStore(spark, f"{scratch_root(spark)}/refreshed-{place}", "parquet")
+    with _lock:
+        if (app, place, "refreshed") not in _ready:
+            known = testdata.enriched(spark, sf_dir)
+            late = F.col("sentiment") == "negative"
+            for early in (True, False):
+                for feed in FEEDS:
+                    raw = testdata.RAW[feed](spark, sf_dir)
+                    first = F.col("ingested_at" if feed == "hn" else {"news": "published_at", "github": "created_at"}[feed]) < "2024-01-16"
+                    part = raw.filter(first if early else ~first)
+                    store.upsert(silver.to_silver(part, feed, AS_OF), "silver", feed, "unified_id")
+                store.append(known.filter(~late if early else late), "silver", "enriched")
+                refresh.refresh_gold(store, AS_OF)
+            _ready.add((app, place, "refreshed"))
+    return store
+
+
+@query("refreshed_topics")
+def _refreshed_topics(spark, sf_dir):
+    return _refreshed(spark, sf_dir).read("gold", "trending_topics")
+
+
+@query("refreshed_activity")
+def _refreshed_activity(spark, sf_dir):
+    return _refreshed(spark, sf_dir).read("gold", "source_activity")
+
+
+@query("refreshed_momentum")
+def _refreshed_momentum(spark, sf_dir):
+    return _refreshed(spark, sf_dir).read("gold", "language_momentum")
+
+
+@query("refreshed_content")
+def _refreshed_content(spark, sf_dir):
+    return _refreshed(spark, sf_dir).read("gold", "top_content")
 
 
 # ---- retrieval --------------------------------------------------------------------------

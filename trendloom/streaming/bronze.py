@@ -13,16 +13,29 @@ from pyspark.sql.streaming import StreamingQuery
 from trendloom.functions._cols import columns_of
 from trendloom.plans.silver import processing_time
 from trendloom.schemas import FEEDS, INGEST_DAY, Feed
+from trendloom.streaming.watch import watched
 
 
-def parse_messages(messages: DataFrame, feed: Feed, as_of: datetime | None = None) -> DataFrame:
+def parse_messages(
+    messages: DataFrame, feed: Feed, as_of: datetime | None = None, watch: bool = False
+) -> DataFrame:
     """JSON bytes to the feed's typed columns, with broker time, processing time and topic.
 
     Unknown fields are dropped, missing or ill-typed ones are null. A message that lacks a
-    required field, or is no JSON at all, is left out.
+    required field, or is no JSON at all, is left out. With ``watch`` the messages are counted as they
+    pass, for :class:`trendloom.streaming.watch.FeedMetrics`.
     """
-    body = F.from_json(F.col("value").cast("string"), feed.schema)
-    rows = messages.select("timestamp", columns_of(body)).select(
+    text = F.col("value").cast("string")
+    body = F.from_json(text, feed.schema)
+    if watch:
+        # A failed parse leaves its text in the corrupt record's column; other columns are not needed for that.
+        kept = F.from_json(text, "_corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+        whole = text.rlike(r"^\s*\{") & kept.isNotNull() & kept["_corrupt"].isNull()
+        opened = messages.select("timestamp", F.coalesce(whole, F.lit(False)).alias("_whole"), columns_of(body))
+        rows = watched(opened, feed, "_whole")
+    else:
+        rows = messages.select("timestamp", columns_of(body))
+    rows = rows.select(
         *feed.schema.names,
         F.col("timestamp").alias("kafka_timestamp"),
         processing_time(as_of).alias("bronze_ingested_at"),
@@ -66,11 +79,12 @@ def start_feeds(
     every: str | None = "30 seconds",
     fmt: str = "parquet",
     by_day: bool = False,
+    watch: bool = False,
 ) -> dict[str, StreamingQuery]:
     """Start one query per feed on the session of the sources; Spark runs them side by side."""
     return {
         name: start_append(
-            parse_messages(messages, FEEDS[name]),
+            parse_messages(messages, FEEDS[name], watch=watch),
             f"{bronze_root.rstrip('/')}/{name}",
             f"{checkpoint_root.rstrip('/')}/{name}",
             every, fmt, by_day,
