@@ -16,30 +16,45 @@ EmbedderFactory = Callable[[], Callable[[Sequence[str]], Sequence[Sequence[float
 
 # Fixed value: how much of a failure's message is kept by default.
 MESSAGE_LENGTH = 100
+#: The failure of texts that were not sent, because the service was down.
+NOT_ASKED = "not_asked"
 
 
 def respond(
-    factory: ResponderFactory, text: Column, pause_seconds: float = 0.0, message_length: int | None = MESSAGE_LENGTH
+    factory: ResponderFactory, text: Column, pause_seconds: float = 0.0, message_length: int | None = MESSAGE_LENGTH,
+    retries: int = 0, backoff_seconds: float = 1.0, breaker: int | None = None,
 ) -> Column:
     """``struct<raw, failure>`` of the model's answer to each text; null texts are not sent.
 
-    A failing call becomes its message, cut to ``message_length`` (None: whole), so one bad row does not fail the task. The column is
-    non-deterministic, which keeps the optimizer from evaluating it twice.
+    A failing call is repeated up to ``retries`` times, after ``backoff_seconds`` and then twice as long each
+    time. If it still fails it becomes its message, cut to ``message_length`` (None: whole), so one bad row
+    does not fail the task. Once ``breaker`` texts in a row have failed in a task, the service is taken
+    to be down: the task sends nothing more, and its other texts get the failure ``not_asked``. The
+    column is non-deterministic, which keeps the optimizer from evaluating it twice.
     """
 
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        client = factory()
+        client, failed = factory(), 0
 
         def one(item):
+            nonlocal failed
             if item is None:
                 return None, None
-            try:
-                answer = client(item)
-                if pause_seconds:
-                    time.sleep(pause_seconds)
-                return answer, None
-            except Exception as error:  # the row carries the reason
-                return None, str(error)[:message_length]
+            if breaker is not None and failed >= breaker:
+                return None, NOT_ASKED
+            for attempt in range(retries + 1):
+                try:
+                    answer = client(item)
+                    failed = 0
+                    if pause_seconds:
+                        time.sleep(pause_seconds)
+                    return answer, None
+                except Exception as error:  # the row carries the reason
+                    message = str(error)[:message_length]
+                    if attempt < retries and backoff_seconds:
+                        time.sleep(backoff_seconds * 2**attempt)
+            failed += 1
+            return None, message
 
         for texts in batches:
             yield pd.DataFrame([one(t) for t in texts], columns=["raw", "failure"], dtype=object)

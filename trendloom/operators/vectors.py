@@ -57,7 +57,8 @@ def cosine_topk(
     Question vectors are stored once, so they are computed once, and go to the documents in blocks
     of ``block``. The blocks are read one after another while the plan is built and become parts of
     one job. Each task multiplies its document batches with a block and hands on its own best ``k``
-    per question, so neither pairs nor documents are shuffled. ``carry`` names columns to look up
+    per question, so neither pairs nor documents are shuffled. A question id with several vectors has
+    one list, of the documents that are nearest to any of them. ``carry`` names columns to look up
     for the hits, in ``details`` or else in the corpus, once for all blocks.
     """
     asked = settle(questions.select(question_id, vector).filter(F.col(vector).isNotNull()))[0]
@@ -73,6 +74,9 @@ def cosine_topk(
         for part in _blocks(asked, question_id, vector, block)
     ]
     found = reduce(DataFrame.union, near)
+    if not asked.groupBy(question_id).count().filter("count > 1").isEmpty():
+        # The vectors of an id share one list, in which a document stands once, with its best similarity.
+        found = found.groupBy(question_id, doc_id).agg(F.max("similarity").alias("similarity"))
     order = [F.col("similarity").desc(), F.col(doc_id)]
     hits = top_per_group(found, [question_id], order, k, "place").withColumn(
         "distance", F.lit(1.0) - F.col("similarity")
@@ -86,10 +90,9 @@ def cosine_topk(
 def _blocks(asked: DataFrame, question_id: str, vector: str, size: int):
     """Ids and unit vectors of at most ``size`` questions at a time; one empty block for none.
 
-    A question id that occurs twice is two questions with one list of hits, so equal ids stand in
-    one block and count as one there.
+    A question id may have several vectors; each asks for itself.
     """
-    rows = asked.dropDuplicates([question_id]).select(question_id, vector).toLocalIterator()
+    rows = asked.select(question_id, vector).toLocalIterator()
     keys, vectors, any_yet = [], [], False
     for row in rows:
         keys.append(row[0])

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from trendloom.functions._cols import ColumnLike, as_column, columns_of
 from trendloom.functions.sentiment import NEUTRAL
 from trendloom.functions.text import not_blank
-from trendloom.operators.models import ResponderFactory, respond
+from trendloom.operators.memory import TEXT, remembered
+from trendloom.operators.models import MESSAGE_LENGTH, ResponderFactory, respond
 from trendloom.operators.settle import settle
 from trendloom.plans.silver import drop_empty_titles, processing_time
 from trendloom.schemas import AI_RESULT_SCHEMA
+from trendloom.sources.tables import TableStore
 
 # How many topics and entities are kept, the run's default size, and the names of
 # the failures.
@@ -132,6 +134,10 @@ def enrich(
     as_of: datetime | None = None,
     template: str = "%s",
     list_size: int | None = LIST_SIZE,
+    retries: int = 0,
+    backoff_seconds: float = 1.0,
+    breaker: int | None = None,
+    memory: TableStore | None = None,
 ) -> DataFrame:
     """Ask the model about every row and add the typed result. Parsing stays in built-in functions.
 
@@ -139,17 +145,32 @@ def enrich(
     text to a budget. ``parallel_calls`` is the number of tasks, each with its own client, and so
     the bound on calls at a time. Without it there are as many as the plan's last stage has tasks,
     which suits a local model only. The default without ``enricher`` needs no model and no Python.
+
+    ``retries``, ``backoff_seconds`` and ``breaker`` are those of :func:`trendloom.operators.models.respond`.
+    With ``memory`` answers are kept in that store's ``work/answers`` by model and text, and only texts
+    without one are sent; failures are not kept.
     """
     text = prompt_text(max_chars=max_chars)
     if enricher is None:
         answered = with_lexicon(rows, text, list_size)
     else:
-        spread = rows.repartition(parallel_calls) if parallel_calls else rows
         before, _, after = template.partition("%s")
-        answer = respond(enricher, F.concat(F.lit(before), text, F.lit(after)), pause_seconds)
-        asked = spread.withColumn("_answer", answer).select(
-            *rows.columns, F.col("_answer.raw").alias("_raw"), F.col("_answer.failure").alias("_failure")
-        )
+        sent = F.concat(F.lit(before), text, F.lit(after))
+
+        def ask(given: DataFrame, question: Column) -> DataFrame:
+            spread = given.repartition(parallel_calls) if parallel_calls else given
+            answer = respond(enricher, question, pause_seconds, MESSAGE_LENGTH, retries, backoff_seconds, breaker)
+            return spread.withColumn("_answer", answer).select(
+                *given.columns, F.col("_answer.raw").alias("_raw"), F.col("_answer.failure").alias("_failure")
+            )
+
+        if memory is None:
+            asked = ask(rows, sent)
+        else:
+            asked = remembered(
+                rows, sent, memory, "work", "answers", lambda given: ask(given, F.col(TEXT)).drop(TEXT), model,
+                F.col("_failure").isNull(),
+            )
         answered = parse_responses(asked, "_raw", "_failure", ~not_blank("title"), list_size)
     return answered.withColumns({"enriched_at": processing_time(as_of), "llm_model": F.lit(model)})
 

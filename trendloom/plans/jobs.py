@@ -10,7 +10,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.operators.models import EmbedderFactory, ResponderFactory
+from trendloom.operators.models import NOT_ASKED, EmbedderFactory, ResponderFactory
 from trendloom.plans import enrich, gold, metrics, retrieval
 from trendloom.plans.silver import map_feed, moment, to_silver
 from trendloom.schemas import FEEDS, INGEST_DAY
@@ -85,18 +85,27 @@ def run_enrichment(
     target: TableStore | None = None,
     template: str = "%s",
     list_size: int | None = enrich.LIST_SIZE,
+    retries: int = 0,
+    backoff_seconds: float = 1.0,
+    breaker: int | None = None,
+    remember: bool = False,
 ) -> int:
     """Enrich the next ``size`` rows and append them; returns rows written.
 
-    Selection, model calls and write are one job, so the rows asked about are the rows stored.
+    Selection, model calls and write are one job, so the rows asked about are the rows stored. Rows that
+    an open ``breaker`` kept from being asked are not stored: the next run takes them again. With
+    ``remember`` a text that has an answer of the model is not sent again.
     """
     target = target or store
     waiting = enrich.enrichment_candidates(
         silver_tables(store), target.read_if_exists("silver", "enriched"), size, retry_errors
     )
     rows = enrich.enrich(
-        waiting, enricher, model, max_chars, pause_seconds, parallel_calls, as_of, template, list_size
+        waiting, enricher, model, max_chars, pause_seconds, parallel_calls, as_of, template, list_size,
+        retries, backoff_seconds, breaker, target if remember else None,
     )
+    if breaker is not None:
+        rows = rows.filter(~F.col("enrichment_error").eqNullSafe(F.lit(NOT_ASKED)))
     return target.append(rows, "silver", "enriched")
 
 
@@ -157,11 +166,19 @@ def run_questions(
     return store.append(asked, "gold", "answers")
 
 
-def run_retrieval(store: TableStore, embedder: EmbedderFactory | None = None) -> int:
-    """Rebuild the embedded documents from the Gold tables; returns documents written."""
+def run_retrieval(store: TableStore, embedder: EmbedderFactory | None = None, model: str | None = None) -> int:
+    """Rebuild the embedded documents from the Gold tables; returns documents written.
+
+    With the name of the ``model`` its vectors are kept in ``work/vectors`` by text, and only texts that
+    are new since the last rebuild are embedded.
+    """
     documents = retrieval.document_corpus(
         store.read("gold", "top_content"),
         store.read("gold", "trending_topics"),
         store.read("gold", "language_momentum"),
     )
-    return store.overwrite(retrieval.embed_documents(documents, embedder), "gold", "documents")
+    if model is None:
+        embedded = retrieval.embed_documents(documents, embedder)
+    else:
+        embedded = retrieval.embed_remembered(documents, store, model, embedder)
+    return store.overwrite(embedded, "gold", "documents")

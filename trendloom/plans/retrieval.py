@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from trendloom.functions._cols import ColumnLike, as_column
 from trendloom.functions.numbers import fixed_text, rounded_text
+from trendloom.operators.memory import TEXT, remembered
 from trendloom.operators.models import EmbedderFactory, ResponderFactory, embed, respond
 from trendloom.operators.numbering import number_rows
 from trendloom.operators.vectors import cosine_topk
+from trendloom.sources.tables import TableStore
 
 # The texts and ids of the documents, and how much of each table is indexed.
 CONTENT_TEXT = (
@@ -177,6 +179,20 @@ def embed_documents(
     return df.withColumn(output, embed(embedder, F.col(text), batch_size))
 
 
+def embed_remembered(
+    df: DataFrame, memory: TableStore, model: str, embedder: EmbedderFactory | None = None, text: str = "text",
+    output: str = "embedding",
+) -> DataFrame:
+    """The same as :func:`embed_documents`, with vectors kept in ``work/vectors`` of a store by model and text.
+
+    Only texts without a kept vector are embedded, each once; a null text counts as empty.
+    """
+    def ask(given: DataFrame) -> DataFrame:
+        return embed_documents(given, embedder, TEXT, output).drop(TEXT)
+
+    return remembered(df, F.coalesce(F.col(text), F.lit("")), memory, "work", "vectors", ask, model)
+
+
 # ---- answers ----------------------------------------------------------------------------
 
 

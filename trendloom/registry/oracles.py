@@ -718,6 +718,12 @@ def oracle_sql() -> dict[str, str]:
                    '' as ai_entities,
                    case when coalesce(trim(title), '') = '' then 'empty_title' end as enrichment_error
             from worded""",
+        "enrich_retries": """
+            with sent as (select article_id, title, length(title || '. ') % 4 as refusals, trim(title) = '' as blank from news_raw)
+            select article_id, case when blank or refusals > 2 then 'neutral' else 'positive' end as sentiment,
+                   case when blank or refusals > 2 then '' else 'asked ' || (refusals + 1) || ' times' end as ai_topics,
+                   case when blank then 'empty_title' when refusals > 2 then 'refused 3 times' end as enrichment_error
+            from sent""",
         "enrichment_run": f"""
             with chosen as (
                 select *, {_words("title || '. ' || coalesce(description, '')")} as words from (
@@ -753,6 +759,14 @@ def oracle_sql() -> dict[str, str]:
             select cast(id as bigint) as doc_id, string_agg(
                        place || '=' || cast(round(cast(x as double) * 1000000) as bigint), ' ' order by place) as embedding
             from embedded_words where kind = 'document' group by id""",
+        "embed_remembered": """
+            with vectors as (
+                select cast(id as bigint) as doc_id, string_agg(
+                       place || '=' || cast(round(cast(x as double) * 1000000) as bigint), ' ' order by place) as embedding
+                from embedded_words where kind = 'document' group by id)
+            select d.doc_id, coalesce(embedding, '') as embedding,
+                   coalesce("text", '') not in (select coalesce("text", '') from documents where lang = 'en') as fresh
+            from documents d left join vectors v on v.doc_id = d.doc_id""",
         "ask_questions": "select question_id, prompt from asked_prompts",
         "ask_answers": """
             select question_id, length(prompt) || ' characters' as answer, cast(null as varchar) as answer_error

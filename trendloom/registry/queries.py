@@ -8,6 +8,7 @@ and data folder, in the shared scratch folder.
 from __future__ import annotations
 
 import hashlib
+import json
 import threading
 import uuid
 from collections.abc import Callable
@@ -511,6 +512,29 @@ def _enrich_rows(spark, sf_dir):
     )
 
 
+def faltering_model():
+    """A model that refuses a text as many times in a row as its length modulo 4 says, then answers."""
+    refused = {}
+
+    def answer(text):
+        times = refused.pop(text, 0) + 1
+        if times <= len(text) % 4:
+            if times < 3:
+                refused[text] = times
+            raise TimeoutError(f"refused {times} times")
+        return json.dumps({"sentiment": "positive", "ai_topics": [f"asked {times} times"]})
+
+    return answer
+
+
+@query("enrich_retries")
+def _enrich_retries(spark, sf_dir):
+    """All news rows asked of a faltering service, with two retries for each."""
+    rows = testdata.news_raw(spark, sf_dir).selectExpr("article_id", "title", "cast(null as string) as description")
+    asked = enrich.enrich(rows, faltering_model, as_of=AS_OF, retries=2, backoff_seconds=0)
+    return asked.select("article_id", "sentiment", "ai_topics", "enrichment_error")
+
+
 @query("enrichment_run")
 def _enrichment_run(spark, sf_dir):
     """Two runs of the enrichment job; the second goes on where the first ended."""
@@ -628,16 +652,32 @@ def _document_corpus(spark, sf_dir):
     return document_corpus(spark, sf_dir)
 
 
+# The whole vector as text: place and value in millionths of all places but the empty ones.
+VECTOR_TEXT = (
+    "array_join(filter(transform(embedding, (x, i) -> if(x = 0, null,"
+    " concat(i, '=', cast(rint(cast(x as double) * 1000000) as bigint)))), e -> e is not null), ' ')"
+)
+
+
 @query("embed_documents")
 def _embed_documents(spark, sf_dir):
     vectors = retrieval.embed_documents(
         testdata.table(spark, sf_dir, "documents").select("doc_id", "text")
     )
-    # The whole vector as text: place and value in millionths of all places but the empty ones.
-    return vectors.select("doc_id", F.expr(
-        "array_join(filter(transform(embedding, (x, i) -> if(x = 0, null,"
-        " concat(i, '=', cast(rint(cast(x as double) * 1000000) as bigint)))), e -> e is not null), ' ')"
-    ).alias("embedding"))
+    return vectors.select("doc_id", F.expr(VECTOR_TEXT).alias("embedding"))
+
+
+@query("embed_remembered")
+def _embed_remembered(spark, sf_dir):
+    """English documents embedded first, then all; ``fresh`` texts were new to the second run."""
+    store, docs = _fresh_store(spark, "vectors"), testdata.table(spark, sf_dir, "documents")
+    retrieval.embed_remembered(docs.filter("lang = 'en'").select("doc_id", "text"), store, "words")
+    known = store.version("work", "vectors")
+    vectors = retrieval.embed_remembered(docs.select("doc_id", "text"), store, "words")
+    digest = F.sha2(F.concat(F.lit("words\0"), F.coalesce("text", F.lit(""))), 256)
+    first = store.read("work", "vectors", known).select(F.col("_digest").alias("digest"), F.lit(False).alias("fresh"))
+    told = vectors.withColumn("digest", digest).join(first, "digest", "left")
+    return told.select("doc_id", F.expr(VECTOR_TEXT).alias("embedding"), F.coalesce("fresh", F.lit(True)).alias("fresh"))
 
 
 def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
