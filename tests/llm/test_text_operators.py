@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 import sentencepiece
 
@@ -120,11 +121,58 @@ def test_agendas_in_step_equal_single_ones(monkeypatch):
         assert small.encode(["a b c"], ["1"]) and small.encode([text], ["7"]) == [want]
 
 
+def naive_pieces(model, chunk, below, key):
+    """Looks at all neighbours in every step and takes the best pair that no hash has skipped."""
+    parts, skipped, start = list(chunk), set(), 0
+    while True:
+        spans, start = [], 0
+        for part in parts:
+            spans.append((start, start + len(part)))
+            start += len(part)
+        found = [
+            (model.ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:]))
+            if a + b in model.ranks and (spans[i][0], spans[i][1], spans[i + 1][1]) not in skipped
+        ]
+        if not found:
+            return tuple(k for p in parts for k in ([model.ids[p]] if p in model.ids else [model.fallback[b] for b in p.encode()]))
+        i = min(found)[1]
+        place = (spans[i][0], spans[i][1], spans[i + 1][1])
+        if pieces.skip_hash(key, *place) < below:
+            skipped.add(place)
+        else:
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+
+@pytest.mark.parametrize("dropout", [0, 0.1, 0.4, 1.0])
+def test_pieces_equal_those_of_a_naive_agenda(dropout):
+    model = pieces.Model(pieces.read_model(pieces.MODEL))
+    rng = random.Random(9)
+    words = ["international", "unbelievable", "ÜBERSETZUNG", "12345,67", "日本語の", "😀▁x", "a" * 31, "b" * 40, "ab\tcd", ""]
+    text = " ".join(rng.choice([*words, prose(rng, 1), prose(rng, 1)]) for _ in range(400))
+    encoder = pieces.Encoder(model, dropout, 5, None)
+    chunks = pieces._CHUNK.findall(f" {text}")
+    keys = encoder.keys(chunks, encoder.draw("d", len(chunks)))
+    want = [k for c, key in zip(chunks, keys.tolist()) for k in naive_pieces(model, c, encoder.below, key)]
+    assert encoder.encode([text], ["d"]) == [want] and model.decode(want) == text
+
+
+def test_pieces_of_long_texts_and_of_a_chunk_without_spaces(spark):
+    rng = random.Random(3)
+    long = prose(rng, 900_000)  # over 4 MB
+    solid = "".join(rng.choice("abcdefghij日é") for _ in range(60_000))
+    docs = spark.createDataFrame([(1, long, None, None, 0), (2, solid, None, None, 0), (3, " " * 5000 + "▁" * 300, None, None, 0)], DOCS)
+    got = {r.doc_id: r for r in pieces.transcode(docs).collect()}
+    assert all(r.lossless and r.n_pieces == len(r.piece_ids) > 300 for r in got.values())
+    model = pieces.Model(pieces.read_model(pieces.MODEL))
+    assert model.decode(got[2].piece_ids) == solid
+
+
 def test_each_occurrence_draws_for_itself():
     """Every word of one merge is skipped in about a tenth of its occurrences, not in k of 16 ways."""
     model = pieces.Model(pieces.read_model(pieces.MODEL))
     encoder = pieces.Encoder(model, 0.1, 42, pieces.DRAWS)
-    single = [w for w in model.ids if len(w) == 2 and w[0] == " " and w[1].isalpha() and len(model.path(w, frozenset())[1]) == 1][:40]
+    merges = lambda w: int(model.agendas([w], 0, np.zeros(1, np.uint64))[3][-1])
+    single = [w for w in model.ids if len(w) == 2 and w[0] == " " and w[1].isalpha() and merges(w) == 1][:40]
     assert len(single) == 40
     for word in single:
         ids = encoder.encode([(word * 3000)[1:]], ["1"])[0]

@@ -11,8 +11,8 @@ import hashlib
 import heapq
 import re
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ MODEL_BYTES = 32 << 20
 DROPOUT, SEED = 0.1, 42
 #: Ways in which the occurrences of one word may be drawn; None: each occurrence draws for itself.
 DRAWS = None
-#: Remembered ways of words; the memory is emptied when it is full, which changes no result. Words that are
+#: Remembered words; the memory is emptied when it is full, which changes no result. Words that are
 #: worked off together, and text bytes that are encoded together.
 REMEMBERED, STEP, ENCODE_BYTES = 300_000, 20_000, 2 << 20
 
@@ -95,10 +95,11 @@ class Model:
             (ids[piece[:k]] * self.size + ids[piece[k:]], number)
             for piece, number in ids.items() for k in range(1, len(piece)) if piece[:k] in ids and piece[k:] in ids
         )
-        self.pairs = np.array([k for k, _ in pairs] or [-1], np.int64)
-        self.makes = np.array([n for _, n in pairs] or [-1], np.int32)
+        self._store_pairs(np.array([k for k, _ in pairs], np.int64), np.array([n for _, n in pairs], np.int32))
         self.rank_of = np.zeros(self.size, np.float32)
         self.rank_of[list(ids.values())] = [self.ranks[piece] for piece in ids]
+        self.byte_at = np.concatenate([[0], np.cumsum([len(b) for b in self.bytes])])
+        self.all_bytes = np.frombuffer(b"".join(self.bytes), np.uint8)
         self.letters = np.full(0x110000, -1, np.int32)
         for piece, number in ids.items():
             if len(piece) == 1:
@@ -115,16 +116,7 @@ class Model:
                 out.extend(map(self.fallback.__getitem__, piece.encode()))
         return tuple(out)
 
-    def path(self, chunk: str, skipped: frozenset[int]) -> tuple[tuple[int, ...], list[int]]:
-        """Piece ids of a chunk if just these candidates are skipped, and the merges on the way."""
-        taken: list[int] = []
-        out: list[int] = []
-        for piece in self._merged(chunk, 0, 0, skipped, taken):
-            found = self.ids.get(piece)
-            out.extend(map(self.fallback.__getitem__, piece.encode()) if found is None else (found,))
-        return tuple(out), taken
-
-    def _merged(self, chunk: str, dropout: int, key: int, skipped: frozenset[int] = frozenset(), taken: list[int] | None = None) -> list[str]:
+    def _merged(self, chunk: str, dropout: int, key: int) -> list[str]:
         """The pieces left when the agenda of merges is empty."""
         rank, text, n = self.ranks.get, list(chunk), len(chunk)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -143,10 +135,6 @@ class Model:
                 continue
             if dropout and skip_hash(key, left, right, end) < dropout:
                 continue
-            if taken is not None:
-                if (code := left << 42 | right << 21 | end) in skipped:
-                    continue
-                taken.append(code)
             text[left] += text[right]
             text[right] = ""
             follow = after[left] = after[right]
@@ -157,35 +145,69 @@ class Model:
                 propose(before[left], left)
         return [piece for piece in text if piece]
 
+    def _store_pairs(self, pairs: np.ndarray, makes: np.ndarray) -> None:
+        """A table of at most one pair in four places: a pair lies at its hash or in the next places that are free."""
+        self.bits = np.uint64(64 - max(4, (4 * len(pairs)).bit_length()))
+        size = 1 << (64 - int(self.bits))
+        self.pairs, self.makes = np.full(size, -1, np.int64), np.full(size, -1, np.int32)
+        left, at = np.arange(len(pairs)), self._slot(pairs)
+        while len(left):
+            free = np.flatnonzero(self.pairs[at] == -1)
+            first = free[np.unique(at[free], return_index=True)[1]]
+            self.pairs[at[first]], self.makes[at[first]] = pairs[left[first]], makes[left[first]]
+            left, at = np.delete(left, first), (np.delete(at, first) + 1) % size
+
+    def _slot(self, pairs: np.ndarray) -> np.ndarray:
+        return ((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.bits).astype(np.int64)
+
     def _pair(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece that each pair of pieces makes, and its rank; no piece has rank NEVER."""
         key = left.astype(np.int64) * self.size + right
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        found = (self.pairs[at] == key) & (left >= 0) & (right >= 0)
-        return self.makes[at], np.where(found, self.rank_of[self.makes[at]], np.float32(NEVER))
+        at = self._slot(key)
+        held = self.pairs[at]
+        rest = np.flatnonzero((held != key) & (held != -1))
+        while len(rest):
+            at[rest] = (at[rest] + 1) % len(self.pairs)
+            held[rest] = now = self.pairs[at[rest]]
+            rest = rest[(now != key[rest]) & (now != -1)]
+        makes = self.makes[at]
+        return makes, np.where((held == key) & (left >= 0) & (right >= 0), self.rank_of[makes], np.float32(NEVER))
 
     def segment_all(self, chunks: list[str], dropout: int, keys: np.ndarray) -> list[tuple[int, ...]]:
-        """:meth:`segment` of many chunks, whose agendas are worked off in step.
-
-        Long chunks are worked off one by one.
+        """:meth:`segment` of many chunks."""
+        pieces, begins = self.agendas(chunks, dropout, keys)[:2]
+        numbers, cuts = pieces.tolist(), begins.tolist()
+        return [tuple(numbers[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+
+    def agendas(
+        self, chunks: list[str], dropout: int, keys: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces of all chunks and where those of each begin, and the merges made, in the same form.
+
+        Chunks of like length are worked off in step: each round takes the best merge of every row that
+        has one left. Long chunks are worked off one by one, and their merges are not noted.
         """
-        out: list = [None] * len(chunks)
-        sizes = np.array([len(c) for c in chunks], np.int64)
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        found: list[tuple] = []
         for low, high in zip((0, *WIDTHS), WIDTHS):
-            rows = np.flatnonzero((sizes > low) & (sizes <= high))
-            if not len(rows):
-                continue
-            lengths = sizes[rows]
-            codes = np.frombuffer("".join([chunks[r] for r in rows.tolist()]).encode("utf-32-le", "surrogatepass"), np.uint32)
-            # A character that is no piece stands as the negative of its number and joins no pair.
-            ids = np.full((len(rows), high + 1), -1, np.int32)
-            letters = self.letters[codes]
-            ids[np.arange(high + 1) < lengths[:, None]] = np.where(letters < 0, -2 - codes.astype(np.int32), letters)
-            for row, pieces in zip(rows.tolist(), self._in_step(ids, lengths, dropout, keys[rows])):
-                out[row] = pieces
-        return [self.segment(c, dropout, int(k)) if p is None else p for c, p, k in zip(chunks, out, keys)]
-
-    def _in_step(self, ids: np.ndarray, lengths: np.ndarray, dropout: int, keys: np.ndarray) -> list[tuple[int, ...]]:
+            of_width = np.flatnonzero((sizes > low) & (sizes <= high))
+            for a in range(0, len(of_width), STEP):
+                rows = of_width[a : a + STEP]
+                lengths = sizes[rows]
+                codes = np.frombuffer("".join([chunks[r] for r in rows.tolist()]).encode("utf-32-le", "surrogatepass"), np.uint32)
+                # A character that is no piece stands as the negative of its number and joins no pair.
+                ids = np.full((len(rows), high + 1), -1, np.int32)
+                letters = self.letters[codes]
+                ids[np.arange(high + 1) < lengths[:, None]] = np.where(letters < 0, -2 - codes.astype(np.int32), letters)
+                found.append((rows, *self._in_step(ids, lengths, dropout, keys[rows])))
+        for row in np.flatnonzero(sizes > WIDTHS[-1]).tolist():
+            pieces = np.array(self.segment(chunks[row], dropout, int(keys[row])), np.int32)
+            found.append((np.array([row]), pieces, np.array([len(pieces)]), np.zeros(0, np.uint64), np.array([0])))
+        return *_in_order(len(chunks), [f[:3] for f in found], np.int32), *_in_order(len(chunks), [(f[0], *f[3:]) for f in found], np.uint64)
+
+    def _in_step(
+        self, ids: np.ndarray, lengths: np.ndarray, dropout: int, keys: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         n, width = ids.shape
         place = np.arange(width, dtype=np.int64)
         nxt = np.minimum(place + 1, lengths[:, None]).ravel()
@@ -195,7 +217,7 @@ class Model:
         first, rank = self._pair(ids[:, :-1].ravel(), ids[:, 1:].ravel())
         makes[:, :-1], ranks[:, :-1] = first.reshape(n, width - 1), rank.reshape(n, width - 1)
         flat_ids, flat_makes, flat_ranks = ids.ravel(), makes.ravel(), ranks.ravel()
-        open_ = np.arange(n)
+        open_, made = np.arange(n), []
         while len(open_):
             k = ranks[open_].argmin(axis=1)
             at = open_ * width + k
@@ -204,31 +226,54 @@ class Model:
             row = open_ * width
             split = nxt[at]
             end = nxt[row + split]
+            who = open_
             if dropout:
                 skip = skip_hashes(keys[open_], k, split, end) < np.uint64(dropout)
                 flat_ranks[at[skip]] = NEVER
-                row, k, at, split, end = row[~skip], k[~skip], at[~skip], split[~skip], end[~skip]
+                row, k, at, split, end, who = row[~skip], k[~skip], at[~skip], split[~skip], end[~skip], who[~skip]
+            made.append((who, k << 42 | split << 21 | end))
             flat_ids[at] = flat_makes[at]
             nxt[at], prv[row + end] = end, k
             alive[row + split] = False
             flat_ranks[row + split] = NEVER
-            flat_makes[at], flat_ranks[at] = self._pair(flat_ids[at], flat_ids[row + end])
+            # The merged piece with what follows, and what stands before with the merged piece.
             has = prv[at] >= 0
             left = row[has] + prv[at[has]]
-            flat_makes[left], flat_ranks[left] = self._pair(flat_ids[left], flat_ids[at[has]])
-        numbers = flat_ids[alive].tolist()
-        cuts = np.concatenate([[0], np.cumsum(alive.reshape(n, width).sum(axis=1))]).tolist()
-        odd = (alive & (flat_ids < 0)).reshape(n, width).any(axis=1).tolist()
-        return [
-            self._with_bytes(numbers[a:b]) if bytes_ else tuple(numbers[a:b])
-            for a, b, bytes_ in zip(cuts[:-1], cuts[1:], odd)
-        ]
-
-    def _with_bytes(self, numbers: list[int]) -> tuple[int, ...]:
-        """Ids in which characters that are no piece are the pieces of their bytes."""
-        return tuple(
-            k for n in numbers for k in ((n,) if n >= 0 else map(self.fallback.__getitem__, chr(-2 - n).encode()))
-        )
+            place_ = np.concatenate([at, left])
+            flat_makes[place_], flat_ranks[place_] = self._pair(
+                flat_ids[place_], np.concatenate([flat_ids[row + end], flat_ids[at[has]]])
+            )
+        numbers, counts = self._with_bytes(flat_ids[alive], alive.reshape(n, width).sum(axis=1))
+        who = np.concatenate([m[0] for m in made]) if made else np.zeros(0, np.int64)
+        codes = np.concatenate([m[1] for m in made]) if made else np.zeros(0, np.int64)
+        return numbers, counts, codes[np.argsort(who, kind="stable")].astype(np.uint64), np.bincount(who, minlength=n)
+
+    def _with_bytes(self, numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in which characters that are no piece are the pieces of their bytes, and how many each row has."""
+        odd = np.flatnonzero(numbers < 0)
+        if not len(odd):
+            return numbers, counts
+        kinds, which = np.unique(numbers[odd], return_inverse=True)
+        spelt = [[self.fallback[b] for b in chr(-2 - k).encode("utf-8", "surrogatepass")] for k in kinds.tolist()]
+        lens = np.ones(len(numbers), np.int64)
+        lens[odd] = np.array([len(x) for x in spelt])[which]
+        out, starts = np.repeat(numbers, lens), np.cumsum(lens) - lens
+        for kind, pieces in enumerate(spelt):
+            at = starts[odd[which == kind]]
+            for j, piece in enumerate(pieces):
+                out[at + j] = piece
+        row = np.repeat(np.arange(len(counts)), counts)
+        return out, np.bincount(row, lens, minlength=len(counts)).astype(np.int64)
+
+    def decode_flat(self, pieces: np.ndarray, begins: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """Bytes of pieces one after another, and where those of each text begin."""
+        sizes = np.diff(self.byte_at)[pieces]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        parts = []
+        for a in range(0, len(pieces), 8 * STEP):
+            part = pieces[a : a + 8 * STEP]
+            parts.append(self.all_bytes[_places(self.byte_at[part], sizes[a : a + 8 * STEP])].tobytes())
+        return b"".join(parts), ends[begins]
 
     def decode(self, ids) -> str:
         """The text of piece ids; the space that encoding puts in front is taken off."""
@@ -236,12 +281,28 @@ class Model:
         return (text[1:] if text[:1] == b" " else text).decode("utf-8", "replace")
 
 
+def _in_order(n: int, found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Values of rows that come in any order, as ``(rows, values, values of each row)``, by row; and where each begins."""
+    counts = np.zeros(n, np.int64)
+    for rows, _, own in found:
+        counts[rows] = own
+    begins = np.concatenate([[0], np.cumsum(counts)])
+    out = np.empty(begins[-1], kind)
+    for rows, values, own in found:
+        out[_places(begins[rows], own)] = values
+    return out, begins
+
+
+def _places(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Indexes of runs that begin at ``begins`` and have ``counts`` entries."""
+    return np.arange(counts.sum()) + np.repeat(begins - (np.cumsum(counts) - counts), counts)
+
+
 class Encoder:
-    """Encodes texts of a worker and remembers the ways in which its words were merged.
+    """Encodes texts of a worker and remembers its words as they are merged without skips.
 
-    A way is a word with the candidates that are skipped: its pieces, and the merges that are made.
-    An occurrence takes the way without skips if its hash touches none of the merges there, else the
-    way that skips the first one touched as well, and so on. So a word is merged once for each way.
+    An occurrence whose hash touches none of the merges of its word has the word's pieces. The others
+    are merged anew, each under its own key, many of them in step.
     """
 
     def __init__(self, model: Model, dropout: float, seed: int, draws: int | None):
@@ -251,29 +312,20 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.roots: dict[str, int] = {}
-        self.children: dict[int, int] = {}
-        self.ways: list[tuple[str, frozenset[int]]] = []
-        self.pieces: list[tuple[int, ...]] = []
-        self.crcs, self.merges, self.begins = array("Q"), array("Q"), array("q", [0])
-
-    def _way(self, chunk: str, skipped: frozenset[int]) -> int:
-        # Long chunks have too many ways; they are merged one by one.
-        pieces, taken = self.model.path(chunk, skipped) if len(chunk) <= WIDTHS[-1] else (None, [])
-        self.ways.append((chunk, skipped))
-        self.pieces.append(pieces)
-        self.crcs.append(zlib.crc32(chunk.encode()))
-        self.merges.extend(taken)
-        self.begins.append(len(self.merges))
-        return len(self.ways) - 1
-
-    def _child(self, code: int) -> int:
-        """The way that skips one more merge, given as way * 64 + number of the merge."""
-        found = self.children.get(code)
-        if found is None:
-            chunk, skipped = self.ways[code >> 6]
-            found = self.children[code] = self._way(chunk, skipped | {self.merges[self.begins[code >> 6] + (code & 63)]})
-        return found
+        self.words: dict[str, int] = {}
+        self.crcs, self.long = np.zeros(0, np.uint64), np.zeros(0, bool)
+        self.pieces, self.piece_at = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.merges, self.merge_at = np.zeros(0, np.uint64), np.zeros(1, np.int64)
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Merge new words without skips, and remember their pieces and merges."""
+        pieces, piece_at, merges, merge_at = self.model.agendas(chunks, 0, np.zeros(len(chunks), np.uint64))
+        self.words.update(zip(chunks, range(len(self.words), len(self.words) + len(chunks))))
+        self.crcs = np.append(self.crcs, np.fromiter((zlib.crc32(c.encode("utf-8", "surrogatepass")) for c in chunks), np.uint64, len(chunks)))
+        self.long = np.append(self.long, np.fromiter((len(c) > WIDTHS[-1] for c in chunks), bool, len(chunks)))
+        self.piece_at = np.append(self.piece_at, piece_at[1:] + len(self.pieces))
+        self.merge_at = np.append(self.merge_at, merge_at[1:] + len(self.merges))
+        self.pieces, self.merges = np.append(self.pieces, pieces), np.append(self.merges, merges)
 
     def keys(self, chunks: list[str], draws: list[int]) -> np.ndarray:
         """Key of each chunk and draw, from which its merges are hashed."""
@@ -295,48 +347,45 @@ class Encoder:
 
     def encode(self, texts: list[str | None], docs: list[str | None]) -> list[list[int] | None]:
         """Piece ids of each text. ``docs`` keys the draws of its words."""
-        if len(self.ways) > REMEMBERED:
+        pieces, begins = self.encode_flat(texts, docs)
+        numbers, cuts = pieces.tolist(), begins.tolist()
+        return [None if text is None else numbers[a:b] for text, a, b in zip(texts, cuts[:-1], cuts[1:])]
+
+    def encode_flat(self, texts: list[str | None], docs: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of all texts one after another, and where those of each text begin."""
+        if len(self.words) > REMEMBERED:
             self._forget()
-        found, roots, drawn, sizes = self.roots, [], [], []
-        for text, doc in zip(texts, docs):
-            chunks = _CHUNK.findall(f" {text}") if text else []
-            for chunk in chunks:
-                way = found.get(chunk)
-                if way is None:
-                    way = found[chunk] = self._way(chunk, frozenset())
-                roots.append(way)
-            drawn.append(self._draw(doc or "", len(chunks)))
-            sizes.append(len(chunks))
-        way = np.array(roots, np.int64)
-        keys = self._keys(np.array(self.crcs, np.uint64)[way], np.concatenate([np.zeros(0, np.uint64), *drawn]))
-        for a in range(0, len(way), 4 * STEP):
-            self._choose(way[a : a + 4 * STEP], keys[a : a + 4 * STEP])
-        out: list[list[int] | None] = []
-        at, ways = 0, way.tolist()
-        for text, size in zip(texts, sizes):
-            ids: list[int] = []
-            for k in range(at, at + size):
-                pieces = self.pieces[ways[k]]
-                ids += self.model.segment(self.ways[ways[k]][0], self.below, int(keys[k])) if pieces is None else pieces
-            at += size
-            out.append(None if text is None else ids)
-        return out
-
-    def _choose(self, way: np.ndarray, keys: np.ndarray) -> None:
-        """Replaces the way without skips of each occurrence by the one that its key selects."""
-        open_ = np.arange(len(way) if self.below else 0)
-        while len(open_):
-            begins, merges = np.array(self.begins, np.int64), np.array(self.merges, np.uint64)
-            begin = begins[way[open_]]
-            count = begins[way[open_] + 1] - begin
-            row = np.repeat(np.arange(len(open_)), count)
-            number = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-            x = (keys[open_][row] ^ merges[begin[row] + number]) * np.uint64(0x9E3779B97F4A7C15)
-            hit = np.flatnonzero((x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93) < np.uint64(self.below))
-            hit = hit[np.flatnonzero(np.diff(row[hit], prepend=-1))]
-            open_ = open_[row[hit]]
-            codes, where = np.unique(way[open_] << 6 | number[hit], return_inverse=True)
-            way[open_] = np.array([self._child(c) for c in codes.tolist()], np.int64)[where]
+        split = [_CHUNK.findall(f" {text}") if text else [] for text in texts]
+        chunks = list(chain.from_iterable(split))
+        new = [c for c in dict.fromkeys(chunks) if c not in self.words]
+        if new:
+            self._learn(new)
+        word = np.fromiter(map(self.words.__getitem__, chunks), np.int64, len(chunks))
+        sizes = [len(s) for s in split]
+        drawn = np.concatenate([np.zeros(0, np.uint64), *[self._draw(doc or "", n) for doc, n in zip(docs, sizes)]])
+        keys = self._keys(self.crcs[word], drawn)
+        touched = self._touched(word, keys)
+        again = self.model.agendas([chunks[k] for k in touched.tolist()], self.below, keys[touched])
+        # A word's pieces lie in the memory, those of a word that was merged anew behind it.
+        begins, counts = self.piece_at[word], np.diff(self.piece_at)[word]
+        begins[touched], counts[touched] = again[1][:-1] + len(self.pieces), np.diff(again[1])
+        pieces = np.concatenate([self.pieces, again[0]])[_places(begins, counts)]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        return pieces, ends[np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))])]
+
+    def _touched(self, word: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Occurrences whose key skips a merge of their word; long words are always merged anew."""
+        if not self.below:
+            return np.zeros(0, np.int64)
+        begins, counts = self.merge_at[word], np.diff(self.merge_at)[word]
+        hit = self.long[word]
+        for a in range(0, len(word), 4 * STEP):
+            own = counts[a : a + 4 * STEP]
+            merges = self.merges[_places(begins[a : a + 4 * STEP], own)]
+            x = (np.repeat(keys[a : a + 4 * STEP], own) ^ merges) * np.uint64(0x9E3779B97F4A7C15)
+            skipped = (x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93) < np.uint64(self.below)
+            hit[a + np.repeat(np.arange(len(own)), own)[skipped]] = True
+        return np.flatnonzero(hit)
 
 
 def read_model(path: str) -> bytes:
@@ -355,18 +404,19 @@ def _transcoder(proto: bytes, dropout: float, seed: int, draws: int | None, ids:
             batch = table.combine_chunks().to_batches()[0] if table.num_rows else None
             if batch is None:
                 continue
-            counts, digests, same, all_ids, back = [], [], [], [], []
             texts = batch.column(names[0]).to_pylist()
-            for text, found in zip(texts, encoder.encode(texts, batch.column(names[1]).to_pylist())):
-                numbers = None if found is None else np.array(found, np.int32)
-                plain = None if found is None else model.decode(found)
-                counts.append(0 if found is None else len(found))
-                digests.append(None if found is None else hashlib.sha256(numbers.astype("<i4").tobytes()).hexdigest())
-                same.append(plain == text)
+            pieces, begins = encoder.encode_flat(texts, batch.column(names[1]).to_pylist())
+            counts, digests, same, all_ids, back = np.diff(begins), [], [], [], []
+            plain, ends = model.decode_flat(pieces, begins)
+            for text, a, b, c, d in zip(texts, begins[:-1].tolist(), begins[1:].tolist(), ends[:-1].tolist(), ends[1:].tolist()):
+                # The space that encoding puts in front is taken off.
+                decoded_text = None if text is None else plain[c + (plain[c : c + 1] == b" ") : d]
+                digests.append(None if text is None else hashlib.sha256(pieces[a:b]).hexdigest())
+                same.append(decoded_text == (None if text is None else text.encode("utf-8", "surrogatepass")))
                 if ids:
-                    all_ids.append(numbers)
+                    all_ids.append(None if text is None else pieces[a:b])
                 if decoded:
-                    back.append(plain)
+                    back.append(None if text is None else decoded_text.decode("utf-8", "replace"))
             columns = {n: batch.column(n) for n in batch.schema.names if n not in names}
             columns |= {"n_pieces": pa.array(counts, pa.int64()), "ids_sha256": pa.array(digests, pa.string()), "lossless": pa.array(same, pa.bool_())}
             if ids:
