@@ -315,6 +315,40 @@ def test_quality_on_held_out_labels(spark):
     assert sum(not r.accepted for r in good) <= 0.01 * len(good) and all(0 <= r.score <= 1 for r in out)
 
 
+def test_sample_reaches_the_driver_as_a_bounded_table(spark):
+    import pyspark.sql.functions as F
+
+    view = lambda n, c: F.array(*[(F.col("id") % (k + 2) + c).cast("float") for k in range(n)])
+    rows_ = spark.range(0, 20_000, 1, 200).select(
+        "id", (F.col("id") % 2).cast("int").alias("label"), view(quality.TEXT_FEATURES, 0).alias("text_view"), view(quality.META_FEATURES, 1).alias("meta_view"))
+    hot = rows_.filter("id = 7").crossJoin(spark.range(3000).select(F.lit(1))).select(*rows_.columns)  # an id that holds many rows
+    near = quality._candidates(rows_.unionAll(hot), 300)
+    assert 300 <= near.count() <= 300 + 16 * 300**0.5 + 32  # of 200 tasks together, not each
+    picked = quality._sample(rows_.unionAll(hot), 300)[2]
+    want = rows_.withColumn("hash", quality._hash()).orderBy("hash", "id").limit(300).collect()
+    assert [r.id for r in picked] == [r.id for r in want]
+    assert len(quality._sample(rows_.limit(50), 300)[2]) == 50 and quality._sample(rows_.limit(0), 300)[2] == []
+
+
+@pytest.mark.parametrize("labelled", [quality.LABELLED, 60])
+def test_quality_query_equals_co_training_in_memory(spark, sf_dir, labelled):
+    docs, labels, pages = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels", "pages"))
+    told, urls_ = {r.doc_id: r.quality for r in labels.collect()}, {r.page_id: r.url for r in pages.collect()}
+    hashes = {r.id: r.h for r in docs.selectExpr("doc_id as id").select("id", quality._hash().alias("h")).collect()}
+    data = docs.collect()
+    text = np.array([quality.text_features(r.text) for r in data], "f4").astype(float)
+    meta = np.array([quality.meta_features(r.lang, r.source, r.n_chars, urls_.get(r.doc_id)) for r in data], "f4").astype(float)
+    known = sorted((k for k, r in enumerate(data) if r.doc_id in told), key=lambda k: hashes[data[k].doc_id])[:labelled]
+    rest = sorted(set(range(len(data))) - set(known))
+    assert labelled > 60 or len(known) == 60 < len(told)
+    y = np.array([told[data[k].doc_id] for k in known], float)
+    aside = np.array([zlib.crc32(f"aside {data[k].doc_id}".encode()) % quality.ASIDE == 0 for k in known], bool)
+    judge = quality.co_train(text[known], meta[known], y, aside, text[rest], meta[rest])
+    want = dict(zip([r.doc_id for r in data], zip(*judge.score(text, meta))))
+    got = {r.doc_id: (r.score, r.text_score, r.meta_score) for r in quality.score_quality(docs, labels, pages, labelled=labelled).collect()}
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], abs=1e-6) for i in want)
+
+
 def test_quality_odd_tables(spark):
     docs = frame(spark)
     labels, pages = spark.createDataFrame([(9, 1, 0), (9, 0, 0), (None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int"), spark.createDataFrame([(1, None), (None, "http://x/")], "page_id long, url string")

@@ -18,7 +18,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.llm.shared import free_name, small_batches, stored
@@ -252,9 +252,29 @@ def _scored(judge: Judge | None) -> Callable:
     return run
 
 
+#: Hashes of ids lie below this.
+_HASHES = 1 << 62
+
+
+def _hash() -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(_HASHES))
+
+
+def _candidates(rows: DataFrame, most: int) -> DataFrame:
+    """A few more than ``most`` labelled documents, one row each: a threshold on the hash of the id is set
+    by their number, so no task sends rows that others have enough of.
+    """
+    n = rows.agg(F.count_distinct("id")).first()[0]
+    near = rows.withColumn("hash", _hash())
+    if n > most:
+        near = near.filter(F.col("hash") < int(_HASHES * min(1.0, (most + 8 * math.sqrt(most) + 16) / n)))
+    least = F.min(F.struct("label", "text_view", "meta_view")).alias("row")
+    return near.groupBy("hash", "id").agg(least).select("hash", "id", "row.*")
+
+
 def _sample(rows: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, list]:
     """At most ``most`` rows, those of the least hash of the id: their two views and labels."""
-    picked = rows.orderBy(F.xxhash64("id"), "id").limit(most).collect()
+    picked = _candidates(rows, most).orderBy("hash", "id").limit(most).collect()
     text = np.array([r["text_view"] for r in picked], float).reshape(-1, TEXT_FEATURES)
     meta = np.array([r["meta_view"] for r in picked], float).reshape(-1, META_FEATURES)
     return text, meta, picked
@@ -269,7 +289,8 @@ def score_quality(
     ``docs`` has lang, source and n_chars besides id and text; ``pages`` has page_id (the id of the
     document) and url. Any of these may be null and gives a feature of its own or zero; empty texts
     have zero text features. Of several labels or urls of an id the least counts, null labels count
-    not. Without two kinds of labels nothing can be learned: all scores are 1 and all are accepted.
+    not. At most ``labelled`` documents, those of the least hash of their id, are learned from by their
+    labels; all others, labelled or not, take part as unlabelled ones. Without two kinds of labels nothing can be learned: all scores are 1 and all are accepted.
     Rows that repeat an id are scored each for itself.
     """
     small_batches(docs.sparkSession)
@@ -288,7 +309,9 @@ def score_quality(
     aside = np.array([zlib.crc32(f"aside {r['id']}".encode()) % ASIDE == 0 for r in picked], bool)
     judge = None
     if len(y) and all(0 < y[part].sum() < part.sum() for part in (aside, ~aside)):
-        judge = co_train_over(text, meta, y, aside, partial(_summed, rows.filter("label is null")))
+        # Labelled rows that the bound leaves out are learned from like unlabelled ones.
+        rest = F.col("label").isNull() | (_hash() > picked[-1]["hash"])
+        judge = co_train_over(text, meta, y, aside, partial(_summed, rows.filter(rest)))
     scored = rows.mapInArrow(_scored(judge), "id long, score double, text_score double, meta_score double")
     return scored.withColumn("accepted", F.col("score") >= threshold).withColumnRenamed("id", id_col)
 
