@@ -174,6 +174,26 @@ def test_url_templates_split_by_labels(spark):
     assert out == {("/spam/*/*", "block"): 200, ("/{blog|news}/*/*", "allow"): 400}
 
 
+def test_a_chain_of_small_steps_keeps_good_and_bad_apart(spark):
+    data, told = [], []
+    for section in range(21):  # rates of bad labels 0, 0.05 ... 1
+        for k in range(40):
+            page = section * 40 + k
+            data.append((page, f"http://h.org/s{chr(97 + section)}/{page}"))
+            told.append((page, 0 if k < 2 * section else 1, 0))
+    for k in range(60):  # segments that look like a wildcard
+        data += [(2000 + k, f"http://w.org/*/{k}"), (3000 + k, f"http://w.org/{k}/{k}"), (4000 + k, f"http://w.org/{{a|b}}/x")]
+        told += [(2000 + k, 0, 0), (3000 + k, 1, 0), (4000 + k, 1, 0)]
+    pages, labels = spark.createDataFrame(data, "page_id long, url string"), spark.createDataFrame(told, "doc_id long, quality int, toxic int")
+    out = {r.page_id: r for r in urls.filter_urls(pages, labels).collect()}
+    verdicts = [out[section * 40].verdict for section in range(21)]
+    assert verdicts == sorted(verdicts) and verdicts[0] == "allow" and verdicts[-1] == "block"
+    templates = [out[section * 40].template for section in range(21)]
+    assert len(set(templates)) >= 3 and out[0].purity > 0.85 > 0.3 > out[800].purity
+    assert {out[2000 + k].verdict for k in range(60)} == {"block"} and out[2000].template == "/%2A/*"
+    assert {out[3000 + k].verdict for k in range(60)} == {out[4000 + k].verdict for k in range(60)} == {"allow"}
+
+
 def test_url_templates_go_by_labels_not_by_share_or_depth(spark):
     """A bad section among 25, with 4 % of the visits, and a bad folder in the fifth level are told apart."""
     data, told = [], []

@@ -55,32 +55,40 @@ from d left join hit_words using (doc_id) left join items using (doc_id) left jo
 """
 
 
-def _urls(depth: int = 3, share: int = 20, few: int = 8, differ: float = 3.84, weight: int = 20, purity: float = 0.8) -> str:
+def _urls(depth: int = 3, differ: float = 3.84, weight: int = 20, purity: float = 0.8) -> str:
     levels = range(1, depth + 1)
     shape = ", ".join(f"coalesce(regexp_replace(parts[{k}], '[0-9]+', '#', 'g'), '') as s{k}" for k in levels)
     key = ", ".join(["host", *[f"s{k}" for k in levels], "tail"])
     steps = ""
+    name = "replace(replace(replace(replace(step, '*', '%2A'), '{', '%7B'), '|', '%7C'), '}', '%7D')"
     for k in levels:
         last = f"tree{k - 1}"
         steps += f"""
-branches{k} as (select host, template, s{k} as step, sum(n) as n, sum(labelled) as labelled, sum(bad) as bad from {last} group by all),
-nodes{k} as (select host, template, count(*) as kids, sum(n) as all_n from branches{k} group by all),
+branches{k} as (select host, template, s{k} as step, sum(labelled) as labelled, sum(bad) as bad from {last} group by all),
 named{k} as (
-    select b.*, bad / labelled as rate from branches{k} b join nodes{k} using (host, template)
-    where step <> '' and not contains(step, '#') and labelled > 0 and (n * {share} >= all_n or kids <= {few})),
-lagged{k} as (
-    select *, lag(rate) over w as last_rate, lag(labelled) over w as last_labelled, lag(bad) over w as last_bad
-    from named{k} window w as (partition by host, template order by rate, step)),
+    select *, bad / labelled as rate, {name} as name from branches{k}
+    where step <> '' and not contains(step, '#') and labelled > 0),
+rates{k} as (
+    select host, template, rate, cast(sum(labelled) as double) as labelled, cast(sum(bad) as double) as bad
+    from named{k} group by host, template, rate),
+cuts{k} as (
+    select host, template, list_reduce(
+        list({{'cuts': []::double[], 'rate': rate, 'labelled': labelled, 'bad': bad}} order by rate),
+        lambda g, x: case when x.rate - g.bad / g.labelled > 0 and (x.rate - g.bad / g.labelled) * (x.rate - g.bad / g.labelled)
+            >= {differ} * ((x.bad + g.bad) / (x.labelled + g.labelled)) * (1 - (x.bad + g.bad) / (x.labelled + g.labelled))
+               * (1 / x.labelled + 1 / g.labelled)
+            then {{'cuts': list_append(g.cuts, x.rate), 'rate': x.rate, 'labelled': x.labelled, 'bad': x.bad}}
+            else {{'cuts': g.cuts, 'rate': x.rate, 'labelled': g.labelled + x.labelled, 'bad': g.bad + x.bad}} end).cuts as cuts
+    from rates{k} group by host, template),
 groups{k} as (
-    select *, sum(case when rate - last_rate > 0 and (rate - last_rate) * (rate - last_rate)
-                  >= {differ} * ((bad + last_bad) / (labelled + last_labelled)) * (1 - (bad + last_bad) / (labelled + last_labelled))
-                     * (1 / labelled + 1 / last_labelled) then 1 else 0 end)
-              over (partition by host, template order by rate, step) as alike
-    from lagged{k}),
+    select n.host, n.template, step, name, len(list_filter(cuts, lambda c: c <= rate)) as alike
+    from named{k} n join cuts{k} c on n.host = c.host and n.template = c.template),
 names{k} as (
-    select host, template, unnest(names) as step,
-           case when len(names) = 1 then '/' || names[1] else '/{{' || array_to_string(names, '|') || '}}' end as branch
-    from (select host, template, alike, list_sort(list(step)) as names from groups{k} group by all)),
+    select host, template, unnest(steps) as step,
+           case when len(names) = 1 then '/' || names[1]
+                when len(names) <= 100 then '/{{' || array_to_string(names, '|') || '}}'
+                else '/{{' || names[1] || '|' || len(names) || ' names|' || names[-1] || '}}' end as branch
+    from (select host, template, alike, list_sort(list(name)) as names, list(step) as steps from groups{k} group by all)),
 tree{k} as (
     select t.* replace (t.template || coalesce(branch, case when s{k} = '' then '' else '/*' end) as template)
     from {last} t left join names{k} m on t.host = m.host and t.template = m.template and t.s{k} = m.step),"""

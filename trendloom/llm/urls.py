@@ -1,9 +1,8 @@
 """URL filter: given rules first, then a tree of path templates per host.
 
-The tree grows level by level. Segments with numbers, unlabelled ones, and those with both a small
-share of their node's visits and too few labels to be compared are variable and become its wildcard
-branch. The others stand in the order of their rate of bad labels, and neighbours whose rates do not
-differ merge into one branch. Below the first levels the tree goes on where labels are of both kinds
+The tree grows level by level. Segments with numbers and unlabelled ones are variable and become the
+wildcard branch of their node. The others stand in the order of their rate of bad labels; a branch
+joins the group before it unless its rate differs from that of the whole group. Below the first levels the tree goes on where labels are of both kinds
 and shapes differ, however deep. The labels of a finished template, smoothed towards the overall
 rate, decide on all its urls.
 
@@ -13,7 +12,7 @@ a host with a third of all urls is a few dozen rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.llm.licenses import LOWER, UPPER
@@ -26,9 +25,8 @@ RULES = (
 )
 #: Levels that every tree has; what goes on below them is one open end unless its labels differ.
 DEPTH = 3
-#: A branch may keep its name if it has ENOUGH labels, whatever its share; with fewer if it has one in
-#: SHARE visits of its node, or the node has few branches.
-ENOUGH, SHARE, FEW = 5, 20, 8
+#: Characters with a meaning in templates, and how they are written there as part of a segment.
+MARKS = {"*": "%2A", "{": "%7B", "|": "%7C", "}": "%7D"}
 #: Names that a merged branch shows; of more it shows the first and the last, and how many they are.
 SHOWN = 100
 #: Squared difference of two rates, in variances, from which they differ.
@@ -62,31 +60,60 @@ def _shape() -> Column:
     return F.array_join(F.filter(F.split(F.regexp_replace("path", "[0-9]+", "#"), "/"), lambda s: s != ""), "/")
 
 
+def _cuts(rates: Column) -> Column:
+    """Rates at which a new group begins, of a node's distinct rates in order, with their labels.
+
+    Each rate is compared with the pooled rate of the group built so far, so a chain of small steps
+    does not join what is far apart.
+    """
+    start = F.struct(F.array().cast("array<double>").alias("cuts"), F.lit(0.0).alias("labelled"), F.lit(0.0).alias("bad"))
+
+    def step(group: Column, x: Column) -> Column:
+        both = (x["bad"] + group["bad"]) / (x["labelled"] + group["labelled"])
+        gap = x["rate"] - F.try_divide(group["bad"], group["labelled"])
+        weight = 1 / x["labelled"] + F.try_divide(F.lit(1.0), group["labelled"])
+        apart = (group["labelled"] > 0) & (gap > 0) & (gap * gap >= F.lit(DIFFER) * both * (1 - both) * weight)
+        return F.when(apart, F.struct(F.concat(group["cuts"], F.array(x["rate"])).alias("cuts"), x["labelled"].alias("labelled"), x["bad"].alias("bad"))).otherwise(
+            F.struct(group["cuts"].alias("cuts"), (group["labelled"] + x["labelled"]).alias("labelled"), (group["bad"] + x["bad"]).alias("bad")))
+
+    return F.aggregate(rates, start, step, lambda group: group["cuts"])
+
+
+def escaped(step: Column) -> Column:
+    """A segment as it stands in a template; characters that templates use themselves are percent-encoded."""
+    for mark, code in MARKS.items():
+        step = F.replace(step, F.lit(mark), F.lit(code))
+    return step
+
+
 def _branches(tree: DataFrame, step: str) -> DataFrame:
-    """``host, template, step, branch`` of the branches that keep a name."""
-    sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
-    branches = tree.groupBy("host", "template", step).agg(*sums)
-    nodes = branches.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kids"), F.sum("n").alias("all_n"))
-    named = branches.join(nodes, ["host", "template"]).filter(
-        (F.col(step) != "") & ~F.contains(F.col(step), F.lit("#")) & (F.col("labelled") > 0)
-        & ((F.col("labelled") >= ENOUGH) | (F.col("n") * SHARE >= F.col("all_n")) | (F.col("kids") <= FEW))
-    ).withColumn("rate", F.col("bad") / F.col("labelled"))
-    row = Window.partitionBy("host", "template").orderBy("rate", step)
-    before = {c: F.lag(c).over(row).alias(f"last_{c}") for c in ("rate", "labelled", "bad")}
-    both = (F.col("bad") + F.col("last_bad")) / (F.col("labelled") + F.col("last_labelled"))
-    gap = F.col("rate") - F.col("last_rate")
-    weight = 1 / F.col("labelled") + 1 / F.col("last_labelled")
-    apart = F.when((gap > 0) & (gap * gap >= F.lit(DIFFER) * both * (1 - both) * weight), 1).otherwise(0)
-    groups = named.select("host", "template", step, "rate", "labelled", "bad", *before.values()).select(
-        "host", "template", step, F.sum(apart).over(row).alias("alike")
+    """``host, template, step, branch`` of the labelled branches, merged where their rates do not differ.
+
+    Branches of one rate are one entry with a count before a node's rates meet, and of a large group
+    only the number of names and the first and last of them travel.
+    """
+    node = ["host", "template"]
+    branches = tree.groupBy(*node, step).agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    named = branches.filter((F.col(step) != "") & ~F.contains(F.col(step), F.lit("#")) & (F.col("labelled") > 0)).withColumn(
+        "rate", F.col("bad") / F.col("labelled")
+    )
+    of_rate = named.groupBy(*node, "rate").agg(F.sum("labelled").cast("double").alias("labelled"), F.sum("bad").cast("double").alias("bad"))
+    rates = F.array_sort(F.collect_list(F.struct("rate", "labelled", "bad")))
+    cuts = of_rate.groupBy(*node).agg(_cuts(rates).alias("cuts"))
+    groups = named.join(cuts, node).select(
+        *node, step, escaped(F.col(step)).alias("name"), F.size(F.filter("cuts", lambda c: c <= F.col("rate"))).alias("alike")
+    )
+    key = [*node, "alike"]
+    counted = groups.groupBy(*key).agg(F.count(F.lit(1)).alias("names"), F.min("name").alias("least"), F.max("name").alias("most"))
+    some = groups.join(counted.filter(F.col("names").between(2, SHOWN)).select(*key), key).groupBy(*key).agg(
+        F.array_join(F.array_sort(F.collect_list("name")), "|").alias("shown")
     )
-    names, count = F.col("names"), F.size("names")
-    shown = F.when(count <= SHOWN, F.array_join(names, "|")).otherwise(
-        F.concat(names[0], F.lit("|"), count.cast("string"), F.lit(" names|"), F.element_at(names, -1)))
-    return groups.groupBy("host", "template", "alike").agg(F.array_sort(F.collect_list(step)).alias("names")).select(
-        "host", "template", F.explode("names").alias(step),
-        F.when(count == 1, F.concat(F.lit("/"), names[0])).otherwise(F.concat(F.lit("/{"), shown, F.lit("}"))).alias("branch"),
+    many = F.concat("least", F.lit("|"), F.col("names").cast("string"), F.lit(" names|"), "most")
+    label = F.when(F.col("names") == 1, F.concat(F.lit("/"), "least")).otherwise(
+        F.concat(F.lit("/{"), F.coalesce("shown", many), F.lit("}"))
     )
+    labels = counted.join(some, key, "left").select(*key, label.alias("branch"))
+    return groups.join(labels, key).select(*node, step, "branch")
 
 
 def grow(shapes: DataFrame, depth: int) -> DataFrame:
