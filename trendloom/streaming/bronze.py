@@ -97,8 +97,9 @@ def await_feeds(
     spark: SparkSession, queries: Mapping[str, StreamingQuery], check_seconds: int = 10
 ) -> None:
     """Block until one of the queries ends, then stop the others. An interrupt stops all; the
-    error of a failed query is raised.
+    error of a failed query is raised. Queries of the session that ended earlier are of no account.
     """
+    spark.streams.resetTerminated()
     try:
         while all(query.isActive for query in queries.values()):
             spark.streams.awaitAnyTermination(check_seconds)
