@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,36 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.operators.latest import top_per_group
+from trendloom.operators.pivots import best_of, near_entries, search_index, similarities, unit, unit_rows, write_index
 from trendloom.operators.settle import settle
+from trendloom.session import scratch_root
 
+#: Question vectors that are sent to all tasks; more are searched through an index.
 QUESTIONS_PER_BLOCK = 4096
 BLOCK_ROWS = 1024
 
 
-def _unit(matrix: np.ndarray) -> np.ndarray:
-    length = np.linalg.norm(matrix, axis=1, keepdims=True)
-    return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
-
-
-def _best(asked: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int):
-    """The ``k`` entries of each question with the highest score, lowest id first among equals."""
-    order = np.lexsort((ids, -scores, asked))
-    asked, scores, ids = asked[order], scores[order], ids[order]
-    starts = np.searchsorted(asked, asked, side="left")
-    kept = np.arange(len(asked)) - starts < k
-    return asked[kept], scores[kept], ids[kept]
-
-
-def _near(table: np.ndarray, ids: np.ndarray, k: int):
-    """Entries of a documents x questions table that can be among the best ``k``, ties included."""
-    if len(table) > k:
-        kth = np.partition(table, len(table) - k, axis=0)[len(table) - k]
-        rows, asked = np.nonzero(table >= kth)
-    else:
-        rows, asked = (x.ravel() for x in np.indices(table.shape))
-    return asked, table[rows, asked], ids[rows]
-
-
 def cosine_topk(
     questions: DataFrame,
     corpus: DataFrame,
@@ -54,26 +33,28 @@ def cosine_topk(
 ) -> DataFrame:
     """The ``k`` nearest documents of every question: question, id, similarity, distance, place.
 
-    Question vectors are stored once, so they are computed once, and go to the documents in blocks
-    of ``block``. The blocks are read one after another while the plan is built and become parts of
-    one job. Each task multiplies its document batches with a block and hands on its own best ``k``
-    per question, so neither pairs nor documents are shuffled. A question id with several vectors has
-    one list, of the documents that are nearest to any of them. ``carry`` names columns to look up
-    for the hits, in ``details`` or else in the corpus, once for all blocks.
+    Question vectors are stored once and counted. Up to ``block`` of them go to the documents: each
+    task multiplies its document batches with them and hands on its own best ``k`` per question, so
+    neither pairs nor documents are shuffled. More of them go through a :mod:`pivot index
+    <trendloom.operators.pivots>` of the documents. A question id with several vectors has one list,
+    of the documents that are nearest to any of them. ``carry`` names columns to look up for the
+    hits, in ``details`` or else in the corpus.
     """
-    asked = settle(questions.select(question_id, vector).filter(F.col(vector).isNotNull()))[0]
-    types = {f.name: f.dataType.simpleString() for f in corpus.schema.fields}
-    kinds = (
-        f"`{question_id}` {asked.schema[question_id].dataType.simpleString()}, `{doc_id}` {types[doc_id]}, "
-        "similarity double"
-    )
+    spark = corpus.sparkSession
+    asked, count = settle(questions.select(question_id, vector).filter(F.col(vector).isNotNull()))
     documents = corpus.filter(F.col(vector).isNotNull()).select(doc_id, vector)
-    send = corpus.sparkSession.sparkContext.broadcast
-    near = [
-        documents.mapInPandas(_searcher(send(part), k, question_id, doc_id, vector), kinds)
-        for part in _blocks(asked, question_id, vector, block)
-    ]
-    found = reduce(DataFrame.union, near)
+    if count <= block:
+        rows = asked.collect()
+        part = [r[0] for r in rows], unit(np.array([r[1] for r in rows], dtype=np.float64)) if rows else None
+        types = {f.name: f.dataType.simpleString() for f in corpus.schema.fields}
+        kinds = (
+            f"`{question_id}` {asked.schema[question_id].dataType.simpleString()}, `{doc_id}` {types[doc_id]}, "
+            "similarity double"
+        )
+        found = documents.mapInPandas(_searcher(spark.sparkContext.broadcast(part), k, question_id, doc_id, vector), kinds)
+    else:
+        index = write_index(documents, f"{scratch_root(spark)}/pivots-{uuid.uuid4().hex}", doc_id, vector)
+        found = search_index(index, asked, k, question_id, vector, block)
     if not asked.groupBy(question_id).count().filter("count > 1").isEmpty():
         # The vectors of an id share one list, in which a document stands once, with its best similarity.
         found = found.groupBy(question_id, doc_id).agg(F.max("similarity").alias("similarity"))
@@ -87,23 +68,6 @@ def cosine_topk(
     return hits
 
 
-def _blocks(asked: DataFrame, question_id: str, vector: str, size: int):
-    """Ids and unit vectors of at most ``size`` questions at a time; one empty block for none.
-
-    A question id may have several vectors; each asks for itself.
-    """
-    rows = asked.select(question_id, vector).toLocalIterator()
-    keys, vectors, any_yet = [], [], False
-    for row in rows:
-        keys.append(row[0])
-        vectors.append(row[1])
-        if len(keys) == size:
-            yield keys, _unit(np.array(vectors, dtype=np.float64))
-            keys, vectors, any_yet = [], [], True
-    if keys or not any_yet:
-        yield keys, _unit(np.array(vectors, dtype=np.float64)) if keys else None
-
-
 def _searcher(sent, k: int, question_id: str, doc_id: str, vector: str):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, targets = sent.value
@@ -111,13 +75,11 @@ def _searcher(sent, k: int, question_id: str, doc_id: str, vector: str):
         for batch in batches:
             for start in range(0, len(batch), BLOCK_ROWS) if keys else ():
                 block = batch.iloc[start : start + BLOCK_ROWS]
-                vectors = _unit(np.stack(block[vector].to_numpy()).astype(np.float64))
-                # Rounded, so that equal vectors tie whatever the shape of the product was.
-                table = np.round(vectors @ targets.T, 12)
-                found = _near(table, block[doc_id].to_numpy(), k)
+                table = similarities(unit_rows(block[vector]), targets)
+                found = near_entries(table, block[doc_id].to_numpy(), k)
                 if held is not None:
                     found = tuple(np.concatenate(pair) for pair in zip(held, found))
-                held = _best(*found, k)
+                held = best_of(*found, k)
         if held is not None:
             asked, scores, ids = held
             yield pd.DataFrame({question_id: [keys[i] for i in asked], doc_id: ids, "similarity": scores})

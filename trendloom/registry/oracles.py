@@ -755,6 +755,15 @@ def oracle_sql() -> dict[str, str]:
             select * from content_docs union all select * from topic_docs
             union all select * from language_docs""",
         "cosine_topk": "select question_id, id, similarity, distance, place from nearest",
+        "pivot_topk": """
+            select question_id, id, round(similarity, 6) as similarity, round(1 - similarity, 6) as distance, place
+            from (select *, row_number() over (partition by question_id
+                            order by round(similarity, 12) desc, id) as place
+                  from (select a.vec_id as question_id, e.vec_id as id,
+                               list_cosine_similarity(cast(a.embedding as double[]), cast(e.embedding as double[]))
+                                   as similarity
+                        from embeddings a, embeddings e where a.vec_id % 20 = 0))
+            where place <= 8""",
         "embed_documents": """
             select cast(id as bigint) as doc_id, string_agg(
                        place || '=' || cast(round(cast(x as double) * 1000000) as bigint), ' ' order by place) as embedding

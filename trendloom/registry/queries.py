@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendloom.functions.text import article_id, clean_text, clean_url, parse_timestamp, unified_id
-from trendloom.operators.latest import first_seen, newest_per_key
+from trendloom.operators.latest import first_seen, newest_per_key, top_per_group
+from trendloom.operators.pivots import search_index, write_index
 from trendloom.operators.vectors import cosine_topk
 from trendloom.plans import enrich, gold, jobs, metrics, refresh, retrieval, serving, silver
 from trendloom.schemas import FEEDS
@@ -702,6 +703,17 @@ def _cosine_topk(spark, sf_dir):
     return cosine_topk(centroids(spark, sf_dir), _vectors(spark, sf_dir))
 
 
+@query("pivot_topk")
+def _pivot_topk(spark, sf_dir):
+    """Every twentieth vector asks all vectors, through an index of pivots."""
+    corpus = _vectors(spark, sf_dir)
+    asked = corpus.filter("id % 20 = 0").withColumnRenamed("id", "question_id")
+    index = write_index(corpus, f"{scratch_root(spark)}/pivots-{uuid.uuid4().hex}")
+    found = search_index(index, asked)
+    hits = top_per_group(found, ["question_id"], [F.col("similarity").desc(), F.col("id")], 8, "place")
+    return hits.withColumn("distance", F.lit(1.0) - F.col("similarity"))
+
+
 def _label_contexts(spark, sf_dir):
     texts = testdata.table(spark, sf_dir, "documents").selectExpr("doc_id as id", "text", "source as type")
     hits = cosine_topk(
