@@ -195,11 +195,11 @@ def _asker(pivots: np.ndarray, sample: np.ndarray, vector: str, k: int):
     return ask
 
 
-def _compare(index: PivotIndex, question_id: str, k: int, counter: Accumulator | None):
+def _compare(index: PivotIndex, k: int, counter: Accumulator | None):
     pivots, doc_id, vector = index.pivots, index.doc_id, index.vector
 
     def compare(documents: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({question_id: asked[question_id][:0], "_row": asked["_row"][:0], doc_id: documents[doc_id][:0], "similarity": np.zeros(0)})
+        none = pd.DataFrame({"_row": asked["_row"][:0], doc_id: documents[doc_id][:0], "similarity": np.zeros(0)})
         if not len(documents) or not len(asked):
             return none
         documents = documents.sort_values(["cell", "away"], kind="stable")
@@ -224,7 +224,11 @@ def _compare(index: PivotIndex, question_id: str, k: int, counter: Accumulator |
                 done += (upto - at) * len(open_)
                 table = similarities(vectors[at:upto], targets[open_])
                 which, scores, found = near_entries(table, ids[at:upto], k)
-                found = (open_[which], scores, found)
+                # What is farther than the k documents already known is no result.
+                near = _distance(scores) <= reach[open_[which]] + SLACK
+                if not near.any():
+                    continue
+                found = (open_[which[near]], scores[near], found[near])
                 if held is not None:
                     found = tuple(np.concatenate(pair) for pair in zip(held, found))
                 held = best_of(*found, k)
@@ -237,8 +241,7 @@ def _compare(index: PivotIndex, question_id: str, k: int, counter: Accumulator |
             counter.add(done)
         if held is None:
             return none
-        rows = asked.iloc[held[0]]
-        return pd.DataFrame({question_id: rows[question_id].to_numpy(), "_row": rows["_row"].to_numpy(), doc_id: held[2], "similarity": held[1]})
+        return pd.DataFrame({"_row": asked["_row"].to_numpy()[held[0]], doc_id: held[2], "similarity": held[1]})
 
     return compare
 
@@ -247,31 +250,32 @@ def search_index(
     index: PivotIndex, questions: DataFrame, k: int = 8, question_id: str = "question_id", vector: str = "embedding",
     block: int = QUESTIONS_PER_GROUP, counter: Accumulator | None = None,
 ) -> DataFrame:
-    """``question_id, doc_id, similarity`` that hold the ``k`` nearest documents of every question vector.
+    """``question_id, doc_id, similarity``: the ``k`` nearest documents of every question vector.
 
-    A question is first compared with the sample, then with the part of its own cell that is nearest
-    to it, then with all parts that can hold a nearer document than the ``k`` found so far. More than
-    ``k`` rows come back for a question; the caller ranks them. Null vectors ask nothing, a vector
-    of length zero is as near to all. ``counter`` adds up the similarities that were worked out.
+    Each distinct vector is searched once. It is first compared with the sample, then with the part
+    of its own cell that is nearest to it, then with all parts that can hold a nearer document than
+    the ``k`` found so far; a part hands on only documents within that distance. Null vectors ask
+    nothing, a vector of length zero is as near to all, and a question id with several vectors gets
+    ``k`` documents for each. ``counter`` adds up the similarities that were worked out.
     """
-    asked = questions.filter(F.col(vector).isNotNull()).select(question_id, F.col(vector).alias("_vector"))
-    types = {f.name: f.dataType.simpleString() for f in [*asked.schema.fields, *index.rows.schema.fields]}
-    ask_kind = f"`{question_id}` {types[question_id]}, _vector {types['_vector']}"
-    asked = asked.dropDuplicates([question_id, "_vector"]).mapInPandas(
-        _asker(index.pivots, index.sample, "_vector", k), f"{ask_kind}, _reach double, _turned boolean, _away array<double>"
+    questions = settle(questions.filter(F.col(vector).isNotNull()).select(question_id, F.col(vector).alias("_asked")).distinct())[0]
+    kind, id_kind = (df.schema[name].dataType.simpleString() for df, name in ((questions, "_asked"), (index.rows, index.doc_id)))
+    asked = questions.select(F.col("_asked").alias("_vector")).distinct().mapInPandas(
+        _asker(index.pivots, index.sample, "_vector", k), f"_vector {kind}, _reach double, _turned boolean, _away array<double>"
     )
-    asked, count = settle(asked.withColumn("_row", F.xxhash64(question_id, "_vector")))
+    # Stored with its number, so the number of a vector never changes.
+    asked, count = settle(asked.withColumn("_row", F.monotonically_increasing_id()))
     blocks = max(1, math.ceil(count / block))
     asked = asked.withColumn("_block", F.pmod(F.xxhash64("_row"), F.lit(blocks)).cast("int"))
-    found_kind = f"`{question_id}` {types[question_id]}, _row long, `{index.doc_id}` {types[index.doc_id]}, similarity double"
-    compare = _compare(index, question_id, k, counter)
+    found_kind = f"_row long, `{index.doc_id}` {id_kind}, similarity double"
+    compare = _compare(index, k, counter)
 
     def visit(pairs: DataFrame, known: DataFrame) -> DataFrame:
         """Compare questions with parts, given as ``(_row, _block, part)``."""
         # Under names of their own: both sides of a cogroup must not share columns.
         groups = pairs.select("part", F.col("_block").alias("_group")).distinct()
         left = index.rows.join(groups, "part").groupBy("part", "_group")
-        right = pairs.join(known, ["_row", "_block"]).select("part", "_block", "_row", question_id, "_vector", "_reach", "_turned")
+        right = pairs.join(known, ["_row", "_block"]).select("part", "_block", "_row", "_vector", "_reach", "_turned")
         return settle(left.cogroup(right.groupBy("part", "_block")).applyInPandas(compare, found_kind))[0]
 
     right_angle = ~F.col("_turned") | (F.col("cell") == NO_CELL)
@@ -304,4 +308,6 @@ def search_index(
     rest = rings_in_reach(known).select("_row", "_block", "part").distinct()
     rest = settle(rest.join(home, ["_row", "_block", "part"], "left_anti"))[0]
     found = first.unionByName(visit(rest, known))
-    return found.select(question_id, index.doc_id, "similarity")
+    best = top_per_group(found, ["_row"], [F.col("similarity").desc(), F.col(index.doc_id)], k, "_place")
+    named = questions.join(asked.select("_row", "_vector"), F.col("_asked") == F.col("_vector")).select(question_id, "_row")
+    return named.join(best, "_row").select(question_id, index.doc_id, "similarity")
