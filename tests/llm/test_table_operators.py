@@ -230,6 +230,15 @@ def test_archive_and_read(spark, minimum):
     assert warc.archive_and_read(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("given, named", [
+    ("s3a://bucket/a b/c", "s3://bucket/a b/c"), ("s3://bucket/a", "s3://bucket/a"), ("gs://bucket/a", "gs://bucket/a"),
+    ("hdfs://name:8020/a", "hdfs://name:8020/a"), ("dbfs:/a/b", "/dbfs/a/b"), ("file:/a/b", "/a/b"), ("file:///a/b", "/a/b"),
+    ("/a/b:c", "/a/b:c"), ("wasbs://box@name.blob.core.windows.net/a", "abfss://box@name.dfs.core.windows.net/a"),
+])
+def test_folders_are_opened_by_any_name(given, named):
+    assert warc.arrow_uri(given) == named
+
+
 def test_index_blocks_and_range_reads(spark, folder):
     data = [(k, f"http://h{k % 7}.example/{k // 3}", f"page {k}") for k in range(500)]
     pages = spark.createDataFrame(data, "page_id long, url string, html string")

@@ -97,10 +97,31 @@ def parse(packed: bytes) -> tuple:
     return whole("WARC-X-Page"), size, digest, kind, whole("WARC-X-Refers-To-Page"), url, payload.decode() if kind == "response" else None
 
 
+#: Names that Hadoop gives to stores which Arrow's file systems know by another name.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss", "gcs": "gs"}
+
+
+def arrow_uri(uri: str) -> str:
+    """The folder of a Hadoop uri as Arrow's file systems name it; a mounted folder as its local path.
+
+    Access to a remote store comes from the environment of the workers, not from Hadoop's settings.
+    """
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme:
+        return uri
+    if scheme == "dbfs":
+        return "/dbfs/" + rest.lstrip("/")
+    if scheme == "file":
+        return "/" + rest.lstrip("/")
+    if scheme in ("wasb", "wasbs"):
+        rest = rest.replace(".blob.core.", ".dfs.core.", 1)
+    return f"{SCHEMES.get(scheme, scheme)}:{rest}"
+
+
 def _store(uri: str):
     from pyarrow.fs import FileSystem
 
-    return FileSystem.from_uri(uri if "://" in uri else uri.replace("file:", "", 1))
+    return FileSystem.from_uri(arrow_uri(uri))
 
 
 def _name() -> str:
