@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
 
@@ -207,6 +208,33 @@ def test_license_scan(spark):
     assert empty == {hashlib.sha256(b"").hexdigest()}
 
 
+COMMON = "/usr/share/common-licenses"
+
+
+@pytest.mark.skipif(not os.path.exists(f"{COMMON}/GPL-3"), reason="no folder of licenses")
+def test_whole_licenses_from_a_folder(spark, folder):
+    """Long texts, re-wrapped and re-spelled, are found in full; an addition makes another text."""
+    known = licenses.texts_in(spark, f"{COMMON}/[A-Z]*-[0-9]*")
+    ids = {r.license_id for r in known.collect()}
+    assert {"GPL-3", "LGPL-2.1", "MPL-2.0", "CC0-1.0", "Apache-2.0"} <= ids
+    text = {name: open(f"{COMMON}/{name}", encoding="utf-8").read() for name in ("GPL-3", "MPL-2.0", "Apache-2.0")}
+    rows = [
+        (1, "Copyright (c) 2021 A. Person\n" + text["GPL-3"]), (2, text["MPL-2.0"].upper().replace("\n", "\r\n  ")),
+        (3, text["Apache-2.0"].replace("License", "Licence")), (4, text["GPL-3"] + " and more"), (5, None), (6, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.license_id for r in licenses.document_licenses(with_extra(docs), known=known).collect()}
+    assert got == {1: "GPL-3", 2: "MPL-2.0", 3: "Apache-2.0", 4: None, 5: None, 6: None}
+    assert licenses.document_licenses(docs, known=known.limit(0)).filter("license_id is not null").count() == 0
+
+
+def test_known_texts_without_words_are_no_licenses(spark):
+    known = spark.createDataFrame([("x", None), ("y", "Copyright nobody"), ("a", "Be Good."), ("b", "be good")], "license_id string, text string")
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "Be good!"), (3, "Be good!")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.license_id) for r in licenses.license_scan(docs, known=known).collect())
+    assert got == [(1, None), (2, None), (3, "a|b"), (3, "a|b")]
+
+
 # ---- repeated strings -----------------------------------------------------------------------
 
 

@@ -31,24 +31,37 @@ def canonical(text: Column) -> Column:
     return F.trim(out)
 
 
+def texts_in(spark: SparkSession, folder: str) -> DataFrame:
+    """``license_id, text`` of a folder of license texts, each file a text and its name the id."""
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.txt|\.md)?$", 1)
+    return spark.read.text(folder, wholetext=True).select(F.url_decode(name).alias("license_id"), F.col("value").alias("text"))
+
+
 def known_licenses(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """``license_id, license_sha256`` of the known texts; ids that share a canonical text are joined by ``|``."""
-    texts = spark.createDataFrame(list(known), "license_id string, text string")
-    digest = F.sha2(canonical(F.col("text")), 256).alias("license_sha256")
-    return texts.groupBy(digest).agg(F.array_join(F.array_sort(F.collect_set("license_id")), "|").alias("license_id"))
+    """``license_id, license_sha256`` of the known texts; ids that share a canonical text are joined by ``|``.
+
+    ``known`` is a list of (id, text) or a table ``license_id, text``. Texts that are null or hold
+    nothing but copyright lines are not known licenses.
+    """
+    texts = known if isinstance(known, DataFrame) else spark.createDataFrame(list(known), "license_id string, text string")
+    named = texts.select("license_id", canonical(F.col("text")).alias("text")).filter("text != ''")
+    digest = F.sha2("text", 256).alias("license_sha256")
+    return named.groupBy(digest).agg(F.array_join(F.array_sort(F.collect_set("license_id")), "|").alias("license_id"))
 
 
 def license_scan(texts: DataFrame, *, text_col: str = "text", known=KNOWN) -> DataFrame:
     """Adds ``canonical_sha256`` and ``license_id`` (null where the entire text is no known license).
 
     Null and empty texts, and texts of nothing but copyright lines, have the digest of the empty
-    text and no license. The known digests are one row per text given in ``known``, a list held by
-    the program, so their broadcast does not grow with the data. Columns of the same names are
-    replaced.
+    text and no license. Known digests are one row per text given in ``known``. A list is held by
+    the program, so its broadcast does not grow with the data; how a table is joined is left to
+    Spark, which measures it. Columns of the same names are replaced.
     """
     digest = F.sha2(canonical(F.col(text_col)), 256)
     digests = texts.withColumn("canonical_sha256", digest).drop("license_id")
-    table = F.broadcast(known_licenses(texts.sparkSession, known))
+    table = known_licenses(texts.sparkSession, known)
+    if not isinstance(known, DataFrame):
+        table = F.broadcast(table)
     same = digests["canonical_sha256"] == table["license_sha256"]
     return digests.join(table, same, "left").drop(table["license_sha256"])
 
