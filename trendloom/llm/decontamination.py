@@ -221,10 +221,11 @@ def find_benchmark(
 
     A window is ``window`` consecutive words of an item (the whole item if it has fewer). Null and
     empty texts have no words; items without words never match; an item without an id counts for
-    the runs but is not listed. Repeated rows are judged each for itself. The benchmark travels to
-    the tasks in blocks of ``block_bytes``, one after another over the same stream of documents, so
-    neither the driver nor a broadcast ever holds more than one block at once. A column of
-    ``docs`` named as ``output`` is replaced.
+    the runs but is not listed. Repeated rows are judged each for itself. The benchmark passes
+    through the driver in blocks of ``block_bytes``; each block is a broadcast and a pass of its own
+    over the same stream of documents, and all of them live until the plan has run. So the benchmark
+    has to fit in a worker as a whole. A match is looked for where a window (or a short item)
+    agrees; shorter ones are not reported as longest. A column of ``docs`` named as ``output`` is replaced.
     """
     docs = docs.drop(output)
     spark, text_name = docs.sparkSession, free_name(docs, "__text")
