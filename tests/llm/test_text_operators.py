@@ -261,6 +261,25 @@ def test_repeats_against_brute_force(spark, length, kmer, most):
     assert repeats.remove_repeats(frame(spark, []), length=length, kmer=kmer).count() == 0
 
 
+def test_every_removed_byte_comes_from_the_index(spark, monkeypatch):
+    data = [(1, "one passage that stands in three texts"), (2, "one passage that stands in three texts"), (3, "in front one passage that stands in three texts behind")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in repeats.remove_repeats(docs, length=20, kmer=6).collect()} == {1: 38, 2: 38, 3: 38}
+    monkeypatch.setattr(repeats, "repeated_spans", lambda contexts, length: [[] for _ in contexts])
+    assert {r.n_removed for r in repeats.remove_repeats(docs, length=20, kmer=6).collect()} == {0}
+
+
+def test_suffix_order_of_repeated_text():
+    for text in ([0], [5] * 40, [1, 2, 0] * 30, [1, 2, 3, 4, 5, 6, 7, 8, 9, 0] * 9):
+        text = [*text, 300]
+        assert repeats.suffix_order(np.array(text, np.int16)).tolist() == sorted(range(len(text)), key=lambda p: text[p:])
+
+
+def test_contexts_given_twice():
+    contexts = [b"abcdefgh", b"abcdefgh", b"xbcdefgy", b"qrstuvw", b"qrstuvw", b"nothing"]
+    assert repeats.repeated_spans(contexts, 5) == [[[0, 8]], [[0, 8]], [[1, 7]], [[0, 7]], [[0, 7]], []]
+
+
 def test_run_index_finds_longest_matches():
     import numpy as np
 

@@ -2,11 +2,11 @@
 
 Equal strings of ``length`` bytes have the same least k-mer (by hash) at the same place. So each
 string belongs to one anchor, and the strings of an anchor make one context, a piece of text. Only
-anchors that occur twice matter, and equal contexts of an anchor count once. The contexts go, by
-anchor, into shards of bounded size. Each shard is indexed by its Burrows-Wheeler transform, kept as
+anchors that occur twice matter. However often a context occurs, two copies of it stand for all. The
+contexts go, by anchor, into shards of bounded size. Each shard is indexed by its Burrows-Wheeler transform, kept as
 runs with samples at the run ends. Streaming the text along these samples gives, for each position,
 its longest match elsewhere in the shard: within a run the match of a position is that of the one
-before it, less a byte, so only run ends are compared.
+before it, less a byte, so only run ends are compared. These matches alone say which bytes go.
 """
 
 from __future__ import annotations
@@ -101,24 +101,30 @@ def _placer(length: int, kmer: int) -> Callable:
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
-    """Suffix array of symbols 0 to 256, by doubling the length of ranked prefixes."""
-    n = len(text)
-    padded = np.concatenate([text.astype(np.uint64), np.zeros(8, np.uint64)])
+    """Suffix array of symbols 0 to 256, by doubling the length of ranked prefixes.
+
+    A rank is the first place of its prefix in the order, so only suffixes that share one are sorted again.
+    """
+    n, span = len(text), 7
+    padded = np.concatenate([text.astype(np.uint64), np.zeros(span, np.uint64)])
     key = np.zeros(n, np.uint64)
-    for k in range(7):
+    for k in range(span):
         key = key << np.uint64(9) | padded[k : n + k]
-    span = 7
+    order = np.argsort(key)
+    rank, places, key = np.zeros(n, np.uint64), np.arange(n), key[order]
     while True:
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        ranks = np.cumsum(np.concatenate([[1], ordered[1:] != ordered[:-1]])).astype(np.uint64)
-        if ranks[-1] == n or span > n:
+        head = np.concatenate([[True], key[1:] != key[:-1]])
+        rank[order[places]] = np.maximum.accumulate(np.where(head, places, 0)).astype(np.uint64)
+        places = places[~head | ~np.append(head[1:], True)]
+        if not len(places):
             return order
-        rank = np.zeros(n, np.uint64)
-        rank[order] = ranks
-        follow = np.zeros(n, np.uint64)
-        follow[: max(0, n - span)] = rank[span:]
-        key = rank << np.uint64(32) | follow
+        tied = order[places]
+        follow = np.zeros(len(tied), np.uint64)
+        inside = tied + span < n
+        follow[inside] = rank[tied[inside] + span] + np.uint64(1)
+        key = rank[tied] << np.uint64(32) | follow
+        again = np.argsort(key)
+        order[places], key = tied[again], key[again]
         span *= 2
 
 
@@ -168,14 +174,18 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
 
 
 def repeated_spans(contexts: list[bytes], length: int) -> list[list[list[int]]]:
-    """Ranges of each context that strings of ``length`` bytes cover which start twice in the contexts."""
+    """Ranges of each context that strings of ``length`` bytes cover which start twice in the contexts.
+
+    A context may be given twice, in succession. So a match, which may run on past the end of its
+    context, ends within the second context after it.
+    """
     sizes = np.array([len(c) for c in contexts], np.int64)
     begins = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     text = np.zeros(int(sizes.sum()) + len(contexts), np.int16)
     for at, context in zip(begins.tolist(), contexts):
         text[at : at + len(context)] = np.frombuffer(context, np.uint8)
         text[at : at + len(context)] += 1
-    matches = RunIndex(text).matching(2 * int(sizes.max()) + 2)
+    matches = RunIndex(text).matching(3 * int(sizes.max()) + 4)
     out = []
     for at, size in zip(begins.tolist(), sizes.tolist()):
         starts = np.flatnonzero(matches[at : at + max(0, size - length + 1)] >= length)
@@ -185,7 +195,10 @@ def repeated_spans(contexts: list[bytes], length: int) -> list[list[list[int]]]:
 
 def _indexed(length: int) -> Callable:
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        spans = repeated_spans(rows.column("bytes").to_pylist(), length)
+        copies = np.minimum(rows.column("copies").to_numpy(), 2)
+        contexts = [c for c, n in zip(rows.column("bytes").to_pylist(), copies.tolist()) for _ in range(n)]
+        spans = repeated_spans(contexts, length)
+        spans = [spans[k] for k in (np.cumsum(copies) - copies).tolist()]
         found = np.array([bool(s) for s in spans], bool)
         held = rows.select(["key", "digest"]).filter(pa.array(found)).combine_chunks()
         return pa.Table.from_arrays([held.column(0), held.column(1), pa.array([s for s in spans if s], _SPANS.types[2])], schema=_SPANS)
@@ -256,13 +269,11 @@ def _resolve(contexts: DataFrame, length: int, width: int, shard_bytes: int, mos
         kinds = contexts.groupBy("key", "digest").agg(F.sum("n").alias("copies"), F.min("pid").alias("stands"), F.max(F.octet_length("bytes")).alias("octets"))
         keys = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.sum("copies").alias("all"), F.sum("octets").alias("sum_octets")).filter("all > 1")
         known = stored(kinds.join(keys, "key"))
-        whole = known.filter("copies > 1").select("key", "digest", F.array(F.array(F.lit(0), F.col("octets"))).alias("spans"))
-        small = known.filter((F.col("kinds") > 1) & (F.col("kinds") <= most))
-        size = small.agg(F.sum("octets")).first()[0] or 0
+        small = known.filter(F.col("kinds") <= most)
+        size = small.agg(F.sum(F.col("octets") * F.least("copies", F.lit(2)))).first()[0] or 0
         shards = max(1, math.ceil(size / shard_bytes))
-        pieces = contexts.join(small.select("key", "digest", F.col("stands").alias("pid")), ["key", "digest", "pid"]).dropDuplicates(["key", "digest"])
-        indexed = pieces.select("key", "digest", "bytes", F.pmod("key", F.lit(shards)).alias("shard")).groupBy("shard").applyInArrow(_indexed(length), SPANS)
-        spans = whole.unionByName(indexed)
+        pieces = contexts.join(small.select("key", "digest", F.col("stands").alias("pid"), "copies"), ["key", "digest", "pid"]).dropDuplicates(["key", "digest"])
+        spans = pieces.select("key", "digest", "copies", "bytes", F.pmod("key", F.lit(shards)).alias("shard")).groupBy("shard").applyInArrow(_indexed(length), SPANS)
         placed = contexts.select("key", "digest", "pid", "at").join(spans, ["key", "digest"]).select(
             "pid", F.transform("spans", lambda s: F.array(s[0] + F.col("at"), s[1] + F.col("at"))).alias("spans")
         )
@@ -308,30 +319,28 @@ def remove_repeats(
     A byte goes if a string of ``length`` bytes that covers it starts anywhere else, in this
     document or another. Null and empty texts, and texts shorter than ``length``, lose nothing.
     Repeated rows count as documents, so both lose all that is long enough. Only id and text are
-    read. Hot contexts meet as counts; an anchor in more than ``most`` different contexts is halved
-    until each part has fewer, or holds single strings.
+    read. Hot contexts meet as counts, and two copies go to the index; an anchor in more than ``most``
+    different contexts is halved until each part has fewer, or holds single strings, and the parts go to the index.
     """
     small_batches(docs.sparkSession)
     width = length - kmer + 1
     texts = docs.select(F.col(id_col).alias(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     texts = texts.withColumn("doc", F.xxhash64(id_col, "text"))
     places = texts.filter(F.octet_length("text") >= length).select("doc", "text").mapInArrow(_placer(length, kmer), PLACES)
-    keys = places.groupBy("key").agg(F.count(F.lit(1)).alias("all"), F.min("digest").alias("low"), F.max("digest").alias("high"))
-    twice = stored(keys.filter("all > 1").select("key", F.expr("low != high").alias("mixed")))
+    twice = stored(places.groupBy("key").agg(F.count(F.lit(1)).alias("all")).filter("all > 1").select("key"))
     again = stored(places.join(twice, "key"))
     kinds = again.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("stands"))
     met = stored(again.join(kinds, ["key", "digest"]).withColumn("stands", F.col("doc") == F.col("stands")))
     pid = F.xxhash64("key", "digest")
-    wanted = met.filter("mixed and stands").dropDuplicates(["key", "digest"]).groupBy("doc").agg(
+    wanted = met.filter("stands").dropDuplicates(["key", "digest"]).groupBy("doc").agg(
         F.collect_list(F.struct("key", "digest", pid.alias("pid"), "start", "size", "anchor", "n")).alias("wanted")
     )
     sources = texts.select("doc", "text").join(wanted, "doc").dropDuplicates(["doc"]).select("text", "wanted")
     contexts = stored(sources.mapInArrow(_cutter(width), CONTEXTS))
     spans = _resolve(contexts, length, width, shard_bytes, most).groupBy("pid").agg(F.flatten(F.collect_list("spans")).alias("found"))
-    own = F.when(F.col("n") > 1, F.array(F.array(F.lit(0), F.col("size")))).otherwise(F.col("found"))
-    ranges = met.join(spans, pid == F.col("pid"), "left").select(
-        "doc", F.transform(own, lambda s: F.array(s[0] + F.col("start"), s[1] + F.col("start"))).alias("spans")
-    ).filter("spans is not null")
+    ranges = met.join(spans, pid == F.col("pid")).select(
+        "doc", F.transform("found", lambda s: F.array(s[0] + F.col("start"), s[1] + F.col("start"))).alias("spans")
+    )
     ranges = ranges.groupBy("doc").agg(F.collect_list("spans").alias("spans"))
     joined = texts.join(ranges, "doc", "left").select(id_col, F.col("text").alias("__text"), "spans")
     kind = docs.schema[id_col].dataType.simpleString()
