@@ -265,19 +265,22 @@ def test_every_removed_byte_comes_from_the_index(spark, monkeypatch):
     data = [(1, "one passage that stands in three texts"), (2, "one passage that stands in three texts"), (3, "in front one passage that stands in three texts behind")]
     docs = spark.createDataFrame(data, "doc_id long, text string")
     assert {r.doc_id: r.n_removed for r in repeats.remove_repeats(docs, length=20, kmer=6).collect()} == {1: 38, 2: 38, 3: 38}
-    monkeypatch.setattr(repeats, "repeated_spans", lambda contexts, length: [[] for _ in contexts])
+    monkeypatch.setattr(repeats, "repeated_spans", lambda contexts, copies, length: [[] for _ in contexts])
     assert {r.n_removed for r in repeats.remove_repeats(docs, length=20, kmer=6).collect()} == {0}
 
 
 def test_suffix_order_of_repeated_text():
-    for text in ([0], [5] * 40, [1, 2, 0] * 30, [1, 2, 3, 4, 5, 6, 7, 8, 9, 0] * 9):
-        text = [*text, 300]
-        assert repeats.suffix_order(np.array(text, np.int16)).tolist() == sorted(range(len(text)), key=lambda p: text[p:])
+    for text in ([0], [5] * 40, [1, 2, 0] * 30, [1, 2, 3, 4, 5, 6, 7, 8, 9, 0] * 9, [3, 256] * 25):
+        # A 0 sorts below all symbols and an earlier 0 below a later one; so does the end.
+        ends = [*[(0, p) if c == 0 else (1, c) for p, c in enumerate(text)], (0, len(text))]
+        assert repeats.suffix_order(np.array(text, np.int16)).tolist() == sorted(range(len(text)), key=lambda p: ends[p:])
 
 
 def test_contexts_given_twice():
-    contexts = [b"abcdefgh", b"abcdefgh", b"xbcdefgy", b"qrstuvw", b"qrstuvw", b"nothing"]
-    assert repeats.repeated_spans(contexts, 5) == [[[0, 8]], [[0, 8]], [[1, 7]], [[0, 7]], [[0, 7]], []]
+    contexts, copies = [b"abcdefgh", b"xbcdefgy", b"qrstuvw", b"nothing", b"\0\xff\0\xff\0", b"trstuvw"], np.array([2, 1, 2, 1, 2, 2])
+    text = repeats.joined([c for c, n in zip(contexts, copies) for _ in range(n)])
+    assert repeats.twofold_order(contexts, copies).tolist() == repeats.suffix_order(text).tolist()
+    assert repeats.repeated_spans(contexts, copies, 5) == [[[0, 8]], [[1, 7]], [[0, 7]], [], [[0, 5]], [[0, 7]]]
 
 
 def test_run_index_finds_longest_matches():

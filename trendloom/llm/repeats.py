@@ -103,38 +103,47 @@ def _placer(length: int, kmer: int) -> Callable:
 def suffix_order(text: np.ndarray) -> np.ndarray:
     """Suffix array of symbols 0 to 256, by doubling the length of ranked prefixes.
 
-    A rank is the first place of its prefix in the order, so only suffixes that share one are sorted again.
+    Each 0, and the end of the text, closes a suffix; closed suffixes that are equal follow in order of
+    place. A rank is the first place of its prefix, so only suffixes that share one are sorted again.
     """
     n, span = len(text), 7
     padded = np.concatenate([text.astype(np.uint64), np.zeros(span, np.uint64)])
-    key = np.zeros(n, np.uint64)
+    key, closed = np.zeros(n, np.uint64), np.zeros(n, bool)
     for k in range(span):
-        key = key << np.uint64(9) | padded[k : n + k]
+        symbol = np.where(closed, np.uint64(0), padded[k : n + k])
+        key = key << np.uint64(9) | symbol
+        closed |= symbol == 0
     order = np.argsort(key)
-    rank, places, key = np.zeros(n, np.uint64), np.arange(n), key[order]
+    key = key[order]
+    head = np.concatenate([[True], key[1:] != key[:-1]])
+    ends = np.flatnonzero(closed[order])
+    order[ends] = order[ends][np.lexsort((order[ends], key[ends]))]
+    head[ends] = True
+    rank, places = np.zeros(n + 1, np.uint64), np.arange(n)
     while True:
-        head = np.concatenate([[True], key[1:] != key[:-1]])
-        rank[order[places]] = np.maximum.accumulate(np.where(head, places, 0)).astype(np.uint64)
+        rank[order[places]] = np.maximum.accumulate(np.where(head, places, 0)).astype(np.uint64) + np.uint64(1)
         places = places[~head | ~np.append(head[1:], True)]
         if not len(places):
             return order
         tied = order[places]
-        follow = np.zeros(len(tied), np.uint64)
-        inside = tied + span < n
-        follow[inside] = rank[tied[inside] + span] + np.uint64(1)
-        key = rank[tied] << np.uint64(32) | follow
+        key = rank[tied] << np.uint64(32) | rank[tied + span]
         again = np.argsort(key)
         order[places], key = tied[again], key[again]
+        head = np.concatenate([[True], key[1:] != key[:-1]])
         span *= 2
 
 
 class RunIndex:
-    """Runs of the Burrows-Wheeler transform, with the text positions at both ends of each run."""
+    """Runs of the Burrows-Wheeler transform, with the text positions at both ends of each run.
+
+    Each 0 of the text is a symbol of its own, so no match runs across one.
+    """
 
-    def __init__(self, text: np.ndarray):
-        self.text, self.n = text, len(text)
-        order = suffix_order(text)
-        symbols = np.where(order > 0, text[order - 1], -1)  # nothing stands before the text
+    def __init__(self, text: np.ndarray, order: np.ndarray | None = None):
+        self.n = len(text)
+        order = suffix_order(text) if order is None else order
+        self.text = np.where(text > 0, text.astype(np.int32), -1 - np.arange(self.n, dtype=np.int32))
+        symbols = np.where(order > 0, self.text[order - 1], -1 - self.n)  # nothing stands before the text
         heads = np.flatnonzero(symbols[1:] != symbols[:-1]) + 1
         #: First position of each run but the first, and the last position of the run before it.
         self.first, self.last = order[heads], order[heads - 1]
@@ -173,32 +182,53 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
     return np.stack([starts[cut], ends[last]], axis=1).tolist()
 
 
-def repeated_spans(contexts: list[bytes], length: int) -> list[list[list[int]]]:
+def joined(contexts: list[bytes]) -> np.ndarray:
+    """The contexts as symbols 1 to 256, a 0 after each."""
+    text = np.frombuffer(b"\0".join([*contexts, b""]), np.uint8).astype(np.int16) + np.int16(1)
+    text[np.cumsum([len(c) + 1 for c in contexts]) - 1] = 0
+    return text
+
+
+def twofold_order(contexts: list[bytes], copies: np.ndarray) -> np.ndarray:
+    """Suffix order of the contexts with each given once or twice in succession.
+
+    Equal suffixes follow in order of place, so those of a second copy stand next to the first one's
+    and only the different contexts are sorted.
+    """
+    sizes = np.array([len(c) + 1 for c in contexts], np.int64)
+    once, many = np.cumsum(sizes) - sizes, np.cumsum(sizes * copies) - sizes * copies
+    order = suffix_order(joined(contexts))
+    owner = np.repeat(np.arange(len(sizes)), sizes)[order]
+    times = copies[owner]
+    out = np.repeat(order - once[owner] + many[owner], times)
+    out[np.cumsum(times)[times > 1] - 1] += sizes[owner[times > 1]]
+    return out
+
+
+def repeated_spans(contexts: list[bytes], copies: np.ndarray, length: int) -> list[list[list[int]]]:
     """Ranges of each context that strings of ``length`` bytes cover which start twice in the contexts.
 
-    A context may be given twice, in succession. So a match, which may run on past the end of its
-    context, ends within the second context after it.
+    The contexts differ; ``copies`` says whether one counts once or twice.
     """
-    sizes = np.array([len(c) for c in contexts], np.int64)
-    begins = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
-    text = np.zeros(int(sizes.sum()) + len(contexts), np.int16)
-    for at, context in zip(begins.tolist(), contexts):
-        text[at : at + len(context)] = np.frombuffer(context, np.uint8)
-        text[at : at + len(context)] += 1
-    matches = RunIndex(text).matching(3 * int(sizes.max()) + 4)
-    out = []
-    for at, size in zip(begins.tolist(), sizes.tolist()):
-        starts = np.flatnonzero(matches[at : at + max(0, size - length + 1)] >= length)
-        out.append(merged(starts, starts + length))
+    text = joined([c for c, n in zip(contexts, copies.tolist()) for _ in range(n)])
+    matches = RunIndex(text, twofold_order(contexts, copies)).matching(max(map(len, contexts)))
+    sizes = np.array([len(c) + 1 for c in contexts], np.int64)
+    begins = np.cumsum(sizes * copies) - sizes * copies
+    starts = np.flatnonzero(matches >= length)
+    spans = np.array(merged(starts, starts + length), np.int64).reshape(-1, 2)
+    owner = np.searchsorted(begins, spans[:, 0], "right") - 1
+    spans -= begins[owner][:, None]
+    out: list[list[list[int]]] = [[] for _ in contexts]
+    for k, span in zip(owner.tolist(), spans.tolist()):
+        if span[0] < len(contexts[k]):  # the second copy has the same ranges
+            out[k].append(span)
     return out
 
 
 def _indexed(length: int) -> Callable:
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         copies = np.minimum(rows.column("copies").to_numpy(), 2)
-        contexts = [c for c, n in zip(rows.column("bytes").to_pylist(), copies.tolist()) for _ in range(n)]
-        spans = repeated_spans(contexts, length)
-        spans = [spans[k] for k in (np.cumsum(copies) - copies).tolist()]
+        spans = repeated_spans(rows.column("bytes").to_pylist(), copies, length)
         found = np.array([bool(s) for s in spans], bool)
         held = rows.select(["key", "digest"]).filter(pa.array(found)).combine_chunks()
         return pa.Table.from_arrays([held.column(0), held.column(1), pa.array([s for s in spans if s], _SPANS.types[2])], schema=_SPANS)
