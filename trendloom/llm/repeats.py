@@ -302,7 +302,7 @@ def _resolve(contexts: DataFrame, length: int, width: int, shard_bytes: int, mos
         small = known.filter(F.col("kinds") <= most)
         size = small.agg(F.sum(F.col("octets") * F.least("copies", F.lit(2)))).first()[0] or 0
         shards = max(1, math.ceil(size / shard_bytes))
-        pieces = contexts.join(small.select("key", "digest", F.col("stands").alias("pid"), "copies"), ["key", "digest", "pid"]).dropDuplicates(["key", "digest"])
+        pieces = contexts.join(small.select("key", "digest", F.col("stands").alias("pid"), "copies"), ["key", "digest", "pid"])
         spans = pieces.select("key", "digest", "copies", "bytes", F.pmod("key", F.lit(shards)).alias("shard")).groupBy("shard").applyInArrow(_indexed(length), SPANS)
         placed = contexts.select("key", "digest", "pid", "at").join(spans, ["key", "digest"]).select(
             "pid", F.transform("spans", lambda s: F.array(s[0] + F.col("at"), s[1] + F.col("at"))).alias("spans")
