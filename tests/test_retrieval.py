@@ -139,3 +139,14 @@ def test_ask_assembles_context_in_order_and_answers(spark):
     assert rows["q2"].context.startswith("[100.0% relevant | unknown]\ne")
     assert rows["q1"].answer == f"{len(rows['q1'].prompt)} characters" and rows["q1"].answer_error is None
     assert rows["q2"].answer is None and rows["q2"].answer_error == "no model"
+
+
+def test_half_a_millionth_is_told_as_the_sql_does(spark):
+    """16,384 is a sum of squares with the norm 128, so odd counts are half-way between two millionths."""
+    from trendloom.registry.queries import VECTOR_TEXT
+
+    text = " ".join(["a"] * 127 + ["b"] * 15 + ["c"] * 5 + ["d"] * 2 + ["e"])  # 16129 + 225 + 25 + 4 + 1
+    vectors = retrieval.embed_documents(spark.createDataFrame([(1, text)], "doc_id int, text string"))
+    told = vectors.selectExpr(f"{VECTOR_TEXT} as t").first().t
+    # 127/128, 15/128, 5/128, 1/64 and 1/128 in millionths, halves away from zero.
+    assert sorted(int(p.split("=")[1]) for p in told.split()) == [7813, 15625, 39063, 117188, 992188]

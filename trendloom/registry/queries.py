@@ -653,10 +653,11 @@ def _document_corpus(spark, sf_dir):
     return document_corpus(spark, sf_dir)
 
 
-# The whole vector as text: place and value in millionths of all places but the empty ones.
+# The whole vector as text: place and value in millionths of all places but the empty ones. A value half-way
+# between two millionths, such as 1/128, goes away from zero.
 VECTOR_TEXT = (
     "array_join(filter(transform(embedding, (x, i) -> if(x = 0, null,"
-    " concat(i, '=', cast(rint(cast(x as double) * 1000000) as bigint)))), e -> e is not null), ' ')"
+    " concat(i, '=', cast(round(cast(x as double) * 1000000) as bigint)))), e -> e is not null), ' ')"
 )
 
 
