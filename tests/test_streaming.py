@@ -105,3 +105,20 @@ def test_error_of_a_feed_is_raised(spark, folder):
     queries = start_feeds({"hn": rows}, f"{folder}/bronze", f"{folder}/cp", every="1 second")
     with pytest.raises(Exception, match="boom"):
         await_feeds(spark, queries, check_seconds=1)
+
+
+@pytest.mark.parametrize("name", ["bronze_folded", "silver_stream"])
+def test_every_trigger_has_a_file_for_each_core(spark, sf_dir, monkeypatch, name):
+    from trendloom.registry import queries as registered
+
+    asked = []
+
+    def seen(session, path, **limits):
+        asked.append((limits["max_files_per_trigger"], len(session.read.parquet(path).inputFiles())))
+        return file_stream(session, path, **limits)
+
+    monkeypatch.setattr(registered.messages, "file_stream", seen)
+    registered.queries()[name](spark, sf_dir)
+    cores = spark.sparkContext.defaultParallelism
+    assert asked and all(limit >= cores for limit, _ in asked)
+    assert max(files for _, files in asked) >= 5 * cores  # several triggers, as before

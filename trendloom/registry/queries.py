@@ -282,13 +282,18 @@ def _stream_metrics(spark, sf_dir):
     return heard.table(spark)
 
 
+def _files_a_trigger(spark: SparkSession) -> int:
+    """Files of one trigger: one for each core, so that no trigger waits for a single task however large the files are."""
+    return max(spark.sparkContext.defaultParallelism, 2)
+
+
 @query("silver_stream")
 def _silver_stream(spark, sf_dir):
-    """Messages of all feeds straight into keyed Silver tables, in triggers of one file."""
-    store = _fresh_store(spark, "silver-stream")
+    """Messages of all feeds straight into keyed Silver tables, in five triggers of a file for each core."""
+    store, files = _fresh_store(spark, "silver-stream"), _files_a_trigger(spark)
     for feed, sent in all_messages(spark, sf_dir).items():
-        sent.repartition(5).write.parquet(store.path("messages", feed))
-    streams = {feed: messages.file_stream(spark, store.path("messages", feed), max_files_per_trigger=1) for feed in FEEDS}
+        sent.repartition(5 * files).write.parquet(store.path("messages", feed))
+    streams = {feed: messages.file_stream(spark, store.path("messages", feed), max_files_per_trigger=files) for feed in FEEDS}
     bronze.finish_feeds(keyed.start_silver(streams, store, store.path("checkpoints", ""), AS_OF, every=None, fan=3))
     return reduce(DataFrame.unionByName, [store.read("silver", feed) for feed in FEEDS])
 
@@ -313,11 +318,15 @@ def _first_seen_slices(spark, sf_dir):
 
 @query("bronze_folded")
 def _bronze_folded(spark, sf_dir):
-    """Stories through the append sink in many small files, folded into parts between two runs of the stream."""
-    store = _fresh_store(spark, "folded")
-    for k, part in enumerate(hn_messages(spark, sf_dir).randomSplit([1.0] * 3, seed=1)):
-        part.repartition(4).write.mode("append").parquet(store.path("messages", "hn"))
-        stream = messages.file_stream(spark, store.path("messages", "hn"), max_files_per_trigger=2)
+    """Stories through the append sink in many small files, folded into parts between two runs of the stream.
+
+    A run brings the messages of a third of the (key, time) hashes, in two triggers.
+    """
+    store, files = _fresh_store(spark, "folded"), _files_a_trigger(spark)
+    sent, third = hn_messages(spark, sf_dir), F.pmod(F.xxhash64("key", "timestamp"), F.lit(3))
+    for k in range(3):
+        sent.filter(third == k).repartition(2 * files).write.mode("append").parquet(store.path("messages", "hn"))
+        stream = messages.file_stream(spark, store.path("messages", "hn"), max_files_per_trigger=files)
         bronze.finish_feeds(bronze.start_feeds({"hn": stream}, store.path("bronze", ""), store.path("checkpoints", ""), every=None))
         if k < 2:  # the last files stay as the stream left them
             store.fold_stream("bronze", "hn", fan=2)
