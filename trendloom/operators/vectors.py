@@ -18,6 +18,7 @@ from trendloom.session import scratch_root
 #: Question vectors that are sent to all tasks; more are searched through an index.
 QUESTIONS_PER_BLOCK = 4096
 BLOCK_ROWS = 1024
+_unit = unit
 
 
 def cosine_topk(
