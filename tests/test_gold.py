@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendloom.plans import gold
+from trendloom.plans import gold, jobs
 from trendloom.schemas import SILVER_SCHEMA
+from trendloom.sources.tables import TableStore
 
 AS_OF = datetime(2024, 1, 16)
 TEN = datetime(2024, 1, 15, 10)
@@ -202,6 +203,20 @@ def test_combine_keeps_newest_and_does_not_fan_out(spark):
     assert rows["2"].sentiment is None and len(rows) == 2
 
 
+def test_keyed_tables_are_combined_without_sorting_them_again(spark, folder):
+    store = TableStore(spark, folder, "parquet")
+    rows = {feed: spark.createDataFrame([tuple(item(feed, source).get(n) for n in SILVER_SCHEMA.names)], SILVER_SCHEMA)
+            for feed, source in (("hn", "hackernews"), ("github", "github"))}
+    for feed, df in rows.items():
+        store.upsert(df, "silver", feed, "unified_id")
+    got = jobs.load_combined(store)
+    assert sorted(map(str, got.collect())) == sorted(map(str, gold.combine_silver(list(rows.values())).collect()))
+    plan = got.select("source", "published_at")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "tags" not in plan
+    store.overwrite(rows["hn"].unionAll(rows["hn"]), "silver", "hn")  # not kept by id: cut to one row each
+    assert jobs.load_combined(store).count() == 2
+
+
 def test_equal_stamps_give_the_same_row_in_any_order(spark):
     rows = [("1", "negative", ["a"], ["x"]), ("1", "negative", ["b"], ["x"]), ("1", "negative", ["b"], ["y"]), ("1", "neutral", None, None)]
     silver = spark.createDataFrame([tuple(item("1", "github").get(n) for n in SILVER_SCHEMA.names)], SILVER_SCHEMA)

@@ -64,13 +64,18 @@ def attach_enrichment(silver: DataFrame, enriched: DataFrame | None) -> DataFram
     return silver.join(newest.drop("enriched_at"), "unified_id", "left")
 
 
-def combine_silver(tables: Iterable[DataFrame], enriched: DataFrame | None = None) -> DataFrame:
+def combine_silver(
+    tables: Iterable[DataFrame], enriched: DataFrame | None = None, unique: bool = False
+) -> DataFrame:
     """All feeds by column name, newest processing per id, enrichment attached.
 
     A stored Silver table holds each id once, and an id names its feed. Ties are settled by the
-    narrow columns, so builders that need no text read none.
+    narrow columns, so builders that need no text read none. With ``unique`` the tables are known to
+    hold each id once: nothing is sorted, and the columns of the order are read only where asked for.
     """
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    if unique:
+        return attach_enrichment(union, enriched)
     ties = ["ingested_at", "popularity_score", "source", "published_at", "language", "tags"]
     current = newest_per_key(union, "unified_id", "silver_processed_at", ties)
     return attach_enrichment(current, enriched)

@@ -69,7 +69,12 @@ def silver_tables(store: TableStore) -> list[DataFrame]:
 
 
 def load_combined(store: TableStore) -> DataFrame:
-    return gold.combine_silver(silver_tables(store), store.read_if_exists("silver", "enriched"))
+    return gold.combine_silver(silver_tables(store), store.read_if_exists("silver", "enriched"), kept_by_id(store))
+
+
+def kept_by_id(store: TableStore) -> bool:
+    """All Silver tables are upserted by id; the feed is part of what an id is made of."""
+    return all(store.kept_by("silver", feed) == "unified_id" for feed in FEEDS if store.exists("silver", feed))
 
 
 def run_enrichment(
@@ -125,7 +130,7 @@ def run_gold(
     def texts(ids: DataFrame) -> DataFrame:
         """Descriptions of a few ids; the semi join reaches the Silver tables."""
         few = [table.join(ids, "unified_id", "left_semi") for table in silver_tables(store)]
-        return gold.combine_silver(few).select("unified_id", "description")
+        return gold.combine_silver(few, unique=kept_by_id(store)).select("unified_id", "description")
 
     def run(name: str) -> int:
         options = {"texts": texts} if name == "top_content" else {}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from trendloom.operators.settle import settle
 from trendloom.plans import gold
-from trendloom.plans.jobs import BUILDERS, side_by_side
+from trendloom.plans.jobs import BUILDERS, kept_by_id, side_by_side
 from trendloom.schemas import FEEDS
 from trendloom.sources.tables import TableStore
 
@@ -53,7 +53,7 @@ def refresh_gold(
 
         def texts(ids: DataFrame) -> DataFrame:
             few = [store.read_matching("silver", feed, ids, now[f"silver/{feed}"]) for feed in feeds]
-            return gold.combine_silver(few).select("unified_id", "description")
+            return gold.combine_silver(few, unique=kept_by_id(store)).select("unified_id", "description")
 
         made = gold.top_content(target.read("work", "recent"), as_of, texts=texts)
         return target.overwrite(made, "gold", "top_content", now)
@@ -122,4 +122,4 @@ def combined_where(store: TableStore, versions: dict[str, int], condition: Colum
         for feed in FEEDS if f"silver/{feed}" in versions
     ]
     at = versions.get("silver/enriched")
-    return gold.combine_silver(tables, store.read("silver", "enriched", at) if at else None)
+    return gold.combine_silver(tables, store.read("silver", "enriched", at) if at else None, kept_by_id(store))
