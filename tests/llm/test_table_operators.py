@@ -331,6 +331,24 @@ def test_filter_levels():
     assert (got[:2000] >= exact).all() and (got[:2000] == exact).mean() > 0.98 and (got[2000:] > 0).mean() < 0.03
 
 
+@pytest.mark.parametrize("width", [bloom_lm.GRAM_WIDTH, 8])
+def test_rising_keys_travel_in_a_byte_less(width):
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 300, 20_000):
+        keys = np.sort(rng.integers(0, 2 ** (8 * width) - 1, n, dtype=np.uint64, endpoint=True))
+        keys[: n // 3] = keys[0] if n else 0  # equal keys, too
+        sent = bloom_lm.tight(keys, width)
+        assert bloom_lm.loose(sent, width) == keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+        assert len(sent) <= n * (width - 1) + n // 8 + 38
+
+
+def test_counted_keys_are_sent_tight():
+    docs = pa.table({"__text": [" ".join(f"{k}.{j}" for j in range(100)) for k in range(50)]})
+    rows = [r for b in bloom_lm._counter(bloom_lm.Layout(1000, 2, 1 << 20, 1 << 20), 1 << 20)(iter(docs.to_batches())) for r in b.to_pylist()]
+    sent = sum(len(r["once"]) + len(r["more"]) for r in rows if r["kind"] == bloom_lm.GRAMS)
+    assert sent < 5.3 * (50 * 101 + 50 * 100 + 1)  # pairs with the end of each text, and what they begin with
+
+
 # ---- quality --------------------------------------------------------------------------------
 
 

@@ -39,6 +39,9 @@ SLICE_BYTES = 256 << 20
 #: Bytes of text in one shard, and bytes of texts whose keys may meet in one segment, if the model's are fewer.
 SHARD_BYTES, MEET_BYTES = 4 << 20, 64 << 20
 
+#: Level of zstd for the texts of a shard, which are stored once and shuffled once.
+PACK_LEVEL = 6
+
 END, START = np.uint64(mix_int(101)), np.uint64(mix_int(102))
 CONTEXT = np.uint64(mix_int(103))
 
@@ -99,14 +102,40 @@ def grams_of(tokens: np.ndarray, begins: np.ndarray, order: int) -> list[tuple[n
     return out
 
 
+def tight(keys: np.ndarray, width: int) -> bytes:
+    """Rising keys of ``width`` bytes: their number, a bit for each step of the first byte and a 1 for each key
+    in its place, and the other bytes. So a key takes a byte less, and some 33 bytes more are sent.
+    """
+    if not len(keys):
+        return b""
+    marks = np.zeros(len(keys) + 256, np.uint8)
+    marks[(keys >> np.uint64(8 * width - 8)).astype(np.int64) + np.arange(len(keys))] = 1
+    low = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : width - 1]
+    return len(keys).to_bytes(4, "little") + np.packbits(marks).tobytes() + low.tobytes()
+
+
+def loose(sent: bytes, width: int) -> bytes:
+    """The keys of :func:`tight`, one after another in ``width`` bytes."""
+    if not sent:
+        return b""
+    n = int.from_bytes(sent[:4], "little")
+    low = 4 + (n + 263) // 8
+    marks = np.unpackbits(np.frombuffer(sent, np.uint8, low - 4, 4))[: n + 256]
+    raw = np.empty((n, width), np.uint8)
+    raw[:, : width - 1] = np.frombuffer(sent, np.uint8, offset=low).reshape(n, width - 1)
+    raw[:, width - 1] = np.flatnonzero(marks) - np.arange(n)
+    return raw.tobytes()
+
+
 def _pack(kind: int, part: np.ndarray, keys: np.ndarray, counts: np.ndarray, segments: int, width: int):
-    """One row per part: its keys met once, and the others with counts. Keys stand in order of their parts."""
-    raw = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    """One row per part: its keys met once, and the others with counts. Keys stand in order of their parts, and
+    in a part in their own.
+    """
     cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
     for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)]):
         more = counts[a:b] > 1
         at = int(part[a])
-        yield kind, at // segments, at % segments, raw[a:b][~more].tobytes(), raw[a:b][more].tobytes(), counts[a:b][more].astype("<i8").tobytes()
+        yield kind, at // segments, at % segments, tight(keys[a:b][~more], width), tight(keys[a:b][more], width), counts[a:b][more].astype("<i8").tobytes()
 
 
 def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,7 +144,7 @@ def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[first], np.diff(np.append(first, len(values)))
 
 
-#: Bytes of an n-gram's key that travel; its segment holds few enough for them.
+#: Bytes of an n-gram's key that count; its segment holds few enough for them.
 GRAM_WIDTH = 6
 
 
@@ -186,6 +215,14 @@ def _build(key: tuple, rows: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array([v], t) for v, t in zip(values, _PART.types)], schema=_PART)
 
 
+def _segment(key: tuple, rows: pa.Table) -> pa.Table:
+    width = 8 if key[0].as_py() == WORDS else GRAM_WIDTH
+    for name in ("once", "more"):
+        keys = pa.array([loose(sent, width) for sent in rows.column(name).to_pylist()], pa.binary())
+        rows = rows.set_column(rows.column_names.index(name), name, keys)
+    return _build(key, rows)
+
+
 def train(docs: DataFrame, *, text_col: str = "text", order: int = ORDER, slice_bytes: int = SLICE_BYTES, segment_bytes: int = SEGMENT_BYTES) -> tuple[DataFrame, Layout]:
     """The model of ``docs``: one row per segment, in the shared folder, and its layout.
 
@@ -195,7 +232,7 @@ def train(docs: DataFrame, *, text_col: str = "text", order: int = ORDER, slice_
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     layout = Layout(size, order, slice_bytes, segment_bytes)
     packed = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text")).mapInArrow(_counter(layout, COUNT_BYTES), PACKED)
-    return stored(packed.groupBy("kind", "slice", "segment").applyInArrow(_build, PART)), layout
+    return stored(packed.groupBy("kind", "slice", "segment").applyInArrow(_segment, PART)), layout
 
 
 def count_words(held: tuple[np.ndarray, np.ndarray], tokens: np.ndarray) -> np.ndarray:
@@ -251,7 +288,7 @@ def _packer(text_name: str, shard_bytes: int) -> Callable:
         first = TaskContext.get().partitionId() << 32
         for k, docs in enumerate(by_bytes((b for b in batches if b.num_rows), shard_bytes)):
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, docs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            with pa.ipc.new_stream(sink, docs.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=PACK_LEVEL))) as writer:
                 writer.write_table(docs.combine_chunks())
             values = [first + k, docs.column(text_name).nbytes, sink.getvalue().to_pybytes()]
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _SHARD.types)], schema=_SHARD)
@@ -294,7 +331,7 @@ def _answer(key: tuple, asked: pa.Table, model: pa.Table) -> pa.Table:
     """What a segment has for the keys of all shards: counts of words, or levels of n-grams as bytes."""
     kind = key[1].as_py()
     width = 8 if kind == WORDS else GRAM_WIDTH
-    raw = asked.column("keys").to_pylist()
+    raw = [loose(sent, width) for sent in asked.column("keys").to_pylist()]
     keys = _wide(raw, width)
     if not model.num_rows:
         found = np.zeros(len(keys), np.int64)
