@@ -261,6 +261,26 @@ def test_repeats_against_brute_force(spark, length, kmer, most):
     assert repeats.remove_repeats(frame(spark, []), length=length, kmer=kmer).count() == 0
 
 
+def test_places_are_looked_for_once(spark, monkeypatch):
+    seen, placer = spark.sparkContext.accumulator(0), repeats._placer
+
+    def counted(length, kmer):
+        def run(batches):
+            def told():
+                for batch in batches:
+                    seen.add(batch.num_rows)
+                    yield batch
+
+            return placer(length, kmer)(told())
+
+        return run
+
+    monkeypatch.setattr(repeats, "_placer", counted)
+    docs = spark.createDataFrame([(k, f"{k} these words stand in each of the texts") for k in range(30)], "doc_id long, text string")
+    assert {r.n_removed > 0 for r in repeats.remove_repeats(docs, length=20, kmer=6).collect()} == {True}
+    assert seen.value == 30
+
+
 def test_every_removed_byte_comes_from_the_index(spark, monkeypatch):
     data = [(1, "one passage that stands in three texts"), (2, "one passage that stands in three texts"), (3, "in front one passage that stands in three texts behind")]
     docs = spark.createDataFrame(data, "doc_id long, text string")

@@ -356,7 +356,8 @@ def remove_repeats(
     width = length - kmer + 1
     texts = docs.select(F.col(id_col).alias(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     texts = texts.withColumn("doc", F.xxhash64(id_col, "text"))
-    places = texts.filter(F.octet_length("text") >= length).select("doc", "text").mapInArrow(_placer(length, kmer), PLACES)
+    # Stored: hashing a text costs more than its places read again.
+    places = stored(texts.filter(F.octet_length("text") >= length).select("doc", "text").mapInArrow(_placer(length, kmer), PLACES))
     twice = stored(places.groupBy("key").agg(F.count(F.lit(1)).alias("all")).filter("all > 1").select("key"))
     again = stored(places.join(twice, "key"))
     kinds = again.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("stands"))
