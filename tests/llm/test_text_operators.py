@@ -303,6 +303,19 @@ def test_contexts_given_twice():
     assert repeats.repeated_spans(contexts, copies, 5) == [[[0, 8]], [[1, 7]], [[0, 7]], [], [[0, 5]], [[0, 7]]]
 
 
+def test_index_of_different_contexts_is_small_in_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    common = rng.integers(97, 123, 64, np.uint8).tobytes()
+    contexts = [rng.integers(97, 123, 136, np.uint8).tobytes() + common + rng.integers(97, 123, 136, np.uint8).tobytes() for _ in range(600)]
+    tracemalloc.start()
+    assert not any(repeats.repeated_spans(contexts, np.ones(len(contexts), np.int64), 200))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 * sum(map(len, contexts))  # it was 250 bytes for each byte of text
+
+
 def test_run_index_finds_longest_matches():
     import numpy as np
 

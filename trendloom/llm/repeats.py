@@ -28,6 +28,9 @@ LENGTH, KMER = 200, 64
 #: Text bytes of a scanned batch, context bytes of a shard, contexts of an anchor that go to one shard.
 SCAN_BYTES, SHARD_BYTES, MOST_CONTEXTS = 2 << 20, 2 << 20, 256
 
+#: Run borders that are compared at once.
+BORDERS = 1 << 16
+
 _VALUES = mix(np.arange(1000, 1256, dtype=np.uint64))
 PLACES = "key long, digest long, doc long, start int, size int, anchor int"
 _PLACES = pa.schema([("key", pa.int64()), ("digest", pa.int64()), ("doc", pa.int64()), ("start", pa.int32()), ("size", pa.int32()), ("anchor", pa.int32())])
@@ -100,37 +103,46 @@ def _placer(length: int, kmer: int) -> Callable:
 # ---- the index of one shard ---------------------------------------------------------------
 
 
+def symbols_left(text: np.ndarray) -> np.ndarray:
+    """Symbols from each place to the 0, or the end of the text, that closes its suffix."""
+    stops = np.append(np.flatnonzero(text == 0), len(text))
+    return np.repeat(stops, np.diff(stops, prepend=-1))[: len(text)] - np.arange(len(text))
+
+
 def suffix_order(text: np.ndarray) -> np.ndarray:
-    """Suffix array of symbols 0 to 256, by doubling the length of ranked prefixes.
+    """Suffix array of symbols 0 to 256, by tripling the length of ranked prefixes (doubling, if the text is long).
 
     Each 0, and the end of the text, closes a suffix; closed suffixes that are equal follow in order of
     place. A rank is the first place of its prefix, so only suffixes that share one are sorted again.
     """
     n, span = len(text), 7
+    bits = np.uint64(21 if n < 1 << 21 else 32)
     padded = np.concatenate([text.astype(np.uint64), np.zeros(span, np.uint64)])
-    key, closed = np.zeros(n, np.uint64), np.zeros(n, bool)
-    for k in range(span):
-        symbol = np.where(closed, np.uint64(0), padded[k : n + k])
-        key = key << np.uint64(9) | symbol
-        closed |= symbol == 0
+    two = padded[:-1] << np.uint64(9) | padded[1:]
+    key = (two[:n] << np.uint64(18) | two[2 : n + 2]) << np.uint64(27) | two[4 : n + 4] << np.uint64(9) | padded[6 : n + 6]
+    left = symbols_left(text)
+    whole = (1 << 9 * span) - 1
+    key &= np.array([whole - (whole >> 9 * k) for k in range(span + 1)], np.uint64)[np.minimum(left, span)]
     order = np.argsort(key)
     key = key[order]
     head = np.concatenate([[True], key[1:] != key[:-1]])
-    ends = np.flatnonzero(closed[order])
+    ends = np.flatnonzero((left < span)[order])
     order[ends] = order[ends][np.lexsort((order[ends], key[ends]))]
     head[ends] = True
-    rank, places = np.zeros(n + 1, np.uint64), np.arange(n)
+    rank, places = np.zeros(n + 1, np.uint32), np.arange(n)
     while True:
-        rank[order[places]] = np.maximum.accumulate(np.where(head, places, 0)).astype(np.uint64) + np.uint64(1)
+        rank[order[places]] = np.maximum.accumulate(np.where(head, places, 0)) + 1
         places = places[~head | ~np.append(head[1:], True)]
         if not len(places):
             return order
         tied = order[places]
-        key = rank[tied] << np.uint64(32) | rank[tied + span]
+        key = rank[tied].astype(np.uint64) << bits | rank[tied + span]
+        if bits == 21:  # three ranks fit; the third counts if the second is shared, and then lies in the text
+            key = key << bits | rank[np.minimum(tied + 2 * span, n)]
         again = np.argsort(key)
         order[places], key = tied[again], key[again]
         head = np.concatenate([[True], key[1:] != key[:-1]])
-        span *= 2
+        span *= 3 if bits == 21 else 2
 
 
 class RunIndex:
@@ -142,25 +154,33 @@ class RunIndex:
     def __init__(self, text: np.ndarray, order: np.ndarray | None = None):
         self.n = len(text)
         order = suffix_order(text) if order is None else order
-        self.text = np.where(text > 0, text.astype(np.int32), -1 - np.arange(self.n, dtype=np.int32))
-        symbols = np.where(order > 0, self.text[order - 1], -1 - self.n)  # nothing stands before the text
+        self.text = text
+        own = np.where(text > 0, text.astype(np.int32), -1 - np.arange(self.n, dtype=np.int32))
+        symbols = np.where(order > 0, own[order - 1], -1 - self.n)  # nothing stands before the text
         heads = np.flatnonzero(symbols[1:] != symbols[:-1]) + 1
         #: First position of each run but the first, and the last position of the run before it.
         self.first, self.last = order[heads], order[heads - 1]
         self.runs = len(heads) + 1
 
     def common(self, most: int) -> np.ndarray:
-        """Bytes that the neighbours at each run border share, up to ``most``."""
-        text = np.concatenate([self.text, np.full(most + 16, 300, self.text.dtype)])
-        shared, open_, step = np.zeros(len(self.first), np.int64), np.arange(len(self.first)), np.arange(16)
-        while len(open_):
-            a = self.first[open_] + shared[open_]
-            b = self.last[open_] + shared[open_]
-            same = text[a[:, None] + step] == text[b[:, None] + step]
-            run = np.where(same.all(axis=1), 16, np.argmin(same, axis=1))
-            shared[open_] += run
-            open_ = open_[(run == 16) & (shared[open_] < most)]
-        return np.minimum(shared, most)
+        """Bytes that the neighbours at each run border share, up to ``most``; compared eight at a time, a block
+        of borders after another.
+        """
+        raw = np.zeros(self.n + 8, np.uint8)
+        raw[: self.n] = self.text - 1  # what stands for a 0 is of no account, as no match reaches one
+        words = np.ascontiguousarray(np.ndarray(self.n, "<u8", raw, strides=(1,)))
+        left = symbols_left(self.text)
+        bound = np.minimum(np.minimum(left[self.first], left[self.last]), most)
+        shared = np.zeros(len(self.first), np.int64)
+        for start in range(0, len(shared), BORDERS):
+            open_ = start + np.flatnonzero(bound[start : start + BORDERS] > 0)
+            while len(open_):
+                so_far = shared[open_]
+                differ = words[self.first[open_] + so_far] ^ words[self.last[open_] + so_far]
+                same = np.bitwise_count(~differ & (differ - np.uint64(1))) >> 3
+                shared[open_] = so_far = so_far + same
+                open_ = open_[(same == 8) & (so_far < bound[open_])]
+        return np.minimum(shared, bound)
 
     def matching(self, most: int) -> np.ndarray:
         """For each position, the longest match that starts at any other position."""
@@ -168,7 +188,7 @@ class RunIndex:
         best = np.zeros(self.n, np.int64)
         for border in (self.first, self.last):
             reach = np.zeros(self.n, np.int64)
-            np.maximum.at(reach, border, shared + border)
+            reach[border] = shared + border
             best = np.maximum(best, np.maximum.accumulate(reach) - np.arange(self.n))
         return np.maximum(best, 0)
 
