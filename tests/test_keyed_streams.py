@@ -393,6 +393,51 @@ def test_the_better_slice_wins_though_it_comes_later(spark, folder, rocksdb):
     assert send(spark, folder, again) == [("a", 5), ("a", 13), ("b", 2), ("c", 7), ("z", 10)]
 
 
+def test_a_key_waits_for_one_timer():
+    """Thirty periods of a key that end before the watermark are settled by one timer."""
+    import pandas as pd
+    from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
+
+    class Kept:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+        def clear(self):
+            self.value = None
+
+    class Handle:
+        def __init__(self):
+            self.timers = []
+
+        def getValueState(self, name, kind):
+            return Kept()
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    second = 1_000_000
+    one = slices.HeldKeys(10 * second, 50 * second)
+    one.init(handle := Handle())
+    rows = [pd.DataFrame({"at": [k * 100 * second], "best": [str(k)], "body": [f"row {k}"]}) for k in range(30)]
+    assert list(one.handleInputRows(("a",), iter(rows), TimerValues())) == []
+    assert handle.timers == [10_000]
+    sent = list(one.handleExpiredTimer(("a",), TimerValues(-1, 2_905_000), ExpiredTimerInfo(10_000)))
+    assert [part["body"].tolist() for part in sent] == [[f"row {k}" for k in range(29)]]
+    assert handle.timers == [10_000, 2_910_000]
+    sent = list(one.handleExpiredTimer(("a",), TimerValues(-1, 2_911_000), ExpiredTimerInfo(2_910_000)))
+    assert [part["body"].tolist() for part in sent] == [["row 29"]]
+    assert list(one.handleExpiredTimer(("a",), TimerValues(-1, 3_000_000), ExpiredTimerInfo(2_960_000))) == []
+    assert one.open.get() is None and handle.timers == [10_000, 2_910_000, 2_960_000]
+
+
 def test_slices_do_not_depend_on_the_cut_into_triggers(spark, folder, rocksdb):
     rows = sorted(((f"u{(i * 7) % 5}", (i * 11) % 4, t((i * 37) % 4000), i) for i in range(60)), key=lambda r: r[2])
     end = [("end", 0, t(9000), 99)]

@@ -20,7 +20,8 @@ class HeldKeys(StatefulProcessor):
     """Periods of a key: it is held from its first row on, its best row is sent when ``hold`` is over, and
     further rows are dropped until ``remember`` is over as well. Then it is forgotten.
 
-    The state of a key is a short list of its open periods; timers on event time end them.
+    The state of a key is a short list of its open periods. A key waits for one timer on event time, that
+    of the first period to be sent or forgotten; all that is over by then is settled at once.
     """
 
     def __init__(self, hold: int, remember: int):
@@ -31,7 +32,8 @@ class HeldKeys(StatefulProcessor):
         self.open = handle.getValueState("open", "periods string")
 
     def _periods(self) -> list[dict]:
-        return json.loads(self.open.get()[0]) if self.open.exists() else []
+        kept = self.open.get()
+        return json.loads(kept[0]) if kept else []
 
     def _keep(self, periods: list[dict]) -> None:
         if periods:
@@ -39,32 +41,46 @@ class HeldKeys(StatefulProcessor):
         else:
             self.open.clear()
 
+    def _next(self, periods: list[dict]) -> int | None:
+        """Millisecond of the next thing to do, for which a timer is set."""
+        return min(((self._end if p["body"] is None else self._due)(p["from"]) for p in periods), default=None)
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         """A trigger's rows of the key, by time. The limits of the source on a trigger bound them."""
         found = sorted(row for part in rows for row in zip(part["at"].tolist(), part["best"].tolist(), part["body"].tolist()))
         periods = self._periods()
+        before = self._next(periods)
         for at, best, body in found:
             own = next((p for p in reversed(periods) if p["from"] <= at), periods[0] if periods else None)
             if own is None or at > own["from"] + self.hold + self.remember:
                 periods.append({"from": at, "best": best, "body": body})
                 periods.sort(key=lambda p: p["from"])
-                self.handle.registerTimer(self._due(at))
             elif at <= own["from"] + self.hold and own["body"] is not None and best < own["best"]:
                 own.update(best=best, body=body)
         self._keep(periods)
+        if (first := self._next(periods)) != before:
+            self.handle.registerTimer(first)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """Send what is due, then wait for the end of the period to forget it."""
-        now, kept, sent = expiredTimerInfo.getExpiryTimeInMs(), [], []
-        for period in self._periods():
+        """Send what is due, forget what has ended, and wait for the next of both.
+
+        Rows up to the watermark come no more, so everything before it is settled with the first timer.
+        """
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        periods = self._periods()
+        if not periods or self._next(periods) > now:
+            return
+        kept, sent = [], []
+        for period in periods:
             if period["body"] is not None and self._due(period["from"]) <= now:
                 sent.append(period["body"])
                 period = {"from": period["from"], "best": None, "body": None}
-                self.handle.registerTimer(self._end(period["from"]))
             if period["body"] is not None or self._end(period["from"]) > now:
                 kept.append(period)
         self._keep(kept)
+        if kept:
+            self.handle.registerTimer(self._next(kept))
         if sent:
             yield pd.DataFrame({"body": sent})
 
