@@ -349,6 +349,15 @@ def test_layer_digests_see_content(spark):
     assert digest([]) == "0"
 
 
+def test_every_row_of_two_versions_reads_a_shared_part_once(spark, folder):
+    store = TableStore(spark, folder, "parquet")
+    store.upsert(spark.createDataFrame([("a", 1), ("b", 1)], "id string, n int"), "silver", "hn", "id")
+    store.upsert(spark.createDataFrame([("b", 2), ("c", 2)], "id string, n int"), "silver", "hn", "id")
+    rows = sorted((r.id, r.n) for r in store.every_row_of("silver", "hn", {1, 2}).collect())
+    assert rows == [("a", 1), ("b", 1), ("b", 2), ("c", 2)]
+    assert store.every_row_of("silver", "hn", {1}).count() == 2
+
+
 # ---- first seen with slices -----------------------------------------------------------------
 
 EVENTS = "user string, slice long, at timestamp, id long"

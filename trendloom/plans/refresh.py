@@ -94,11 +94,13 @@ def changed_days(store: TableStore, before: dict[str, int], now: dict[str, int])
     if not ids:
         return []
     keys = settle(reduce(DataFrame.unionAll, ids).distinct())[0]
-    moments = [
-        store.every_version_of(*table.split("/"), keys, state[table]).select("published_at")
-        for state in (before, now) for table in state if table != "silver/enriched"
-    ]
-    found = reduce(DataFrame.unionAll, moments).select(F.to_date("published_at").alias("day")).distinct()
+    # One join for all feeds and both states: a part that was there before and is there now is met once.
+    moments = reduce(DataFrame.unionAll, [
+        store.every_row_of("silver", feed, {s[f"silver/{feed}"] for s in (before, now) if f"silver/{feed}" in s})
+        .select("unified_id", "published_at")
+        for feed in FEEDS if f"silver/{feed}" in now
+    ])
+    found = moments.join(keys, "unified_id", "left_semi").select(F.to_date("published_at").alias("day")).distinct()
     return [row["day"] for row in found.collect()]
 
 
