@@ -1,5 +1,6 @@
 """Every registered query against its SQL, and the jobs end to end."""
 
+import threading
 from datetime import datetime
 from pathlib import Path
 
@@ -77,3 +78,17 @@ def test_gold_reads_only_the_columns_it_needs(spark, sf_dir):
     plan = jobs.BUILDERS["source_activity"](combined)._jdf.queryExecution().executedPlan().toString()
     schemas = [part.split("\n")[0] for part in plan.split("ReadSchema: ")[1:]]
     assert schemas and not any("description" in s or "title" in s for s in schemas)
+
+
+def test_silver_feeds_are_written_side_by_side(spark, sf_dir, folder, monkeypatch):
+    """Each feed waits for all others to have begun, which fails if they are written one after another."""
+    begun, real = threading.Barrier(len(FEEDS), timeout=30), TableStore.upsert
+
+    def upsert(self, *args):
+        begun.wait()
+        return real(self, *args)
+
+    monkeypatch.setattr(TableStore, "upsert", upsert)
+    store = TableStore(spark, folder, "parquet")
+    registered._write_silver(store, sf_dir)
+    assert all(store.read("silver", name).count() for name in (*FEEDS, "enriched"))

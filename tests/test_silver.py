@@ -1,5 +1,6 @@
 from datetime import datetime
 
+from trendloom.functions.text import clean_text, has_text
 from trendloom.plans.silver import drop_empty_titles, github_to_silver, hn_to_silver, news_to_silver
 from trendloom.schemas import GITHUB_SCHEMA, HN_SCHEMA, NEWS_SCHEMA, SILVER_SCHEMA
 
@@ -64,3 +65,17 @@ def test_github_row(spark):
     first, second = sorted(github_to_silver(given).collect(), key=lambda r: len(r.tags), reverse=True)
     assert first.tags == ["github", "a"] and second.tags == ["github"]
     assert first.url == "git://any" and first.language is None and second.published_at is None
+
+
+def test_rows_are_chosen_before_they_are_cleaned(spark):
+    plan = hn_to_silver(frame(spark, HN_SCHEMA, hn()))._jdf.queryExecution().optimizedPlan().toString()
+    tests = [line for line in plan.split("\n") if "Filter" in line]
+    assert tests and not any("regexp_replace" in line or "md5" in line for line in tests)
+
+
+def test_text_is_told_from_blank_as_cleaning_does(spark):
+    given = ["A", " A ", "", " ", "\t\n\x0b\f\r ", "\n x", "\xa0", "\x1f", "\u2003", None]
+    rows = spark.createDataFrame([(t,) for t in given], "t string").select("t", has_text("t").alias("got"), clean_text("t").alias("kept"))
+    assert [r.got for r in rows.collect()] == [None if r.t is None else r.kept is not None for r in rows.collect()]
+    stories = frame(spark, HN_SCHEMA, *[hn(id=n, title=t) for n, t in enumerate(given)], hn(id=None))
+    assert hn_to_silver(stories).count() == 6

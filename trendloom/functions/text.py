@@ -22,6 +22,11 @@ def not_blank(text: ColumnLike) -> Column:
     return F.coalesce(F.length(F.trim(as_column(text))) > 0, F.lit(False))
 
 
+def has_text(text: ColumnLike) -> Column:
+    """True for text of which :func:`clean_text` leaves something, without cleaning it; null for null."""
+    return as_column(text).rlike(r"\S")
+
+
 def clean_url(url: ColumnLike) -> Column:
     """The url if it is an http(s) address and no placeholder of a removed article, else null."""
     url = as_column(url)

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.functions.text import clean_text, clean_url, not_blank, parse_timestamp, unified_id
+from trendloom.functions.text import clean_text, clean_url, has_text, not_blank, parse_timestamp, unified_id
 from trendloom.operators.latest import newest_per_key
 from trendloom.schemas import GITHUB, HACKERNEWS, NEWSAPI, SILVER_SCHEMA
 
@@ -72,6 +72,9 @@ def _github_columns() -> dict[str, Column]:
 
 _MAPPINGS = {"hn": _hn_columns, "news": _news_columns, "github": _github_columns}
 
+# The Bronze columns that become the id and the title.
+_ID_AND_TITLE = {"hn": ("id", "title"), "news": ("article_id", "title"), "github": ("repo_id", "repo_name")}
+
 
 def map_feed(bronze: DataFrame, feed: str, as_of: datetime | None = None) -> DataFrame:
     """Project one feed's Bronze columns onto the Silver schema, row for row."""
@@ -90,10 +93,13 @@ def map_feed(bronze: DataFrame, feed: str, as_of: datetime | None = None) -> Dat
 def to_silver(bronze: DataFrame, feed: str, as_of: datetime | None = None) -> DataFrame:
     """Cleaned, titled and de-duplicated rows of one feed, ready for a keyed upsert.
 
-    Rows without an id are left out: they can never match and would be inserted again each run.
+    Rows without an id are left out: they can never match and would be inserted again each run. Both
+    tests are made on the Bronze columns: on the Silver ones the filter would clean and hash each row
+    for itself, before the projection does it again.
     """
-    usable = drop_empty_titles(map_feed(bronze, feed, as_of)).filter(F.col("unified_id").isNotNull())
-    return newest_per_key(usable, "unified_id")
+    original_id, title = _ID_AND_TITLE[feed]
+    usable = bronze.filter(F.col(original_id).isNotNull() & has_text(title))
+    return newest_per_key(map_feed(usable, feed, as_of), "unified_id")
 
 
 def hn_to_silver(bronze: DataFrame, as_of: datetime | None = None) -> DataFrame:
