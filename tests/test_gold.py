@@ -233,3 +233,17 @@ def test_without_enrichment_the_columns_are_null(spark):
     rows = gold.combine_silver([silver], None)
     assert dict(rows.dtypes)["ai_topics"] == "array<string>"
     assert gold.trending_topics(rows).count() == 0
+
+
+def test_gold_job_writes_only_what_builders_read(spark, folder):
+    store = TableStore(spark, folder, "parquet")
+    given = [{**item(str(n), "github"), "url": f"u{n}", "author": f"a{n}", "description": f"d{n}"} for n in range(3)]
+    rows = spark.createDataFrame([tuple(i.get(n) for n in SILVER_SCHEMA.names) for i in given], SILVER_SCHEMA)
+    store.upsert(rows, "silver", "github", "unified_id")
+    jobs.run_gold(store, AS_OF)
+    written = set(store.read("work", "combined").columns)
+    assert not written & {*gold.LOOKED_UP, *gold.UNREAD} and {"unified_id", "title", "tags", "ai_topics"} <= written
+    shown = lambda df: sorted(map(str, df.drop("gold_computed_at").collect()))
+    for name, build in jobs.BUILDERS.items():
+        assert shown(store.read("gold", name)) == shown(build(jobs.load_combined(store), AS_OF)), name
+    assert {(r.url, r.author, r.description) for r in store.read("gold", "top_content").collect()} == {(f"u{n}", f"a{n}", f"d{n}") for n in range(3)}

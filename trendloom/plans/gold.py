@@ -38,6 +38,12 @@ MOMENTUM_MENTION = 5.0
 ACTIVITY_SENTIMENT = 0.1
 STARS_PER_POINT, SECONDS_PER_POINT = 10.0, 1e9
 
+# Columns that only the leaderboard shows; they are looked up for its rows.
+LOOKED_UP = ("description", "url", "author")
+
+# Columns of the combined rows that no Gold table is made from.
+UNREAD = ("ingested_at", "silver_processed_at", "pipeline_version", "enrichment_error")
+
 _ENRICHMENT = ("sentiment", "ai_topics", "ai_entities", "enrichment_error")
 
 
@@ -81,6 +87,11 @@ def combine_silver(
     return attach_enrichment(current, enriched)
 
 
+def for_builders(combined: DataFrame) -> DataFrame:
+    """What the builders read of every row, so that nothing else is joined, sorted and written."""
+    return combined.drop(*LOOKED_UP, *UNREAD)
+
+
 # ---- shared measures --------------------------------------------------------------------
 
 
@@ -308,8 +319,8 @@ def top_content(
     """Leaderboard of the last ``days`` days: the best ``per_source`` ranks of each source with
     their rank over everything in the period. See :func:`trendloom.operators.ranking.leaders`.
 
-    ``texts`` looks up ``unified_id, description`` for the ids of the leaders, if ``combined`` is
-    without descriptions.
+    ``texts`` looks up ``unified_id`` and the columns :data:`LOOKED_UP` for the ids of the leaders, if
+    ``combined`` is without these.
     """
     recent = (
         combined.filter(F.col("published_at") >= _period_start(as_of, days))

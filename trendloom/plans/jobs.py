@@ -119,18 +119,18 @@ def run_gold(
 ) -> dict[str, int]:
     """Recompute all Gold tables; returns rows per table.
 
-    The combined rows are written once, without descriptions, and read by each builder with only the
-    columns it needs. Descriptions are looked up for the leaders of the leaderboard alone. A written
+    The combined rows are written once and read by each builder with only the columns it needs.
+    Descriptions, urls and authors are looked up for the leaders of the leaderboard alone. A written
     table outlives lost executors, which cached blocks would not.
     """
     target = target or store
-    target.overwrite(load_combined(store).drop("description"), "work", "combined")
+    target.overwrite(gold.for_builders(load_combined(store)), "work", "combined")
     combined = target.read("work", "combined")
 
     def texts(ids: DataFrame) -> DataFrame:
-        """Descriptions of a few ids; the semi join reaches the Silver tables."""
+        """What the leaders show besides, of a few ids; the semi join reaches the Silver tables."""
         few = [table.join(ids, "unified_id", "left_semi") for table in silver_tables(store)]
-        return gold.combine_silver(few, unique=kept_by_id(store)).select("unified_id", "description")
+        return gold.combine_silver(few, unique=kept_by_id(store)).select("unified_id", *gold.LOOKED_UP)
 
     def run(name: str) -> int:
         options = {"texts": texts} if name == "top_content" else {}

@@ -40,8 +40,8 @@ def refresh_gold(
     before = _versions_behind(target)
     days = None if before is None else changed_days(store, before, now)
 
-    changed = combined_where(store, now, None if days is None else in_days(days)).drop("description")
-    target.overwrite(changed, "work", "changed")
+    changed = combined_where(store, now, None if days is None else in_days(days))
+    target.overwrite(gold.for_builders(changed), "work", "changed")
     rows = target.read("work", "changed")
 
     def one(name: str) -> int:
@@ -49,11 +49,11 @@ def refresh_gold(
 
     def leaders() -> int:
         recent = combined_where(store, now, F.col("published_at") >= gold._period_start(as_of, gold.LEADERBOARD_DAYS))
-        target.overwrite(recent.drop("description"), "work", "recent")
+        target.overwrite(gold.for_builders(recent), "work", "recent")
 
         def texts(ids: DataFrame) -> DataFrame:
             few = [store.read_matching("silver", feed, ids, now[f"silver/{feed}"]) for feed in feeds]
-            return gold.combine_silver(few, unique=kept_by_id(store)).select("unified_id", "description")
+            return gold.combine_silver(few, unique=kept_by_id(store)).select("unified_id", *gold.LOOKED_UP)
 
         made = gold.top_content(target.read("work", "recent"), as_of, texts=texts)
         return target.overwrite(made, "gold", "top_content", now)
