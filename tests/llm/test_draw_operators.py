@@ -105,6 +105,16 @@ def test_mix_comes_near_its_targets_and_stops_at_three_times(spark):
     assert abs(sum(target.values()) - 4000) < 1e-6 and all(abs(taken[s] - target[s]) <= 5 for s in target) and not most
 
 
+def test_targets_of_more_words_than_an_int_can_weigh(spark):
+    """Five times a budget that fits into 32 bits does not."""
+    for unit in (3 * 10**8, 3 * 10**9):
+        sizes, weights = {"a": unit, "b": 4 * unit, "c": unit // 100}, {"a": 5, "b": 2, "c": 1}
+        sources = spark.createDataFrame([(s, sizes[s], weights[s]) for s in sizes], "source string, source_size long, weight int")
+        got = {r.source: r.target for r in mixing.find_targets(sources).collect()}
+        assert got == pytest.approx(targets_by_rounds(sizes, weights, sum(sizes.values())))
+        assert got["a"] == 3 * unit and got["c"] == 3 * unit // 100  # both stop, and the rest is dealt again
+
+
 def test_mixes_of_growing_budgets_are_nested(spark):
     docs = of_triples(spark, many())
     budgets = (0.1, 0.25, 0.7, 1.0)

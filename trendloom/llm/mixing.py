@@ -77,10 +77,13 @@ def _level(sources: DataFrame, budget: int, weight: int | float, most: int) -> t
 
 
 def _share(left: int, rest: int | float) -> Column:
-    """A source's part by weight; once no weight is left, all sources that weigh anything are full."""
+    """A source's part by weight; once no weight is left, all sources that weigh anything are full.
+
+    Weights may be 32-bit integers, and words that fit into 32 bits would be multiplied as such.
+    """
     if not rest:
         return F.when(F.col("weight") > 0, F.lit(float("inf"))).otherwise(0.0)
-    return (F.col("weight") * F.lit(left)).cast("double") / F.lit(rest).cast("double")
+    return (F.col("weight") * F.lit(left).cast("long")).cast("double") / F.lit(rest).cast("double")
 
 
 def find_targets(
