@@ -13,6 +13,7 @@ from tests.test_streaming import messages
 from trendloom.plans import gold, jobs, metrics, refresh, silver
 from trendloom.plans.silver import to_silver
 from trendloom.schemas import FEEDS, SILVER_SCHEMA
+from trendloom.session import REMOVE_SHUFFLES
 from trendloom.sources import testdata
 from trendloom.sources.messages import file_stream
 from trendloom.sources.tables import TableStore
@@ -89,6 +90,47 @@ def test_silver_follows_the_stream(spark, store, folder):
     assert len(parts(store, "silver", "hn")) <= 2
 
 
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {path for folder in folders for path in glob(f"{folder.getPath()}/*/shuffle_*.data")}
+
+
+def until(holds, seconds=20):
+    """What Spark does in the background has that long."""
+    end = time.time() + seconds
+    while not holds() and time.time() < end:
+        time.sleep(0.1)
+    return holds()
+
+
+def test_triggers_leave_no_shuffle_files_and_no_messages(spark, store, folder):
+    for k in range(4):
+        body = [story(i, f"t{i}", k, f"2024-01-15T1{k}:00:00+00:00") for i in range(50)]
+        messages(spark, body).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    setting, before = spark.conf.get(REMOVE_SHUFFLES), shuffle_files(spark)
+    source = file_stream(spark, f"{folder}/in", max_files_per_trigger=1, once=True)
+    finish_feeds(keyed.start_silver({"hn": source}, store, f"{folder}/cp", AT, every=None, fan=3))
+    assert until(lambda: not shuffle_files(spark) - before)
+    assert until(lambda: len(glob(f"{folder}/in/*.parquet")) <= 1)  # that of the last trigger
+    assert spark.conf.get(REMOVE_SHUFFLES) == setting
+    assert [r.popularity_score for r in store.read("silver", "hn").collect()] == [3] * 50
+
+
+def test_a_fold_of_a_keyed_table_is_one_shuffle(spark, store, monkeypatch):
+    for k in range(3):
+        store.upsert(frame(spark, [("a", k, k), (f"n{k}", k, k)]), "silver", "t", "k", "at")
+    plans, part = [], TableStore._part
+
+    def seen(self, df, path):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return part(self, df, path)
+
+    monkeypatch.setattr(TableStore, "_part", seen)
+    assert store.fold("silver", "t", 3) == 3
+    assert len(plans) == 1 and plans[0].count("Exchange ") == 1
+    assert content(store.read("silver", "t")) == [("a", 2, 2), ("n0", 0, 0), ("n1", 1, 1), ("n2", 2, 2)]
+
+
 def test_driver_lost_between_commit_and_checkpoint(spark, store, folder, monkeypatch):
     """The write is committed, then the driver dies before Spark notes the batch: it comes again."""
     messages(spark, [story(1, "a", 5, "2024-01-15T10:00:00+00:00")]).coalesce(1).write.parquet(f"{folder}/in")

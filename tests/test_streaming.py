@@ -122,3 +122,16 @@ def test_every_trigger_has_a_file_for_each_core(spark, sf_dir, monkeypatch, name
     cores = spark.sparkContext.defaultParallelism
     assert asked and all(limit >= cores for limit, _ in asked)
     assert max(files for _, files in asked) >= 5 * cores  # several triggers, as before
+
+
+def test_pieces_are_dealt_before_messages_are_made(spark, sf_dir):
+    """In pieces the messages are the same; rows of the tables are shuffled once, messages never, and no task sorts for it."""
+    from trendloom.registry import queries as registered
+
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    whole, dealt = registered.all_messages(spark, sf_dir), registered.all_messages(spark, sf_dir, 6)
+    for feed in whole:
+        assert dealt[feed].exceptAll(whole[feed]).count() == whole[feed].exceptAll(dealt[feed]).count() == 0
+        plan = dealt[feed]._jdf.queryExecution().executedPlan().toString()
+        assert "RoundRobin" not in plan and "REPARTITION_BY_NUM" in plan and "to_json" not in plan.split("Exchange", 1)[1]
+        assert dealt[feed].rdd.getNumPartitions() == 6

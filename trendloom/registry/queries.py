@@ -24,7 +24,7 @@ from trendloom.operators.pivots import search_index, write_index
 from trendloom.operators.vectors import cosine_topk
 from trendloom.plans import enrich, gold, jobs, metrics, refresh, retrieval, serving, silver
 from trendloom.schemas import FEEDS
-from trendloom.session import scratch_root, use_utc
+from trendloom.session import scratch_root, shuffles_removed, use_utc
 from trendloom.sources import feeds, messages, testdata
 from trendloom.sources.tables import TableStore
 from trendloom.streaming import bronze, dedup, keyed, slices, watch
@@ -190,9 +190,9 @@ def _dedup_latest(spark, sf_dir):
 # ---- Bronze -----------------------------------------------------------------------------
 
 
-def hn_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hn_messages(spark: SparkSession, sf_dir: str, pieces: int | None = None) -> DataFrame:
     """Stories as JSON messages. ``error`` stories are cut short, ``signup`` scores are no numbers."""
-    raw = testdata.hn_raw(spark, sf_dir).withColumn("unknown_field", F.lit("dropped"))
+    raw = testdata.hn_raw(spark, sf_dir, pieces).withColumn("unknown_field", F.lit("dropped"))
     body = F.to_json(F.struct("*"))
     typed = F.when(
         F.col("type") == "signup", F.regexp_replace(body, r'"score":-?\d+', '"score":"n/a"')
@@ -217,13 +217,13 @@ def _bronze_parse(spark, sf_dir):
     return rows.withColumn("score", F.col("score").cast("double"))
 
 
-def all_messages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Messages of the three feeds."""
+def all_messages(spark: SparkSession, sf_dir: str, pieces: int | None = None) -> dict[str, DataFrame]:
+    """Messages of the three feeds, in so many pieces each if a number is given."""
     body = F.to_json(F.struct("*"))
     return {
-        "hn": hn_messages(spark, sf_dir),
-        "news": _as_messages(testdata.news_raw(spark, sf_dir), body, "article_id", "news-raw"),
-        "github": _as_messages(testdata.github_raw(spark, sf_dir), body, "repo_id", "github-raw"),
+        "hn": hn_messages(spark, sf_dir, pieces),
+        "news": _as_messages(testdata.news_raw(spark, sf_dir, pieces), body, "article_id", "news-raw"),
+        "github": _as_messages(testdata.github_raw(spark, sf_dir, pieces), body, "repo_id", "github-raw"),
     }
 
 
@@ -297,9 +297,10 @@ def _files_a_trigger(spark: SparkSession) -> int:
 def _silver_stream(spark, sf_dir):
     """Messages of all feeds straight into keyed Silver tables, in five triggers of a file for each core."""
     store, files = _fresh_store(spark, "silver-stream"), _files_a_trigger(spark)
-    for feed, sent in all_messages(spark, sf_dir).items():
-        sent.repartition(5 * files).write.parquet(store.path("messages", feed))
-    streams = {feed: messages.file_stream(spark, store.path("messages", feed), max_files_per_trigger=files) for feed in FEEDS}
+    with shuffles_removed(spark):
+        for feed, sent in all_messages(spark, sf_dir, 5 * files).items():
+            sent.write.parquet(store.path("messages", feed), compression="zstd")
+    streams = {feed: messages.file_stream(spark, store.path("messages", feed), max_files_per_trigger=files, once=True) for feed in FEEDS}
     bronze.finish_feeds(keyed.start_silver(streams, store, store.path("checkpoints", ""), AS_OF, every=None, fan=3))
     return reduce(DataFrame.unionByName, [store.read("silver", feed) for feed in FEEDS])
 

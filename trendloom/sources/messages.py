@@ -26,10 +26,14 @@ def topic_stream(
 
 
 def file_stream(
-    spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_trigger: int | None = None
+    spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_trigger: int | None = None, once: bool = False
 ) -> DataFrame:
-    """Stream of files holding messages, for replays and tests."""
+    """Stream of files holding messages, for replays and tests. With ``once`` a file is deleted when the
+    trigger after that which read it begins, so that the messages need not be kept beside what they became.
+    """
     reader = spark.readStream.format(fmt).schema(MESSAGE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if once:
+        reader = reader.option("cleanSource", "delete")
     return reader.load(path)

@@ -29,6 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _dealt(df: DataFrame, pieces: int | None, *keys: str) -> DataFrame:
+    """The rows in ``pieces`` partitions by a hash of ``keys``, if a number is given. Rows of the tables are a
+    fraction of the messages that are made from them, and no task sorts them for that.
+    """
+    return df if pieces is None else df.repartition(pieces, *keys)
+
+
 def _conform(df: DataFrame, schema) -> DataFrame:
     """The schema's columns in order and type; columns the adapter lacks are typed nulls."""
     have = set(df.columns)
@@ -44,12 +51,12 @@ def _spread(key: str, step: int) -> str:
     return f"date_format(timestamp_ntz'2024-01-01 00:00:00' + {minute}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
 
 
-def hn_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hn_raw(spark: SparkSession, sf_dir: str, pieces: int | None = None) -> DataFrame:
     """Events as stories; every ``view`` is sent again an hour later with a higher score."""
     sent = table(spark, sf_dir, "events").selectExpr(
         "*", "explode(if(event_type = 'view', array(0, 1), array(0))) as rev"
     )
-    stories = sent.selectExpr(
+    stories = _dealt(sent, pieces, "event_id", "user_id", "ts", "rev").selectExpr(
         "event_id as id",
         "event_type as type",
         "concat('user', user_id) as `by`",
@@ -68,10 +75,11 @@ def hn_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conform(stories, HN_SCHEMA)
 
 
-def news_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def news_raw(spark: SparkSession, sf_dir: str, pieces: int | None = None) -> DataFrame:
     """Documents as articles: first line as title, whole text as description."""
-    pages = table(spark, sf_dir, "pages").selectExpr("page_id as doc_id", "url")
-    articles = table(spark, sf_dir, "documents").join(pages, "doc_id", "left").selectExpr(
+    pages = _dealt(table(spark, sf_dir, "pages").selectExpr("page_id as doc_id", "url"), pieces, "doc_id")
+    documents = _dealt(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), pieces, "doc_id")
+    articles = documents.join(pages, "doc_id", "left").selectExpr(
         "md5(concat('doc_', doc_id)) as article_id",
         "substring_index(text, '\n', 1) as title",
         "text as description",
@@ -88,9 +96,9 @@ def news_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conform(articles, NEWS_SCHEMA)
 
 
-def github_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def github_raw(spark: SparkSession, sf_dir: str, pieces: int | None = None) -> DataFrame:
     """Parts as repositories."""
-    repos = table(spark, sf_dir, "part").selectExpr(
+    repos = _dealt(table(spark, sf_dir, "part"), pieces, "p_partkey", "p_name").selectExpr(
         "p_partkey as repo_id",
         "concat(replace(p_name, ' ', '/'), p_partkey) as repo_name",
         "concat('https://git.example.com/', p_partkey) as repo_url",

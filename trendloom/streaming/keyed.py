@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from trendloom.plans.silver import to_silver
 from trendloom.schemas import FEEDS
+from trendloom.session import shuffles_removed
 from trendloom.sources.tables import FAN, TableStore
 from trendloom.streaming.bronze import parse_messages
 
@@ -45,12 +46,15 @@ def start_upsert(
     number of the batch, so a batch that Spark repeats, because the driver was lost between the
     write and the checkpoint, is applied once. With ``stamp`` rows may come in any order: of a key
     the one with the largest stamp counts. Parts are folded as they come, so that reads stay cheap.
+    A trigger removes its shuffle files, so that the disk need not hold those of all triggers.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
-        updates = batch if prepare is None else prepare(batch)
-        store.upsert(updates, layer, name, key, stamp, (stream_identity(store, checkpoint), number))
-        store.fold(layer, name, fan)
+        own = store.within(batch.sparkSession)  # the stream's session, whose settings no other query sees
+        with shuffles_removed(own.spark):
+            updates = batch if prepare is None else prepare(batch)
+            own.upsert(updates, layer, name, key, stamp, (stream_identity(store, checkpoint), number))
+            own.fold(layer, name, fan)
 
     stream = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return stream.trigger(**({"availableNow": True} if every is None else {"processingTime": every})).start()
